@@ -84,8 +84,17 @@ def usable_blocks(
     return usable, refused
 
 
+def targeted(conditions: list[dict], targets: list[dict]) -> set[str]:
+    """Features with a SKIP block, usable or not: the passing order does not decide for them."""
+    skips = {c["feature"] for c in conditions if c["category"].upper() == "SKIP"}
+    return {f"KNOB_{t['step']}_ppid" for t in targets if t["feature"] in skips}
+
+
 def by_rule(last: DataFrame, missing: DataFrame, blocks: list[dict]) -> DataFrame:
-    """Candidates whose wafer meets every condition of a block that targets the feature's step."""
+    """Candidates whose wafer meets every condition of a block that targets the feature's step.
+
+    Of several such blocks the first one counts.
+    """
     steps = sorted({c["step"] for b in blocks for c in b["conds"]})
     number = {s: i for i, s in enumerate(steps)}
 
@@ -95,17 +104,18 @@ def by_rule(last: DataFrame, missing: DataFrame, blocks: list[dict]) -> DataFram
 
     wafers = last.groupBy(*WAFER).agg(*[at(s).alias(f"v{number[s]}") for s in steps])
     hits = []
-    for b in blocks:
+    for i, b in enumerate(blocks):
         test = F.col("vehicle") == b["vehicle"]
         for c in b["conds"]:
             test = test & condition(c["op"], c["value"], F.col(f"v{number[c['step']]}"))
         for step in b["steps"]:
-            hits.append(
-                F.when(test, F.struct(F.lit(f"KNOB_{step}_ppid").alias("feature"), F.lit(b["rule"]).alias("rule")))
+            hit = F.struct(
+                F.lit(f"KNOB_{step}_ppid").alias("feature"), F.lit(i).alias("block"), F.lit(b["rule"]).alias("rule")
             )
+            hits.append(F.when(test, hit))
     found = F.filter(F.array(*hits), lambda h: h.isNotNull())
-    met = wafers.select(*WAFER, F.explode(found).alias("h")).select(*WAFER, "h.feature", "h.rule")
-    rule = F.min("rule").alias("rule")
+    met = wafers.select(*WAFER, F.explode(found).alias("h")).select(*WAFER, "h.*")
+    rule = F.min(F.struct("block", "rule"))["rule"].alias("rule")
     return missing.join(met, [*WAFER, "feature"]).groupBy(*WAFER, "feature").agg(rule)
 
 

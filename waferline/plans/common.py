@@ -145,7 +145,7 @@ KNOB_LOOKUP = KNOB_MAP + """, knob_steps AS (
     LEFT JOIN knob_map m ON e.vehicle = m.vehicle AND e.step_id = m.step_id AND e.ppid = m.ppid)"""
 
 KNOB_FEATURE = KNOB_LOOKUP + f""", present AS (SELECT DISTINCT vehicle, knob_desc, step_id, map_order FROM looked_up),
-  winner AS (SELECT vehicle, knob_desc, arg_max(step_id, map_order) AS step_id FROM present GROUP BY ALL),
+  winner AS (SELECT vehicle, knob_desc, arg_max(step_id, (map_order, step_id)) AS step_id FROM present GROUP BY ALL),
   knob_feature AS (
     SELECT vehicle, root_lot_id, wafer_id, concat('KNOB_', knob_desc, '_ppid') AS feature,
       CASE agg WHEN 'last' THEN {last_sql("coalesce(knob, ppid)")} ELSE {agg_sql("last_valid", "coalesce(knob, ppid)")} END AS value_str
