@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waferline.functions.text import is_blank
-from waferline.sources.partitions import row_number_text
+from waferline.sources.partitions import row_digest
 
 # The stage each stage follows, statuses that hide an alert, severity order.
 UPSTREAM = {"event": "raw", "feature": "event", "wide": "feature", "flow": "wide", "send": "wide"}
@@ -115,7 +115,7 @@ def alert_fingerprint(alerts: DataFrame) -> DataFrame:
     """
     reason = F.when(F.col("type") == "stage_stall", F.col("reason")).otherwise("")
     rows = alerts.select("vehicle", "id", "status", reason.alias("why"))
-    total = F.sum(row_number_text(["id", "status", "why"]).cast("decimal(20,0)")).cast("string")
+    total = F.sum(row_digest(["id", "status", "why"]).cast("decimal(20,0)")).cast("string")
     return rows.groupBy("vehicle").agg(F.count("*").alias("n"), total.alias("fingerprint"))
 
 

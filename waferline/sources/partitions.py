@@ -109,7 +109,24 @@ def stale_partitions(raw: DataFrame, event: DataFrame, keys: list[str], version:
     return raw.join(built, keys, "left").withColumn("reason", reason).where("reason is not null")
 
 
-def row_number_text(cols: list[str]) -> Column:
+def pending(raw: DataFrame, event: DataFrame, keys: list[str]) -> DataFrame:
+    """Raw dates without an event per ``keys``. Both sides have (keys, date)."""
+    built = event.select(*keys, "date", F.lit(1).alias("built")).distinct()
+    joined = raw.select(*keys, "date").distinct().join(built, [*keys, "date"], "left")
+    return joined.groupBy(*keys).agg(
+        F.count("*").alias("n_raw"), F.count("built").alias("n_event"),
+        (F.count("*") - F.count("built")).alias("n_pending"), F.max("date").alias("newest_raw"),
+    )
+
+
+def never_filled(df: DataFrame, keys: list[str], wanted: list[str]) -> DataFrame:
+    """Wanted columns without a single value per group, the ones that did not arrive included."""
+    have = set(df.columns)
+    counts = [(F.count(c) if c in have else F.lit(0).cast("bigint")).alias(c) for c in wanted]
+    return df.groupBy(*keys).agg(*counts).unpivot(keys, wanted, "column", "n").where("n = 0").drop("n")
+
+
+def row_digest(cols: list[str]) -> Column:
     """A 32-bit number from a row's text, the same in any engine that has md5."""
     text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in cols])
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
@@ -117,7 +134,7 @@ def row_number_text(cols: list[str]) -> Column:
 
 def fingerprints(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     """Row count and an order-free content sum per partition, combined on the map side."""
-    total = F.sum(row_number_text(cols).cast("decimal(20,0)")).cast("string")
+    total = F.sum(row_digest(cols).cast("decimal(20,0)")).cast("string")
     return df.groupBy(*keys).agg(F.count("*").alias("n_rows"), total.alias("content"))
 
 
