@@ -13,8 +13,8 @@ from waferline.sources.partitions import row_digest
 
 # The stage each stage follows, statuses that hide an alert, severity order.
 UPSTREAM = {"event": "raw", "feature": "event", "wide": "feature", "flow": "wide", "send": "wide"}
-HIDDEN = ("snoozed", "ignored")
-SEVERITY_RANK = {"debug": 0, "info": 1, "warning": 2, "critical": 3}
+HIDDEN = ("미확인예정", "반영불필요")
+SEVERITY_RANK = {"info": 0, "warn": 1, "warning": 1, "error": 2, "critical": 3}
 
 
 def stage_health(stages: DataFrame, today: str, threshold_days: int, age_stages: list[str]) -> DataFrame:
@@ -129,10 +129,10 @@ def gate(alerts: DataFrame, scope: str, min_severity: str, max_per_hour: int, wi
     """
     if window_sec < 1:
         raise ValueError("the window must be at least one second")
-    rank = F.lit(-1)
+    rank = F.lit(0)
     for name, level in SEVERITY_RANK.items():
-        rank = F.when(F.col("severity") == name, level).otherwise(rank)
-    loud = F.coalesce(rank, F.lit(SEVERITY_RANK["info"])) >= SEVERITY_RANK[min_severity]
+        rank = F.when(F.lower("severity") == name, level).otherwise(rank)
+    loud = rank >= SEVERITY_RANK[min_severity]
     marked = alerts.withColumn("loud", loud)
     slots = marked.where("loud").groupBy(scope, "second", "kind").agg(F.min("alert_id").alias("alert_id"))
     ordered = slots.repartition(scope).sortWithinPartitions(scope, "second", "alert_id")

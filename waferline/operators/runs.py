@@ -144,9 +144,8 @@ def retry_state(log: DataFrame, now: str | Column, delays: tuple[int, ...] = RET
         F.max(F.when(failed, F.col("ts"))).alias("last_failed"),
         F.max("last_reset").alias("last_reset"),
     ).where("total_attempts > 0")
-    last_delay = len(delays) - 1
     delay = F.element_at(
-        F.array(*[F.lit(d) for d in delays]), F.least(F.greatest(F.col("attempts"), F.lit(1)), F.lit(last_delay + 1))
+        F.array(*[F.lit(d) for d in delays]), F.least(F.greatest(F.col("attempts").cast("int"), F.lit(1)), F.lit(len(delays)))
     )
     blocked = F.col("attempts") >= max_attempts
     next_retry = F.when(F.col("attempts") == 0, F.col("last_reset")).otherwise(
