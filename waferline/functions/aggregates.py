@@ -28,51 +28,78 @@ def last(val: Column, order: list[Column]) -> Column:
     return F.max(_row(order, val))["v"]
 
 
-def first_where(test: Column, val: Column, order: list[Column]) -> Column:
-    return F.min(F.when(test, _row(order, val)))["v"]
-
-
 def last_where(test: Column, val: Column, order: list[Column]) -> Column:
     return F.max(F.when(test, _row(order, val)))["v"]
 
 
-def last_valid(val: Column, order: list[Column]) -> Column:
-    """Last upper-cased value that is not blank, "-" or a SKIP text."""
-    upper = F.upper(F.trim(val.cast("string")))
-    valid = upper.isNotNull() & ~upper.isin("", "-") & ~upper.contains("SKIP")
-    return last_where(valid, upper, order)
+@dataclass(frozen=True)
+class Pick:
+    """An aggregate that keeps one row: the latest of the highest grade, or the earliest of the lowest."""
+
+    latest: bool
+    grade: Callable[[Column], Column]
+    value: Callable[[Column], Column]
+
+    def expr(self, val: Column, order: list[Column]) -> Column:
+        return pick_row(self.latest, F.lit(True), self.grade(val), self.value(val), order)["v"]
+
+
+def pick_row(latest: bool, test: Column, grade: Column, value: Column, order: list[Column]) -> Column:
+    row = F.when(test, _row([grade, *order], value))
+    return F.max(row) if latest else F.min(row)
+
 
+def _upper(val: Column) -> Column:
+    return F.upper(F.trim(val.cast("string")))
 
-def valid_tool(val: Column, order: list[Column]) -> Column:
-    """First value of the looser tool form; null without one."""
-    text = F.trim(val.cast("string"))
-    return first_where(text.rlike(VALID_TOOL_LOOSE), text, order)
 
+def _filled(val: Column) -> Column:
+    text = _upper(val)
+    return F.coalesce(~text.isin("", "-") & ~text.contains("SKIP"), F.lit(False))
 
-def valid_tool_or_last(val: Column, order: list[Column]) -> Column:
-    """Last valid tool value, else the last value that is not blank."""
+
+def _loose_tool(val: Column) -> Column:
+    return F.coalesce(F.trim(val.cast("string")).rlike(VALID_TOOL_LOOSE), F.lit(False))
+
+
+def _tool_grade(val: Column) -> Column:
     text = clean(val)
-    return F.coalesce(
-        last_where(text.rlike(VALID_TOOL), text, order),
-        last_where(text.isNotNull(), text, order),
-    )
+    return F.when(text.rlike(VALID_TOOL), 2).when(text.isNotNull(), 1).otherwise(0)
+
+
+FIRST = Pick(False, lambda val: F.lit(0), lambda val: val)
+LAST = Pick(True, lambda val: F.lit(0), lambda val: val)
+# last upper-cased value that is not blank, "-" or a SKIP text
+LAST_VALID = Pick(True, lambda val: _filled(val).cast("int"), lambda val: F.when(_filled(val), _upper(val)))
+# first value of the looser tool form; null without one
+VALID_TOOL_FIRST = Pick(
+    False,
+    lambda val: (~_loose_tool(val)).cast("int"),
+    lambda val: F.when(_loose_tool(val), F.trim(val.cast("string"))),
+)
+# last valid tool value, else the last value that is not blank
+VALID_OR_LAST = Pick(True, _tool_grade, clean)
 
 
 @dataclass(frozen=True)
 class TextAgg:
-    """An aggregate of a text value. ``joins`` names the two that collect values."""
+    """An aggregate of a text value: a pick, an own expression, or one of the two joins."""
 
-    expr: Callable[[Column, list[Column]], Column] | None = None
+    pick: Pick | None = None
+    own: Callable[[Column, list[Column]], Column] | None = None
     drops_null: bool = False
     joins: str = ""
 
+    def expr(self, val: Column, order: list[Column]) -> Column:
+        return self.pick.expr(val, order) if self.pick else self.own(val, order)
+
 
 TEXT_AGGS = {
-    "first": TextAgg(first),
-    "last": TextAgg(last),
-    "last_valid": TextAgg(last_valid),
-    "valid_eqp": TextAgg(valid_tool, drops_null=True),
-    "valid_or_last": TextAgg(valid_tool_or_last),
+    "first": TextAgg(FIRST),
+    "last": TextAgg(LAST),
+    "last_valid": TextAgg(LAST_VALID),
+    "valid_eqp": TextAgg(VALID_TOOL_FIRST, drops_null=True),
+    "valid_or_last": TextAgg(VALID_OR_LAST),
     "concat": TextAgg(joins="ordered"),
     "agg": TextAgg(joins="distinct"),
 }

@@ -32,7 +32,7 @@ class Registry:
 
     def text_agg(self, name: str) -> aggregates.TextAgg | None:
         if name in self.own_aggs:
-            return aggregates.TextAgg(self.own_aggs[name])
+            return aggregates.TextAgg(own=self.own_aggs[name])
         return aggregates.TEXT_AGGS.get(name)
 
     def number_agg(self, name: str) -> Callable[[Column, list[Column]], Column] | None:

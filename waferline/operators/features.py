@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from waferline.sources import rules as rule_tables
 
 ORDER = ["tkout_time", "arrival"]
 WAFER = ["vehicle", "root_lot_id", "wafer_id"]
+WAFER_FEATURE = [*WAFER, "feature"]
 
 
 @dataclass(frozen=True)
@@ -87,53 +89,80 @@ def add_wafer_rank(event: DataFrame) -> DataFrame:
 
 
 def text_features(event: DataFrame, rules: list[TextRule], registry: Registry) -> DataFrame:
-    """Text features of all rules in one pass over the event rows.
+    """Text features of all rules.
 
     Rows meet the rules of their step, then one group-by holds one buffer per aggregate in use.
-    The two aggregates that collect values run apart, on their own rules' rows only.
+    The two aggregates that collect values, and the rules that need a wafer's rank, run apart on
+    their own steps' rows only.
     """
-    spark = event.sparkSession
-    if any(r.value == "sleuth_order" for r in rules) and "wafer_rank" not in event.columns:
-        event = add_wafer_rank(event)
+    ranked = [r for r in rules if r.value == "sleuth_order"]
+    plain = [r for r in rules if r.value != "sleuth_order"]
+    specs = {r.agg: registry.text_agg(r.agg) for r in rules}
+    parts = []
+    for group in (plain, ranked):
+        if not group:
+            continue
+        source = _rows_of_steps(event, group)
+        if group is ranked and "wafer_rank" not in event.columns:
+            source = add_wafer_rank(source)
+        single = [r for r in group if not specs[r.agg].joins]
+        if single:
+            own_specs = {r.agg: specs[r.agg] for r in single}
+            parts.append(single_value(_ruled_rows(source, single, registry), WAFER_FEATURE, own_specs))
+        for joins in ("ordered", "distinct"):
+            own = [r for r in group if specs[r.agg].joins == joins]
+            if not own:
+                continue
+            rows = _ruled_rows(_rows_of_steps(source, own), own, registry)
+            if joins == "ordered":
+                parts.append(aggregates.ordered_join(rows, WAFER_FEATURE, F.col("val"), ORDER, "value_str"))
+            else:
+                parts.append(aggregates.distinct_join(rows, WAFER_FEATURE, F.col("val"), "value_str"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _rows_of_steps(event: DataFrame, rules: list[TextRule]) -> DataFrame:
+    # a list of constants reaches the scan of the event table, a join does not
+    return event.where(F.col("step_desc").isin(sorted({r.step_desc for r in rules})))
+
+
+def _ruled_rows(event: DataFrame, rules: list[TextRule], registry: Registry) -> DataFrame:
+    """Rows times the rules of their step, with the value each rule asks for."""
     cols = ["step_desc", "feature", "value_rule", "agg"]
-    table = rule_tables.table(spark, cols, [(r.step_desc, r.feature, r.value, r.agg) for r in rules])
+    table = rule_tables.table(event.sparkSession, cols, [(r.step_desc, r.feature, r.value, r.agg) for r in rules])
     val = F.lit(None).cast("string")
     for name in sorted({r.value for r in rules}):
         val = F.when(F.col("value_rule") == name, registry.value(name).cast("string")).otherwise(val)
-    rows = event.join(table, "step_desc").select(*WAFER, *ORDER, "feature", "agg", val.alias("val"))
-    keys = [*WAFER, "feature"]
-    used = sorted({r.agg for r in rules})
-    specs = {a: registry.text_agg(a) for a in used}
-    out = None
-    single = [a for a in used if specs[a].expr is not None]
-    if single:
-        out = _single_value(rows, keys, single, specs)
-    for name in used:
-        own = rows.where(F.col("agg") == name)
-        if specs[name].joins == "ordered":
-            part = aggregates.ordered_join(own, keys, F.col("val"), ORDER, "value_str")
-        elif specs[name].joins == "distinct":
-            part = aggregates.distinct_join(own, keys, F.col("val"), "value_str")
-        else:
-            continue
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-def _single_value(rows: DataFrame, keys: list[str], names: list[str], specs: dict) -> DataFrame:
-    order = [F.col(c) for c in ORDER]
-    exprs = [
-        specs[n].expr(F.when(F.col("agg") == n, F.col("val")), order).alias(f"a{i}")
-        for i, n in enumerate(names)
-    ]
-    grouped = rows.where(F.col("agg").isin(names)).groupBy(*keys, "agg").agg(*exprs)
-    value = F.lit(None).cast("string")
-    dropped = F.lit(False)
-    for i, n in enumerate(names):
-        value = F.when(F.col("agg") == n, F.col(f"a{i}").cast("string")).otherwise(value)
-        if specs[n].drops_null:
-            dropped = dropped | ((F.col("agg") == n) & F.col(f"a{i}").isNull())
-    return grouped.where(~dropped).select(*keys, value.alias("value_str"))
+    return event.join(table, "step_desc").select(*WAFER, *ORDER, "feature", "agg", val.alias("val"))
+
+
+def single_value(rows: DataFrame, keys: list[str], specs: dict[str, aggregates.TextAgg]) -> DataFrame:
+    """One value per group: all aggregates of ``specs`` that keep one row, in one pass.
+
+    A group has one aggregate. All picks share two buffers, the latest and the earliest row by
+    grade, however many of them there are; each own aggregate has a buffer of its own.
+    """
+    order, agg, val = [F.col(c) for c in ORDER], F.col("agg"), F.col("val")
+    picks = {n: s.pick for n, s in sorted(specs.items()) if s.pick}
+    own = {n: s.own for n, s in sorted(specs.items()) if s.own}
+    grade, value = F.lit(0), F.lit(None).cast("string")
+    for name, pick in picks.items():
+        grade = F.when(agg == name, pick.grade(val)).otherwise(grade)
+        value = F.when(agg == name, pick.value(val)).otherwise(value)
+    graded = rows.where(agg.isin([*picks, *own])).withColumns({"grade": grade, "picked": value})
+    exprs, out = [], F.lit(None).cast("string")
+    for side, latest in (("latest", True), ("earliest", False)):
+        names = [n for n, p in picks.items() if p.latest == latest]
+        if names:
+            row = aggregates.pick_row(latest, agg.isin(names), F.col("grade"), F.col("picked"), order)
+            exprs.append(row["v"].alias(side))
+            out = F.when(agg.isin(names), F.col(side)).otherwise(out)
+    for i, (name, expr) in enumerate(own.items()):
+        exprs.append(expr(F.when(agg == name, val), order).cast("string").alias(f"own{i}"))
+        out = F.when(agg == name, F.col(f"own{i}")).otherwise(out)
+    grouped = graded.groupBy(*keys, "agg").agg(*exprs).select(*keys, "agg", out.alias("value_str"))
+    dropping = [n for n, s in specs.items() if s.drops_null]
+    return grouped.where(~agg.isin(dropping) | F.col("value_str").isNotNull()).drop("agg")
 
 
 def number_features(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from waferline.functions.registry import Registry
 from waferline.functions.text import clean, is_blank
-from waferline.operators.features import ORDER, WAFER, _single_value
+from waferline.operators.features import ORDER, WAFER, WAFER_FEATURE, single_value
 from waferline.operators.ranking import first_texts
 
 # A missing rule number sorts last; the fallback rule; the texts that switch a rule on.
@@ -129,7 +129,7 @@ def features(looked_up: DataFrame, registry: Registry, aggs: list[str]) -> DataF
         F.coalesce("knob", "ppid").alias("val"),
     )
     specs = {a: registry.text_agg(a) for a in aggs}
-    return _single_value(rows, [*WAFER, "feature"], sorted(aggs), specs)
+    return single_value(rows, WAFER_FEATURE, specs)
 
 
 def _prepared(rules: DataFrame) -> DataFrame:

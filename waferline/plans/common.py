@@ -9,6 +9,7 @@ from waferline.functions.registry import Registry
 from waferline.operators import event as events
 from waferline.operators import features
 from waferline.plans import bindings, rulebook
+from waferline.session import cut_lineage
 from waferline.sources import rules as rule_tables
 from waferline.sources.schema import FAB, INLINE, VM
 
@@ -39,10 +40,10 @@ def vm_event(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def long_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The long feature table of all five families."""
+    """The long feature table of all five families, from an event table written once."""
     from waferline.operators import knob
 
-    event = fab_event(spark, sf_dir)
+    event = cut_lineage(fab_event(spark, sf_dir))
     fab, _, _ = features.fab_rules(rulebook.dicts("fab_rules"), REGISTRY)
     mask, _ = features.mask_rules(rulebook.dicts("mask_rules"), REGISTRY)
     text = features.text_features(event, fab + mask, REGISTRY)

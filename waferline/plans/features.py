@@ -15,6 +15,7 @@ from waferline.plans.common import (
     text_feature_sql,
 )
 from waferline.plans.registry import query
+from waferline.session import cut_lineage
 
 _EVENT_COLS = "arrival, vehicle, root_lot_id, wafer_id, part_id, tkout_time, step_id, step_desc, ppid, reticle_id, eqp_id, eqp_model, chamber_id, unit_id, sleuth_order, split"
 
@@ -84,7 +85,7 @@ def agg_valid_eqp_keepkey(spark: SparkSession, sf_dir: str) -> DataFrame:
     from waferline.functions.registry import Registry
 
     own = Registry()
-    own.register_agg("valid_eqp", aggregates.valid_tool)
+    own.register_agg("valid_eqp", aggregates.VALID_TOOL_FIRST.expr)
     rows = common.fab_event(spark, sf_dir).withColumn("val", own.value("ecuall"))
     expr = own.text_agg("valid_eqp").expr(F.col("val"), [F.col(c) for c in ORDER])
     return rows.groupBy(*_STEP_GROUP).agg(expr.alias("val"))
@@ -142,7 +143,7 @@ _FILLED = """, filled AS (SELECT vehicle, feature FROM long GROUP BY ALL
 
 @query("feature_long", f"WITH {LONG}{_FILLED} SELECT vehicle, root_lot_id, wafer_id, feature, category, {_ROUND} FROM long JOIN filled USING (vehicle, feature)")
 def feature_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    long = features.with_values(common.long_features(spark, sf_dir))
+    long = features.with_values(cut_lineage(common.long_features(spark, sf_dir)))  # read twice
     return long.withColumn("value_str", F.coalesce("value_str", F.lit(""))).withColumn("value_num", F.round("value_num", 6))
 
 
@@ -158,7 +159,7 @@ def feature_has_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT category, feature, count(*) AS n_rows,
       array_to_string(list(v ORDER BY vehicle, root_lot_id, wafer_id)[1:3], ',') AS sample FROM texts GROUP BY ALL""")
 def feature_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    long = common.long_features(spark, sf_dir)
+    long = cut_lineage(common.long_features(spark, sf_dir))  # read twice
     return features.catalog(long.where(F.col("category").isin("FAB", "KNOB", "MASK")))
 
 

@@ -9,6 +9,7 @@ from waferline.operators import alerts, knob, scan
 from waferline.plans import bindings, common
 from waferline.plans.common import KNOB_MAP
 from waferline.plans.registry import query
+from waferline.session import cut_lineage
 
 _RAW = "WITH " + bindings.cte("fab_raw", "step_map")
 _NEW = "(vehicle, step_id) NOT IN (SELECT (vehicle, step_id) FROM step_map)"
@@ -75,7 +76,8 @@ _STATS = "stats AS (SELECT vehicle, step_id, count(*) AS n_rows, count(DISTINCT
       WHERE (n.vehicle, n.step_id) NOT IN (SELECT (vehicle, step_id) FROM step_map) AND n.number IS NOT NULL)
     SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY vehicle, step_id, direction ORDER BY gap) <= {_HINT['neighbors']}""")
 def step_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = scan.step_stats(raw(spark, sf_dir), ["vehicle", "step_id"])
+    # one row per step, used for the new and for the known steps: count the rows once
+    stats = cut_lineage(scan.step_stats(raw(spark, sf_dir), ["vehicle", "step_id"]))
     return scan.neighbors(stats, bindings.rules(spark, "step_map"), _HINT["neighbors"])
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,7 +9,7 @@ from pyspark.sql import types as T
 from waferline.operators import runs
 from waferline.plans import bindings, rulebook
 from waferline.plans.registry import query
-from waferline.session import shared_dir
+from waferline.session import run_dir
 from waferline.sources import extract, partitions
 from waferline.sources import rules as rule_tables
 from waferline.sources.schema import FAB, INLINE, drift_union
@@ -19,11 +17,6 @@ from waferline.sources.schema import FAB, INLINE, drift_union
 TODAY = rulebook.TODAY
 
 
-def run_dir(spark: SparkSession) -> str:
-    """A new folder for one run below the shared folder."""
-    return f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
-
-
 def write_inline(spark: SparkSession, sf_dir: str) -> str:
     """INLINE raw of both vehicles as source/vehicle/date partitions."""
     root = run_dir(spark)

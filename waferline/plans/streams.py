@@ -11,7 +11,7 @@ from waferline.operators import runs
 from waferline.plans import bindings, rulebook
 from waferline.plans.common import INLINE_EVENT
 from waferline.plans.registry import query
-from waferline.plans.sources import run_dir
+from waferline.session import run_dir
 from waferline.sources.schema import INLINE
 from waferline.streaming import incremental
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,7 +55,17 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def run_dir(spark: SparkSession) -> str:
+    """A new folder for one run below the shared folder."""
+    return f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so that later reads see the same rows."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written as a table in the shared folder and read back.
+
+    For results that are read more than once, or that must not change between two reads. The
+    table outlives executors, and unlike a checkpoint it keeps columns apart and its size known.
+    """
+    path = run_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
