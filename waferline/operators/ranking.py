@@ -18,25 +18,25 @@ def running_total(df: DataFrame, keys: list[str], order: list[str], weight: Colu
     """
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bounds = [F.col(c).asc_nulls_first() for c in keys + order]
-    rows = df.withColumn("w", weight.cast("bigint")).repartitionByRange(tasks, *bounds)
-    rows = cut_lineage(rows.withColumn("part", F.spark_partition_id()))
-    sums = rows.groupBy(*keys, "part").agg(F.sum("w").alias("part_w"))
+    rows = df.withColumn("_w", weight.cast("bigint")).repartitionByRange(tasks, *bounds)
+    rows = cut_lineage(rows.withColumn("_part", F.spark_partition_id()))
+    sums = rows.groupBy(*keys, "_part").agg(F.sum("_w").alias("_part_w"))
     group = Window.partitionBy(*keys)
-    before = group.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(
         *keys,
-        "part",
-        F.coalesce(F.sum("part_w").over(before), F.lit(0)).alias("offset"),
-        F.sum("part_w").over(group).alias("total"),
+        "_part",
+        F.coalesce(F.sum("_part_w").over(before), F.lit(0)).alias("_offset"),
+        F.sum("_part_w").over(group).alias("total"),
     )
-    within = Window.partitionBy(*keys, "part").orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    within = Window.partitionBy(*keys, "_part").orderBy(*[F.col(c).asc_nulls_first() for c in order])
     within = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = rows.withColumn("local", F.sum("w").over(within)).alias("l")
+    local = rows.withColumn("_local", F.sum("_w").over(within)).alias("l")
     sums = sums.alias("r")
-    on = F.col("l.part") == F.col("r.part")
+    on = F.col("l._part") == F.col("r._part")
     for key in keys:  # null group values match themselves
         on = on & F.col(f"l.{key}").eqNullSafe(F.col(f"r.{key}"))
-    position = (F.col("l.local") + F.col("r.offset")).alias(out)
+    position = (F.col("l._local") + F.col("r._offset")).alias(out)
     return local.join(sums, on).select(*[F.col(f"l.{c}") for c in df.columns], position, "r.total")
 
 
@@ -51,12 +51,13 @@ def value_at(df: DataFrame, keys: list[str], value: str, positions: dict[str, Co
 
     A position may use the column ``total``, the group's number of values.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
-    runs = running_total(counts, keys, [value], F.col("n"), "upto")
+    rows = df.select(*keys, F.col(value).alias("_value")).where("_value IS NOT NULL")
+    counts = rows.groupBy(*keys, "_value").agg(F.count("*").alias("_n"))
+    runs = running_total(counts, keys, ["_value"], F.col("_n"), "_upto")
 
     def at(position: Column) -> Column:
-        inside = (F.col("upto") >= position) & (F.col("upto") - F.col("n") < position)
-        return F.max(F.when(inside, F.col(value)))
+        inside = (F.col("_upto") >= position) & (F.col("_upto") - F.col("_n") < position)
+        return F.max(F.when(inside, F.col("_value")))
 
     return runs.groupBy(*keys).agg(*[at(p).alias(name) for name, p in positions.items()])
 

@@ -66,7 +66,7 @@ def rule_block_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def map_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = bindings.table(spark, sf_dir, "part")
     steps = part.selectExpr("concat('ST', cast(p_size AS string), ' ') AS step_id", "p_brand AS step_desc")
-    return rule_tables.conflicts(steps)
+    return rule_tables.conflicts(steps, ["step_id"])
 
 
 def looked_up(spark: SparkSession, sf_dir: str, event: DataFrame | None = None) -> DataFrame:

@@ -15,13 +15,17 @@ from waferline.sources.schema import Source
 PARTITIONS = ["source", "vehicle", "date"]
 
 
-def scan(spark: SparkSession, root: str, source: Source, vehicle: str, last_days: int | None = None,
-         today: str | None = None) -> DataFrame:
-    """Rows of one source and vehicle. The filters on partition columns prune directories."""
-    fields = [*source.schema.fields, T.StructField("split", T.StringType())]
-    fields += [T.StructField(c, T.StringType()) for c in PARTITIONS]
+def scan(spark: SparkSession, root: str, source: Source, vehicle: str | None = None,
+         last_days: int | None = None, today: str | None = None) -> DataFrame:
+    """Rows of one source, of one vehicle if named. Filters on partition columns prune folders.
+
+    The schema is declared, so no file footers are merged and columns a day lacks read as null.
+    """
+    fields = [*source.schema.fields, *[T.StructField(c, T.StringType()) for c in ("split", "arrival", *PARTITIONS)]]
     df = spark.read.schema(T.StructType(fields)).parquet(root)
-    df = df.where((F.col("source") == source.name) & (F.col("vehicle") == vehicle))
+    df = df.where(F.col("source") == source.name)
+    if vehicle is not None:
+        df = df.where(F.col("vehicle") == vehicle)
     if last_days is not None:
         day = F.lit(today).cast("date") if today else F.current_date()
         df = df.where(F.col("date") > F.date_sub(day, last_days).cast("string"))

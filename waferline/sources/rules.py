@@ -47,14 +47,14 @@ def on_driver(rules: DataFrame) -> list[dict]:
     return [r.asDict() for r in rows]
 
 
-def conflicts(step_map: DataFrame) -> DataFrame:
-    """Step ids with more than one description: the number and the first ten, sorted."""
+def conflicts(step_map: DataFrame, keys: list[str]) -> DataFrame:
+    """Steps with more than one description: the number and the first ten, sorted."""
     from waferline.operators.ranking import first_texts
 
-    pairs = step_map.select(clean("step_id").alias("step_id"), clean("step_desc").alias("step_desc"))
-    pairs = pairs.where("step_id is not null and step_desc is not null").distinct()
-    many = pairs.groupBy("step_id").agg(F.count("*").alias("n_descs")).where("n_descs > 1")
-    return many.join(first_texts(pairs, ["step_id"], "step_desc", 10, "descs"), "step_id")
+    pairs = step_map.withColumn("step_id", clean("step_id")).withColumn("step_desc", clean("step_desc"))
+    pairs = pairs.select(*keys, "step_desc").where("step_id is not null and step_desc is not null").distinct()
+    many = pairs.groupBy(*keys).agg(F.count("*").alias("n_descs")).where("n_descs > 1")
+    return many.join(first_texts(pairs, keys, "step_desc", 10, "descs"), keys)
 
 
 def unique_steps(step_map: DataFrame, keys: list[str]) -> DataFrame:
