@@ -134,8 +134,7 @@ def test_skip_by_order(spark):
     rows += [("late", "S2", "CVD", "02", "P"), ("pending", "S0", "WELL", "00", "P")]
     last = skip.last_per_step(event(spark, rows))
     steps = [{"vehicle": "V", "feature": "F_MID", "step_id": "S1"}, {"vehicle": "V", "feature": "F_END", "step_id": "S2"}]
-    table = spark.createDataFrame([(s["vehicle"], s["feature"], s["step_id"]) for s in steps], "vehicle string, feature string, step_id string")
-    stats = skip.copassage(last, table)
+    stats = skip.copassage(last, steps)
     found = {(r["feature"], r["step_id"]) for r in skip.anchors(stats).collect()}
     assert found == {("F_MID", "S2")}  # the last step of the route has no anchor
     skipped = skip.by_order(last, skip.candidates(last, steps), skip.anchors(stats))

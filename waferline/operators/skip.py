@@ -33,21 +33,29 @@ def last_split(event: DataFrame) -> DataFrame:
     return event.groupBy(*WAFER).agg(last.alias("split"))
 
 
+def by_feature(feature_steps: list[dict]) -> list[tuple[str, str, list[str]]]:
+    """(vehicle, feature, step ids) from rows of vehicle, feature and step_id."""
+    out: dict[tuple[str, str], list[str]] = {}
+    for r in feature_steps:
+        out.setdefault((r["vehicle"], r["feature"]), []).append(r["step_id"])
+    return [(vehicle, feature, sorted(ids)) for (vehicle, feature), ids in sorted(out.items())]
+
+
+def _at(vehicle: str, ids: list[str]) -> Column:
+    return (F.col("vehicle") == vehicle) & F.col("step_id").isin(ids)
+
+
 def candidates(last: DataFrame, feature_steps: list[dict]) -> DataFrame:
     """(wafer, feature) pairs where the wafer has no event at any step of the feature.
 
     ``feature_steps`` has vehicle, feature and step_id. One pass: a flag per feature and wafer.
     """
-    names = sorted({(r["vehicle"], r["feature"]) for r in feature_steps})
-    flags = []
-    for i, (vehicle, feature) in enumerate(names):
-        ids = [r["step_id"] for r in feature_steps if (r["vehicle"], r["feature"]) == (vehicle, feature)]
-        seen = (F.col("vehicle") == vehicle) & F.col("step_id").isin(ids)
-        flags.append(F.max(seen.cast("int")).alias(f"f{i}"))
+    rules = by_feature(feature_steps)
+    flags = [F.max(_at(v, ids).cast("int")).alias(f"f{i}") for i, (v, _, ids) in enumerate(rules)]
     wafers = last.groupBy(*WAFER).agg(*flags)
     missing = [
-        F.when((F.col("vehicle") == vehicle) & (F.col(f"f{i}") == 0), F.lit(feature))
-        for i, (vehicle, feature) in enumerate(names)
+        F.when((F.col("vehicle") == v) & (F.col(f"f{i}") == 0), F.lit(feature))
+        for i, (v, feature, _) in enumerate(rules)
     ]
     found = F.filter(F.array(*missing), lambda f: f.isNotNull())
     return wafers.select(*WAFER, F.explode(found).alias("feature"))
@@ -119,21 +127,29 @@ def by_rule(last: DataFrame, missing: DataFrame, blocks: list[dict]) -> DataFram
     return missing.join(met, [*WAFER, "feature"]).groupBy(*WAFER, "feature").agg(rule)
 
 
-def copassage(last: DataFrame, feature_steps: DataFrame) -> DataFrame:
+def copassage(last: DataFrame, feature_steps: list[dict]) -> DataFrame:
     """Per feature and other step: wafers that passed both, and the share that passed it later.
 
-    A wafer has one row per step here, so a pair of steps meets once per wafer.
+    Each wafer's reference times are columns of one row, so a step row meets one row and no pairs
+    of steps are emitted; counting happens per step before anything is shuffled.
     """
-    keys = ["vehicle", "feature"]
-    at = last.join(feature_steps, ["vehicle", "step_id"])
-    at = at.groupBy(*WAFER, "feature").agg(F.max("t").alias("t_ref"))
-    pairs = last.select(*WAFER, "step_id", "t").join(at, WAFER)
-    pairs = pairs.join(feature_steps, [*keys, "step_id"], "left_anti")
-    later = F.col("t") > F.col("t_ref")
-    # a null time is no comparison: it counts as a wafer but not in the share
-    return pairs.groupBy(*keys, "step_id").agg(
-        F.count("*").alias("n"), F.avg(later.cast("double")).alias("share")
-    )
+    rules = by_feature(feature_steps)
+    times = [F.max(F.when(_at(v, ids), F.col("t"))).alias(f"t{i}") for i, (v, _, ids) in enumerate(rules)]
+    seen = [F.max(_at(v, ids)).alias(f"s{i}") for i, (v, _, ids) in enumerate(rules)]
+    rows = last.select(*WAFER, "step_id", "t").join(last.groupBy(*WAFER).agg(*times, *seen), WAFER)
+    counts = []
+    for i, (v, _, ids) in enumerate(rules):
+        both = F.col(f"s{i}") & ~_at(v, ids)
+        later = F.col("t") > F.col(f"t{i}")  # a null time is no comparison: a wafer, but not in the share
+        counts.append(F.sum(F.when(both, 1)).alias(f"n{i}"))
+        counts.append(F.avg(F.when(both, later.cast("double"))).alias(f"share{i}"))
+    sums = rows.groupBy("vehicle", "step_id").agg(*counts)
+    cells = [
+        F.struct(F.lit(v).alias("v"), F.lit(f).alias("feature"), F.col(f"n{i}").alias("n"), F.col(f"share{i}").alias("share"))
+        for i, (v, f, _) in enumerate(rules)
+    ]
+    long = sums.select("vehicle", "step_id", F.explode(F.array(*cells)).alias("c"))
+    return long.where("c.v = vehicle AND c.n IS NOT NULL").select("vehicle", "c.feature", "step_id", "c.n", "c.share")
 
 
 def anchors(stats: DataFrame, min_support: int = MIN_SUPPORT, after_share: float = AFTER_SHARE) -> DataFrame:

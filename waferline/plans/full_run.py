@@ -11,6 +11,7 @@ from waferline.functions.registry import Registry
 from waferline.operators import event as events
 from waferline.operators import features, knob, scan, skip, wide
 from waferline.operators.features import WAFER
+from waferline.session import cut_lineage
 from waferline.sources import partitions
 from waferline.sources import rules as rule_tables
 from waferline.sources.schema import FAB, INLINE, SOURCES, VM, Source
@@ -81,7 +82,9 @@ class Run:
         stale = written.select(keys)
         if manifest is not None:
             stale = partitions.stale_partitions(written, manifest, keys, self.version(source)).select(keys)
-        rows = self.raw(source).join(stale, keys, "left_semi")
+        # a list of dates prunes folders of the raw table, the join then takes the exact partitions
+        dates = [r["date"] for r in rule_tables.on_driver(stale.select("date").distinct())]
+        rows = self.raw(source).where(F.col("date").isin(dates)).join(stale, keys, "left_semi")
         if source.match == "item":
             match = self.rules.frame(self.spark, "inline", ["item_id"])
         else:
@@ -128,7 +131,7 @@ class Run:
         knob_map = knob.map_from_rules(rules, self.rules.steps(self.spark))
         aggs = sorted({r.get("agg") or "last" for r in self.rules.knob})
         values = knob.features(knob.lookup(event, knob_map), self.rules.registry, aggs)
-        last = skip.last_per_step(event)
+        last = cut_lineage(skip.last_per_step(event))  # a row per wafer and step, read several times
         present = rule_tables.on_driver(last.select("vehicle", "step_id").distinct())
         here = {(r["vehicle"], r["step_id"]) for r in present}
         feature = F.concat(F.lit("KNOB_"), "step_desc", F.lit("_ppid")).alias("feature")
@@ -144,14 +147,13 @@ class Run:
         missing = skip.without_value(skip.candidates(last, steps), values)
         by_rule = skip.by_rule(last, missing, blocks) if blocks else None
         targeted = skip.targeted(conditions, targets)
-        auto = [(s["vehicle"], s["step_id"], s["feature"]) for s in steps if s["feature"] not in targeted]
+        auto = [s for s in steps if s["feature"] not in targeted]
         out = values.select(*WAFER, "feature", "value_str")
         if by_rule is not None:
             out = out.unionByName(by_rule.select(*WAFER, "feature", F.lit("SKIP").alias("value_str")))
         if auto:
-            table = rule_tables.table(self.spark, ["vehicle", "step_id", "feature"], auto)
             left = missing.where(~F.col("feature").isin(sorted(targeted))) if targeted else missing
-            by_order = skip.by_order(last, left, skip.anchors(skip.copassage(last, table)))
+            by_order = skip.by_order(last, left, skip.anchors(skip.copassage(last, auto)))
             out = out.unionByName(by_order.select(*WAFER, "feature", F.lit("SKIP").alias("value_str")))
         return out
 

@@ -148,13 +148,6 @@ class SkipInputs:
         self.conditions = rule_tables.on_driver(knob.block_conditions(rules))
         self.targets = rule_tables.on_driver(knob.block_targets(rules))
 
-    def step_table(self, only: set[str] | None = None, but: set[str] | None = None) -> DataFrame:
-        rows = [
-            (r["vehicle"], r["step_id"], r["feature"]) for r in self.steps
-            if (only is None or r["feature"] in only) and (but is None or r["feature"] not in but)
-        ]
-        return rule_tables.table(self.spark, ["vehicle", "step_id", "feature"], rows)
-
     def missing(self) -> DataFrame:
         return skip.candidates(self.last, self.steps)
 
@@ -167,7 +160,8 @@ class SkipInputs:
         return skip.by_rule(self.last, self.missing(), self.blocks())
 
     def stats(self) -> DataFrame:
-        return skip.copassage(self.last, self.step_table(but=skip.targeted(self.conditions, self.targets)))
+        targeted = skip.targeted(self.conditions, self.targets)
+        return skip.copassage(self.last, [s for s in self.steps if s["feature"] not in targeted])
 
     def by_order(self) -> DataFrame:
         missing = self.missing().where(~F.col("feature").isin(sorted(skip.targeted(self.conditions, self.targets))))

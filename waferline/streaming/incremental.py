@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from waferline.sources.partitions import overwrite_partitions
+from waferline.sources.rules import on_driver
+
 
 def read_files(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1) -> DataFrame:
     """New parquet files of a folder as a stream, with a declared schema."""
@@ -31,10 +34,9 @@ def rebuild_dates(
     """
 
     def replace(batch: DataFrame, batch_id: int) -> None:
-        dates = batch.select("date").distinct()
-        rows = build(all_raw().join(dates, "date", "left_semi"))
-        rows.hint("rebalance", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .partitionBy("date").parquet(root)
+        # the dates of a batch are few, and as a list they prune the folders of the raw table
+        dates = [r["date"] for r in on_driver(batch.select("date").distinct())]
+        overwrite_partitions(build(all_raw().where(F.col("date").isin(dates))), root, ["date"])
 
     return (
         raw_stream.writeStream.foreachBatch(replace).option("checkpointLocation", checkpoint)
