@@ -164,10 +164,35 @@ def test_stream_gate_equals_the_batch_gate(spark, tmp_path):
     df = spark.createDataFrame(rows, "unit long, alert_id long, kind string, second long")
     for part in range(4):
         df.where(F.col("second").between(part * 3000, part * 3000 + 2999)).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    stream = incremental.gate(incremental.read_files(spark, str(tmp_path / "in"), df.schema), "unit", 3, 900)
+    stream = incremental.gate(incremental.read_files(spark, str(tmp_path / "in"), df.schema, files_per_batch=1), "unit", 3, 900)
     run = (stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state"))
            .trigger(availableNow=True).start())
     run.awaitTermination()
     got = {(r["alert_id"], r["outcome"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     batch = alerts.gate(df.withColumn("severity", F.lit("error")), "unit", "info", 3, 900)
     assert got == {(r["alert_id"], r["outcome"]) for r in batch.collect()}
+
+
+def test_stream_drops_repeats_only(spark):
+    from waferline.plans import streams
+
+    out = streams.stream_alert_dedupe(spark, "/root/testdata/sf0.001")
+    sent = [(r["unit"], r["kind"], r["ts"].timestamp()) for r in out.collect()]
+    rows = spark.read.parquet("/root/testdata/sf0.001/events.parquet").selectExpr("user_id", "event_type", "cast(ts AS timestamp) AS ts")
+    every = {(r[0], r[1], r[2].timestamp()) for r in rows.collect()}
+    assert set(sent) <= every and len(set(sent)) == len(sent)
+    by_key = {}
+    for unit, kind, ts in sorted(sent, key=lambda r: r[2]):
+        by_key.setdefault((unit, kind), []).append(ts)
+    assert all(b - a >= 12 * 3600 for times in by_key.values() for a, b in zip(times, times[1:]))
+    assert set(by_key) == {(u, k) for u, k, _ in every}
+
+
+def test_stream_gate_over_all_events(spark):
+    from waferline.plans import streams
+
+    sf = "/root/testdata/sf0.001"
+    got = {(r["alert_id"], r["outcome"]) for r in streams.stream_alert_gate(spark, sf).collect()}
+    rows = streams.alerts(spark, sf).where("value > 20").select("unit", "alert_id", "kind", F.unix_seconds("ts").alias("second"))
+    batch = alerts.gate(rows.withColumn("severity", F.lit("error")), "unit", "info", 2, 43_200)
+    assert got == {(r["alert_id"], r["outcome"]) for r in batch.collect()}

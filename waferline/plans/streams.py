@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter
 
 from waferline.operators import event as events
 from waferline.operators import runs
@@ -15,7 +18,7 @@ from waferline.session import run_dir
 from waferline.sources.schema import INLINE
 from waferline.streaming import incremental
 
-FILES = 6
+WAVES = 4
 
 ALERTS = T.StructType([
     T.StructField("alert_id", T.LongType()), T.StructField("ts", T.TimestampType()),
@@ -24,27 +27,38 @@ ALERTS = T.StructType([
 ])
 
 
-def alert_files(spark: SparkSession, sf_dir: str) -> str:
-    """The events in time order over several files, so that the watermark moves between batches."""
-    path = f"{run_dir(spark)}/alerts"
-    rows = bindings.table(spark, sf_dir, "events").select(
+def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bindings.table(spark, sf_dir, "events").select(
         F.col("event_id").alias("alert_id"), F.col("ts").cast("timestamp").alias("ts"), F.col("user_id").alias("unit"),
         F.col("event_type").alias("kind"), F.when(F.col("event_type") == "error", "failed").otherwise("success").alias("status"),
         "value",
     )
-    rows.repartitionByRange(FILES, "ts").sortWithinPartitions("ts").write.parquet(path)
-    return path
 
 
-def run_to_table(stream: DataFrame, mode: str, spark: SparkSession) -> DataFrame:
-    """Run a stream over all its files into a table of parquet files, and read it back."""
+def run_in_waves(
+    spark: SparkSession, sf_dir: str, transform: Callable[[DataFrame], DataFrame],
+    start: Callable[[DataFrame, str], DataStreamWriter],
+) -> str:
+    """Let the events arrive in waves of time and run the stream over each; returns its folder.
+
+    Each wave is one batch of as many files as Spark writes. The stream starts again from its
+    checkpoint for the next one, so the watermark moves between waves.
+    """
     base = run_dir(spark)
-    query_run = (
-        stream.writeStream.outputMode(mode).format("parquet").option("path", f"{base}/out")
-        .option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
-    )
-    query_run.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{base}/out")
+    rows = alerts(spark, sf_dir)
+    first, last = rows.agg(F.unix_micros(F.min("ts")), F.unix_micros(F.max("ts"))).first()
+    span = (last - first) // WAVES + 1
+    wave = F.floor((F.unix_micros("ts") - first) / span)
+    for i in range(WAVES):
+        rows.where(wave == i).write.mode("append").parquet(f"{base}/in")
+        stream = transform(incremental.read_files(spark, f"{base}/in", ALERTS))
+        writer = start(stream, base).option("checkpointLocation", f"{base}/state")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return base
+
+
+def to_files(stream: DataFrame, base: str) -> DataStreamWriter:
+    return stream.writeStream.outputMode("append").format("parquet").option("path", f"{base}/out")
 
 
 _LATEST = """SELECT user_id AS unit, event_type AS kind, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS ts,
@@ -53,19 +67,14 @@ _LATEST = """SELECT user_id AS unit, event_type AS kind, strftime(max(ts), '%Y-%
 
 @query("stream_latest_status", _LATEST)
 def stream_latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = incremental.read_files(spark, alert_files(spark, sf_dir), ALERTS)
-    base = run_dir(spark)
+    def start(stream: DataFrame, base: str) -> DataStreamWriter:
+        def save(batch: DataFrame, batch_id: int) -> None:
+            # a batch holds only the keys that changed; a repeated batch overwrites its own folder
+            batch.write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}")
 
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        # each batch holds only the keys that changed; a repeated batch overwrites its own folder
-        batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{base}/out/part={batch_id}")
+        return stream.writeStream.outputMode("update").foreachBatch(save)
 
-    latest = incremental.latest_status(stream, ["unit", "kind"])
-    run = (
-        latest.writeStream.outputMode("update").foreachBatch(upsert)
-        .option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
-    )
-    run.awaitTermination()
+    base = run_in_waves(spark, sf_dir, lambda s: incremental.latest_status(s, ["unit", "kind"]), start)
     changes = spark.read.parquet(f"{base}/out")
     last = runs.latest_status(changes, ["unit", "kind"], "batch", ["ts"])
     return last.select("unit", "kind", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "status")
@@ -73,21 +82,26 @@ def stream_latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_alert_dedupe")
 def stream_alert_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = incremental.read_files(spark, alert_files(spark, sf_dir), ALERTS)
-    return run_to_table(incremental.drop_repeats(stream, ["unit", "kind"], "12 hours"), "append", spark)
+    base = run_in_waves(spark, sf_dir, lambda s: incremental.drop_repeats(s, ["unit", "kind"], "12 hours"), to_files)
+    return spark.read.schema(ALERTS).parquet(f"{base}/out")
 
 
-@query("stream_alert_rate")
+@query("stream_alert_rate", """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour, event_type AS kind, count(*) AS n FROM events
+    WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events) GROUP BY ALL""")
 def stream_alert_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = incremental.read_files(spark, alert_files(spark, sf_dir), ALERTS)
-    return run_to_table(incremental.alert_rate(stream, ["kind"]), "append", spark)
+    base = run_in_waves(spark, sf_dir, lambda s: incremental.alert_rate(s, ["kind"]), to_files)
+    rate = spark.read.schema("hour timestamp, kind string, n bigint").parquet(f"{base}/out")
+    return rate.withColumn("hour", F.date_format("hour", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query("stream_alert_gate")
 def stream_alert_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = incremental.read_files(spark, alert_files(spark, sf_dir), ALERTS)
-    loud = stream.where("value > 20").select("unit", "alert_id", "kind", F.unix_seconds("ts").alias("second"))
-    return run_to_table(incremental.gate(loud, "unit", 2, 43_200), "append", spark)
+    def gate(stream: DataFrame) -> DataFrame:
+        loud = stream.where("value > 20").select("unit", "alert_id", "kind", F.unix_seconds("ts").alias("second"))
+        return incremental.gate(loud, "unit", 2, 43_200)
+
+    base = run_in_waves(spark, sf_dir, gate, to_files)
+    return spark.read.schema("unit bigint, alert_id bigint, outcome string").parquet(f"{base}/out")
 
 
 @query("stream_event_build", f"""WITH {INLINE_EVENT} SELECT root_lot_id, wafer_id, item_id, measure_pos, value, vehicle, substr(tkout_time, 1, 10) AS date FROM inline_event""")
@@ -95,8 +109,8 @@ def stream_event_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = run_dir(spark)
     raw = bindings.bound(spark, sf_dir, "inline_raw").withColumn("date", F.substring("tkout_time", 1, 10))
     raw = raw.select("root_lot_id", "wafer_id", "item_id", "measure_pos", "value", "vehicle", "date")
-    raw.repartition(FILES, "wafer_id").write.parquet(f"{base}/raw")
-    stream = incremental.read_files(spark, f"{base}/raw", raw.schema)
+    raw.repartition(WAVES, "wafer_id").write.parquet(f"{base}/raw")
+    stream = incremental.read_files(spark, f"{base}/raw", raw.schema, files_per_batch=1)
     items = bindings.rules(spark, "inline_rules")
 
     def build(rows: DataFrame) -> DataFrame:

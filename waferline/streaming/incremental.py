@@ -15,9 +15,16 @@ from waferline.sources.partitions import overwrite_partitions
 from waferline.sources.rules import on_driver
 
 
-def read_files(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1) -> DataFrame:
-    """New parquet files of a folder as a stream, with a declared schema."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+def read_files(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
+    """New parquet files of a folder as a stream, with a declared schema.
+
+    Files are taken by their age. ``files_per_batch`` bounds a batch; where files of one age cover
+    different times, keep them in one batch, or rows of the later ones make the others late.
+    """
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path)
 
 
 def rebuild_dates(
