@@ -77,6 +77,18 @@ def roll_up(combos: DataFrame, keys: list[str]) -> DataFrame:
     return sums
 
 
+def roll_up_misses(misses: DataFrame) -> DataFrame:
+    """One alert per step and recipe: lots and wafers summed over splits, the splits as sorted text."""
+    keys = ["vehicle", "step_id", "ppid"]
+    sums = misses.groupBy(*keys).agg(
+        F.min("step_desc").alias("step_desc"), F.sum("n_lots").alias("n_lots"), F.sum("n_wafers").alias("n_rows")
+    )
+    splits = misses.select(*keys, "split").where("split IS NOT NULL").distinct()
+    text = splits.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list("split")), ", ").alias("split"))
+    id_text = F.concat_ws("|", F.lit("ro"), *keys).alias("id")
+    return sums.join(text, keys, "left").select(id_text, *keys, "step_desc", F.coalesce("split", F.lit("")).alias("split"), "n_lots", "n_rows")
+
+
 def with_status(alerts: DataFrame, acks: DataFrame) -> DataFrame:
     """Alerts without repeats of an id (the first vehicle's row counts), with their status."""
     rest = [c for c in alerts.columns if c not in ("id", "vehicle")]

@@ -161,6 +161,16 @@ def retry_state(log: DataFrame, now: str | Column, delays: tuple[int, ...] = RET
     )
 
 
+def retry_summary(state: DataFrame) -> DataFrame:
+    """Totals over the units that wait for a retry or are blocked."""
+    blocked = F.col("status") == "blocked"
+    return state.groupBy("severity").agg(
+        F.count("*").alias("pending"), F.sum((~blocked).cast("int")).alias("waiting"),
+        F.sum(blocked.cast("int")).alias("blocked"), F.max("age_sec").alias("oldest_age_sec"),
+        F.min("next_retry").alias("next_retry"), F.max("attempts").alias("max_attempts"),
+    )
+
+
 def anomalies(chunks: DataFrame, partitions: DataFrame, now: str | Column) -> DataFrame:
     """Failed and stuck chunks, probe errors, and partly failed partitions, with a severity by age."""
     clock = now if isinstance(now, Column) else F.lit(now)

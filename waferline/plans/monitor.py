@@ -111,23 +111,33 @@ def log_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tail.select("run_id", "vehicle", "mode", "ok", "severity")
 
 
-@query("retry_state", f"""{_LOG}, marks AS (SELECT *, max(CASE WHEN status = 'success' THEN ts END) OVER unit AS last_success,
+_RETRY = f"""marks AS (SELECT *, max(CASE WHEN status = 'success' THEN ts END) OVER unit AS last_success,
         max(CASE WHEN status IN ('success', 'resumed') THEN ts END) OVER unit AS last_reset FROM log WINDOW unit AS (PARTITION BY vehicle)),
     open_rows AS (SELECT * FROM marks WHERE status IN ('failed', 'resumed') AND (last_success IS NULL OR ts > last_success)),
     state AS (SELECT vehicle AS unit, count(*) FILTER (WHERE status = 'failed' AND (last_reset IS NULL OR ts > last_reset)) AS attempts,
       count(*) FILTER (WHERE status = 'failed') AS total_attempts, min(ts) FILTER (WHERE status = 'failed') AS first_failed,
-      max(ts) FILTER (WHERE status = 'failed') AS last_failed, max(last_reset) AS last_reset FROM open_rows GROUP BY vehicle)
-    SELECT unit, CASE WHEN attempts >= 5 THEN 'blocked' ELSE 'retry_wait' END AS status, attempts, total_attempts,
+      max(ts) FILTER (WHERE status = 'failed') AS last_failed, max(last_reset) AS last_reset FROM open_rows GROUP BY vehicle),
+    retries AS (SELECT unit, CASE WHEN attempts >= 5 THEN 'blocked' ELSE 'retry_wait' END AS status, attempts, total_attempts,
       CASE WHEN attempts < 5 THEN floor(epoch(CASE WHEN attempts = 0 THEN last_reset ELSE date_trunc('second', last_failed) + INTERVAL 1 SECOND * [300, 900, 1800, 3600][least(attempts, 4)] END))::bigint END AS next_retry,
       epoch(TIMESTAMP '{NOW}')::bigint - floor(epoch(first_failed))::bigint AS age_sec,
       CASE WHEN attempts >= 5 OR epoch(TIMESTAMP '{NOW}')::bigint - floor(epoch(first_failed))::bigint >= 43200 THEN 'critical' ELSE 'warning' END AS severity
-    FROM state WHERE total_attempts > 0""")
+    FROM state WHERE total_attempts > 0)"""
+
+
+@query("retry_state", f"{_LOG}, {_RETRY} SELECT * FROM retries")
 def retry_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = log(spark, sf_dir).select(F.col("vehicle").alias("unit"), "ts", "status")
     state = runs.retry_state(records, _clock())
     return state.withColumn("next_retry", F.unix_seconds(F.col("next_retry").cast("timestamp")))
 
 
+@query("retry_summary", f"""{_LOG}, {_RETRY} SELECT severity, count(*) AS pending, count(*) FILTER (WHERE status <> 'blocked') AS waiting,
+      count(*) FILTER (WHERE status = 'blocked') AS blocked, max(age_sec) AS oldest_age_sec, min(next_retry) AS next_retry, max(attempts) AS max_attempts
+    FROM retries GROUP BY severity""")
+def retry_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.retry_summary(retry_state(spark, sf_dir))
+
+
 _AGE = f"epoch(TIMESTAMP '{NOW}')::bigint - floor(epoch(ts))::bigint"
 
 
@@ -244,7 +254,20 @@ def alert_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.alert_fingerprint(snapshot(spark, sf_dir, _NOW_TEST))
 
 
-@query("alert_gate")
+# the rule walked row by row: the times sent in the last hour, and the last time of each kind
+GATE_WALK = """WITH RECURSIVE loud AS (SELECT user_id, event_id, event_type AS kind, floor(epoch(ts))::bigint AS second,
+        row_number() OVER (PARTITION BY user_id ORDER BY floor(epoch(ts)), event_id) AS rn FROM events WHERE value > 20),
+    walk AS (SELECT DISTINCT user_id, 0::bigint AS rn, -1::bigint AS event_id, []::bigint[] AS recent, MAP {'': 0::bigint} AS emitted, '' AS outcome FROM loud
+      UNION ALL SELECT user_id, rn, event_id, CASE WHEN passes THEN list_append(kept, second) ELSE kept END,
+        CASE WHEN passes THEN map_concat(emitted, MAP {kind: second}) ELSE emitted END,
+        CASE WHEN passes THEN 'sent' WHEN len(kept) >= 2 THEN 'rate_limit' ELSE 'dedupe' END
+      FROM (SELECT *, len(kept) < 2 AND second - coalesce(map_extract(emitted, kind)[1], second - 43200) >= 43200 AS passes
+        FROM (SELECT w.user_id, l.rn, l.event_id, l.kind, l.second, w.emitted, list_filter(w.recent, lambda t: l.second - t < 3600) AS kept
+          FROM walk w JOIN loud l ON l.user_id = w.user_id AND l.rn = w.rn + 1)))"""
+
+
+@query("alert_gate", f"""{GATE_WALK} SELECT e.user_id, e.event_id AS alert_id, e.event_type AS kind,
+      CASE WHEN e.value <= 20 THEN 'severity' WHEN w.outcome = 'sent' THEN 'sent' ELSE 'held' END AS outcome FROM events e LEFT JOIN walk w ON w.event_id = e.event_id""")
 def alert_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = bindings.table(spark, sf_dir, "events")
     level = F.when(F.col("value") > 100, "critical").when(F.col("value") > 20, "warning").otherwise("info")
@@ -252,7 +275,9 @@ def alert_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id", F.col("event_id").alias("alert_id"), F.col("event_type").alias("kind"), level.alias("severity"),
         F.unix_seconds(F.col("ts").cast("timestamp")).alias("second"),
     )
-    return alerts.gate(rows, "user_id", "warning", 2, 43_200)
+    gated = alerts.gate(rows, "user_id", "warning", 2, 43_200)
+    held = F.when(F.col("outcome").isin("rate_limit", "dedupe"), "held").otherwise(F.col("outcome"))
+    return gated.select("user_id", "alert_id", "kind", held.alias("outcome"))
 
 
 # ── data quality ──

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waferline.operators import knob, rule_engine, skip
+from waferline.operators import alerts, knob, rule_engine, skip
 from waferline.operators.features import WAFER
 from waferline.plans import bindings, common, rulebook
 from waferline.plans.common import FAB_EVENT, KNOB_FEATURE, KNOB_LOOKUP, last_sql
@@ -96,6 +96,15 @@ def knob_miss(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knob.misses(looked_up(spark, sf_dir))
 
 
+@query("alert_miss_rollup", f"""WITH {FAB_EVENT}, {KNOB_LOOKUP}, missed AS (
+      SELECT vehicle, split, step_id, knob_desc AS step_desc, coalesce(ppid, '') AS ppid, count(DISTINCT root_lot_id) AS n_lots, count(DISTINCT wafer_id) AS n_wafers
+      FROM looked_up WHERE knob IS NULL GROUP BY ALL)
+    SELECT concat_ws('|', 'ro', vehicle, step_id, ppid) AS id, vehicle, step_id, ppid, min(step_desc) AS step_desc,
+      string_agg(DISTINCT split, ', ' ORDER BY split) AS split, sum(n_lots)::bigint AS n_lots, sum(n_wafers)::bigint AS n_rows FROM missed GROUP BY vehicle, step_id, ppid""")
+def alert_miss_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alerts.roll_up_misses(cut_lineage(knob.misses(looked_up(spark, sf_dir))))  # read twice
+
+
 def knob_values(rows: DataFrame) -> DataFrame:
     aggs = sorted({r["agg"] or "last" for r in rulebook.dicts("knob_rules")})
     return knob.features(rows, common.REGISTRY, aggs)

@@ -159,3 +159,16 @@ def alert_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.roll_up(combos(spark, sf_dir), ["vehicle", "step_id"])
 
 
+
+
+@query("scan_summary", f"""{_RAW}, {KNOB_MAP}, {_DATA}, {_MISSING}, {_UNMATCHED}
+    SELECT vehicle, count(*) AS total_rows, (SELECT count(*) FROM step_map s WHERE s.vehicle = d.vehicle) AS matching_steps,
+      (SELECT count(DISTINCT step_id) FROM knob_map k WHERE k.vehicle = d.vehicle) AS knob_steps,
+      (SELECT count(*) FROM missing m WHERE m.vehicle = d.vehicle) AS missing_count,
+      (SELECT count(*) FROM unknown u WHERE u.vehicle = d.vehicle) AS unmatched_count FROM data d GROUP BY vehicle""")
+def scan_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = knob.map_from_rules(bindings.rules(spark, "knob_rules"), common.step_map(spark))
+    return scan.summary(
+        scanned(spark, sf_dir), missing_steps(spark, sf_dir), unknown_recipes(spark, sf_dir),
+        bindings.rules(spark, "step_map"), known,
+    )

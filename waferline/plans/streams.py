@@ -13,6 +13,7 @@ from waferline.operators import event as events
 from waferline.operators import runs
 from waferline.plans import bindings, rulebook
 from waferline.plans.common import INLINE_EVENT
+from waferline.plans.monitor import GATE_WALK
 from waferline.plans.registry import query
 from waferline.session import run_dir
 from waferline.sources.schema import INLINE
@@ -94,7 +95,7 @@ def stream_alert_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rate.withColumn("hour", F.date_format("hour", "yyyy-MM-dd HH:mm:ss"))
 
 
-@query("stream_alert_gate")
+@query("stream_alert_gate", f"{GATE_WALK} SELECT user_id AS unit, event_id AS alert_id, outcome FROM walk WHERE rn > 0")
 def stream_alert_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     def gate(stream: DataFrame) -> DataFrame:
         loud = stream.where("value > 20").select("unit", "alert_id", "kind", F.unix_seconds("ts").alias("second"))
