@@ -103,6 +103,8 @@ def test_rule_files(spark, tmp_path):
     (tmp_path / "r.csv").write_text("a,b\n1,x\n,y\n")
     rows = rule_tables.read_csv(spark, str(tmp_path / "r.csv"), ["a", "b", "c"]).collect()
     assert [tuple(r) for r in rows] == [("1", "x", None), (None, "y", None)]
+    with pytest.raises(ValueError, match="no column c"):
+        rule_tables.read_csv(spark, str(tmp_path / "r.csv"), ["a"], required=["a", "c"])
 
 
 def test_rules_on_the_driver_are_bounded(spark, monkeypatch):

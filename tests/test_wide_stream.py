@@ -60,6 +60,9 @@ def test_publish_and_send(spark, tmp_path):
     assert wide.publish(table, root) == ["P_1", "Q"]
     assert {f for f in os.listdir(root) if f.startswith("product")} == {"product_name=OWN", "product_name=P_1", "product_name=Q"}
     assert spark.read.parquet(f"{root}/product_name=P_1").first()["FAB_1"] == "new"
+    # a product of the last run that is gone now is removed, other folders stay
+    assert wide.publish(table.where("PRODUCT = 'Q'"), root, previous=["P_1", "Q"]) == ["Q"]
+    assert {f for f in os.listdir(root) if f.startswith("product")} == {"product_name=OWN", "product_name=Q"}
     assert wide.write_send(table, str(tmp_path / "send")) == {"KNOB": "skipped", "FAB": "written", "VM": "skipped", "INLINE": "skipped"}
     csv = spark.read.option("header", True).csv(str(tmp_path / "send/FAB/csv"))
     assert csv.columns == ["PRODUCT", "ROOT_LOT_ID", "WAFER_ID", "FAB_1", "MASK_2"] and csv.count() == 3

@@ -195,8 +195,9 @@ def as_long(features: DataFrame, category: str) -> DataFrame:
 
 
 def has_value() -> Column:
-    """A text that is not blank or a number."""
-    return ~is_blank("value_str") | F.col("value_num").isNotNull()
+    """A text that is not blank, or a number."""
+    number = F.col("value_num").isNotNull() & ~F.isnan(F.coalesce("value_num", F.lit(0.0)))
+    return ~is_blank("value_str") | number
 
 
 def with_values(long: DataFrame) -> DataFrame:

@@ -79,8 +79,13 @@ def unpivot(matrix: DataFrame, steps: list[str], value: str) -> DataFrame:
 
 
 def mask_category(event: DataFrame, steps: list[str], categories: DataFrame) -> DataFrame:
-    """MASK features by reticle category; reticles without a category give no row."""
-    rows = event.where(clean("reticle_id").isNotNull())
-    long = unpivot(wafer_matrix(rows, "reticle_id", steps), steps, "reticle_id")
-    found = long.join(categories, "reticle_id", "left").where(F.col("category").isNotNull())
-    return found.select(*WAFER, F.concat(F.lit("MASK_"), "step").alias("feature"), "category")
+    """MASK features by reticle category; reticles without a category give no row.
+
+    The last reticle of each wafer and step is looked up as it is: a matrix that is unpivoted
+    again would hold the same rows.
+    """
+    rows = event.where(clean("reticle_id").isNotNull() & F.col("step_desc").isin(steps))
+    last = aggregates.last(F.col("reticle_id"), [F.col(c) for c in ORDER]).alias("reticle_id")
+    found = rows.groupBy(*WAFER, "step_desc").agg(last).join(categories, "reticle_id")
+    found = found.where(F.col("category").isNotNull())
+    return found.select(*WAFER, F.concat(F.lit("MASK_"), "step_desc").alias("feature"), "category")

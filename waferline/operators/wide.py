@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from waferline.functions.text import file_name, first_number, wafer_number
 from waferline.operators.features import has_value
+from waferline.sources.partitions import delete_folders
 
 WIDE_KEY = ["PRODUCT", "ROOT_LOT_ID", "WAFER_ID"]
 # Columns grouped in one aggregate, the width up to which Spark compiles a whole stage.
@@ -117,16 +118,19 @@ def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(last).select(*keys, *[f"row.`{c}`" for c in rest])
 
 
-def publish(wide: DataFrame, root: str) -> list[str]:
+def publish(wide: DataFrame, root: str, previous: list[str] | None = None) -> list[str]:
     """One folder per product; a wafer in two vehicles keeps the later vehicle's row.
 
-    Only the products present are replaced, so other folders below ``root`` stay as they are.
-    Returns the products written, which the caller keeps as the manifest.
+    Only the products present are replaced. Of the other folders below ``root``, those that
+    ``previous`` names (the result of the run before) are removed and the rest stays.
     """
     latest = keep_last(wide, WIDE_KEY, ["vehicle"]).withColumn("product_name", file_name("PRODUCT"))
     (latest.sortWithinPartitions(*WIDE_KEY[1:]).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("product_name").parquet(root))
-    return sorted(r["product_name"] for r in latest.select("product_name").distinct().collect())
+    names = wide.select(file_name("PRODUCT").alias("name")).distinct()
+    published = sorted(r["name"] for r in names.collect())  # a configured list of products
+    delete_folders(wide.sparkSession, root, [f"product_name={p}" for p in set(previous or []) - set(published)])
+    return published
 
 
 def send_columns(columns: list[str], group: str) -> list[str]:

@@ -80,11 +80,18 @@ def delete_expired(spark: SparkSession, root: str, keep_days: int, today: str) -
     names = [s.getPath().getName() for s in fs.globStatus(jvm.org.apache.hadoop.fs.Path(base, "date=*"))]
     rows = spark.createDataFrame([(n[5:],) for n in names], "date string")
     gone = sorted(r["date"] for r in expired(rows, keep_days, today).collect())
-    for date in gone:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(base, f"date={date}"), True)
+    delete_folders(spark, root, [f"date={date}" for date in gone])
     return gone
 
 
+def delete_folders(spark: SparkSession, root: str, names: list[str]) -> None:
+    """Delete the named folders directly below ``root``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for name in names:
+        fs.delete(path(path(root), name), True)
+
+
 def settings_version(settings: dict) -> str:
     """Version of everything that shapes an event table; a change makes all its dates stale."""
     text = json.dumps(settings, sort_keys=True, ensure_ascii=False)

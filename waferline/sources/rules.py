@@ -14,13 +14,21 @@ from waferline.functions.text import clean
 MAX_DRIVER_RULES = 100_000
 
 
-def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame | None:
-    """A rule CSV with every column a string, null columns for absent ones; no file, no rules."""
+def read_csv(
+    spark: SparkSession, path: str, columns: list[str], required: list[str] | None = None
+) -> DataFrame | None:
+    """A rule CSV with every column a string; no file, no rules.
+
+    Absent columns are null, but a file without one of ``required`` is refused.
+    """
     try:
         df = spark.read.option("header", True).option("inferSchema", False).csv(path)
     except AnalysisException:
         return None
     have = set(df.columns)
+    absent = [c for c in required or [] if c not in have]
+    if absent:
+        raise ValueError(f"{path}: no column {', '.join(absent)}")
     return df.select(
         *[(F.col(c) if c in have else F.lit(None)).cast("string").alias(c) for c in columns]
     )
