@@ -12,7 +12,7 @@ from waferline.functions.text import is_blank
 from waferline.sources.partitions import row_digest
 
 # The stage each stage follows, statuses that hide an alert, severity order.
-UPSTREAM = {"event": "raw", "feature": "event", "wide": "feature", "flow": "wide", "send": "wide"}
+UPSTREAM = {"event": "raw", "feature": "event", "wide": "feature", "publish": "wide", "send": "wide"}
 HIDDEN = ("미확인예정", "반영불필요")
 SEVERITY_RANK = {"info": 0, "warn": 1, "warning": 1, "error": 2, "critical": 3}
 
@@ -34,9 +34,9 @@ def stage_health(stages: DataFrame, today: str, threshold_days: int, age_stages:
     latest, ahead_day = F.col("latest_date").cast("date"), F.col("ahead_date").cast("date")
     rows = rows.select(
         "vehicle", "source", "stage", "latest_date", "age_hours",
-        F.datediff(F.lit(today).cast("date"), latest).alias("lag_days"),
+        F.datediff(F.lit(today).cast("date"), latest).cast("bigint").alias("lag_days"),
         F.when(latest.isNotNull() & ahead_day.isNotNull(), F.col("upstream")).alias("behind_of"),
-        F.greatest(F.datediff(ahead_day, latest), F.lit(0)).alias("late"),
+        F.greatest(F.datediff(ahead_day, latest), F.lit(0)).cast("bigint").alias("late"),
         F.col("latest_date").isNull().alias("missing"),
     )
     rows = rows.withColumn("behind_days", F.when(F.col("behind_of").isNotNull(), F.col("late"))).drop("late")

@@ -82,7 +82,7 @@ def top_rows(df: DataFrame, keys: list[str], order: list[Column], n: int) -> Dat
     Spark cuts each group to ``n`` rows before the shuffle when a row number is filtered directly.
     """
     ranked = df.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return ranked.where(F.col("rank") <= n)
+    return ranked.where(F.col("rank") <= n).withColumn("rank", F.col("rank").cast("bigint"))
 
 
 def first_texts(df: DataFrame, keys: list[str], value: str, n: int, out: str, sep: str = ",") -> DataFrame:

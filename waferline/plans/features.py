@@ -91,9 +91,6 @@ def agg_valid_eqp_keepkey(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy(*_STEP_GROUP).agg(expr.alias("val"))
 
 
-_FORCED = [r for r in rulebook.dicts("fab_rules") if r["feature_name"] in ("ecuall", "eqp_id")]
-
-
 @query("agg_overrides", f"""WITH {FAB_EVENT}, {bindings.cte('fab_rules')}, forced AS (
       SELECT step_desc, concat('FAB_', step_desc, '_', feature_name) AS feature, agg AS rule_agg, 'valid_or_last' AS applied
       FROM fab_rules WHERE feature_name = 'ecuall' AND agg <> 'valid_or_last')

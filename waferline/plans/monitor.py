@@ -158,15 +158,15 @@ def anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _STAGE = """SELECT vehicle, item_id AS source, '{stage}' AS stage, max(substr(tkout_time, 1, 10)) AS latest_date,
       (epoch(TIMESTAMP '""" + NOW + """')::bigint - floor(epoch(max(time)))::bigint) // 3600 AS age_hours FROM inline_raw WHERE value {test} GROUP BY ALL"""
-_STAGE_TESTS = {"raw": "> 0", "event": "> 60", "feature": "> 150", "wide": "> 160", "flow": "> 230", "send": "> 300"}
+_STAGE_TESTS = {"raw": "> 0", "event": "> 60", "feature": "> 150", "wide": "> 160", "publish": "> 230", "send": "> 300"}
 _STAGES = f"WITH {bindings.cte('inline_raw')}, stages AS ({' UNION ALL '.join(_STAGE.format(stage=s, test=t) for s, t in _STAGE_TESTS.items())})"
 _HEALTH = f"""lagged AS (SELECT s.*, date_diff('day', cast(s.latest_date AS date), DATE '{TODAY}') AS lag_days, u.stage AS behind_of,
         greatest(date_diff('day', cast(s.latest_date AS date), cast(u.latest_date AS date)), 0) AS behind_days
       FROM stages s LEFT JOIN stages u ON s.vehicle = u.vehicle AND s.source = u.source AND u.stage =
-        CASE s.stage WHEN 'event' THEN 'raw' WHEN 'feature' THEN 'event' WHEN 'wide' THEN 'feature' WHEN 'flow' THEN 'wide' WHEN 'send' THEN 'wide' END),
+        CASE s.stage WHEN 'event' THEN 'raw' WHEN 'feature' THEN 'event' WHEN 'wide' THEN 'feature' WHEN 'publish' THEN 'wide' WHEN 'send' THEN 'wide' END),
     health AS (SELECT * EXCLUDE (behind_days), CASE WHEN behind_of IS NOT NULL THEN behind_days END AS behind_days, false AS missing,
         concat_ws('; ', CASE WHEN lag_days > 1 THEN concat('lag ', lag_days) END, CASE WHEN behind_of IS NOT NULL AND behind_days > 1 THEN concat('behind ', behind_of, ' ', behind_days) END,
-          CASE WHEN stage IN ('feature', 'wide', 'flow', 'send') AND age_hours > 24 THEN 'old' END) AS reason FROM lagged),
+          CASE WHEN stage IN ('feature', 'wide', 'publish', 'send') AND age_hours > 24 THEN 'old' END) AS reason FROM lagged),
     judged AS (SELECT *, reason <> '' AS stalled, reason <> '' AND behind_of IS NOT NULL AND NOT coalesce(behind_days > 1, false) AS cascade FROM health)"""
 
 
@@ -181,7 +181,7 @@ def health(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = newest.select("vehicle", "source", F.explode(cells).alias("c")).where("c.row IS NOT NULL")
     age = F.unix_seconds(_clock().cast("timestamp")) - F.unix_seconds(F.col("c.row.time").cast("timestamp"))
     rows = rows.select("vehicle", "source", "c.stage", F.col("c.row.day").alias("latest_date"), F.floor(age / 3600).alias("age_hours"))
-    return alerts.stage_health(rows, TODAY, 1, ["feature", "wide", "flow", "send"])
+    return alerts.stage_health(rows, TODAY, 1, ["feature", "wide", "publish", "send"])
 
 
 @query("stage_health", f"{_STAGES}, {_HEALTH} SELECT * FROM judged")
