@@ -10,6 +10,7 @@ over the sizes that the table holds.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 from math import comb
 
@@ -34,6 +35,10 @@ LIST_PAIRS = 32
 SCAN_COST = 8
 #: No set above this size is enumerated, whatever the costs say.
 MOST_LIGHT = 24
+#: Rounds of comparing pairs; the last one compares all that are left.
+LINK_ROUNDS = 3
+#: Shingles of sets that a task keeps while it compares pairs.
+KEPT_SHINGLES = 4_000_000
 
 
 def overlap_needed(n, m, percent: int = PERCENT):
@@ -196,15 +201,16 @@ def _possible(n, p, m, q, boundary: int, percent: int):
 
 
 def scan_lists(listed: DataFrame, boundary: int, percent: int) -> DataFrame:
-    """Pairs of sets that meet in a list (token null), and the entries of long lists, as they are (b null).
+    """Pairs of sets that meet in a list (token null; n and pos are their sizes), and the entries of long lists, as they are (b null).
 
     A task gets whole lists, sorted by size, and holds at most ``LIST_PAIRS`` entries of the one it is in:
     of a longer list it pairs each set with a few before it, and passes the entries on.
     """
     schema = _schema(_PAIR)
 
-    def pairs(a, b):
-        return record_batch(schema, [pa.nulls(len(a), pa.int64()), np.minimum(a, b), np.maximum(a, b), pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.int32())])
+    def pairs(a, b, n, m):
+        turn = a > b
+        return record_batch(schema, [pa.nulls(len(a), pa.int64()), np.minimum(a, b), np.maximum(a, b), np.where(turn, m, n).astype(np.int32), np.where(turn, n, m).astype(np.int32)])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = [np.empty(0, np.int64)] * 4
@@ -243,7 +249,8 @@ def scan_lists(listed: DataFrame, boundary: int, percent: int) -> DataFrame:
                 j = (first[low : low + step, None] + right).ravel()
                 ok = _possible(n[i], pos[i], n[j], pos[j], boundary, percent)
                 if ok.any():
-                    yield pairs(set_id[i[ok]], set_id[j[ok]])
+                    i, j = i[ok], j[ok]
+                    yield pairs(set_id[i], set_id[j], n[i], n[j])
         for k in np.flatnonzero(long_).tolist():
             a, b = int(starts[k]), int(ends[k])
             new = a + (seen if k == 0 else 0)
@@ -254,7 +261,8 @@ def scan_lists(listed: DataFrame, boundary: int, percent: int) -> DataFrame:
                 i = j - back
                 ok = _possible(n[i], pos[i], n[j], pos[j], boundary, percent)
                 if ok.any():
-                    yield pairs(set_id[i[ok]], set_id[j[ok]])
+                    i, j = i[ok], j[ok]
+                    yield pairs(set_id[i], set_id[j], n[i], n[j])
         low = len(token) if last else int(starts[-1])
         within = bool(not last and long_[-1])
         if within:
@@ -266,6 +274,23 @@ def scan_lists(listed: DataFrame, boundary: int, percent: int) -> DataFrame:
     return dealt.mapInArrow(scan, _PAIR)
 
 
+def _likely(found: DataFrame, percent: int) -> DataFrame:
+    """(a, b, shared): the pairs that share enough listed shingles, of those found in the lists.
+
+    A set lists all but its last ``least - 1`` shingles, ``least`` being what any partner must share with it.
+    Beyond the shingles that both list, a pair shares at most as many as the set whose list ends first does
+    not list. Lists that are too long to give all pairs count as shared, as far as both sets stand in any.
+    """
+    pairs = found.where("token IS NULL").groupBy("a", "b", "n", F.col("pos").alias("m")).agg(F.count("*").alias("shared"))
+    long_ = cut_lineage(found.where("token IS NOT NULL").groupBy("a").agg(F.countDistinct("token").alias("many")))
+    left, right = (long_.select(F.col("a").alias(c), F.col("many").alias(f"long_{c}")) for c in ("a", "b"))
+    pairs = pairs.join(left, "a", "left").join(right, "b", "left")
+    more = F.least(F.coalesce("long_a", F.lit(0)), F.coalesce("long_b", F.lit(0)))
+    need = F.ceil(F.lit(percent) * (F.col("n") + F.col("m")) / F.lit(100 + percent))
+    rest = F.ceil(F.lit(percent) * F.greatest("n", "m") / F.lit(100)) - 1
+    return pairs.where(F.col("shared") + more + rest >= need).select("a", "b", "shared")
+
+
 def _texts(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(set_id, packed) of one text of each wanted set."""
     schema = _schema("set_id bigint, packed binary")
@@ -284,60 +309,92 @@ def _texts(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return packed.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min("packed").alias("packed"))
 
 
-def compare(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are linked, by their whole shingle sets."""
+def compare(texts: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are linked, by their whole shingle sets, from the texts (set_id, packed)."""
     schema = _schema("a bigint, b bigint")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        unpacker = zstandard.ZstdDecompressor()
-        last, last_set = None, None
+        unpacker, known, held = zstandard.ZstdDecompressor(), {}, 0
 
-        def shingles(packed: bytes) -> np.ndarray:
-            data = np.frombuffer(unpacker.decompress(packed), np.uint8)
-            return text_sets(data, np.array([0, len(data)]), words)[0]
+        def shingles(column: pa.Array, id_: int, i: int) -> np.ndarray:
+            nonlocal held
+            if id_ not in known:
+                data = np.frombuffer(unpacker.decompress(column[i].as_py()), np.uint8)
+                if held > KEPT_SHINGLES:
+                    known.clear()
+                    held = 0
+                known[id_] = text_sets(data, np.array([0, len(data)]), words)[0]
+                held += len(known[id_])
+            return known[id_]
 
         for batch in batches:
-            a, b = batch.column(0), batch.column(1)
             keep = []
-            for i, (left, right) in enumerate(zip(batch.column(2), batch.column(3))):
-                if last != a[i].as_py():
-                    last, last_set = a[i].as_py(), shingles(left.as_py())
-                other = shingles(right.as_py())
-                place = np.searchsorted(last_set, other)
-                place[place == len(last_set)] = 0
-                same = int((last_set[place] == other).sum())
-                keep.append(100 * same >= percent * (len(last_set) + len(other) - same))
+            for i, (a, b) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                left, right = shingles(batch.column(2), a, i), shingles(batch.column(3), b, i)
+                place = np.searchsorted(left, right)
+                place[place == len(left)] = 0
+                same = int((left[place] == right).sum())
+                keep.append(100 * same >= percent * (len(left) + len(right) - same))
             keep = pa.array(keep, pa.bool_())
-            yield record_batch(schema, [a.filter(keep), b.filter(keep)])
+            yield record_batch(schema, [batch.column(0).filter(keep), batch.column(1).filter(keep)])
 
-    wanted = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct()
-    texts = cut_lineage(_texts(docs, wanted, words))
     both = pairs.join(texts.select(F.col("set_id").alias("b"), F.col("packed").alias("right")), "b")
     both = both.join(texts.select(F.col("set_id").alias("a"), F.col("packed").alias("left")), "a")
     return both.select("a", "b", "left", "right").mapInArrow(check, "a bigint, b bigint")
 
 
-def _rest(entries_: DataFrame, found: DataFrame, boundary: int, percent: int) -> DataFrame:
-    """Pairs of long lists whose sets are not yet in one component and can be linked.
+def _apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs whose sets are not in one component."""
+    left, right = (classes.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in ("a", "b"))
+    both = pairs.join(left, "a", "left").join(right, "b", "left")
+    return both.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select(*pairs.columns)
 
-    In each list the sets outside of its largest component meet all the others; sets of one component need
-    no further link.
+
+def _link_up(texts: DataFrame, pairs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
+    """The components with the links among ``pairs`` (a, b, shared) added.
+
+    Pairs within a component need no look. In each of the first rounds every set meets the one it shares
+    most with among those of other components; in the last round all pairs that are still apart are compared.
+    """
+    for number in range(LINK_ROUNDS):
+        pairs = cut_lineage(_apart(pairs, classes))
+        if pairs.isEmpty():
+            break
+        chosen = pairs
+        if number < LINK_ROUNDS - 1:
+            chosen = cut_lineage(pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b"))
+        links = compare(texts, chosen.select("a", "b"), words, percent)
+        if number < LINK_ROUNDS - 1:
+            pairs = pairs.join(chosen, ["a", "b"], "left_anti")
+        classes = cut_lineage(components(links.unionByName(classes.select(F.col("root").alias("a"), F.col("node").alias("b")))))
+    return classes
+
+
+def _rest(entries_: DataFrame, pairs: DataFrame, classes: DataFrame, boundary: int, percent: int) -> DataFrame:
+    """(a, b, shared): pairs of long lists whose sets are not yet in one component and share enough.
+
+    In each list the sets outside of its largest component meet all those of other components. A pair comes
+    once for each long list it shares, and what it shares in short ones is in ``pairs``.
     """
-    roots = found.select(F.col("node").alias("set_id"), "root")
+    roots = classes.select(F.col("node").alias("set_id"), "root")
     rows = entries_.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     rows = cut_lineage(rows)
     groups = rows.groupBy("token", "root").agg(F.count("*").alias("many"))
     main = groups.groupBy("token").agg(F.max_by("root", F.struct("many", "root")).alias("main"), F.count("*").alias("groups"))
-    main = main.where("groups > 1").select("token", "main")
-    l = rows.join(main, "token").where("root <> main").drop("main").alias("l")
-    r = rows.alias("r")
+    mixed = rows.join(main.where("groups > 1").select("token", "main"), "token")
+    l, r = mixed.where("root <> main").alias("l"), mixed.alias("r")
     low, high = F.least("l.n", "r.n"), F.greatest("l.n", "r.n")
     left = F.least(F.least("l.pos", "r.pos") + F.least(F.expr("l.n - l.pos"), F.expr("r.n - r.pos")), low)
     need = F.ceil(F.lit(percent) * (F.col("l.n") + F.col("r.n")) / F.lit(100 + percent))
-    on = (F.col("l.token") == F.col("r.token")) & (F.col("l.root") != F.col("r.root")) & (100 * low >= percent * high) & (high > boundary) & (left >= need)
-    return l.join(r, on).select(F.least("l.set_id", "r.set_id").alias("a"), F.greatest("l.set_id", "r.set_id").alias("b")).distinct()
+    once = (F.col("r.root") == F.col("r.main")) | (F.col("l.set_id") < F.col("r.set_id"))
+    on = (F.col("l.token") == F.col("r.token")) & (F.col("l.root") != F.col("r.root")) & once & (100 * low >= percent * high) & (high > boundary) & (left >= need)
+    met = l.join(r, on).select(F.least("l.set_id", "r.set_id").alias("a"), F.greatest("l.set_id", "r.set_id").alias("b"), need.alias("need"), high.alias("high"))
+    met = met.groupBy("a", "b", "need", "high").agg(F.count("*").alias("listed"))
+    met = met.join(pairs, ["a", "b"], "left").withColumn("shared", F.col("listed") + F.coalesce("shared", F.lit(0)))
+    rest = F.ceil(F.lit(percent) * F.col("high") / F.lit(100)) - 1
+    return met.where(F.col("shared") + rest >= F.col("need")).select("a", "b", "shared")
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
@@ -358,17 +415,15 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     if boundary:
         links.append(_light_links(listed.where("light")))
     found = cut_lineage(scan_lists(listed.where("NOT light"), boundary, percent))
-    pairs = cut_lineage(found.where("token IS NULL").select("a", "b").distinct())
-    links.append(compare(docs, pairs, words, percent))
-    edges = links[0].unionByName(links[1]) if len(links) > 1 else links[0]
-    edges = cut_lineage(edges)
-    classes = cut_lineage(components(edges))
-    long_ = found.where("token IS NOT NULL").select("token", F.col("a").alias("set_id"), "n", "pos")
+    pairs = cut_lineage(_likely(found, percent))
+    links = links[0] if links else pairs.select("a", "b").limit(0)
+    long_ = cut_lineage(found.where("token IS NOT NULL").select("token", F.col("a").alias("set_id"), "n", "pos"))
+    wanted = reduce(DataFrame.unionByName, [pairs.select(F.col(c).alias("set_id")) for c in ("a", "b")] + [long_.select("set_id")])
+    texts = cut_lineage(_texts(docs, wanted.distinct(), words))
+    classes = _link_up(texts, pairs, cut_lineage(components(links)), words, percent)
     if not long_.isEmpty():
-        more = cut_lineage(_rest(long_, classes, boundary, percent))
-        if not more.isEmpty():
-            edges = cut_lineage(edges.unionByName(compare(docs, more, words, percent)))
-            classes = cut_lineage(components(edges))
+        more = cut_lineage(_rest(long_, pairs, classes, boundary, percent))
+        classes = _link_up(texts, more, classes, words, percent)
     rooted = rows.join(classes.select(F.col("node").alias("set_id"), "root"), "set_id", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "set_id"))
     least = rooted.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
