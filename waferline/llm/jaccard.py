@@ -31,6 +31,8 @@ COMMON_SHARE = 0.001
 MOST_COMMON = 200_000
 #: Lists up to this length give all their pairs; of longer ones see ``_rest``.
 LIST_PAIRS = 32
+#: In a long list each set is paired with those so many places before it.
+BACK = (1, 2, 3, 5, 8, 13)
 #: Cost of an entry of a list against that of a subset key: its pairs are compared later.
 SCAN_COST = 8
 #: No set above this size is enumerated, whatever the costs say.
@@ -256,7 +258,7 @@ def scan_lists(listed: DataFrame, boundary: int, percent: int) -> DataFrame:
             new = a + (seen if k == 0 else 0)
             if new < b:
                 yield record_batch(schema, [token[new:b], set_id[new:b], pa.nulls(b - new, pa.int64()), n[new:b].astype(np.int32), pos[new:b].astype(np.int32)])
-            for back in (1, 2, 5):
+            for back in BACK:
                 j = np.arange(max(new, a + back), b)
                 i = j - back
                 ok = _possible(n[i], pos[i], n[j], pos[j], boundary, percent)
@@ -266,7 +268,7 @@ def scan_lists(listed: DataFrame, boundary: int, percent: int) -> DataFrame:
         low = len(token) if last else int(starts[-1])
         within = bool(not last and long_[-1])
         if within:
-            low = max(low, len(token) - 5)
+            low = max(low, len(token) - max(BACK))
         state[:] = [[x[low:] for x in (token, set_id, n, pos)], within]
 
     tasks = int(listed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -372,11 +374,12 @@ def _link_up(texts: DataFrame, pairs: DataFrame, classes: DataFrame, words: int,
     return classes
 
 
-def _rest(entries_: DataFrame, pairs: DataFrame, classes: DataFrame, boundary: int, percent: int) -> DataFrame:
+def _rest(entries_: DataFrame, classes: DataFrame, boundary: int, percent: int) -> DataFrame:
     """(a, b, shared): pairs of long lists whose sets are not yet in one component and share enough.
 
-    In each list the sets outside of its largest component meet all those of other components. A pair comes
-    once for each long list it shares, and what it shares in short ones is in ``pairs``.
+    In each list the sets outside of its largest component meet all those of other components, and a pair
+    comes once for each long list it shares. What it shares in short lists need not be added: a pair that
+    stands in any of those has been compared or ruled out before.
     """
     roots = classes.select(F.col("node").alias("set_id"), "root")
     rows = entries_.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
@@ -391,8 +394,7 @@ def _rest(entries_: DataFrame, pairs: DataFrame, classes: DataFrame, boundary: i
     once = (F.col("r.root") == F.col("r.main")) | (F.col("l.set_id") < F.col("r.set_id"))
     on = (F.col("l.token") == F.col("r.token")) & (F.col("l.root") != F.col("r.root")) & once & (100 * low >= percent * high) & (high > boundary) & (left >= need)
     met = l.join(r, on).select(F.least("l.set_id", "r.set_id").alias("a"), F.greatest("l.set_id", "r.set_id").alias("b"), need.alias("need"), high.alias("high"))
-    met = met.groupBy("a", "b", "need", "high").agg(F.count("*").alias("listed"))
-    met = met.join(pairs, ["a", "b"], "left").withColumn("shared", F.col("listed") + F.coalesce("shared", F.lit(0)))
+    met = met.groupBy("a", "b", "need", "high").agg(F.count("*").alias("shared"))
     rest = F.ceil(F.lit(percent) * F.col("high") / F.lit(100)) - 1
     return met.where(F.col("shared") + rest >= F.col("need")).select("a", "b", "shared")
 
@@ -422,7 +424,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     texts = cut_lineage(_texts(docs, wanted.distinct(), words))
     classes = _link_up(texts, pairs, cut_lineage(components(links)), words, percent)
     if not long_.isEmpty():
-        more = cut_lineage(_rest(long_, pairs, classes, boundary, percent))
+        more = cut_lineage(_rest(long_, classes, boundary, percent))
         classes = _link_up(texts, more, classes, words, percent)
     rooted = rows.join(classes.select(F.col("node").alias("set_id"), "root"), "set_id", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "set_id"))

@@ -177,7 +177,8 @@ def _counts(texts: list[str], y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     terms, classes = [], []
     for low, high, data, bounds in text_blocks(pa.array(texts, pa.string())):
         for hashes, row in term_hashes(data, bounds):
-            # a term's rows ascend, so equal pairs stand side by side after a stable sort
+            if not len(hashes):
+                continue
             order = np.lexsort((row, hashes))
             h, r = hashes[order], row[order]
             keep = np.concatenate([[True], (h[1:] != h[:-1]) | (r[1:] != r[:-1])])
