@@ -114,6 +114,13 @@ def test_gate_sends_what_the_rule_sends(spark):
         assert {a for a, o in got.items() if o == "severity"} == {a for a, o in want.items() if o == "severity"}
 
 
+def test_gate_tests_the_cap_before_the_repeat(spark):
+    rows = [("s", 1, "a", "error", 5), ("s", 2, "a", "error", 5)]
+    for cap, second in ((1, "rate_limit"), (2, "dedupe"), (0, "dedupe")):
+        out = alerts.gate(spark.createDataFrame(rows, GATE), "scope", "warning", cap, 60)
+        assert {r["alert_id"]: r["outcome"] for r in out.collect()} == {1: "sent", 2: second}
+
+
 def test_partition_state(spark):
     rows = [("p", "c1", "success"), ("q", "c1", "success"), ("q", "c2", "failed"), ("r", "c1", "in_progress"), ("s", "c1", "planned")]
     df = spark.createDataFrame(rows, "p string, c string, status string")

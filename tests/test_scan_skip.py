@@ -67,6 +67,13 @@ def test_examples_prefer_other_lots(spark):
     assert got == [("L1", "1"), ("L2", "1"), ("L1", "2")]
 
 
+def test_examples_see_lots_after_many_pairs_of_one(spark):
+    rows = [("S", "L1", str(i), i) for i in range(60)] + [("S", "L2", "1", 60), ("S", "L3", "1", 61)]
+    df = spark.createDataFrame(rows, "step_id string, root_lot_id string, wafer_id string, at int")
+    got = [r["root_lot_id"] for r in scan.step_examples(df, ["step_id"], ["at"], 3).orderBy("rank").collect()]
+    assert got == ["L1", "L2", "L3"]
+
+
 # ── knob rules and skipped steps ──
 
 RULE = [*knob.RULE_COLUMNS, "pos"]

@@ -152,7 +152,7 @@ def gate(alerts: DataFrame, scope: str, min_severity: str, max_per_hour: int, wi
     def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, recent, emitted = None, [], {}
         for batch in batches:
-            outcome = []
+            outcome, again = [], []
             for key, second, kind in zip(batch[scope], batch["second"], batch["kind"]):
                 if key != current:
                     current, recent, emitted = key, [], {}
@@ -165,13 +165,16 @@ def gate(alerts: DataFrame, scope: str, min_severity: str, max_per_hour: int, wi
                     emitted[kind] = second
                     recent.append(second)
                     outcome.append("sent")
-            yield batch.assign(outcome=outcome)
+                # the cap is tested before the repeat, so what repeats a sent one in its second may meet a full cap
+                full = max_per_hour > 0 and len(recent) >= max_per_hour
+                again.append("rate_limit" if full else "dedupe")
+            yield batch.assign(outcome=outcome, again=again)
 
-    schema = f"{ordered.schema.simpleString()[7:-1]},outcome:string"
+    schema = f"{ordered.schema.simpleString()[7:-1]},outcome:string,again:string"
     decided = ordered.mapInPandas(decide, schema).select(
-        scope, "second", "kind", F.col("alert_id").alias("first_id"), "outcome"
+        scope, "second", "kind", F.col("alert_id").alias("first_id"), "outcome", "again"
     )
     joined = marked.join(decided, [scope, "second", "kind"], "left")
     repeat = (F.col("alert_id") != F.col("first_id")) & (F.col("outcome") == "sent")
-    outcome = F.when(~F.col("loud"), "severity").when(repeat, "dedupe").otherwise(F.col("outcome"))
+    outcome = F.when(~F.col("loud"), "severity").when(repeat, F.col("again")).otherwise(F.col("outcome"))
     return joined.select(*alerts.columns, outcome.alias("outcome"))

@@ -95,8 +95,7 @@ def step_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("step_examples", f"""{_RAW}, pairs AS (
-      SELECT vehicle, step_id, root_lot_id, wafer_id, min(arrival) AS seen FROM fab_raw WHERE {_NEW} GROUP BY vehicle, step_id, root_lot_id, wafer_id
-      QUALIFY row_number() OVER (PARTITION BY vehicle, step_id ORDER BY min(arrival)) <= 50),
+      SELECT vehicle, step_id, root_lot_id, wafer_id, min(arrival) AS seen FROM fab_raw WHERE {_NEW} GROUP BY vehicle, step_id, root_lot_id, wafer_id),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY vehicle, step_id, root_lot_id ORDER BY seen) > 1 AS later FROM pairs)
     SELECT vehicle, step_id, root_lot_id, wafer_id, row_number() OVER (PARTITION BY vehicle, step_id ORDER BY later, seen) AS rank FROM ranked
     QUALIFY rank <= {_HINT['example_limit']}""")
