@@ -26,9 +26,12 @@ from waferline.session import cut_lineage
 
 PERCENT = 80
 SHINGLE_WORDS = 5
-#: A shingle is common if it is in this share of the documents, and among at most so many.
-COMMON_SHARE = 0.001
-MOST_COMMON = 200_000
+#: So many of the most frequent shingles are listed last; they are broadcast, at 8 bytes each.
+MOST_COMMON = 1_000_000
+#: A batch reports the shingles that it holds in so many documents.
+OFTEN_IN_BATCH = 3
+#: Bits of a shingle that tell most of the others from the common ones.
+MARK_BITS = 22
 #: Lists up to this length give all their pairs; of longer ones see ``_rest``.
 LIST_PAIRS = 32
 #: In a long list each set is paired with those so many places before it.
@@ -92,8 +95,9 @@ def _schema(names: str) -> pa.Schema:
 def survey(docs: DataFrame, words: int = SHINGLE_WORDS) -> tuple[np.ndarray, dict[int, int]]:
     """Common shingles (at most ``MOST_COMMON``), and how many documents have each set size up to 2 * MOST_LIGHT; larger ones count as one size.
 
-    Every document is counted. A batch reports the shingles that are common in it; one that is common in
-    the table is common in some batch. Only the order in which shingles are listed depends on this.
+    Every document is counted. A batch reports the shingles that stand in ``OFTEN_IN_BATCH`` of its documents or
+    more, so one that is spread thinly can go unreported or count for less. Only the order in which shingles are
+    listed depends on this, and any order gives the same links.
     """
     schema = _schema(_SURVEY)
 
@@ -108,19 +112,24 @@ def survey(docs: DataFrame, words: int = SHINGLE_WORDS) -> tuple[np.ndarray, dic
                 continue
             n = np.concatenate(sizes)
             values, counts = np.unique(np.concatenate(sets), return_counts=True)
-            often = counts >= max(3, COMMON_SHARE * len(n))
+            often = counts >= OFTEN_IN_BATCH
             size, times = np.unique(np.minimum(n, 2 * MOST_LIGHT), return_counts=True)
             yield record_batch(schema, [
-                np.concatenate([np.zeros(often.sum(), np.int32), np.ones(len(size), np.int32), [2]]).astype(np.int32),
-                np.concatenate([values[often].view(np.int64), size, [0]]),
-                np.concatenate([counts[often], times, [n.sum()]]),
+                np.concatenate([np.zeros(often.sum(), np.int32), np.ones(len(size), np.int32)]),
+                np.concatenate([values[often].view(np.int64), size]),
+                np.concatenate([counts[often], times]),
             ])
 
     found = cut_lineage(documents(docs).select("text").mapInArrow(count, _SURVEY).groupBy("kind", "value").agg(F.sum("n").alias("n")))
     sizes = {r["value"]: r["n"] for r in found.where("kind = 1").collect()}
-    shingles = (found.where("kind = 2").agg(F.sum("n")).first()[0]) or 0
-    least = max(3, COMMON_SHARE * sum(sizes.values()), shingles / MOST_COMMON)
-    # each of these is in `least` documents or more, so there are at most MOST_COMMON of them
+    # shorter lists give all their pairs; above that, the least count that at most MOST_COMMON shingles reach
+    counts = found.where(f"kind = 0 AND n > {LIST_PAIRS}").groupBy(F.least("n", F.lit(1 << 16)).alias("n")).agg(F.count("*").alias("many"))
+    least, total = (1 << 16) + 1, 0
+    for row in sorted(counts.collect(), key=lambda r: -r["n"]):
+        total += row["many"]
+        if total > MOST_COMMON:
+            break
+        least = row["n"]
     common = found.where(f"kind = 0 AND n >= {least}").select("value").toPandas()["value"].to_numpy(np.int64)
     return np.sort(common.view(np.uint64)), sizes
 
@@ -131,8 +140,8 @@ def entries(docs: DataFrame, common: np.ndarray, boundary: int, words: int, perc
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = shared.value
-        marks = np.zeros(1 << 16, bool)
-        marks[(common >> np.uint64(48)).astype(np.int64)] = True
+        marks = np.zeros(1 << MARK_BITS, bool)
+        marks[(common >> np.uint64(64 - MARK_BITS)).astype(np.int64)] = True
         for batch in batches:
             met: set[int] = set()
             for _, _, data, bounds in text_blocks(batch.column(0)):
@@ -154,7 +163,7 @@ def entries(docs: DataFrame, common: np.ndarray, boundary: int, words: int, perc
 def _listed(values, cuts, ids, n, fresh, common, marks, boundary, percent) -> list:
     heavy = fresh & (100 * n >= percent * (boundary + 1)) & (n > 0)
     row = np.repeat(np.arange(len(n)), n)
-    often = marks[(values >> np.uint64(48)).astype(np.int64)]
+    often = marks[(values >> np.uint64(64 - MARK_BITS)).astype(np.int64)]
     maybe = np.flatnonzero(often)
     if len(maybe):
         place = np.minimum(np.searchsorted(common, values[maybe]), len(common) - 1)
