@@ -42,6 +42,8 @@ SCAN_COST = 8
 MOST_LIGHT = 24
 #: Rounds of comparing pairs; the last one compares all that are left.
 LINK_ROUNDS = 3
+#: A set with more shingles in long lists does not carry them; its pairs are counted after the join.
+CARRIED = 64
 #: Shingles of sets that a task keeps while it compares pairs.
 KEPT_SHINGLES = 4_000_000
 
@@ -386,26 +388,34 @@ def _link_up(texts: DataFrame, pairs: DataFrame, classes: DataFrame, words: int,
 def _rest(entries_: DataFrame, classes: DataFrame, boundary: int, percent: int) -> DataFrame:
     """(a, b, shared): pairs of long lists whose sets are not yet in one component and share enough.
 
-    In each list the sets outside of its largest component meet all those of other components, and a pair
-    comes once for each long list it shares. What it shares in short lists need not be added: a pair that
-    stands in any of those has been compared or ruled out before.
+    In each list the sets outside of its largest component meet all those of other components. Sets carry
+    their shingles in long lists, so a pair comes once, in the first list it shares, and only if it shares
+    enough of them; pairs of a set with very many such shingles come once for each list and are counted.
+    What a pair shares in short lists need not be added: one that stands in any of those has been compared
+    or ruled out before.
     """
     roots = classes.select(F.col("node").alias("set_id"), "root")
     rows = entries_.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     rows = cut_lineage(rows)
     groups = rows.groupBy("token", "root").agg(F.count("*").alias("many"))
     main = groups.groupBy("token").agg(F.max_by("root", F.struct("many", "root")).alias("main"), F.count("*").alias("groups"))
-    mixed = rows.join(main.where("groups > 1").select("token", "main"), "token")
+    mixed = cut_lineage(rows.join(main.where("groups > 1").select("token", "main"), "token"))
+    held = mixed.groupBy("set_id").agg(F.collect_set("token").alias("held")).where(F.size("held") <= CARRIED)
+    mixed = mixed.join(held, "set_id", "left")
     l, r = mixed.where("root <> main").alias("l"), mixed.alias("r")
     low, high = F.least("l.n", "r.n"), F.greatest("l.n", "r.n")
     left = F.least(F.least("l.pos", "r.pos") + F.least(F.expr("l.n - l.pos"), F.expr("r.n - r.pos")), low)
     need = F.ceil(F.lit(percent) * (F.col("l.n") + F.col("r.n")) / F.lit(100 + percent))
     once = (F.col("r.root") == F.col("r.main")) | (F.col("l.set_id") < F.col("r.set_id"))
     on = (F.col("l.token") == F.col("r.token")) & (F.col("l.root") != F.col("r.root")) & once & (100 * low >= percent * high) & (high > boundary) & (left >= need)
-    met = l.join(r, on).select(F.least("l.set_id", "r.set_id").alias("a"), F.greatest("l.set_id", "r.set_id").alias("b"), need.alias("need"), high.alias("high"))
-    met = met.groupBy("a", "b", "need", "high").agg(F.count("*").alias("shared"))
-    rest = F.ceil(F.lit(percent) * F.col("high") / F.lit(100)) - 1
-    return met.where(F.col("shared") + rest >= F.col("need")).select("a", "b", "shared")
+    rest = F.ceil(F.lit(percent) * high / F.lit(100)) - 1
+    both = F.array_intersect("l.held", "r.held")
+    counted = F.col("l.held").isNull() | F.col("r.held").isNull()
+    on = on & (counted | ((F.size(both) + rest >= need) & (F.array_min(both) == F.col("l.token"))))
+    shared = F.when(counted, 1).otherwise(F.size(both)).alias("shared")
+    met = l.join(r, on).select(F.least("l.set_id", "r.set_id").alias("a"), F.greatest("l.set_id", "r.set_id").alias("b"), (need - rest).alias("least"), shared)
+    met = met.groupBy("a", "b", "least").agg(F.sum("shared").alias("shared"))
+    return met.where("shared >= least").select("a", "b", "shared")
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
