@@ -1,6 +1,7 @@
 """Scans, knob maps, skipped steps and the rule engine on hand-built rows."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from waferline.functions.registry import Registry
 from waferline.operators import knob, rule_engine, scan, skip
@@ -116,6 +117,21 @@ def test_later_step_of_a_shared_description_wins(spark):
     assert skip.candidates(skip.last_per_step(rows), steps).isEmpty()
 
 
+def test_knob_aggregates(spark):
+    registry = Registry()
+    registry.register_agg("longest", lambda val, order: F.max_by(val, F.length(val)))
+    maps = [("S1", "ETCH", " concat "), ("S2", "CVD", None), ("S3", "CMP", "agg"), ("S4", "CLEAN", "longest"), ("S5", "IMP", "nonsense")]
+    pairs = spark.createDataFrame([("V", s, d, "P1", "K1", a, i) for i, (s, d, a) in enumerate(maps)],
+                                  "vehicle string, step_id string, step_desc string, ppid string, knob string, agg string, pos int")
+    rows = event(spark, [("1", s, d, t, p) for s, d, _ in maps for t, p in (("01", "P1"), ("02", "P20"), ("03", "P1"))])
+    aggs, skipped = knob.aggregates_used([{"step_desc": d, "agg": a} for _, d, a in maps], registry)
+    assert aggs == ["agg", "concat", "last", "longest"]
+    assert skipped == [{"feature": "KNOB_IMP_ppid", "reason": "unknown aggregate nonsense"}]
+    found = knob.features(knob.lookup(rows, knob.map_from_pairs(pairs)), registry, aggs)
+    got = {r["feature"][5:-5]: r["value_str"] for r in found.collect()}
+    assert got == {"ETCH": "K1_P20_K1", "CVD": "K1", "CMP": "K1_P20", "CLEAN": "P20"}
+
+
 def test_skip_by_rule(spark):
     table = rules(spark, [("F", "ETCH", "R1", "eq", "P1", "A"), ("F", "ETCH", "R9", "_null", "", "SKIP"), ("F", "CVD", "R9", "not_null", "", "SKIP"),
                           ("G", "ETCH", "R9", "not_null", "", "SKIP"), ("G", "GONE", "R9", "_null", "", "SKIP"),

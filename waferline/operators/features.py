@@ -136,6 +136,19 @@ def _ruled_rows(event: DataFrame, rules: list[TextRule], registry: Registry) ->
     return event.join(table, "step_desc").select(*WAFER, *ORDER, "feature", "agg", val.alias("val"))
 
 
+def text_values(rows: DataFrame, specs: dict[str, aggregates.TextAgg]) -> DataFrame:
+    """One value per wafer and feature of rows (``agg``, ``val``), by whichever aggregate a row names."""
+    single = {n: s for n, s in specs.items() if not s.joins}
+    parts = [single_value(rows, WAFER_FEATURE, single)] if single or not specs else []
+    for name, spec in sorted(specs.items()):
+        own = rows.where(F.col("agg") == name)
+        if spec.joins == "ordered":
+            parts.append(aggregates.ordered_join(own, WAFER_FEATURE, F.col("val"), ORDER, "value_str"))
+        elif spec.joins == "distinct":
+            parts.append(aggregates.distinct_join(own, WAFER_FEATURE, F.col("val"), "value_str"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def single_value(rows: DataFrame, keys: list[str], specs: dict[str, aggregates.TextAgg]) -> DataFrame:
     """One value per group: all aggregates of ``specs`` that keep one row, in one pass.
 

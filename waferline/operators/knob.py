@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from waferline.functions.registry import Registry
 from waferline.functions.text import is_blank
-from waferline.operators.features import ORDER, WAFER, WAFER_FEATURE, single_value
+from waferline.operators.features import ORDER, WAFER, text_values
 from waferline.operators.ranking import first_texts
 
 # A missing rule number sorts last; the fallback rule; the texts that switch a rule on.
@@ -118,18 +118,27 @@ def winners(looked_up: DataFrame) -> DataFrame:
     return present.groupBy("vehicle", "step_desc").agg(last)
 
 
+def aggregates_used(rows: list[dict], registry: Registry) -> tuple[list[str], list[dict]]:
+    """Known aggregates that rules ask for (none set: last), and the rules skipped with a reason."""
+    names = {(r.get("step_desc") or r.get("function_step") or "", (r.get("agg") or "").strip() or "last") for r in rows}
+    skipped = [
+        {"feature": f"KNOB_{step.strip()}_ppid", "reason": f"unknown aggregate {agg}"}
+        for step, agg in sorted(names) if registry.text_agg(agg) is None
+    ]
+    return sorted({agg for _, agg in names if registry.text_agg(agg)}), skipped
+
+
 def features(looked_up: DataFrame, registry: Registry, aggs: list[str]) -> DataFrame:
     """One value per wafer and description: the category, else the recipe itself.
 
-    ``aggs`` names the single-value aggregates the map uses.
+    ``aggs`` names the aggregates the map uses; steps with any other one have no feature.
     """
     rows = looked_up.join(winners(looked_up), ["vehicle", "step_desc", "step_id"], "left_semi")
     rows = rows.select(
         *WAFER, *ORDER, "agg", F.concat(F.lit("KNOB_"), "step_desc", F.lit("_ppid")).alias("feature"),
         F.coalesce("knob", "ppid").alias("val"),
     )
-    specs = {a: registry.text_agg(a) for a in aggs}
-    return single_value(rows, WAFER_FEATURE, specs)
+    return text_values(rows, {a: registry.text_agg(a) for a in aggs})
 
 
 def _prepared(rules: DataFrame) -> DataFrame:

@@ -50,7 +50,7 @@ def long_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     category = F.when(F.col("feature").startswith("MASK_"), "MASK").otherwise("FAB")
     long = features.as_long(text, "FAB").withColumn("category", category)
     looked_up = knob.lookup(event, knob.map_from_rules(bindings.rules(spark, "knob_rules"), step_map(spark)))
-    aggs = sorted({r["agg"] or "last" for r in rulebook.dicts("knob_rules")})
+    aggs, _ = knob.aggregates_used(rulebook.dicts("knob_rules"), REGISTRY)
     long = long.unionByName(features.as_long(knob.features(looked_up, REGISTRY, aggs), "KNOB"))
     long = long.unionByName(features.as_long(inline_features(spark, sf_dir), "INLINE"))
     return long.unionByName(features.as_long(vm_features(spark, sf_dir), "VM"))
@@ -149,7 +149,8 @@ KNOB_FEATURE = KNOB_LOOKUP + f""", present AS (SELECT DISTINCT vehicle, knob_des
   winner AS (SELECT vehicle, knob_desc, arg_max(step_id, (map_order, step_id)) AS step_id FROM present GROUP BY ALL),
   knob_feature AS (
     SELECT vehicle, root_lot_id, wafer_id, concat('KNOB_', knob_desc, '_ppid') AS feature,
-      CASE agg WHEN 'last' THEN {last_sql("coalesce(knob, ppid)")} ELSE {agg_sql("last_valid", "coalesce(knob, ppid)")} END AS value_str
+      CASE agg WHEN 'last' THEN {last_sql("coalesce(knob, ppid)")} WHEN 'concat' THEN {agg_sql("concat", "coalesce(knob, ppid)")}
+        WHEN 'agg' THEN {agg_sql("agg", "coalesce(knob, ppid)")} ELSE {agg_sql("last_valid", "coalesce(knob, ppid)")} END AS value_str
     FROM looked_up JOIN winner USING (vehicle, knob_desc, step_id) GROUP BY vehicle, root_lot_id, wafer_id, knob_desc, agg)"""
 
 

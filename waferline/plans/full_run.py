@@ -111,6 +111,7 @@ class Run:
             parts.append(features.as_long(features.text_features(event, mask, registry), "MASK"))
         if self.rules.knob:
             parts.append(features.as_long(self.knob_features(event), "KNOB"))
+            skipped += knob.aggregates_used(self.rules.knob, registry)[1]
         for name, source, value in (("inline", INLINE, "value"), ("vm", VM, "residual")):
             usable, more = features.number_rules(getattr(self.rules, name), source.name, registry)
             skipped += more
@@ -129,7 +130,7 @@ class Run:
         """Knob values, with SKIP for wafers that a rule or the passing order shows to have skipped."""
         rules = self.rules.knob_rules(self.spark)
         knob_map = knob.map_from_rules(rules, self.rules.steps(self.spark))
-        aggs = sorted({r.get("agg") or "last" for r in self.rules.knob})
+        aggs, _ = knob.aggregates_used(self.rules.knob, self.rules.registry)
         values = knob.features(knob.lookup(event, knob_map), self.rules.registry, aggs)
         last = cut_lineage(skip.last_per_step(event))  # a row per wafer and step, read several times
         present = rule_tables.on_driver(last.select("vehicle", "step_id").distinct())

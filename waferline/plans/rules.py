@@ -106,7 +106,7 @@ def alert_miss_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def knob_values(rows: DataFrame) -> DataFrame:
-    aggs = sorted({r["agg"] or "last" for r in rulebook.dicts("knob_rules")})
+    aggs, _ = knob.aggregates_used(rulebook.dicts("knob_rules"), common.REGISTRY)
     return knob.features(rows, common.REGISTRY, aggs)
 
 
