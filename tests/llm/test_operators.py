@@ -78,7 +78,7 @@ def brute_components(rows):
     return {d: (len(s), find(d)) for d, s in sets.items()}
 
 
-@pytest.mark.parametrize("limits", [{}, {"LIST_PAIRS": 3}, {"LIST_PAIRS": 2, "SCAN_COST": 0}, {"SCAN_COST": 1000, "COMMON_SHARE": 1.0}])
+@pytest.mark.parametrize("limits", [{}, {"LIST_PAIRS": 3}, {"LIST_PAIRS": 2, "SCAN_COST": 0}, {"SCAN_COST": 1000, "MOST_COMMON": 0}, {"LIST_PAIRS": 2, "MOST_COMMON": 0, "CARRIED": 2}])
 def test_jaccard(docs, monkeypatch, limits):
     for name, value in limits.items():
         monkeypatch.setattr(jaccard, name, value)
