@@ -123,6 +123,22 @@ def test_suffix_dedup_odd_rows(odd, none):
     assert all(len(r["kept"]) == r["n_bytes"] for r in found if r["n_bytes"] < 100)
 
 
+def test_flooded_marks_stay_whole(spark, monkeypatch):
+    """Two runs with one side in common, one in the rows that flood a mark and one batches later."""
+    monkeypatch.setattr(suffix, "MARK_ROWS", 25)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        near = [(1000 + i) << 32 | (5000 + i) for i in range(200)]
+        near[96] = (1000 + 4) << 32 | 5096
+        # mark 7 has 100 runs; of the 20 of mark 8 the last two share a side, and those of mark 9 nothing
+        near[119] = near[118] & ~0xFFFFFFFF | 1
+        rows = [(7 + (i >= 100) + (i >= 120), 1, i, i, 0, 0, 150, n) for i, n in enumerate(near[:140])]
+        got = {r["content"] for r in suffix._sift(spark.createDataFrame(rows, suffix._RUN)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == {*range(100), 118, 119}
+
+
 def token_ids(rows):
     from tokenizers import Tokenizer
 

@@ -156,7 +156,8 @@ def _sift(runs: DataFrame) -> DataFrame:
             mark, kind, content = (rows.column(i).to_numpy() for i in range(3))
             cut, all_of = len(mark), {flood}
             if batch is not None:
-                cut, flood = int(np.searchsorted(mark, mark[-1])), None
+                if int(mark[-1]) != flood:  # a flooded mark stays one until its last row
+                    cut, flood = int(np.searchsorted(mark, mark[-1])), None
                 if len(mark) - cut > MARK_ROWS:  # its rows go on unsifted, so that no more of them wait here
                     cut, flood = len(mark), int(mark[-1])
                     all_of.add(flood)
