@@ -6,7 +6,8 @@ large, in memory once it is small. All other suffixes are then induced in two sc
 suffixes come out, each hands the one before it to the queue of that one's first character, together with
 the prefix it shares with the last one handed there. As suffixes come out in order, a queue per character
 that keeps its own order is a priority queue over (character, rank). Queues live on disk beyond a small
-buffer, and a text may be a memory-mapped file, so memory doesn't grow with the text.
+buffer, and a text may be a memory-mapped file. The LMS positions of a text, their names, order and shared
+prefixes are arrays in memory, some 40 bytes for each byte of text in all (README), and grow with the text.
 """
 
 from __future__ import annotations

@@ -29,7 +29,7 @@ LENGTH = 100
 ANCHOR = 24
 #: Longest run of windows in one row; longer ones are cut, which leaves every window in one row.
 RUN = 400
-#: Bytes of a shard that one task sorts, on average; memory doesn't depend on it.
+#: Bytes of a shard that one task sorts, on average; a task's memory grows with its shard (README).
 SHARD_BYTES = 4 << 20
 #: Rows of one mark that a task looks at together; more of them all stay.
 MARK_ROWS = 50_000
