@@ -238,6 +238,15 @@ def test_mixing(docs, odd, none):
     assert mixing.mix_documents(odd).count() == odd.count() and mixing.mix_documents(none).collect() == []
 
 
+def test_mixing_makes_up_for_long_documents(spark):
+    rows = [(i, "w " * 100, "a") for i in range(1000)] + [(2000, "w " * 500_000, "a")]
+    # a second source, of weight 2, brings the first one's target to 1.1 of its size
+    rows += [(3000, "w " * 1_380_000, "b")]
+    found = mixing.mix_documents(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).where("doc_id < 3000").collect()
+    target = found[0]["target"]
+    assert target == pytest.approx(660_000) and abs(sum(r["taken"] for r in found) - target) <= 0.001 * target
+
+
 def test_targets_stop_at_three_times_the_size(spark):
     table = spark.createDataFrame([("sa", 1000, 5), ("sb", 10, 5), ("sc", 10, 5), ("sd", 0, 5)], "skey string, source_size bigint, n bigint")
     got = {r["skey"]: r["target"] for r in mixing.targets(table).collect()}

@@ -3,7 +3,8 @@
 Each source has a target of words. Document rates start at 1 and are tilted exponentially by the document's
 size, ``rate = min(MOST, exp(dual * size / mean size))``, with one dual variable per source: the rates with
 the least relative entropy to 1 whose words meet the targets. Newton steps on the convex dual, each one
-aggregate over a table of sizes, find the duals. Rates are then rounded into whole copies.
+aggregate over a table of sizes, find the duals. Rates are then rounded into whole copies: those of the
+largest documents first, then the others are solved again for what these leave of the target.
 DataFrame functions only.
 """
 
@@ -18,7 +19,7 @@ from waferline.session import cut_lineage
 
 #: A document is taken so many times at most, and a source's target is at most so many times its size.
 MOST = 3
-#: Documents per source that even out what rounding leaves; all of a source with fewer.
+#: Documents per source that even out what rounding leaves, half of them its largest; all of a source with fewer.
 EVENING_DOCS = 256
 TOLERANCE = 1e-9
 MOST_ROUNDS = 60
@@ -37,7 +38,10 @@ def source_key(source: Column) -> Column:
 
 @dataclass
 class Mix:
-    """``sources``: skey, source_size, target, mean, dual. ``even``: copies of the documents that even out."""
+    """``sources``: skey, source_size, target, mean, dual. ``even``: copies of the documents that even out.
+
+    Mean and dual are those of the documents that are not among the largest.
+    """
 
     sources: DataFrame
     even: DataFrame
@@ -84,7 +88,7 @@ def solve_duals(sizes: DataFrame, sources: DataFrame) -> DataFrame:
     # in units of words a full or empty source has nothing to solve
     needs = (F.col("source_size") > 0) & (F.col("target") < MOST * F.col("source_size") * (1 - 1e-12)) & (F.col("target") > 0)
     none = F.lit(None).cast("double")
-    start = F.when(needs, F.log(F.col("target") / F.col("source_size"))).otherwise(F.when(F.col("target") > 0, F.lit(1e9)).otherwise(F.lit(0.0)))
+    start = F.when(needs, F.log(F.col("target") / F.col("source_size"))).otherwise(F.when(F.col("target") > 0, F.lit(1e9)).otherwise(F.lit(-1e9)))
     state = sources.withColumn("mean", mean).withColumn("open", needs)
     state = cut_lineage(state.withColumn("dual", start).withColumn("low", none).withColumn("high", none))
     for _ in range(MOST_ROUNDS):
@@ -116,39 +120,68 @@ def _draw(*parts: Column) -> Column:
 def solve(rows: DataFrame) -> Mix:
     """The mix for rows of doc_id, skey, size.
 
-    A rate is rounded up with the odds of its fraction, by a hash of the document, so reruns agree. Up to
-    ``EVENING_DOCS`` documents of each source, picked by the same kind of hash, are left for last: from the
-    largest to the smallest they take the copies that come nearest to what is still wanted. In a source of
-    no more documents all are such, so that its words miss the target by half its smallest documents.
+    The ``EVENING_DOCS // 2`` largest units of a source (rows that repeat a document are one) are rounded
+    first, from the largest on: each takes the copies that come nearest to what is still wanted. No draw makes
+    up for such a one, so the rates of all others are solved again for the words that these leave. Those are
+    rounded up with the odds of the rate's fraction, by a hash of the document, so reruns agree. As many more of
+    them, picked by the same kind of hash, are left for last and even out the rest like the largest. In a source
+    of no more than ``EVENING_DOCS`` documents all are such, so that its words miss the target by half its
+    smallest documents.
     """
     units = cut_lineage(rows.groupBy("skey", "doc_id", "size").agg(F.count("*").alias("times")))
     sizes = cut_lineage(units.groupBy("skey", "size").agg(F.sum("times").alias("n")))
     sources = targets(sizes.groupBy("skey").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"), F.sum("n").alias("n")))
     solved = solve_duals(sizes, sources)
-    pick = Window.partitionBy("skey").orderBy(F.xxhash64(F.lit("even"), "doc_id", "size"), "doc_id", "size")
-    chosen = units.where("size > 0").withColumn("place", F.row_number().over(pick)).where(F.col("place") <= EVENING_DOCS)
-    chosen = cut_lineage(chosen.drop("place"))
-    tilted = units.join(solved, "skey").withColumn("rate", rate(F.col("dual"), F.col("size"), F.col("mean")))
     words = F.col("times") * F.col("size")
-    all_taken = tilted.groupBy("skey").agg(F.sum(words * _copies()).alias("taken"))
-    picked = chosen.join(solved, "skey").withColumn("rate", rate(F.col("dual"), F.col("size"), F.col("mean")))
-    each = F.struct(words.alias("words"), "doc_id", "size", "rate", _copies().alias("copies"))
-    lists = picked.groupBy("skey", "target").agg(F.sort_array(F.collect_list(each), asc=False).alias("docs"))
-    lists = lists.join(all_taken, "skey")
-    planned = F.aggregate("docs", F.lit(0.0), lambda a, d: a + d["words"] * d["rate"])
-    given = F.aggregate("docs", F.lit(0).cast("bigint"), lambda a, d: a + d["words"] * d["copies"])
-    lists = lists.withColumn("want", F.col("target") - (F.col("taken") - given) - planned)
-    kind = "struct<want:double,done:array<struct<doc_id:bigint,size:bigint,copies:bigint>>>"
-    start = F.struct(F.col("want").alias("want"), F.array().cast("array<struct<doc_id:bigint,size:bigint,copies:bigint>>").alias("done")).cast(kind)
+    hashed = F.xxhash64(F.lit("even"), "doc_id", "size")
+    most = Window.partitionBy("skey").orderBy(words.desc(), hashed, "doc_id", "size")
+    large = cut_lineage(_first(units, most, EVENING_DOCS // 2))
+    done = cut_lineage(_round(_rated(large, solved), solved.select("skey", F.lit(0.0).alias("want"))))
+    # what is left for the others: sources, targets and sizes without the largest
+    given = done.join(large, _same(done, large)).groupBy("e_skey").agg(F.sum(words * F.col("even_copies")).alias("given"), F.sum(words).alias("large_size"), F.sum("times").alias("large_n"))
+    given = given.withColumnRenamed("e_skey", "skey")
+    none = lambda c: F.coalesce(c, F.lit(0))
+    left = sources.join(given, "skey", "left").select("skey", (F.col("source_size") - none("large_size")).alias("source_size"), (F.col("n") - none("large_n")).alias("n"), F.greatest(F.col("target") - none("given"), F.lit(0.0)).alias("target"))
+    lost = large.groupBy("skey", "size").agg(F.sum("times").alias("gone"))
+    fewer = sizes.join(lost, ["skey", "size"], "left").select("skey", "size", (F.col("n") - none("gone")).alias("n")).where("n > 0")
+    again = solve_duals(fewer, cut_lineage(left))
+    rest = units.join(done, _same(done, units), "left_anti")
+    chosen = cut_lineage(_first(rest, Window.partitionBy("skey").orderBy(hashed, "doc_id", "size"), EVENING_DOCS - EVENING_DOCS // 2))
+    all_taken = _rated(rest, again).groupBy("skey").agg(F.sum(words * _copies()).alias("taken"))
+    picked = _rated(chosen, again).groupBy("skey").agg(F.sum(words * _copies()).alias("drawn"), F.sum(words * F.col("rate")).alias("planned"))
+    want = again.join(all_taken, "skey").join(picked, "skey").select("skey", (F.col("target") - (F.col("taken") - F.col("drawn")) - F.col("planned")).alias("want"))
+    even = done.unionByName(_round(_rated(chosen, again), want))
+    final = solved.select("skey", "source_size", "target").join(again.select("skey", "mean", "dual"), "skey")
+    return Mix(cut_lineage(final), cut_lineage(even))
+
+
+def _first(units: DataFrame, order: Window, count: int) -> DataFrame:
+    """Of each source the first ``count`` units with words."""
+    return units.where("size > 0").withColumn("place", F.row_number().over(order)).where(F.col("place") <= count).drop("place")
+
+
+def _rated(units: DataFrame, solved: DataFrame) -> DataFrame:
+    return units.join(solved.select("skey", "mean", "dual"), "skey").withColumn("rate", rate(F.col("dual"), F.col("size"), F.col("mean")))
+
+
+def _round(units: DataFrame, want: DataFrame) -> DataFrame:
+    """e_skey, e_doc, e_size, even_copies: from the largest on, the copies that come nearest to what is planned and wanted."""
+    each = F.struct((F.col("times") * F.col("size")).alias("words"), "doc_id", "size", "rate")
+    lists = units.groupBy("skey").agg(F.sort_array(F.collect_list(each), asc=False).alias("docs")).join(want, "skey")
+    kind = "struct<want:double,done:array<struct<e_doc:bigint,e_size:bigint,even_copies:bigint>>>"
+    start = F.struct(F.col("want").alias("want"), F.array().cast("array<struct<e_doc:bigint,e_size:bigint,even_copies:bigint>>").alias("done")).cast(kind)
 
     def take(a: Column, d: Column) -> Column:
         due = a["want"] + d["words"] * d["rate"]
         copies = F.least(F.greatest(F.round(due / d["words"]), F.lit(0.0)), F.lit(float(MOST))).cast("bigint")
-        done = F.concat(a["done"], F.array(F.struct(d["doc_id"].alias("doc_id"), d["size"].alias("size"), copies.alias("copies"))))
+        done = F.concat(a["done"], F.array(F.struct(d["doc_id"].alias("e_doc"), d["size"].alias("e_size"), copies.alias("even_copies"))))
         return F.struct((due - copies * d["words"]).alias("want"), done.alias("done")).cast(kind)
 
-    even = lists.select("skey", F.inline(F.aggregate("docs", start, take)["done"]))
-    return Mix(solved, cut_lineage(even.withColumnRenamed("copies", "even_copies")))
+    return lists.select(F.col("skey").alias("e_skey"), F.inline(F.aggregate("docs", start, take)["done"]))
+
+
+def _same(even: DataFrame, rows: DataFrame) -> Column:
+    return (rows["skey"] == even["e_skey"]) & rows["doc_id"].eqNullSafe(even["e_doc"]) & (rows["size"] == even["e_size"])
 
 
 def _copies() -> Column:
@@ -162,10 +195,8 @@ def add_copies(rows: DataFrame, mix: Mix) -> DataFrame:
     The table of sources and that of the documents that even out hold a row, and at most ``EVENING_DOCS``
     rows, per source.
     """
-    even = mix.even.select(F.col("skey").alias("e_skey"), F.col("doc_id").alias("e_doc"), F.col("size").alias("e_size"), "even_copies")
     out = rows.join(mix.sources, "skey").withColumn("rate", rate(F.col("dual"), F.col("size"), F.col("mean")))
-    same = (out["skey"] == even["e_skey"]) & out["doc_id"].eqNullSafe(even["e_doc"]) & (out["size"] == even["e_size"])
-    out = out.join(even, same, "left")
+    out = out.join(mix.even, _same(mix.even, out), "left")
     return out.withColumn("copies", F.coalesce("even_copies", _copies())).drop("mean", "dual", "rate", "e_skey", "e_doc", "e_size", "even_copies")
 
 
