@@ -327,6 +327,11 @@ def test_classifiers(spark, none, module, column, modulus, held):
     assert module.classify(none, labels).collect() == [] and module.classify(docs, labels.limit(0)).count() == 403
 
 
+def test_shouting_is_judged_on_the_whole_text():
+    texts = ["x" * 2000 + "X" * 4000, "X" * 2000 + "x" * 18_000, "X" * 50]
+    assert toxicity._votes(np.ones((3, 1), np.float32), texts)[:, 4].tolist() == [1, 0, 1]
+
+
 def test_label_model_finds_the_good_voters():
     rng = np.random.default_rng(0)
     y = rng.random(3000) < 0.3

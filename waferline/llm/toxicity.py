@@ -214,7 +214,7 @@ def _votes(lexicon: np.ndarray, texts: list[str]) -> np.ndarray:
     """Lexicon entries vote for; patterns over them and over the text vote both ways."""
     hits = lexicon.sum(axis=1)
     size = np.array([max(len(t), 1) for t in texts])
-    shouting = np.array([sum(c.isupper() for c in t[:2000]) / max(len(t[:2000]), 1) for t in texts])
+    shouting = np.array([sum(c.isupper() for c in t) / max(len(t), 1) for t in texts])
     patterns = [
         np.where(hits >= 1, 1, -1),
         np.where(hits >= 2, 1, np.where(hits == 0, -1, 0)),
