@@ -212,6 +212,18 @@ def test_top_k(spark, monkeypatch):
     assert topk.top_k(few, few.where("vec_id = 0")).count() == 2
 
 
+def test_top_k_of_large_components(spark):
+    vectors = [(0, [1.0, 0.0]), (1, [600_000.0, 0.0]), (2, [700_000.0, 0.0]), (3, [2.0**40, 1.0]), (4, [-(2.0**41), 0.0])]
+    rows = topk.cut_lineage(topk.quantised(spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>")))
+    got = [(r["vec_id"], r["score"]) for r in topk.top_k(rows, rows.where("vec_id = 0"), 4).orderBy("rank").collect()]
+    assert got == [(3, 1 << 56), (2, 700_000 << 16), (1, 600_000 << 16), (4, -(1 << 57))]
+    big = np.array([[1 << 40, 1]], np.int64)
+    with pytest.raises(OverflowError):
+        topk.exact_scores(big, big)
+    with pytest.raises(Exception, match="64 bits"):
+        topk.quantised(spark.createDataFrame([(0, [1e300])], "vec_id bigint, embedding array<double>")).collect()
+
+
 def test_mixing(docs, odd, none):
     rows = mixing.mix_documents(docs).collect()
     again = {r["doc_id"]: r["taken"] for r in mixing.mix_documents(docs.repartition(3)).collect()}

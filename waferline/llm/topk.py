@@ -24,8 +24,6 @@ BLOCK_ROWS = 4096
 BLOCK_QUERIES = 128
 #: Shares of the lists after which the bounds are compared; near the middle most candidates fall.
 DEPTHS = (0.2, 0.3, 0.4, 0.5, 0.6, 0.75, 1.0)
-#: Scaled components stay within this, so that sums fit 64 bits: larger ones count as this much.
-MOST = 1 << 27
 #: Stands for a null id in blocks, and sorts last.
 NO_ID = 1 << 62
 
@@ -43,7 +41,7 @@ def read_lists(x: np.ndarray, order: np.ndarray, q: np.ndarray, k: int) -> tuple
     seen_top, seen_low = np.zeros((n, d), bool), np.zeros((n, d), bool)
     high, low = x[order[:, -1], np.arange(d)], x[order[:, 0], np.arange(d)]
     gone = np.zeros(n, bool)
-    slack = 1e-12 * np.abs(q).sum(axis=1) * (np.abs(x).max() if n else 0)  # more than rounding can take
+    slack = 1e-12 * np.abs(q.astype(np.float64)).sum(axis=1) * (np.abs(x).max() if n else 0)  # more than rounding can take
     at = 0
     for share in DEPTHS:
         to = max(at, int(np.ceil(share * n)))
@@ -74,17 +72,27 @@ def read_lists(x: np.ndarray, order: np.ndarray, q: np.ndarray, k: int) -> tuple
     return query, alive[candidate]
 
 
+def exact_scores(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Inner products of rows of 64-bit integers; an error where one doesn't fit 64 bits."""
+    score = np.einsum("ij,ij->i", x, q)  # modulo 2**64, so right wherever the sum itself fits
+    most = np.einsum("ij,ij->i", np.abs(x.astype(np.float64)), np.abs(q.astype(np.float64)))
+    for i in np.flatnonzero(most >= 2.0**62):
+        if sum(a * b for a, b in zip(x[i].tolist(), q[i].tolist())) != int(score[i]):
+            raise OverflowError("an inner product doesn't fit 64 bits")
+    return score
+
+
 def block_top(x: np.ndarray, order: np.ndarray, ids: np.ndarray, q: np.ndarray, q_rows: np.ndarray, rows: np.ndarray, k: int):
     """The k best of one block for each query: query row, candidate id, score; a query's own row is left out."""
     # one more than k, since a query may meet itself
-    query, candidate = read_lists(x, order, q, k + 1)
+    query, candidate = read_lists(x.astype(np.float64), order, q, k + 1)
     score = np.empty(len(query), np.int64)
     for at in range(0, len(query), 20_000):
         to = slice(at, at + 20_000)
-        score[to] = np.einsum("ij,ij->i", x[candidate[to]].astype(np.int64), q[query[to]].astype(np.int64))
+        score[to] = exact_scores(x[candidate[to]], q[query[to]])
     own = q_rows[query] == rows[candidate]
     query, candidate, score = query[~own], candidate[~own], score[~own]
-    best = np.lexsort((rows[candidate], ids[candidate], -score, query))
+    best = np.lexsort((rows[candidate], ids[candidate], ~score, query))
     query, candidate, score = query[best], candidate[best], score[best]
     first = np.searchsorted(query, query)
     keep = np.arange(len(query)) - first < k
@@ -113,7 +121,7 @@ def _blocks(rows: DataFrame, count: int, width: int) -> DataFrame:
                     yield out()
                 if b != block:
                     block, held = b, {"row": [], "id": [], "x": []}
-                x = np.zeros(width, np.int32)
+                x = np.zeros(width, np.int64)
                 part = vectors[i].values.to_numpy()
                 x[: len(part)] = part
                 held["row"].append(numbers[i])
@@ -130,12 +138,13 @@ def _blocks(rows: DataFrame, count: int, width: int) -> DataFrame:
 def quantised(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", scale: int = 256) -> DataFrame:
     """row_id, vec_id and x = floor(scale * component); vectors that are null or hold a null or non-finite component go.
 
-    Null ids stay candidates. Components beyond ``MOST`` count as ``MOST``.
+    Null ids stay candidates. A scaled component that doesn't fit 64 bits is an error.
     """
     part = F.transform(F.col(vector_column), lambda v: v.cast("double"))
     finite = F.forall("v", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
     rows = vectors.select(F.col(id_column).cast("bigint").alias("vec_id"), part.alias("v")).where(F.col("v").isNotNull() & finite)
-    x = F.transform("v", lambda v: F.least(F.greatest(F.floor(F.lit(float(scale)) * v), F.lit(-MOST)), F.lit(MOST)).cast("int"))
+    fits = lambda v: F.when(F.abs(F.lit(float(scale)) * v) < 2.0**63, v).otherwise(F.raise_error(F.lit("a scaled component doesn't fit 64 bits")).cast("double"))
+    x = F.transform("v", lambda v: F.floor(F.lit(float(scale)) * fits(v)).cast("bigint"))
     return rows.select(F.monotonically_increasing_id().alias("row_id"), "vec_id", x.alias("x"))
 
 
@@ -164,10 +173,10 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
                 if block != kept:
                     kept = block
                     numbers, ids = (np.frombuffer(batch.column(c)[i].as_py(), np.int64) for c in (1, 2))
-                    x = np.frombuffer(batch.column(3)[i].as_py(), np.int32).reshape(len(ids), width).astype(np.float64)
+                    x = np.frombuffer(batch.column(3)[i].as_py(), np.int64).reshape(len(ids), width)
                     order = np.ascontiguousarray(np.argsort(x, axis=0, kind="stable").T)
                 q_rows, q_ids = (np.frombuffer(batch.column(c)[i].as_py(), np.int64) for c in (4, 5))
-                q = np.frombuffer(batch.column(6)[i].as_py(), np.int32).reshape(len(q_ids), width)
+                q = np.frombuffer(batch.column(6)[i].as_py(), np.int64).reshape(len(q_ids), width)
                 query, candidate, score = block_top(x, order, ids, q, q_rows, numbers, k)
                 yield record_batch(schema, [q_rows[query], q_ids[query], numbers[candidate], ids[candidate], score])
 
