@@ -370,3 +370,21 @@ def test_pipeline_stages(spark, docs, odd, none, tmp_path):
     classes = brute_components(corpus())
     kept = {r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()}
     assert kept == {d for d, (n, c) in classes.items() if n == 0 or c == d}
+
+
+def test_words_that_share_power_of_two_hashes(spark):
+    """Thue-Morse words: their polynomials agree modulo every power of two."""
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, f"{word} {other}"), (2, f"x {word}"), (3, f"x {other}"), (4, word), (5, other)]
+    table = spark.createDataFrame([(*r, "en", "s", 0, "", "", "") for r in rows], SCHEMA)
+    want = {d: zlib.crc32(ids.tobytes()) for d, ids in token_ids(rows)}
+    assert {r["doc_id"]: r["ids_crc32"] for r in token_files.read_files(token_files.write_files(table, queries.vocabulary())).collect()} == want
+    assert {r["doc_id"]: r["ids_crc32"] for r in packing.pack(packing.token_pieces(table, queries.vocabulary())).collect()} == want
+    assert {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(table).collect()} == {d: d for d in want}
+    prints = {r["doc_id"]: r["fingerprint"] for r in simhash.add_fingerprint(table).collect()}
+    assert prints[2] != prints[3] and prints[4] != prints[5]
+    hashes = [toxicity._word_hash(w) for w in (word, other)]
+    assert hashes[0] != hashes[1]

@@ -115,3 +115,34 @@ def test_suffix_array_and_prefixes(base, spill):
         assert sorted(down) == list(range(len(t)))
         want = [0] + [min(limit, shared(t, a, b)) for a, b in zip(down, down[1:])]
         assert np.concatenate([x for _, x in out]).tolist() == want
+
+
+def test_thue_morse_words_differ():
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    data = np.frombuffer(f"{word} {other}".encode(), np.uint8)
+    starts, ends, _ = words.spans(data, np.array([0, len(data)]))
+    left, right = words.word_hashes(data, starts, ends).tolist()
+    assert left != right
+
+
+def test_hashes_do_not_depend_on_place_or_chunk(monkeypatch):
+    data = np.frombuffer(b"some words of a text that stands twice, longest " * 2, np.uint8)
+    starts, ends, _ = words.spans(data, np.array([0, len(data)]))
+    whole = words.word_hashes(data, starts, ends)
+    assert (whole[: len(whole) // 2] == whole[len(whole) // 2 :]).all()
+    monkeypatch.setattr(words, "_CHUNK", 3)
+    monkeypatch.setattr(words, "_LONGEST", 5)
+    assert (words.word_hashes(data, starts, ends) == whole).all()
+
+
+def test_set_ids_do_not_depend_on_neighbours():
+    from waferline.llm.jaccard import set_ids
+
+    texts = [b"one two three four five six", b"a b c d e f g h", b"", b"one two three four five six"]
+    bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    ids = set_ids(*words.text_sets(np.frombuffer(b"".join(texts), np.uint8), bounds))
+    alone = [set_ids(*words.text_sets(np.frombuffer(t, np.uint8), np.array([0, len(t)])))[0] for t in texts]
+    assert ids.tolist() == alone and ids[0] == ids[3] and len(set(alone)) == 3

@@ -79,7 +79,8 @@ def choose_boundary(sizes: dict[int, int], percent: int = PERCENT) -> int:
 
 def set_ids(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """One 64-bit id per set, the same for equal sets."""
-    sums = np.concatenate([[0], np.cumsum(mix(values + np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)]).astype(np.uint64)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(mix(values + np.uint64(0x5851F42D4C957F2D)), out=sums[1:])
     return mix(sums[bounds[1:]] - sums[bounds[:-1]] + np.diff(bounds).astype(np.uint64)).view(np.int64)
 
 
@@ -304,7 +305,7 @@ def _likely(found: DataFrame, percent: int) -> DataFrame:
     return pairs.where(F.col("shared") + more + rest >= need).select("a", "b", "shared")
 
 
-def _texts(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+def packed_texts(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(set_id, packed) of one text of each wanted set."""
     schema = _schema("set_id bigint, packed binary")
 
@@ -358,21 +359,21 @@ def compare(texts: DataFrame, pairs: DataFrame, words: int, percent: int) -> Dat
     return both.select("a", "b", "left", "right").mapInArrow(check, "a bigint, b bigint")
 
 
-def _apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs whose sets are not in one component."""
     left, right = (classes.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in ("a", "b"))
     both = pairs.join(left, "a", "left").join(right, "b", "left")
     return both.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select(*pairs.columns)
 
 
-def _link_up(texts: DataFrame, pairs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
+def link_up(texts: DataFrame, pairs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """The components with the links among ``pairs`` (a, b, shared) added.
 
     Pairs within a component need no look. In each of the first rounds every set meets the one it shares
     most with among those of other components; in the last round all pairs that are still apart are compared.
     """
     for number in range(LINK_ROUNDS):
-        pairs = cut_lineage(_apart(pairs, classes))
+        pairs = cut_lineage(apart(pairs, classes))
         if pairs.isEmpty():
             break
         chosen = pairs
@@ -430,7 +431,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     """
     common, sizes = survey(docs, words)
     boundary = choose_boundary(sizes, percent)
-    rows = cut_lineage(_members(docs, words))
+    rows = cut_lineage(members(docs, words))
     listed = entries(docs, common, boundary, words, percent)
     links = []
     if boundary:
@@ -440,11 +441,16 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     links = links[0] if links else pairs.select("a", "b").limit(0)
     long_ = cut_lineage(found.where("token IS NOT NULL").select("token", F.col("a").alias("set_id"), "n", "pos"))
     wanted = reduce(DataFrame.unionByName, [pairs.select(F.col(c).alias("set_id")) for c in ("a", "b")] + [long_.select("set_id")])
-    texts = cut_lineage(_texts(docs, wanted.distinct(), words))
-    classes = _link_up(texts, pairs, cut_lineage(components(links)), words, percent)
+    texts = cut_lineage(packed_texts(docs, wanted.distinct(), words))
+    classes = link_up(texts, pairs, cut_lineage(components(links)), words, percent)
     if not long_.isEmpty():
         more = cut_lineage(_rest(long_, classes, boundary, percent))
-        classes = _link_up(texts, more, classes, words, percent)
+        classes = link_up(texts, more, classes, words, percent)
+    return labelled(rows, classes)
+
+
+def labelled(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, set_id of the members, by the components of their sets."""
     rooted = rows.join(classes.select(F.col("node").alias("set_id"), "root"), "set_id", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "set_id"))
     least = rooted.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
@@ -452,7 +458,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), "set_id")
 
 
-def _members(docs: DataFrame, words: int) -> DataFrame:
+def members(docs: DataFrame, words: int) -> DataFrame:
     schema = _schema(_MEMBER)
 
     def size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waferline.llm import jaccard, mixing, packing, quality, simhash, suffix, token_files, topk, toxicity, urls
+from waferline.llm import conversations, jaccard, minhash, mixing, packing, quality, simhash, spelling, suffix, token_files, topk, toxicity, urls
 from waferline.llm.common import table
 from waferline.session import cut_lineage
 
@@ -69,6 +69,18 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(table(spark, sf_dir, "conversations"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
@@ -80,6 +92,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_token_files": op9_token_files,
     "op10_jaccard": op10_jaccard,
+    "op11_minhash": op11_minhash,
+    "op12_conversations": op12_conversations,
+    "op13_spelling": op13_spelling,
 }
 _OP4 = """WITH v AS (
     SELECT vec_id, list_transform(embedding, lambda e: CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT)) AS x FROM embeddings

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
 from waferline.llm.common import documents, fold, labelled_sample, text_blocks
-from waferline.llm.words import mix, powers, spans
+from waferline.llm.words import mix, raw_hashes, spans
 
 #: Labelled documents that the models are fitted on, half of each class as far as there are any.
 FIT_ROWS = 6000
@@ -64,15 +64,10 @@ def term_hashes(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarr
     if not len(starts):
         return
     row = np.repeat(np.arange(len(bounds) - 1), np.diff(counts))
-    up, down = powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((plain.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
-    size = ends - starts
-    yield mix((sums[ends] - sums[starts]) * down[starts] + np.uint64(77)), row
+    yield mix(raw_hashes(plain, starts, ends) + np.uint64(77)), row
     for length in BEGINNINGS:
-        long_ = size > length
-        a = starts[long_]
-        yield mix((sums[a + length] - sums[a]) * down[a] + np.uint64(length)), row[long_]
+        long_ = ends - starts > length
+        yield mix(raw_hashes(plain, starts[long_], starts[long_] + length) + np.uint64(length)), row[long_]
 
 
 def _word_hash(word: str) -> np.uint64:

@@ -1,7 +1,9 @@
 """Words of many texts at once: positions, 64-bit hashes, shingles.
 
-Hashes are polynomials over the bytes modulo 2**64, taken from running sums, and mixed at the end. Two
-different words or shingles share a hash with odds of about 1 in 2**64.
+A word's hash is its polynomial over the bytes modulo two primes below 2**31, taken from running sums, and
+mixed at the end. Polynomials modulo a power of two would not do: words of the Thue-Morse sequence share
+their value for every base. Two different words of n bytes share a hash for at most n**2 in 2**62 of all
+bases. A shingle combines the mixed hashes of its words modulo 2**64.
 """
 
 from __future__ import annotations
@@ -17,6 +19,9 @@ LOWER[65:91] += 32
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _CHUNK = 1 << 20
+_LONGEST = 1 << 23
+#: The two largest primes below 2**31, each with a base.
+_PRIMES = ((2147483647, 1_203_478_921), (2147483629, 811_596_743))
 _tables: dict[str, np.ndarray] = {}
 
 
@@ -59,19 +64,49 @@ def spans(data: np.ndarray, bounds: np.ndarray, apart: np.ndarray = IS_SPACE) ->
     return starts, ends, np.searchsorted(starts, bounds)
 
 
+def _prime_powers(n: int) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """For each prime: itself, its base, and at least ``n`` powers of the base and of its inverse."""
+    if "primes" not in _tables or len(_tables["primes"][0][2]) < n:
+        _tables["primes"] = []
+        for prime, base in _PRIMES:
+            both = []
+            for b in (base, pow(base, -1, prime)):
+                table = np.ones(1, _U)
+                while len(table) < max(n, _CHUNK + 1024):
+                    table = np.concatenate([table, table * _U(pow(b, len(table), prime)) % _U(prime)])
+                both.append(table)
+            _tables["primes"].append((prime, base, *both))
+    return _tables["primes"]
+
+
 def raw_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes of ``data[start:end]`` for sorted starts; chunk by chunk, so that memory stays small."""
-    out = np.empty(len(starts), _U)
+    """Hashes of ``data[start:end]`` for sorted starts; chunk by chunk, so that memory stays small.
+
+    A running sum stays below 2**64 over ``_LONGEST`` bytes; a longer word is summed piece by piece.
+    """
+    out = np.zeros(len(starts), _U)
+    longer = np.flatnonzero(ends - starts > _LONGEST)
+    plain = np.flatnonzero(ends - starts <= _LONGEST) if len(longer) else np.arange(len(starts))
     low = 0
-    while low < len(starts):
-        high = max(low + 1, int(np.searchsorted(starts, starts[low] + _CHUNK)))
-        base, top = int(starts[low]), int(ends[low:high].max())
-        up, down = powers(top - base + 1)
+    while low < len(plain):
+        first = starts[plain[low]]
+        high = max(low + 1, int(np.searchsorted(starts[plain], first + _CHUNK)))
+        own = plain[low:high]
+        base, top = int(first), int(ends[own].max())
+        values = data[base:top].astype(_U) + _U(1)
+        s, e = starts[own] - base, ends[own] - base
         sums = np.zeros(top - base + 1, _U)
-        np.cumsum((data[base:top].astype(_U) + _U(1)) * up[: top - base], out=sums[1:])
-        s, e = starts[low:high] - base, ends[low:high] - base
-        out[low:high] = (sums[e] - sums[s]) * down[s]
+        for k, (prime, _, up, down) in enumerate(_prime_powers(top - base + 1)):
+            np.cumsum(values * up[: top - base], out=sums[1:])
+            out[own] |= ((sums[e] - sums[s]) % _U(prime) * down[s] % _U(prime)) << _U(31 * k)
         low = high
+    for i in longer.tolist():
+        for k, (prime, base, up, _) in enumerate(_prime_powers(_CHUNK)):
+            total = 0
+            for at in range(int(starts[i]), int(ends[i]), _CHUNK):
+                part = data[at : min(at + _CHUNK, int(ends[i]))].astype(_U) + _U(1)
+                total += int((part * up[: len(part)] % _U(prime)).sum()) * pow(base, at - int(starts[i]), prime)
+            out[i] |= _U(total % prime) << _U(31 * k)
     return out
 
 
