@@ -146,3 +146,25 @@ def test_set_ids_do_not_depend_on_neighbours():
     ids = set_ids(*words.text_sets(np.frombuffer(b"".join(texts), np.uint8), bounds))
     alone = [set_ids(*words.text_sets(np.frombuffer(t, np.uint8), np.array([0, len(t)])))[0] for t in texts]
     assert ids.tolist() == alone and ids[0] == ids[3] and len(set(alone)) == 3
+
+
+def test_parity_bitmaps_never_differ_more_than_the_sets():
+    from waferline.llm.jaccard import parities
+
+    rng = random.Random(3)
+    for size in (3, 40, 900, 9000):
+        pool = [words.mix(np.array([rng.getrandbits(63)], np.uint64))[0] for _ in range(size + size // 3)]
+        left, right = set(pool[:size]), set(pool[size // 3 :])
+        a, b = parities(np.array([*left, *right], np.uint64), np.array([0, len(left), len(left) + len(right)])).view(np.uint64)
+        assert 0 < int(np.bitwise_count(a ^ b).sum()) <= len(left ^ right)
+
+
+def test_few_and_many_links(spark, monkeypatch):
+    from waferline.llm import components
+
+    rng = random.Random(9)
+    links = spark.createDataFrame([(rng.randint(-500, 500), rng.randint(-500, 500)) for _ in range(450)], "a bigint, b bigint")
+    few = {r["node"]: r["root"] for r in components.components(links).collect()}
+    monkeypatch.setattr(components, "FEW_LINKS", -1)
+    assert few == {r["node"]: r["root"] for r in components.components(links).collect()} and len(set(few.values())) > 50
+    assert components.components(links.limit(0)).collect() == []

@@ -42,6 +42,8 @@ SCAN_COST = 8
 MOST_LIGHT = 24
 #: Rounds of comparing pairs; the last one compares all that are left.
 LINK_ROUNDS = 3
+#: 64-bit words of a set's parity bitmap; it tells sets of up to some 4,000 shingles apart.
+PARITY_WORDS = 32
 #: A set with more shingles in long lists does not carry them; its pairs are counted after the join.
 CARRIED = 64
 #: Shingles of sets that a task keeps while it compares pairs.
@@ -305,9 +307,20 @@ def _likely(found: DataFrame, percent: int) -> DataFrame:
     return pairs.where(F.col("shared") + more + rest >= need).select("a", "b", "shared")
 
 
+def parities(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Each set as a bitmap in which every shingle flips one bit, a row of ``PARITY_WORDS`` words a set.
+
+    The bitmaps of two sets differ in no more bits than the sets have shingles that only one of them has.
+    """
+    rows = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    flips = np.zeros((len(bounds) - 1, 64 * PARITY_WORDS), np.uint8)
+    np.add.at(flips, (rows, (values % np.uint64(64 * PARITY_WORDS)).astype(np.int64)), 1)
+    return np.packbits(flips & 1, axis=1, bitorder="little").view(np.int64)
+
+
 def packed_texts(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(set_id, packed) of one text of each wanted set."""
-    schema = _schema("set_id bigint, packed binary")
+    """(set_id, packed, parity) of one text of each wanted set."""
+    schema = pa.schema([("set_id", pa.int64()), ("packed", pa.binary()), ("parity", pa.list_(pa.int64()))])
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -315,12 +328,15 @@ def packed_texts(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
         packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for _, _, data, bounds in text_blocks(batch.column(0)):
-                ids = set_ids(*text_sets(data, bounds, words))
+                values, cuts = text_sets(data, bounds, words)
+                ids = set_ids(values, cuts)
                 _, first = np.unique(ids, return_index=True)
-                yield record_batch(schema, [ids[first], [packer.compress(data[bounds[i] : bounds[i + 1]].tobytes()) for i in first.tolist()]])
+                packed = [packer.compress(data[bounds[i] : bounds[i + 1]].tobytes()) for i in first.tolist()]
+                yield record_batch(schema, [ids[first], packed, list(parities(values, cuts)[first])])
 
-    packed = documents(docs).select("text").mapInArrow(squeeze, "set_id bigint, packed binary")
-    return packed.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min("packed").alias("packed"))
+    packed = documents(docs).select("text").mapInArrow(squeeze, "set_id bigint, packed binary, parity array<bigint>")
+    packed = packed.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min(F.struct("packed", "parity")).alias("one"))
+    return packed.select("set_id", "one.*")
 
 
 def compare(texts: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -386,10 +402,11 @@ def link_up(texts: DataFrame, pairs: DataFrame, classes: DataFrame, words: int,
     return classes
 
 
-def _rest(entries_: DataFrame, classes: DataFrame, boundary: int, percent: int) -> DataFrame:
+def _rest(entries_: DataFrame, classes: DataFrame, texts: DataFrame, boundary: int, percent: int) -> DataFrame:
     """(a, b, shared): pairs of long lists whose sets are not yet in one component and share enough.
 
-    In each list the sets outside of its largest component meet all those of other components. Sets carry
+    In each list the sets outside of its largest component meet all those of other components. A pair whose
+    parity bitmaps differ in more bits than two linked sets have shingles apart does not come out. Sets carry
     their shingles in long lists, so a pair comes once, in the first list it shares, and only if it shares
     enough of them; pairs of a set with very many such shingles come once for each list and are counted.
     What a pair shares in short lists need not be added: one that stands in any of those has been compared
@@ -402,7 +419,7 @@ def _rest(entries_: DataFrame, classes: DataFrame, boundary: int, percent: int)
     main = groups.groupBy("token").agg(F.max_by("root", F.struct("many", "root")).alias("main"), F.count("*").alias("groups"))
     mixed = cut_lineage(rows.join(main.where("groups > 1").select("token", "main"), "token"))
     held = mixed.groupBy("set_id").agg(F.collect_set("token").alias("held")).where(F.size("held") <= CARRIED)
-    mixed = mixed.join(held, "set_id", "left")
+    mixed = mixed.join(held, "set_id", "left").join(texts.select("set_id", "parity"), "set_id")
     l, r = mixed.where("root <> main").alias("l"), mixed.alias("r")
     low, high = F.least("l.n", "r.n"), F.greatest("l.n", "r.n")
     left = F.least(F.least("l.pos", "r.pos") + F.least(F.expr("l.n - l.pos"), F.expr("r.n - r.pos")), low)
@@ -412,6 +429,8 @@ def _rest(entries_: DataFrame, classes: DataFrame, boundary: int, percent: int)
     rest = F.ceil(F.lit(percent) * high / F.lit(100)) - 1
     both = F.array_intersect("l.held", "r.held")
     counted = F.col("l.held").isNull() | F.col("r.held").isNull()
+    apart = F.expr(" + ".join(f"bit_count(l.parity[{i}] ^ r.parity[{i}])" for i in range(PARITY_WORDS)))
+    on = on & (apart <= F.col("l.n") + F.col("r.n") - 2 * need)
     on = on & (counted | ((F.size(both) + rest >= need) & (F.array_min(both) == F.col("l.token"))))
     shared = F.when(counted, 1).otherwise(F.size(both)).alias("shared")
     met = l.join(r, on).select(F.least("l.set_id", "r.set_id").alias("a"), F.greatest("l.set_id", "r.set_id").alias("b"), (need - rest).alias("least"), shared)
@@ -444,7 +463,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     texts = cut_lineage(packed_texts(docs, wanted.distinct(), words))
     classes = link_up(texts, pairs, cut_lineage(components(links)), words, percent)
     if not long_.isEmpty():
-        more = cut_lineage(_rest(long_, classes, boundary, percent))
+        more = cut_lineage(_rest(long_, classes, texts, boundary, percent))
         classes = link_up(texts, more, classes, words, percent)
     return labelled(rows, classes)
 

@@ -169,21 +169,22 @@ class Classifier:
 
 def _counts(texts: list[str], y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct terms, and in how many texts of class 0 and of class 1 each stands."""
-    terms, classes = [], []
-    for low, high, data, bounds in text_blocks(pa.array(texts, pa.string())):
+    found, counts = np.empty(0, np.uint64), np.empty((0, 2), np.int64)
+    for low, _, data, bounds in text_blocks(pa.array(texts, pa.string()), 1 << 20):
         for hashes, row in term_hashes(data, bounds):
             if not len(hashes):
                 continue
             order = np.lexsort((row, hashes))
             h, r = hashes[order], row[order]
             keep = np.concatenate([[True], (h[1:] != h[:-1]) | (r[1:] != r[:-1])])
-            terms.append(h[keep])
-            classes.append(y[low + r[keep]])
-    if not terms:
-        return np.empty(0, np.uint64), np.empty(0), np.empty(0)
-    found, which = np.unique(np.concatenate(terms), return_inverse=True)
-    classes = np.concatenate(classes)
-    return found, np.bincount(which[classes == 0], minlength=len(found)), np.bincount(which[classes == 1], minlength=len(found))
+            terms, which = np.unique(h[keep], return_inverse=True)
+            both, places = np.unique(np.concatenate([found, terms]), return_inverse=True)
+            sums = np.zeros((len(both), 2), np.int64)
+            sums[places[: len(found)]] = counts
+            for c in (0, 1):
+                sums[places[len(found) :], c] += np.bincount(which[y[low + r[keep]] == c], minlength=len(terms))
+            found, counts = both, sums
+    return found, counts[:, 0], counts[:, 1]
 
 
 def _false_finds(clean: np.ndarray, toxic: np.ndarray, share: float) -> np.ndarray:
@@ -222,13 +223,18 @@ def _votes(lexicon: np.ndarray, texts: list[str]) -> np.ndarray:
 
 def _logistic(x: np.ndarray, target: np.ndarray, weight: np.ndarray, penalty: float = 0.1, rounds: int = 12) -> tuple[np.ndarray, float]:
     """Weights and bias of a penalised logistic regression on soft targets, by Newton steps."""
-    x = np.concatenate([x, np.ones((len(x), 1), np.float32)], axis=1)
-    w, ridge = np.zeros(x.shape[1]), np.full(x.shape[1], penalty)
+    w, ridge = np.zeros(x.shape[1] + 1), np.full(x.shape[1] + 1, penalty)
     ridge[-1] = 1e-3
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        curve = (weight * np.maximum(p * (1 - p), 1e-4)).astype(np.float32)
-        step = np.linalg.solve(((x * curve[:, None]).T @ x).astype(np.float64) + np.diag(ridge), x.T @ (weight * (p - target)) + ridge * w)
+        slope, curvature = ridge * w, np.diag(ridge)
+        for low in range(0, len(x), 512):  # a few rows at a time: the matrix itself is the largest thing held
+            own = slice(low, low + 512)
+            part = np.concatenate([x[own], np.ones((len(x[own]), 1), np.float32)], axis=1)
+            p = 1 / (1 + np.exp(-np.clip(part @ w, -30, 30)))
+            curve = (weight[own] * np.maximum(p * (1 - p), 1e-4)).astype(np.float32)
+            curvature += (part * curve[:, None]).T @ part
+            slope += part.T @ (weight[own] * (p - target[own]))
+        step = np.linalg.solve(curvature, slope)
         w -= step * min(1.0, 4.0 / max(np.abs(step).max(), 1e-9))
         if np.abs(step).max() < 1e-4:
             break
@@ -274,8 +280,6 @@ def fit(sample: list[tuple[str, int]], sizes: dict[int, int]) -> tuple[Classifie
     return Classifier(terms, w.astype(np.float64), bias), model
 
 
-
-
 def score(docs: DataFrame, model: Classifier, *more: str) -> DataFrame:
     """doc_id, text, the columns ``more`` as they are, and ``score`` between 0 and 1 of every whole text (null as empty)."""
     rows = documents(docs, *more)
