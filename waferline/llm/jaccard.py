@@ -10,13 +10,12 @@ over the sizes that the table holds.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 from itertools import combinations
 from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waferline.llm.common import documents, record_batch, text_blocks
@@ -42,8 +41,8 @@ SCAN_COST = 8
 MOST_LIGHT = 24
 #: Rounds of comparing pairs; the last one compares all that are left.
 LINK_ROUNDS = 3
-#: 64-bit words of a set's parity bitmap; it tells sets of up to some 4,000 shingles apart.
-PARITY_WORDS = 32
+#: 64-bit words of a set's parity bitmap; it tells unlike sets of up to some 2,000 shingles apart.
+PARITY_WORDS = 16
 #: A set with more shingles in long lists does not carry them; its pairs are counted after the join.
 CARRIED = 64
 #: Shingles of sets that a task keeps while it compares pairs.
@@ -87,7 +86,6 @@ def set_ids(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 _SURVEY = "kind int, value bigint, n bigint"
-_MEMBER = "doc_id bigint, set_id bigint, n bigint"
 _ENTRY = "token bigint, set_id bigint, n int, pos int, light boolean"
 _PAIR = "token bigint, a bigint, b bigint, n int, pos int"
 
@@ -318,9 +316,22 @@ def parities(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.packbits(flips & 1, axis=1, bitorder="little").view(np.int64)
 
 
+def differing_bits(left: str, right: str, words: int) -> Column:
+    """The number of bits in which two bitmap columns differ."""
+    return F.expr(" + ".join(f"bit_count({left}[{i}] ^ {right}[{i}])" for i in range(words)))
+
+
+def may_link(left: str, right: str, percent: int) -> Column:
+    """Whether the sizes and parity bitmaps of two aliased rows (n, parity) allow a link; true for all links."""
+    n, m = F.col(f"{left}.n"), F.col(f"{right}.n")
+    need = F.ceil(F.lit(percent) * (n + m) / F.lit(100 + percent))
+    sizes = 100 * F.least(n, m) >= percent * F.greatest(n, m)
+    return sizes & (differing_bits(f"{left}.parity", f"{right}.parity", PARITY_WORDS) <= n + m - 2 * need)
+
+
 def packed_texts(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(set_id, packed, parity) of one text of each wanted set."""
-    schema = pa.schema([("set_id", pa.int64()), ("packed", pa.binary()), ("parity", pa.list_(pa.int64()))])
+    """(set_id, packed) of one text of each wanted set."""
+    schema = _schema("set_id bigint, packed binary")
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -328,15 +339,12 @@ def packed_texts(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
         packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for _, _, data, bounds in text_blocks(batch.column(0)):
-                values, cuts = text_sets(data, bounds, words)
-                ids = set_ids(values, cuts)
+                ids = set_ids(*text_sets(data, bounds, words))
                 _, first = np.unique(ids, return_index=True)
-                packed = [packer.compress(data[bounds[i] : bounds[i + 1]].tobytes()) for i in first.tolist()]
-                yield record_batch(schema, [ids[first], packed, list(parities(values, cuts)[first])])
+                yield record_batch(schema, [ids[first], [packer.compress(data[bounds[i] : bounds[i + 1]].tobytes()) for i in first.tolist()]])
 
-    packed = documents(docs).select("text").mapInArrow(squeeze, "set_id bigint, packed binary, parity array<bigint>")
-    packed = packed.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min(F.struct("packed", "parity")).alias("one"))
-    return packed.select("set_id", "one.*")
+    packed = documents(docs).select("text").mapInArrow(squeeze, "set_id bigint, packed binary")
+    return packed.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min("packed").alias("packed"))
 
 
 def compare(texts: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -382,16 +390,20 @@ def apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select(*pairs.columns)
 
 
-def link_up(texts: DataFrame, pairs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
-    """The components with the links among ``pairs`` (a, b, shared) added.
+def link_up(docs: DataFrame, pairs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
+    """The components of sets with the links among ``pairs`` (a, b, shared) added.
 
     Pairs within a component need no look. In each of the first rounds every set meets the one it shares
     most with among those of other components; in the last round all pairs that are still apart are compared.
     """
+    texts = None
     for number in range(LINK_ROUNDS):
         pairs = cut_lineage(apart(pairs, classes))
         if pairs.isEmpty():
             break
+        if texts is None:
+            wanted = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct())
+            texts = cut_lineage(packed_texts(docs, wanted, words))
         chosen = pairs
         if number < LINK_ROUNDS - 1:
             chosen = cut_lineage(pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b"))
@@ -402,7 +414,7 @@ def link_up(texts: DataFrame, pairs: DataFrame, classes: DataFrame, words: int,
     return classes
 
 
-def _rest(entries_: DataFrame, classes: DataFrame, texts: DataFrame, boundary: int, percent: int) -> DataFrame:
+def _rest(entries_: DataFrame, classes: DataFrame, parity: DataFrame, boundary: int, percent: int) -> DataFrame:
     """(a, b, shared): pairs of long lists whose sets are not yet in one component and share enough.
 
     In each list the sets outside of its largest component meet all those of other components. A pair whose
@@ -419,18 +431,17 @@ def _rest(entries_: DataFrame, classes: DataFrame, texts: DataFrame, boundary: i
     main = groups.groupBy("token").agg(F.max_by("root", F.struct("many", "root")).alias("main"), F.count("*").alias("groups"))
     mixed = cut_lineage(rows.join(main.where("groups > 1").select("token", "main"), "token"))
     held = mixed.groupBy("set_id").agg(F.collect_set("token").alias("held")).where(F.size("held") <= CARRIED)
-    mixed = mixed.join(held, "set_id", "left").join(texts.select("set_id", "parity"), "set_id")
+    mixed = mixed.join(held, "set_id", "left").join(parity, "set_id")
     l, r = mixed.where("root <> main").alias("l"), mixed.alias("r")
     low, high = F.least("l.n", "r.n"), F.greatest("l.n", "r.n")
     left = F.least(F.least("l.pos", "r.pos") + F.least(F.expr("l.n - l.pos"), F.expr("r.n - r.pos")), low)
     need = F.ceil(F.lit(percent) * (F.col("l.n") + F.col("r.n")) / F.lit(100 + percent))
     once = (F.col("r.root") == F.col("r.main")) | (F.col("l.set_id") < F.col("r.set_id"))
-    on = (F.col("l.token") == F.col("r.token")) & (F.col("l.root") != F.col("r.root")) & once & (100 * low >= percent * high) & (high > boundary) & (left >= need)
+    on = (F.col("l.token") == F.col("r.token")) & (F.col("l.root") != F.col("r.root")) & once & (high > boundary) & (left >= need)
     rest = F.ceil(F.lit(percent) * high / F.lit(100)) - 1
     both = F.array_intersect("l.held", "r.held")
     counted = F.col("l.held").isNull() | F.col("r.held").isNull()
-    apart = F.expr(" + ".join(f"bit_count(l.parity[{i}] ^ r.parity[{i}])" for i in range(PARITY_WORDS)))
-    on = on & (apart <= F.col("l.n") + F.col("r.n") - 2 * need)
+    on = on & may_link("l", "r", percent)
     on = on & (counted | ((F.size(both) + rest >= need) & (F.array_min(both) == F.col("l.token"))))
     shared = F.when(counted, 1).otherwise(F.size(both)).alias("shared")
     met = l.join(r, on).select(F.least("l.set_id", "r.set_id").alias("a"), F.greatest("l.set_id", "r.set_id").alias("b"), (need - rest).alias("least"), shared)
@@ -459,17 +470,16 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     pairs = cut_lineage(_likely(found, percent))
     links = links[0] if links else pairs.select("a", "b").limit(0)
     long_ = cut_lineage(found.where("token IS NOT NULL").select("token", F.col("a").alias("set_id"), "n", "pos"))
-    wanted = reduce(DataFrame.unionByName, [pairs.select(F.col(c).alias("set_id")) for c in ("a", "b")] + [long_.select("set_id")])
-    texts = cut_lineage(packed_texts(docs, wanted.distinct(), words))
-    classes = link_up(texts, pairs, cut_lineage(components(links)), words, percent)
+    classes = link_up(docs, pairs, cut_lineage(components(links)), words, percent)
     if not long_.isEmpty():
-        more = cut_lineage(_rest(long_, classes, texts, boundary, percent))
-        classes = link_up(texts, more, classes, words, percent)
+        more = cut_lineage(_rest(long_, classes, parity_of(rows), boundary, percent))
+        classes = link_up(docs, more, classes, words, percent)
     return labelled(rows, classes)
 
 
 def labelled(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, set_id of the members, by the components of their sets."""
+    rows = rows.select("doc_id", "set_id", "n")
     rooted = rows.join(classes.select(F.col("node").alias("set_id"), "root"), "set_id", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "set_id"))
     least = rooted.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
@@ -477,13 +487,19 @@ def labelled(rows: DataFrame, classes: DataFrame) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), "set_id")
 
 
+def parity_of(rows: DataFrame) -> DataFrame:
+    """(set_id, parity) of the sets of the members."""
+    return rows.where("n > 0").select("set_id", "parity").dropDuplicates(["set_id"])
+
+
 def members(docs: DataFrame, words: int) -> DataFrame:
-    schema = _schema(_MEMBER)
+    """(doc_id, set_id, n, parity) of every row."""
+    schema = pa.schema([("doc_id", pa.int64()), ("set_id", pa.int64()), ("n", pa.int64()), ("parity", pa.list_(pa.int64()))])
 
     def size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, high, data, bounds in text_blocks(batch.column(1)):
                 values, cuts = text_sets(data, bounds, words)
-                yield record_batch(schema, [batch.column(0).slice(low, high - low), set_ids(values, cuts), np.diff(cuts)])
+                yield record_batch(schema, [batch.column(0).slice(low, high - low), set_ids(values, cuts), np.diff(cuts), list(parities(values, cuts))])
 
-    return documents(docs).mapInArrow(size, _MEMBER)
+    return documents(docs).mapInArrow(size, "doc_id bigint, set_id bigint, n bigint, parity array<bigint>")

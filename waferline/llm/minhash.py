@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from waferline.llm.common import documents, record_batch, text_blocks
 from waferline.llm.components import components
-from waferline.llm.jaccard import PERCENT, labelled, link_up, members, packed_texts, set_ids
+from waferline.llm.jaccard import PERCENT, differing_bits, labelled, link_up, may_link, members, parity_of, set_ids
 from waferline.llm.words import mix, text_sets
 from waferline.session import cut_lineage
 
@@ -111,11 +111,6 @@ def sketched_sets(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     return documents(docs).select("text").mapInArrow(make, "set_id bigint, n bigint, sketch array<bigint>, keys array<bigint>")
 
 
-def differing_bits(left: str, right: str, words: int = SKETCH_WORDS) -> Column:
-    """The number of bits in which two sketch columns differ."""
-    return F.expr(" + ".join(f"bit_count({left}[{i}] ^ {right}[{i}])" for i in range(words)))
-
-
 def _sizes_fit(left: str, right: str, percent: int) -> Column:
     return F.expr(f"100 * least({left}, {right}) >= {percent} * greatest({left}, {right})")
 
@@ -125,15 +120,16 @@ def _star_pairs(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     stars = met.where("set_id <> hub").select(F.col("hub").alias("a"), F.col("set_id").alias("b")).distinct()
     left, right = (sets.select(F.col("set_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}")) for c in "ab")
     both = stars.join(left, "a").join(right, "b").where(_sizes_fit("n_a", "n_b", percent))
-    both = both.withColumn("shared", -differing_bits("sketch_a", "sketch_b"))
+    both = both.withColumn("shared", -differing_bits("sketch_a", "sketch_b", SKETCH_WORDS))
     return both.where(F.col("shared") >= -most_different_bits(percent)).select("a", "b", "shared")
 
 
-def _rest(met: DataFrame, sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _rest(met: DataFrame, sets: DataFrame, parity: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """(a, b, shared): pairs of a bucket that are in different components, where the sketches allow a link.
 
     In each bucket the sets outside of its largest component meet all those of other components. The
-    sketches are compared inside the join, and a pair comes out of the first bucket that it shares only.
+    sketches are compared inside the join, then the parity bitmaps of the sets themselves, which rule out no
+    link, and a pair comes out of the first bucket that it shares only.
     """
     roots = classes.select(F.col("node").alias("set_id"), "root")
     rows = met.select("key", "set_id").join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
@@ -143,14 +139,14 @@ def _rest(met: DataFrame, sets: DataFrame, classes: DataFrame, percent: int) ->
     mixed = rows.join(main.where("groups > 1").select("key", "main"), "key")
     mixed = cut_lineage(mixed)
     held = mixed.groupBy("set_id").agg(F.collect_set("key").alias("held"))  # at most one key a band
-    mixed = mixed.join(held, "set_id").join(sets.select("set_id", "n", "sketch"), "set_id")
+    mixed = mixed.join(held, "set_id").join(sets.select("set_id", "n", "sketch"), "set_id").join(parity, "set_id")
     l, r = mixed.where("root <> main").alias("l"), mixed.alias("r")
     once = F.expr("r.root = r.main OR l.set_id < r.set_id")
-    on = F.expr("l.key = r.key AND l.root <> r.root") & once & _sizes_fit("l.n", "r.n", percent)
-    on = on & (differing_bits("l.sketch", "r.sketch") <= most_different_bits(percent))
+    on = F.expr("l.key = r.key AND l.root <> r.root") & once & may_link("l", "r", percent)
+    on = on & (differing_bits("l.sketch", "r.sketch", SKETCH_WORDS) <= most_different_bits(percent))
     on = on & F.expr("array_min(array_intersect(l.held, r.held)) = l.key")
     met = l.join(r, on)
-    return met.select(F.least("l.set_id", "r.set_id").alias("a"), F.greatest("l.set_id", "r.set_id").alias("b"), (-differing_bits("l.sketch", "r.sketch")).alias("shared")).distinct()
+    return met.select(F.least("l.set_id", "r.set_id").alias("a"), F.greatest("l.set_id", "r.set_id").alias("b"), (-differing_bits("l.sketch", "r.sketch", SKETCH_WORDS)).alias("shared")).distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
@@ -174,10 +170,9 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     hubs = buckets.groupBy("key").agg(F.min("set_id").alias("hub"), F.max("set_id").alias("last"))
     met = cut_lineage(buckets.join(hubs.where("hub < last").select("key", "hub"), "key"))
     pairs = cut_lineage(_star_pairs(met, sets, percent))
-    texts = cut_lineage(packed_texts(docs, met.select("set_id").distinct(), words))
     none = pairs.select("a", "b").limit(0)
-    classes = link_up(texts, pairs, cut_lineage(components(none)), words, percent)
-    more = _rest(met, sets, classes, percent).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
-    classes = link_up(texts, cut_lineage(more), classes, words, percent)
+    classes = link_up(docs, pairs, cut_lineage(components(none)), words, percent)
+    more = _rest(met, sets, parity_of(rows), classes, percent).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+    classes = link_up(docs, cut_lineage(more), classes, words, percent)
     found = labelled(rows, classes)
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
