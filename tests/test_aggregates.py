@@ -218,3 +218,17 @@ def test_cleaning(spark):
 
 def test_ordered_aggregate_order_is_shared():
     assert ORDER == ["tkout_time", "arrival"] and WAFER[0] == "vehicle"
+
+
+def test_ordered_text_over_many_pieces(spark):
+    """Hot, null and empty groups, nulls among the values, and batches that end within a group."""
+    rows = [("hot", i, f"v{i} ") for i in range(5000)] + [(None, i, f"n{i}" if i % 3 else None) for i in range(50)]
+    rows += [("empty", 1, None), ("one", 1, " x "), ("hot2", 2, None), ("hot2", 1, "a")]
+    df = spark.createDataFrame(rows, "k string, o int, v string").repartition(7)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        got = {r["k"]: r["t"] for r in aggregates.ordered_join(df, ["k"], F.col("v"), ["o"], "t").collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == {"hot": "_".join(f"v{i}" for i in range(5000)), None: "_".join(f"n{i}" for i in range(50) if i % 3), "empty": "", "one": "x", "hot2": "a"}
+    assert aggregates.ordered_join(df.where("false"), ["k"], F.col("v"), ["o"], "t").collect() == []

@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 
 from waferline.operators import alerts, quality, runs
 
-STAGES = "vehicle string, source string, stage string, latest_date string, age_hours int"
+STAGES = "vehicle string, source string, stage string, latest_date string, built string"
+NOW = "2026-08-10 12:00:00"
 
 
 def health(spark, rows, today="2026-08-10"):
-    df = spark.createDataFrame([("V", "FAB", *r) for r in rows], STAGES)
-    return {r["stage"]: r for r in alerts.stage_health(df, today, 1, ["feature", "wide"]).collect()}
+    """Rows of (stage, newest date, days since it was built)."""
+    days = [("V", "FAB", s, d, None if age is None else f"2026-08-{10 - age:02d} 11:00:00") for s, d, age in rows]
+    df = spark.createDataFrame(days, STAGES).withColumn("built", F.col("built").cast("timestamp_ntz"))
+    found = alerts.stage_health(df, today, F.lit(NOW).cast("timestamp_ntz"), 1, ["feature", "wide", "publish", "send"])
+    return {r["stage"]: r for r in found.collect()}
 
 
 def test_yesterday_is_not_stalled_two_days_are(spark):
@@ -22,7 +26,7 @@ def test_yesterday_is_not_stalled_two_days_are(spark):
 
 
 def test_event_behind_a_fresh_raw_is_its_own_problem(spark):
-    rows = health(spark, [("raw", "2026-08-10", 1), ("event", "2026-08-07", 1)])
+    rows = health(spark, [("raw", "2026-08-10", 0), ("event", "2026-08-07", 0)])
     assert rows["event"]["stalled"] and rows["event"]["behind_days"] == 3 and not rows["event"]["cascade"]
 
 
@@ -32,16 +36,30 @@ def test_old_raw_is_the_cause_and_event_a_cascade(spark):
     assert rows["event"]["stalled"] and rows["event"]["cascade"]
 
 
-def test_missing_and_old_stages(spark):
-    rows = health(spark, [("event", "2026-08-10", 1), ("feature", None, 1), ("wide", "2026-08-10", 30)])
-    assert rows["feature"]["reason"] == "missing" and not rows["feature"]["cascade"]
-    assert rows["wide"]["reason"] == "old" and rows["wide"]["stalled"]
+def test_later_stages_are_judged_by_their_builds(spark):
+    fresh = [("raw", "2026-08-10", 0), ("event", "2026-08-10", 0), ("feature", "2026-08-10", 0), ("wide", None, 0)]
+    rows = health(spark, [*fresh, ("publish", None, None), ("send", None, None)])
+    assert not rows["wide"]["stalled"] and rows["wide"]["behind_of"] == "feature"
+    assert rows["publish"]["reason"] == rows["send"]["reason"] == "missing" and not rows["publish"]["cascade"]
+    rows = health(spark, [*fresh, ("publish", None, 0), ("send", None, 0)])
+    assert not any(r["stalled"] for r in rows.values())
+    assert health(spark, [("event", "2026-08-10", 0), ("feature", None, 0)])["feature"]["reason"] == "missing"
+
+
+def test_a_run_that_stopped_has_one_cause(spark):
+    rows = health(spark, [("feature", "2026-08-10", 4), ("wide", None, 4), ("publish", None, 4), ("send", None, 4)])
+    assert all(rows[s]["stalled"] and rows[s]["cascade"] and rows[s]["reason"] == "old" for s in ("wide", "publish", "send"))
+
+
+def test_send_behind_the_wide_table_is_a_cause(spark):
+    rows = health(spark, [("feature", "2026-08-10", 0), ("wide", None, 0), ("send", None, 5)])
+    assert rows["send"]["behind_days"] == 5 and rows["send"]["reason"] == "behind wide 5; old" and not rows["send"]["cascade"]
 
 
 def test_stall_alert_ids(spark):
-    df = spark.createDataFrame([("V", "FAB", "raw", "2026-08-01", 1), ("W", "FAB", "send", "2026-08-01", 1)], STAGES)
-    found = alerts.stall_alerts(alerts.stage_health(df, "2026-08-10", 1, []), ["send"])
-    assert {r["id"] for r in found.collect()} == {"stall|V|raw|FAB", "stall|-|send|FAB"}
+    df = spark.createDataFrame([("V", "FAB", "raw", "2026-08-01", NOW), ("W", "FAB", "send", None, None)], STAGES)
+    judged = alerts.stage_health(df, "2026-08-10", F.lit(NOW).cast("timestamp"), 1, [])
+    assert {r["id"] for r in alerts.stall_alerts(judged, ["send"]).collect()} == {"stall|V|raw|FAB", "stall|-|send|FAB"}
 
 
 def test_completeness_order(spark):
@@ -104,14 +122,25 @@ def test_gate_by_example(spark):
         1: "severity", 2: "sent", 3: "dedupe", 4: "sent", 5: "rate_limit", 6: "sent"}
 
 
-def test_gate_sends_what_the_rule_sends(spark):
+def test_gate_outcomes_are_the_rules(spark):
     rnd = random.Random(3)
-    rows = [("hot" if i % 3 == 0 else f"s{i % 5}", i, rnd.choice("abc"), rnd.choice(["info", "warn", "error"]), rnd.randint(0, 20_000)) for i in range(1500)]
-    for cap, window in ((0, 300), (4, 300), (3, 1)):
+    rows = [("hot" if i % 3 == 0 else f"s{i % 5}", i, rnd.choice("abc"), rnd.choice(["info", "warn", "error"]), rnd.choice([0, 9_000, 40_000]) + rnd.randint(0, 6_000)) for i in range(1500)]
+    for cap, window in ((0, 300), (4, 300), (3, 1), (2, 0), (0, 0), (3, 5_000)):
         want = reference_gate(rows, "warn", cap, window)
         got = {r["alert_id"]: r["outcome"] for r in alerts.gate(spark.createDataFrame(rows, GATE), "scope", "warn", cap, window).collect()}
-        assert {a for a, o in got.items() if o == "sent"} == {a for a, o in want.items() if o == "sent"}
-        assert {a for a, o in got.items() if o == "severity"} == {a for a, o in want.items() if o == "severity"}
+        assert got == want, (cap, window)
+
+
+def test_gate_walks_a_second_in_order(spark):
+    rows = [("s", 1, "a", "error", 5), ("s", 2, "b", "error", 5), ("s", 3, "a", "error", 5)]
+    out = alerts.gate(spark.createDataFrame(rows, GATE), "scope", "warning", 2, 60)
+    assert {r["alert_id"]: r["outcome"] for r in out.collect()} == {1: "sent", 2: "sent", 3: "rate_limit"}
+
+
+def test_a_long_pause_cuts_a_scope(spark):
+    rows = [("s", i, "a", "error", second) for i, second in enumerate([0, 3_599, 3_600, 7_199, 10_800, 10_801, 50_000])]
+    pieces = alerts.timeline_pieces(spark.createDataFrame(rows, GATE), "scope", 3600)
+    assert sorted((r["slot"], r["piece"]) for r in pieces.collect()) == [(0, 0), (1, 0), (3, 1), (13, 2)]
 
 
 def test_gate_tests_the_cap_before_the_repeat(spark):

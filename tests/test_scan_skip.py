@@ -185,3 +185,37 @@ def test_engine_refuses_cycles():
     rows = [{"feature_name": "A", "step_desc": "B_X"}, {"feature_name": "B", "step_desc": "A"}]
     with pytest.raises(ValueError):
         rule_engine.depths([{**r, "rule_order": "R1"} for r in rows])
+
+
+def test_nearest_steps_equal_all_pairs(spark):
+    import random
+
+    rng = random.Random(5)
+    ids = sorted({f"{rng.choice(['AA', 'B'])}{rng.randint(0, 60):0{rng.choice([2, 3])}d}" for _ in range(120)} | {"NONUM"})
+    stats = [(v, s, 1, 1) for v in ("V", "W") for s in ids]
+    known = [(v, s, f"D{s}") for v, s, *_ in stats if rng.random() < 0.4] + [("V", "AA999", "unseen")]
+    got = scan.neighbors(spark.createDataFrame(stats, "vehicle string, step_id string, n_rows long, n_lots long"),
+                         spark.createDataFrame(known, "vehicle string, step_id string, step_desc string"), 2)
+    got = sorted((r["vehicle"], r["step_id"], r["neighbor"], r["direction"], r["gap"]) for r in got.collect())
+    seen, want = {(v, s) for v, s, *_ in stats}, []
+    split = lambda s: (s.rstrip("0123456789"), len(s) - len(s.rstrip("0123456789")))
+    for v, s, *_ in stats:
+        if (v, s) in {k[:2] for k in known} or s == "NONUM":
+            continue
+        number = int(s[len(split(s)[0]):])
+        others = [(int(o[len(split(o)[0]):]), o) for w, o, _ in known if w == v and (w, o) in seen and split(o) == split(s)] if split(s)[1] else []
+        for direction, near in (("prev", sorted((x for x in others if x[0] < number), reverse=True)[:2]), ("next", sorted(x for x in others if x[0] > number)[:2])):
+            want += [(v, s, o, direction, abs(n - number)) for n, o in near]
+    assert got == sorted(want) and len(want) > 60
+
+
+def test_hints_carry_the_neighbours_values(spark):
+    rows = [("V", "CC100", "R1", "P1", "E1", 1), ("V", "CC150", "R1", "P1", None, 2), ("V", "CC150", "R2", "P2", "E3", 3), ("V", "CC200", "R1", "P9", "E9", 4), ("V", "XX1", "R1", "P", "E", 5)]
+    data = spark.createDataFrame(rows, "vehicle string, step_id string, root_lot_id string, ppid string, eqp_id string, o int")
+    steps = spark.createDataFrame([("V", "CC100", "ETCH"), ("V", "CC200", "CVD")], "vehicle string, step_id string, step_desc string")
+    wanted = spark.createDataFrame([("V", "CC150"), ("V", "XX1"), ("V", "CC170")], "vehicle string, step_id string")
+    got = {r["step_id"]: r for r in scan.hints(data, wanted, steps, ["ppid", "eqp_id"], ["o"], scan.hint_settings({})).collect()}
+    assert got["CC150"]["n_rows"] == 2 and got["CC150"]["n_lots"] == 2 and got["CC150"]["values"] == {"ppid": ["P1", "P2"], "eqp_id": ["E3"]}
+    near = got["CC150"]["neighbors"]
+    assert [(n["step_id"], n["step_desc"], n["direction"], n["gap"], n["values"]["ppid"]) for n in near] == [("CC100", "ETCH", "prev", 50, ["P1"]), ("CC200", "CVD", "next", 50, ["P9"])]
+    assert got["XX1"]["neighbors"] == [] and got["CC170"]["n_rows"] == 0 and len(got["CC170"]["neighbors"]) == 2 and got["CC170"]["values"] == {}

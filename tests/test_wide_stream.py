@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from waferline.operators import alerts, wide
 from waferline.plans import full_run
-from waferline.sources import partitions
+from waferline.sources import commits, partitions
+from waferline.sources import rules as rule_tables
 from waferline.sources.schema import FAB, INLINE, VM
 from waferline.streaming import incremental
 
@@ -25,16 +26,23 @@ def test_column_order_as_a_table(spark):
     assert [r["name"] for r in df.orderBy(*wide.column_order_key("name")).collect()] == wide.ordered_columns(names)
 
 
-@pytest.mark.parametrize("batch", [1, 100])
-def test_pivot(spark, monkeypatch, batch):
-    monkeypatch.setattr(wide, "PIVOT_BATCH", batch)
-    rows = [("V", " R1", "W01", "FAB_2", "a", None), ("V", "R1", "1", "VM_x", None, 2.5), ("V", "R2", "x", "FAB_1", "b", None)]
+def test_pivot(spark):
+    rows = [("V", " R1", "W01", "FAB_2", "a", None), ("V", "R1", "1", "VM_x", None, 2.5), ("V", "R2", "x", "FAB_1", "b", None), ("V", "R1", "W1", "FAB_2", "c", None)]
     products = spark.createDataFrame([("V", "P")], "vehicle string, PRODUCT string")
     out = wide.pivot(spark.createDataFrame(rows, LONG), ["FAB_2", "FAB_1"], ["VM_x"], products)
     assert out.columns == ["vehicle", "PRODUCT", "ROOT_LOT_ID", "WAFER_ID", "FAB_1", "FAB_2", "VM_x"]
-    got = {tuple(r) for r in out.collect()}
-    # with one column a join may not meet null keys, so only the row with a wafer number is compared
-    assert ("V", "P", "R1", 1, None, "a", 2.5) in got
+    assert {tuple(r) for r in out.collect()} == {("V", "P", "R1", 1, None, "c", 2.5), ("V", "P", "R2", None, "b", None, None)}
+
+
+def test_pivot_of_many_features(spark):
+    names = [f"FAB_{i}" for i in range(400)]
+    rows = [("V", "R", str(w), f, f"{w}{f}", None) for w in range(3) for f in names if hash((w, f)) % 3]
+    out = wide.pivot(spark.createDataFrame(rows, LONG), names, [], rule_tables.table(spark, ["vehicle", "PRODUCT"], [("W", "P")]))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    want = {(w, f): v for _, _, w, f, v, _ in rows}
+    for r in out.collect():
+        assert r["PRODUCT"] == "V" and all(r[f] == want.get((str(r["WAFER_ID"]), f)) for f in names)
 
 
 def test_checks(spark):
@@ -83,7 +91,7 @@ RULES = full_run.Rules(
 
 
 def raw_fab(spark, day, wafers, step="S1"):
-    cols = [*FAB.text, "split", "arrival"]
+    cols = [*FAB.columns, "split", "arrival"]
     rows = []
     for i, w in enumerate(wafers):
         r = dict.fromkeys(cols)
@@ -104,8 +112,9 @@ def test_whole_run(spark, tmp_path):
     vm = spark.createDataFrame([("R1", "1", "T", "S1", 7.0, "2026-01-02 01", "1")],
                                "root_lot_id string, wafer_id string, sensor_id string, step_id string, residual double, tkout_time string, time string")
     run.add_raw(VM, "V", vm, "2026-01-09")
-    skipped = run.all_stages()
-    assert [s["feature"] for s in skipped] == ["FAB_ETCH_odd"]
+    done = run.all_stages()
+    assert [s["feature"] for s in done["feature"]["skipped"]] == ["FAB_ETCH_odd"] and done["wide"]["published"] == ["PROD"]
+    assert done["event"]["FAB"] == {"dates": 3, "rows": 16} and done["event"]["INLINE"] == {"dates": 1, "rows": 2}
     table = {r["WAFER_ID"]: r.asDict() for r in spark.read.parquet(run.path("wide")).collect()}
     assert len(table) == 8 and table[1]["PRODUCT"] == "PROD"
     assert table[1]["INLINE_CD_mean"] == 3.0 and table[1]["VM_T_residual_max"] == 7.0
@@ -116,16 +125,125 @@ def test_whole_run(spark, tmp_path):
     assert spark.read.parquet(run.path("published")).count() == 8
     assert 0 < run.event(FAB).count() < run.raw(FAB).count()
 
-    # only the changed date is stale after new raw rows, and its event is rebuilt as a whole
-    built = partitions.file_times(spark, run.path("event")).where("source = 'FAB'")
-    manifest = built.select(*[F.col(k).cast("string").alias(k) for k in partitions.PARTITIONS], "written",
-                            F.lit(run.version(FAB)).alias("version"))
-    manifest = spark.createDataFrame(manifest.collect(), manifest.schema)
+    assert spark.read.json(run.path("reports/skipped_rules")).first()["feature"] == "FAB_ETCH_odd"
+    assert [(r["feature"], r["mode"], r["n_wafers"]) for r in spark.read.json(run.path("reports/knob_skip")).collect()] == [("KNOB_ETCH_ppid", "auto", 1)]
+    hint = spark.read.json(run.path("reports/step_hints")).collect()
+    assert [r["step_id"] for r in hint] == ["UNKNOWN"] and hint[0]["values"]["ppid"] == ["P1"]
+
+
+def counts(run, source=FAB):
+    return {r["date"]: r["count"] for r in run.event(source).groupBy("date").count().collect()}
+
+
+def test_a_second_refresh_rebuilds_what_changed(spark, tmp_path):
+    run = full_run.Run(spark, str(tmp_path), RULES)
+    run.add_raw(FAB, "V", raw_fab(spark, "2026-01-01", range(1, 8)).unionByName(raw_fab(spark, "2026-01-02", range(1, 9), "S2")), "2026-01-09")
+    run.add_raw(FAB, "W", raw_fab(spark, "2026-01-01", range(1, 8)), "2026-01-09")  # a vehicle without a step map
+    first = {(r["vehicle"], r["date"], r["reason"], r["n_rows"]) for r in run.refresh_events(FAB).collect()}
+    assert first == {("V", "2026-01-01", "missing", 7), ("V", "2026-01-02", "missing", 8), ("W", "2026-01-01", "missing", 0)}
+    assert run.refresh_events(FAB).collect() == [] and run.stale_events(FAB).isEmpty()
+    # late rows replace one date, and the date of them alone is rebuilt
     run.add_raw(FAB, "V", raw_fab(spark, "2026-01-01", [1, 2]), "2026-01-09")
-    stale = run.refresh_events(FAB, manifest).collect()
-    assert [r["date"] for r in stale] == ["2026-01-01"]
-    counts = {r["date"]: r["count"] for r in run.event(FAB).groupBy("date").count().collect()}
-    assert counts == {"2026-01-01": 2, "2026-01-02": 8, "2026-01-03": 1}
+    assert [(r["date"], r["reason"], r["n_rows"]) for r in run.refresh_events(FAB).collect()] == [("2026-01-01", "newer raw", 2)]
+    assert counts(run) == {"2026-01-01": 2, "2026-01-02": 8}
+    # a date that yields no event any more loses its rows
+    run.add_raw(FAB, "V", raw_fab(spark, "2026-01-01", [1, 2], "UNKNOWN"), "2026-01-09")
+    assert [r["n_rows"] for r in run.refresh_events(FAB).collect()] == [0]
+    assert counts(run) == {"2026-01-02": 8} and run.refresh_events(FAB).collect() == []
+    # another lot prefix makes all dates stale, and none of them keeps a row
+    changed = full_run.Run(spark, str(tmp_path), full_run.Rules(step_map=RULES.step_map, lot_prefix="ZZZ"))
+    assert {r["reason"] for r in changed.refresh_events(FAB).collect()} == {"version"}
+    assert counts(changed) == {} and changed.refresh_events(FAB).collect() == []
+
+
+def test_one_source_goes_stale_alone(spark, tmp_path):
+    run = full_run.Run(spark, str(tmp_path), RULES)
+    run.add_raw(FAB, "V", raw_fab(spark, "2026-01-01", [1]), "2026-01-09")
+    rows = [("R1", "1", item, 2.0, "2026-01-02 01", "1") for item in ("CD", "OVL")]
+    run.add_raw(INLINE, "V", spark.createDataFrame(rows, "root_lot_id string, wafer_id string, item_id string, value double, tkout_time string, time string"), "2026-01-09")
+    for source in (FAB, INLINE):
+        run.refresh_events(source)
+    more = full_run.Run(spark, str(tmp_path), full_run.Rules(step_map=RULES.step_map, inline=[{"item_id": "CD"}, {"item_id": "OVL"}], lot_prefix="R"))
+    assert more.stale_events(FAB).isEmpty() and [r["reason"] for r in more.stale_events(INLINE).collect()] == ["version"]
+    more.refresh_events(INLINE)
+    assert {r["item_id"] for r in more.event(INLINE).collect()} == {"CD", "OVL"}
+    assert more.event(INLINE).drop("arrival", "split").columns[:7] == INLINE_COLUMNS
+
+
+INLINE_COLUMNS = ["root_lot_id", "wafer_id", "item_id", "value", "measure_pos", "tkout_time", "time"]
+
+
+def test_retention_on_the_layout_of_a_run(spark, tmp_path):
+    rules = full_run.Rules(step_map=RULES.step_map, lot_prefix="R", keep_days=7)
+    run = full_run.Run(spark, str(tmp_path), rules)
+    run.add_raw(FAB, "V", raw_fab(spark, "2020-01-01", [1, 2]).unionByName(raw_fab(spark, "2026-08-01", [1])), "2026-08-01")
+    run.refresh_events(FAB)
+    assert run.prune("2026-08-01") == {"raw": ["2020-01-01"], "event": ["2020-01-01"]}
+    assert counts(run) == {"2026-08-01": 1} and {r["date"] for r in run.raw(FAB).collect()} == {"2026-08-01"}
+    assert [r["date"] for r in run.log("event", partitions.PARTITIONS).snapshot().collect()] == ["2026-08-01"]
+    assert run.refresh_events(FAB).collect() == []
+
+
+def test_failed_raw_keeps_what_was_published(spark, tmp_path):
+    run = full_run.Run(spark, str(tmp_path), RULES)
+    run.add_raw(FAB, "V", raw_fab(spark, "2026-01-01", range(1, 5)), "2026-01-09")
+    run.all_stages()
+    before = sorted(os.listdir(run.path("published/product_name=PROD")))
+    run.add_raw(FAB, "V", raw_fab(spark, "2026-01-01", [1]), "2026-01-09")
+    done = run.all_stages(raw_errors=["FAB 2026-01-02"])
+    assert done["event"]["FAB"] == {"dates": 1, "rows": 1} and done["wide"]["raw_errors"] == 1
+    assert sorted(os.listdir(run.path("published/product_name=PROD"))) == before and spark.read.parquet(run.path("wide")).count() == 4
+
+
+def test_a_product_that_is_gone_is_unpublished(spark, tmp_path):
+    run = full_run.Run(spark, str(tmp_path), RULES)
+    schema = "vehicle string, PRODUCT string, ROOT_LOT_ID string, WAFER_ID long, FAB_1 string"
+    for products, folders in ((["P", "Q"], {"P", "Q"}), (["Q"], {"Q"}), (["P"], {"P"})):
+        rows = [("V", p, "R", 1, "x") for p in products]
+        commits.replace_table(spark.createDataFrame(rows, schema), run.path("wide"))
+        assert run.publish() == products
+        assert {f[13:] for f in os.listdir(run.path("published")) if f.startswith("product_name=")} == folders
+
+
+def test_no_events_stop_the_features_only(spark, tmp_path):
+    run = full_run.Run(spark, str(tmp_path), RULES)
+    run.add_raw(FAB, "V", raw_fab(spark, "2026-01-01", [1], "UNKNOWN"), "2026-01-09")
+    done = run.all_stages()
+    assert done["feature"] == {"not run": "no event rows"} and not os.path.exists(run.path("wide"))
+    assert [r["step_id"] for r in spark.read.json(run.path("reports/unmatched")).collect()] == ["UNKNOWN"]
+
+
+def test_refused_tables_leave_the_former_one(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "k string, v int"
+    assert commits.replace_table(spark.createDataFrame([("a", 1), ("b", 2)], schema), path, ["k"], ["k"]) == 2
+    for rows, text in (([], "no rows"), ([(None, 1)], "null in k"), ([("a", 1), ("a", 2)], "repeated keys")):
+        with pytest.raises(commits.Refused, match=text):
+            commits.replace_table(spark.createDataFrame(rows, schema).repartition(3), path, ["k"], ["k"])
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [("a", 1), ("b", 2)]
+    assert sorted(os.listdir(tmp_path)) == ["t"]
+    assert commits.replace_table(spark.createDataFrame([("c", 3)], schema), path, ["k"], ["k"]) == 1
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [("c", 3)]
+
+
+def test_replaced_partitions_with_odd_names(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "v int, a string, b string"
+    first = spark.createDataFrame([(1, "x/y", "1%2"), (2, "p", "q"), (3, "p", "r")], schema)
+    commits.replace_partitions(first, path, ["a", "b"], first)
+    expected = spark.createDataFrame([("x/y", "1%2"), ("p", "q")], "a string, b string")
+    got = commits.replace_partitions(spark.createDataFrame([(9, "x/y", "1%2"), (8, "x/y", "1%2")], schema), path, ["a", "b"], expected)
+    assert {tuple(r) for r in got.collect()} == {("x/y", "1%2", 2), ("p", "q", 0)}
+    assert {tuple(r) for r in spark.read.schema(schema).parquet(path).collect()} == {(9, "x/y", "1%2"), (8, "x/y", "1%2"), (3, "p", "r")}
+
+
+def test_commit_log_takes_the_newest_entry(spark, tmp_path):
+    log = commits.CommitLog(spark, str(tmp_path / "log"), ["k"])
+    assert log.snapshot().collect() == []
+    def entries(rows):
+        return spark.createDataFrame(rows, "k string, version string, n_rows long, removed boolean").withColumn("written", F.lit("2026-01-01").cast("timestamp"))
+    assert [log.append(entries(rows)) for rows in ([("a", "1", 1, False), ("b", "1", 1, False)], [], [("a", "2", 5, False), ("b", "2", 0, True)], [("c", "2", 1, False)])] == [1, 2, 3, 4]
+    assert {(r["k"], r["version"], r["n_rows"]) for r in log.snapshot().collect()} == {("a", "2", 5), ("c", "2", 1)}
+    assert log.snapshot(with_removed=True).count() == 3
 
 
 def test_deleted_rules_leave_the_feature_table(spark, tmp_path):
@@ -159,6 +277,10 @@ def test_late_rows_rebuild_their_date(spark, tmp_path):
     assert run() == [("d1", "R1"), ("d2", "R2")]
     add([("R3", "d1")])
     assert run() == [("d1", "R1"), ("d1", "R3"), ("d2", "R2")]
+    # the rows of a date are replaced by some that make no event
+    spark.createDataFrame([("R1", "d1"), ("Q1", "d1"), ("R3", "d1")], schema).coalesce(1).write.mode("overwrite").parquet(raw_dir)
+    spark.createDataFrame([("Q9", "d2")], schema).coalesce(1).write.mode("append").parquet(raw_dir)
+    assert run() == [("d1", "R1"), ("d1", "R3")]
 
 
 def test_stream_gate_equals_the_batch_gate(spark, tmp_path):

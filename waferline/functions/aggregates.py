@@ -6,11 +6,15 @@ combine on the map side and hold one row per group, so a hot group is reduced be
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from waferline.functions.text import VALID_TOOL, VALID_TOOL_LOOSE, clean
 
@@ -114,24 +118,46 @@ NUMBER_AGGS: dict[str, Callable[[Column, list[Column]], Column]] = {
 
 
 def ordered_join(df: DataFrame, keys: list[str], val: Column, order: list[str], out: str) -> DataFrame:
-    """All trimmed values of a group in order, joined by "_".
+    """All trimmed non-null values of a group in order, joined by "_"; a group without any gives an empty text.
 
-    Rows are range-partitioned by group and order, so a hot group spreads over many tasks; each
-    task joins its own stretch, and only the stretches of a group meet at the end. What meets is
-    the result cell itself.
+    Rows are exchanged once: dealt by ranges of (group, order) and sorted, so a hot group spreads over many
+    tasks. A task folds its rows as they stream by, a piece of text for each group and batch, and only the
+    pieces of a group meet at the end. What meets is the result cell itself.
     """
-    rows = df.select(*keys, *order, F.trim(val.cast("string")).alias("v"))
+    fields = [df.select(k).schema.fields[0] for k in keys]
+    rows = df.select(*keys, *order, F.trim(val.cast("string")).alias("_value"))
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    stretch = rows.repartitionByRange(tasks, *keys, *[F.col(o).asc_nulls_first() for o in order])
-    stretch = stretch.withColumn("part", F.spark_partition_id())
-    cells = F.array_sort(F.collect_list(F.struct(*order, "v")))
-    pieces = stretch.groupBy(*keys, "part").agg(cells.alias("cells"))
-    texts = F.filter(F.transform("cells", lambda c: c["v"]), lambda v: v.isNotNull())
-    pieces = pieces.select(*keys, "part", F.when(F.size(texts) > 0, F.array_join(texts, "_")).alias("v"))
-    joined = F.array_sort(F.collect_list(F.when(F.col("v").isNotNull(), F.struct("part", "v"))))
-    return pieces.groupBy(*keys).agg(
-        F.array_join(F.transform(joined, lambda c: c["v"]), "_").alias(out)
-    )
+    bounds = [F.col(c).asc_nulls_first() for c in [*keys, *order]]
+    dealt = rows.repartitionByRange(tasks, *bounds).sortWithinPartitions(*bounds)
+    dealt = dealt.select(*keys, "_value", F.spark_partition_id().alias("_part"))
+    shape = T.StructType([*fields, T.StructField("_part", T.IntegerType()), T.StructField("_batch", T.LongType()), T.StructField("_text", T.StringType())])
+    pieces = dealt.mapInArrow(_folded, shape)
+    texts = F.array_sort(F.collect_list(F.when(F.col("_text").isNotNull(), F.struct("_part", "_batch", "_text"))))
+    return pieces.groupBy(*keys).agg(F.array_join(F.transform(texts, lambda c: c["_text"]), "_").alias(out))
+
+
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The values of each run of equal keys as one text, a batch at a time; the last two columns are value and part."""
+    for number, batch in enumerate(batches):
+        if not batch.num_rows:
+            continue
+        *keys, values, part = batch.columns
+        new = np.zeros(batch.num_rows, bool)
+        new[0] = True
+        for key in keys:
+            now, before = key.slice(1), key.slice(0, batch.num_rows - 1)
+            # null against null is the same key, null against a value is not
+            differ = pc.or_kleene(pc.not_equal(now, before), pc.not_equal(pc.is_null(now), pc.is_null(before)))
+            new[1:] |= pc.fill_null(differ, False).to_numpy(zero_copy_only=False)
+        starts = np.flatnonzero(new)
+        kept = pc.is_valid(values).to_numpy(zero_copy_only=False)
+        before = np.concatenate([[0], np.cumsum(kept)])
+        bounds = np.append(before[starts], before[-1])
+        lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values.filter(pa.array(kept)))
+        texts = pc.if_else(pa.array(np.diff(bounds) > 0), pc.binary_join(lists, "_"), pa.scalar(None, lists.type.value_type))
+        firsts = pa.array(starts)
+        columns = [*[k.take(firsts) for k in keys], part.take(firsts), pa.array(np.full(len(starts), number, np.int64)), texts]
+        yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-2], "_part", "_batch", "_text"])
 
 
 def distinct_join(df: DataFrame, keys: list[str], val: Column, out: str) -> DataFrame:

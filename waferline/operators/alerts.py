@@ -2,44 +2,54 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from waferline.functions.text import is_blank
 from waferline.sources.partitions import row_digest
 
-# The stage each stage follows, statuses that hide an alert, severity order.
+# The stages that hold dates, the stage each stage follows, statuses that hide an alert, severity order.
+DATED = ("raw", "event", "feature")
 UPSTREAM = {"event": "raw", "feature": "event", "wide": "feature", "publish": "wide", "send": "wide"}
 HIDDEN = ("미확인예정", "반영불필요")
 SEVERITY_RANK = {"info": 0, "warn": 1, "warning": 1, "error": 2, "critical": 3}
 
 
-def stage_health(stages: DataFrame, today: str, threshold_days: int, age_stages: list[str]) -> DataFrame:
+def stage_health(stages: DataFrame, today: str, now: Column, threshold_days: int, age_stages: list[str]) -> DataFrame:
     """Lag, distance behind the stage before, and whether a stage is stalled by itself.
 
-    ``stages`` has vehicle, source, stage, latest_date, age_hours. ``age_stages`` are judged by
-    age too. A stage that is only as late as the one before it is a cascade, not a cause.
+    ``stages`` has vehicle, source, stage, latest_date and built (a timestamp). Stages up to the features hold
+    dates and are compared by them: a stage without one is missing. Later ones hold no dates; they are compared by when
+    they were built, with the newest build of the stage before in the same vehicle, and are missing if they
+    never were. ``age_stages`` are judged by age too. A stage that is only as late as the one before it
+    is a cascade, not a cause.
     """
-    before = F.lit(None).cast("string")
-    for stage, upstream in UPSTREAM.items():
-        before = F.when(F.col("stage") == stage, upstream).otherwise(before)
-    rows = stages.withColumn("upstream", before)
-    ahead = stages.select(
-        "vehicle", "source", F.col("stage").alias("upstream"), F.col("latest_date").alias("ahead_date")
-    )
-    rows = rows.join(ahead, ["vehicle", "source", "upstream"], "left")
-    latest, ahead_day = F.col("latest_date").cast("date"), F.col("ahead_date").cast("date")
+    dated = F.col("stage").isin(*DATED)
+    upstream = F.create_map(*[F.lit(x) for pair in UPSTREAM.items() for x in pair])
+    rows = stages.withColumn("upstream", F.try_element_at(upstream, F.col("stage")))
+    # by dates of the same source where both sides have them, else by builds of the vehicle
+    by_source = stages.where(dated).select("vehicle", "source", F.col("stage").alias("upstream"), F.col("latest_date").alias("ahead_date"))
+    by_vehicle = stages.groupBy("vehicle", F.col("stage").alias("upstream")).agg(F.max("built").alias("ahead_built"))
+    rows = rows.join(by_source, ["vehicle", "source", "upstream"], "left").join(by_vehicle, ["vehicle", "upstream"], "left")
+    latest, ahead = F.col("latest_date").cast("date"), F.col("ahead_date").cast("date")
+    seconds = F.unix_seconds(F.col("ahead_built").cast("timestamp")) - F.unix_seconds(F.col("built").cast("timestamp"))
+    late = F.when(dated, F.datediff(ahead, latest)).otherwise(F.floor(seconds / 86_400))
+    age = F.unix_seconds(now.cast("timestamp")) - F.unix_seconds(F.col("built").cast("timestamp"))
+    known = F.when(dated, latest.isNotNull() & ahead.isNotNull()).otherwise(F.col("upstream").isNotNull())
     rows = rows.select(
-        "vehicle", "source", "stage", "latest_date", "age_hours",
+        "vehicle", "source", "stage", "latest_date",
+        F.floor(age / 3600).alias("age_hours"),
         F.datediff(F.lit(today).cast("date"), latest).cast("bigint").alias("lag_days"),
-        F.when(latest.isNotNull() & ahead_day.isNotNull(), F.col("upstream")).alias("behind_of"),
-        F.greatest(F.datediff(ahead_day, latest), F.lit(0)).cast("bigint").alias("late"),
-        F.col("latest_date").isNull().alias("missing"),
+        F.when(known, F.col("upstream")).alias("behind_of"),
+        F.when(known, F.greatest(late, F.lit(0)).cast("bigint")).alias("behind_days"),
+        F.when(dated, F.col("latest_date").isNull()).otherwise(F.col("built").isNull()).alias("missing"),
     )
-    rows = rows.withColumn("behind_days", F.when(F.col("behind_of").isNotNull(), F.col("late"))).drop("late")
+    rows = rows.withColumn("behind_days", F.when(F.col("missing"), None).otherwise(F.col("behind_days")))
     return _judge(rows, threshold_days, age_stages)
 
 
@@ -131,50 +141,66 @@ def alert_fingerprint(alerts: DataFrame) -> DataFrame:
     return rows.groupBy("vehicle").agg(F.count("*").alias("n"), total.alias("fingerprint"))
 
 
+def timeline_pieces(rows: DataFrame, scope: str, pause: int) -> DataFrame:
+    """(scope, slot, piece): the slots of ``pause`` seconds that a scope has rows in, cut where slots are empty.
+
+    Between two pieces lies at least one whole empty slot, so nothing that lasts up to ``pause`` seconds goes
+    from one to the next. A scope has a row a slot here, whatever its number of rows.
+    """
+    slots = rows.select(scope, F.floor(F.col("second") / pause).alias("slot")).distinct()
+    in_order = Window.partitionBy(scope).orderBy("slot")
+    begins = F.coalesce(F.col("slot") - F.lag("slot").over(in_order) > 1, F.lit(False)).cast("int")
+    marked = slots.withColumn("begins", begins)
+    return marked.withColumn("piece", F.sum("begins").over(in_order)).drop("begins")
+
+
 def gate(alerts: DataFrame, scope: str, min_severity: str, max_per_hour: int, window_sec: int) -> DataFrame:
     """Which alerts go out: severity floor, hourly cap, no repeat of a kind within the window.
 
-    ``alerts`` has the scope column, alert_id, kind, severity and second (whole epoch seconds).
-    Of equal (kind, second) rows only the first can go out, so they are reduced to one row first:
-    a scope then has at most one row per kind and second. Rows stream through a task in time
-    order; the state is the last hour's times and a time per kind.
+    ``alerts`` has the scope column, alert_id, kind, severity and second (whole epoch seconds). Outcomes are
+    severity, rate_limit, dedupe and sent, tested in this order; a cap or window of 0 is none. Alerts are
+    walked by second, then by id. What was sent counts for an hour at most, and a kind for the window, so a
+    scope's time is cut wherever it pauses that long, and its pieces go to different tasks. A task holds the
+    times of the last hour (as many as the cap at most) and a time for each kind of its window.
     """
-    if window_sec < 1:
-        raise ValueError("the window must be at least one second")
+    if window_sec < 0:
+        raise ValueError("the window can't be negative")
     rank = F.lit(0)
     for name, level in SEVERITY_RANK.items():
         rank = F.when(F.lower("severity") == name, level).otherwise(rank)
-    loud = rank >= SEVERITY_RANK[min_severity]
+    loud = F.coalesce(rank >= SEVERITY_RANK[min_severity], F.lit(False))
     marked = alerts.withColumn("loud", loud)
-    slots = marked.where("loud").groupBy(scope, "second", "kind").agg(F.min("alert_id").alias("alert_id"))
-    ordered = slots.repartition(scope).sortWithinPartitions(scope, "second", "alert_id")
+    heard = marked.where("loud").drop("loud")
+    pause = max(3600, window_sec)
+    heard = heard.withColumn("slot", F.floor(F.col("second") / pause))
+    heard = heard.join(timeline_pieces(heard, scope, pause), [scope, "slot"])
+    dealt = heard.repartition(scope, "piece").sortWithinPartitions(scope, "piece", "second", "alert_id")
 
     def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, recent, emitted = None, [], {}
+        current, recent, emitted, oldest = None, deque(), {}, 0
         for batch in batches:
-            outcome, again = [], []
-            for key, second, kind in zip(batch[scope], batch["second"], batch["kind"]):
-                if key != current:
-                    current, recent, emitted = key, [], {}
-                recent = [t for t in recent if second - t < 3600]
+            outcome = []
+            for key, piece, second, kind in zip(batch[scope], batch["piece"], batch["second"], batch["kind"]):
+                if (key, piece) != current:
+                    current, recent, emitted, oldest = (key, piece), deque(), {}, second
+                while recent and second - recent[0] >= 3600:
+                    recent.popleft()
+                if second - oldest >= pause:  # forget kinds whose window is over
+                    emitted, oldest = {k: t for k, t in emitted.items() if second - t < window_sec}, second
                 if max_per_hour > 0 and len(recent) >= max_per_hour:
                     outcome.append("rate_limit")
-                elif second - emitted.get(kind, -window_sec) < window_sec:
+                elif second - emitted.get(kind, second - window_sec) < window_sec:
                     outcome.append("dedupe")
                 else:
-                    emitted[kind] = second
-                    recent.append(second)
+                    if window_sec:
+                        emitted[kind] = second
+                    if max_per_hour > 0:
+                        recent.append(second)
                     outcome.append("sent")
-                # the cap is tested before the repeat, so what repeats a sent one in its second may meet a full cap
-                full = max_per_hour > 0 and len(recent) >= max_per_hour
-                again.append("rate_limit" if full else "dedupe")
-            yield batch.assign(outcome=outcome, again=again)
-
-    schema = f"{ordered.schema.simpleString()[7:-1]},outcome:string,again:string"
-    decided = ordered.mapInPandas(decide, schema).select(
-        scope, "second", "kind", F.col("alert_id").alias("first_id"), "outcome", "again"
-    )
-    joined = marked.join(decided, [scope, "second", "kind"], "left")
-    repeat = (F.col("alert_id") != F.col("first_id")) & (F.col("outcome") == "sent")
-    outcome = F.when(~F.col("loud"), "severity").when(repeat, F.col("again")).otherwise(F.col("outcome"))
-    return joined.select(*alerts.columns, outcome.alias("outcome"))
+            yield batch.drop(columns=["piece", "slot"]).assign(outcome=outcome)
+
+    schema = T.StructType([*heard.drop("piece", "slot").schema.fields, T.StructField("outcome", T.StringType())])
+    columns = [*heard.drop("piece", "slot").columns, "piece", "slot"]
+    decided = dealt.select(*columns).mapInPandas(decide, schema)
+    quiet = marked.where("NOT loud").select(*alerts.columns, F.lit("severity").alias("outcome"))
+    return decided.select(*alerts.columns, "outcome").unionByName(quiet)

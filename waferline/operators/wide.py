@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waferline.functions.text import file_name, first_number, wafer_number
+from waferline.functions.text import file_name, wafer_number
 from waferline.operators.features import has_value
 from waferline.sources.partitions import delete_folders
 
 WIDE_KEY = ["PRODUCT", "ROOT_LOT_ID", "WAFER_ID"]
-# Columns grouped in one aggregate, the width up to which Spark compiles a whole stage.
-PIVOT_BATCH = 100
+NUMBER = re.compile(r"\d+(?:\.\d+)?")
+#: Rows of a send group that go into its sample.
+SAMPLE_ROWS = 100
 
 # The order of column families, and the column prefixes of each send group.
 FAMILIES = ("KNOB_", "FAB_", "MASK_", "INLINE_", "VM_")
@@ -30,12 +33,18 @@ def base_keys(long: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def _place(column: str) -> tuple[int, float]:
+    """Where a column stands: its family's place, then the first number after the family's prefix."""
+    family = next((i for i, prefix in enumerate(FAMILIES) if column.startswith(prefix)), None)
+    if family is None:
+        return len(FAMILIES), 0.0
+    digits = NUMBER.search(column, len(FAMILIES[family]))
+    return family, float(digits[0]) if digits else float("inf")
+
+
 def ordered_columns(columns: list[str]) -> list[str]:
-    """Families in their order, each by the first number in the name; the rest follows."""
-    out: list[str] = []
-    for prefix in FAMILIES:
-        out += sorted((c for c in columns if c.startswith(prefix)), key=lambda c: first_number(prefix, c))
-    return out + [c for c in columns if c not in out]
+    """Families in their order, each by the first number in the name; others last. Ties stay as given."""
+    return sorted(columns, key=_place)
 
 
 def column_order_key(name: str | Column) -> list[Column]:
@@ -53,33 +62,24 @@ def column_order_key(name: str | Column) -> list[Column]:
 def pivot(long: DataFrame, text: list[str], numbers: list[str], products: DataFrame) -> DataFrame:
     """Long to wide with a known list of features, so that no extra pass finds the columns.
 
-    ``products`` has vehicle and PRODUCT; a vehicle without one takes its own name. Beyond
-    ``PIVOT_BATCH`` features each batch is grouped on its own rows and the batches, partitioned
-    alike, are joined on the key: a row then updates at most one batch of columns.
+    ``products`` has vehicle and PRODUCT; a vehicle without one takes its own name. A wafer's cells are
+    gathered as one map from feature to value, so the plan and the work of a row are the same for any
+    number of features; the columns are then looked up in one projection. Rows are exchanged once, by wafer. Of
+    several values of a cell the greatest counts.
     """
     key = ["vehicle", "ROOT_LOT_ID", "WAFER_ID"]
     keyed = long.select(
         "vehicle", F.trim("root_lot_id").alias("ROOT_LOT_ID"), wafer_number("wafer_id").alias("WAFER_ID"),
         "feature", "value_str", "value_num",
     )
-    sources = [(f, "value_str") for f in text] + [(f, "value_num") for f in numbers]
-
-    def grouped(rows: DataFrame, part: list[tuple[str, str]]) -> DataFrame:
-        cells = [F.max(F.when(F.col("feature") == f, F.col(v))).alias(f) for f, v in part]
-        return rows.groupBy(*key).agg(*cells)
-
-    if len(sources) <= PIVOT_BATCH:
-        wide = grouped(keyed, sources)
-    else:
-        wide = keyed.select(*key).distinct()
-        for i in range(0, len(sources), PIVOT_BATCH):
-            part = sources[i : i + PIVOT_BATCH]
-            rows = keyed.where(F.col("feature").isin([f for f, _ in part]))
-            wide = wide.join(grouped(rows, part), key, "left")
-    wide = wide.join(products, "vehicle", "left")
+    cells = keyed.repartition(*key).groupBy(*key, "feature").agg(F.max("value_str").alias("s"), F.max("value_num").alias("n"))
+    entry = F.struct("feature", F.struct("s", "n"))
+    wafers = cells.groupBy(*key).agg(F.map_from_entries(F.collect_list(entry)).alias("cells"))
+    wide = wafers.join(products, "vehicle", "left")
     product = F.coalesce("PRODUCT", "vehicle").alias("PRODUCT")
-    columns = ordered_columns([*text, *numbers])
-    return wide.select("vehicle", product, *WIDE_KEY[1:], *[f"`{c}`" for c in columns])
+    kind = {**dict.fromkeys(text, "s"), **dict.fromkeys(numbers, "n")}
+    columns = [F.try_element_at("cells", F.lit(c)).getField(kind[c]).alias(c) for c in ordered_columns([*text, *numbers])]
+    return wide.select("vehicle", product, *WIDE_KEY[1:], *columns)
 
 
 def filled_features(long: DataFrame) -> list[str]:
@@ -134,10 +134,8 @@ def publish(wide: DataFrame, root: str, previous: list[str] | None = None) -> li
 
 
 def send_columns(columns: list[str], group: str) -> list[str]:
-    out: list[str] = []
-    for prefix in SEND_GROUPS[group]:
-        out += sorted((c for c in columns if c.startswith(prefix)), key=lambda c: first_number(prefix, c))
-    return out
+    """The columns of a send group in the order of the wide table."""
+    return ordered_columns([c for c in columns if c.startswith(SEND_GROUPS[group])])
 
 
 def send(wide: DataFrame, group: str) -> DataFrame | None:
@@ -147,7 +145,7 @@ def send(wide: DataFrame, group: str) -> DataFrame | None:
 
 
 def write_send(wide: DataFrame, root: str) -> dict[str, str]:
-    """Each group as parquet and CSV; groups without columns are reported as skipped."""
+    """Each group as parquet and CSV, and its first rows by key as one CSV sample; groups without columns are skipped."""
     out = {}
     for group in SEND_GROUPS:
         part = send(wide, group)
@@ -156,5 +154,7 @@ def write_send(wide: DataFrame, root: str) -> dict[str, str]:
             continue
         part.write.mode("overwrite").parquet(f"{root}/{group}/parquet")
         part.write.mode("overwrite").option("header", True).csv(f"{root}/{group}/csv")
+        head = part.orderBy(*WIDE_KEY).limit(SAMPLE_ROWS)
+        head.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{root}/{group}/sample")
         out[group] = "written"
     return out

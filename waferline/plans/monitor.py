@@ -156,32 +156,40 @@ def anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ── stage health and alerts ──
 
-_STAGE = """SELECT vehicle, item_id AS source, '{stage}' AS stage, max(substr(tkout_time, 1, 10)) AS latest_date,
-      (epoch(TIMESTAMP '""" + NOW + """')::bigint - floor(epoch(max(time)))::bigint) // 3600 AS age_hours FROM inline_raw WHERE value {test} GROUP BY ALL"""
 _STAGE_TESTS = {"raw": "> 0", "event": "> 60", "feature": "> 150", "wide": "> 160", "publish": "> 230", "send": "> 300"}
-_STAGES = f"WITH {bindings.cte('inline_raw')}, stages AS ({' UNION ALL '.join(_STAGE.format(stage=s, test=t) for s, t in _STAGE_TESTS.items())})"
-_HEALTH = f"""lagged AS (SELECT s.*, date_diff('day', cast(s.latest_date AS date), DATE '{TODAY}') AS lag_days, u.stage AS behind_of,
-        greatest(date_diff('day', cast(s.latest_date AS date), cast(u.latest_date AS date)), 0) AS behind_days
-      FROM stages s LEFT JOIN stages u ON s.vehicle = u.vehicle AND s.source = u.source AND u.stage =
-        CASE s.stage WHEN 'event' THEN 'raw' WHEN 'feature' THEN 'event' WHEN 'wide' THEN 'feature' WHEN 'publish' THEN 'wide' WHEN 'send' THEN 'wide' END),
-    health AS (SELECT * EXCLUDE (behind_days), CASE WHEN behind_of IS NOT NULL THEN behind_days END AS behind_days, false AS missing,
-        concat_ws('; ', CASE WHEN lag_days > 1 THEN concat('lag ', lag_days) END, CASE WHEN behind_of IS NOT NULL AND behind_days > 1 THEN concat('behind ', behind_of, ' ', behind_days) END,
-          CASE WHEN stage IN ('feature', 'wide', 'publish', 'send') AND age_hours > 24 THEN 'old' END) AS reason FROM lagged),
-    judged AS (SELECT *, reason <> '' AS stalled, reason <> '' AND behind_of IS NOT NULL AND NOT coalesce(behind_days > 1, false) AS cascade FROM health)"""
+_LATE = ("wide", "publish", "send")
+# one pass over the events: the newest row of each stage is a conditional maximum
+_STAGES = f"""WITH {bindings.cte('inline_raw')}, newest AS (SELECT vehicle, item_id AS source,
+      {', '.join(f"max(time) FILTER (WHERE value {t}) AS {s}_built, max(substr(tkout_time, 1, 10)) FILTER (WHERE value {t}) AS {s}_date" for s, t in _STAGE_TESTS.items())}
+      FROM inline_raw GROUP BY ALL),
+    stages AS ({' UNION ALL '.join(f"SELECT vehicle, source, '{s}' AS stage, {'NULL' if s in _LATE else s + '_date'} AS latest_date, {s}_built AS built FROM newest" for s in _STAGE_TESTS)})"""
+_HEALTH = f"""built AS (SELECT vehicle, stage, max(built) AS built FROM stages GROUP BY ALL),
+    lagged AS (SELECT s.vehicle, s.source, s.stage, s.latest_date, (epoch(TIMESTAMP '{NOW}')::bigint - floor(epoch(s.built))::bigint) // 3600 AS age_hours,
+        date_diff('day', cast(s.latest_date AS date), DATE '{TODAY}') AS lag_days,
+        CASE WHEN s.stage IN ('wide', 'publish', 'send') THEN b.stage WHEN s.latest_date IS NOT NULL AND u.latest_date IS NOT NULL THEN u.stage END AS behind_of,
+        CASE WHEN s.stage IN ('wide', 'publish', 'send') THEN (floor(epoch(b.built))::bigint - floor(epoch(s.built))::bigint) // 86400
+          ELSE date_diff('day', cast(s.latest_date AS date), cast(u.latest_date AS date)) END AS late,
+        CASE WHEN s.stage IN ('wide', 'publish', 'send') THEN s.built IS NULL ELSE s.latest_date IS NULL END AS missing
+      FROM stages s
+      LEFT JOIN stages u ON s.vehicle = u.vehicle AND s.source = u.source AND u.stage = CASE s.stage WHEN 'event' THEN 'raw' WHEN 'feature' THEN 'event' END
+      LEFT JOIN built b ON s.vehicle = b.vehicle AND b.stage = CASE s.stage WHEN 'wide' THEN 'feature' WHEN 'publish' THEN 'wide' WHEN 'send' THEN 'wide' END),
+    health AS (SELECT * EXCLUDE (late), CASE WHEN NOT missing AND behind_of IS NOT NULL THEN greatest(late, 0) END AS behind_days FROM lagged),
+    reasons AS (SELECT *, CASE WHEN missing THEN 'missing' ELSE concat_ws('; ', CASE WHEN lag_days > 1 THEN concat('lag ', lag_days) END,
+        CASE WHEN behind_days > 1 THEN concat('behind ', behind_of, ' ', behind_days) END,
+        CASE WHEN stage IN ('feature', 'wide', 'publish', 'send') AND age_hours > 24 THEN 'old' END) END AS reason FROM health),
+    judged AS (SELECT *, reason <> '' AS stalled, reason <> '' AND NOT (missing OR coalesce(behind_days > 1, false) OR behind_of IS NULL) AS cascade FROM reasons)"""
 
 
 def health(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = bindings.bound(spark, sf_dir, "inline_raw")
-    # one pass: the newest row of each stage is a conditional maximum
+    day = F.substring("tkout_time", 1, 10)
     stages = [(s, F.col("value") > float(t[2:])) for s, t in _STAGE_TESTS.items()]
-    newest = raw.groupBy("vehicle", F.col("item_id").alias("source")).agg(
-        *[F.max(F.when(test, F.struct("time", F.substring("tkout_time", 1, 10).alias("day")))).alias(s) for s, test in stages]
-    )
-    cells = F.array(*[F.struct(F.lit(s).alias("stage"), F.col(s).alias("row")) for s, _ in stages])
-    rows = newest.select("vehicle", "source", F.explode(cells).alias("c")).where("c.row IS NOT NULL")
-    age = F.unix_seconds(_clock().cast("timestamp")) - F.unix_seconds(F.col("c.row.time").cast("timestamp"))
-    rows = rows.select("vehicle", "source", "c.stage", F.col("c.row.day").alias("latest_date"), F.floor(age / 3600).alias("age_hours"))
-    return alerts.stage_health(rows, TODAY, 1, ["feature", "wide", "publish", "send"])
+    newest = raw.groupBy("vehicle", F.col("item_id").alias("source")).agg(*[
+        F.struct(F.lit(s).alias("stage"), (F.lit(None).cast("string") if s in _LATE else F.max(F.when(test, day))).alias("latest_date"), F.max(F.when(test, F.col("time"))).alias("built")).alias(s)
+        for s, test in stages
+    ])
+    rows = newest.select("vehicle", "source", F.inline(F.array(*[F.col(s) for s, _ in stages])))
+    return alerts.stage_health(rows, TODAY, _clock(), 1, ["feature", "wide", "publish", "send"])
 
 
 @query("stage_health", f"{_STAGES}, {_HEALTH} SELECT * FROM judged")
@@ -249,7 +257,7 @@ def alert_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("alert_fingerprint", f"""{_SNAPSHOTS} SELECT vehicle, count(*) AS n,
-      cast(sum(cast('0x' || substr(md5(concat_ws('|', id, status, '')), 1, 8) AS bigint)) AS varchar) AS fingerprint FROM now_alerts GROUP BY vehicle""")
+      cast(sum(cast('0x' || substr(md5(concat_ws('|', length(id) || ':' || id, length(status) || ':' || status, '0:')), 1, 15) AS bigint)) AS varchar) AS fingerprint FROM now_alerts GROUP BY vehicle""")
 def alert_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.alert_fingerprint(snapshot(spark, sf_dir, _NOW_TEST))
 
@@ -267,7 +275,7 @@ GATE_WALK = """WITH RECURSIVE loud AS (SELECT user_id, event_id, event_type AS k
 
 
 @query("alert_gate", f"""{GATE_WALK} SELECT e.user_id, e.event_id AS alert_id, e.event_type AS kind,
-      CASE WHEN e.value <= 20 THEN 'severity' WHEN w.outcome = 'sent' THEN 'sent' ELSE 'held' END AS outcome FROM events e LEFT JOIN walk w ON w.event_id = e.event_id""")
+      coalesce(w.outcome, 'severity') AS outcome FROM events e LEFT JOIN walk w ON w.event_id = e.event_id""")
 def alert_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = bindings.table(spark, sf_dir, "events")
     level = F.when(F.col("value") > 100, "critical").when(F.col("value") > 20, "warning").otherwise("info")
@@ -275,9 +283,7 @@ def alert_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id", F.col("event_id").alias("alert_id"), F.col("event_type").alias("kind"), level.alias("severity"),
         F.unix_seconds(F.col("ts").cast("timestamp")).alias("second"),
     )
-    gated = alerts.gate(rows, "user_id", "warning", 2, 43_200)
-    held = F.when(F.col("outcome").isin("rate_limit", "dedupe"), "held").otherwise(F.col("outcome"))
-    return gated.select("user_id", "alert_id", "kind", held.alias("outcome"))
+    return alerts.gate(rows, "user_id", "warning", 2, 43_200).select("user_id", "alert_id", "kind", "outcome")
 
 
 # ── data quality ──

@@ -94,6 +94,46 @@ def step_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan.step_values(rows, ["vehicle", "step_id"], _COLUMNS, ["tkout_time", "arrival"], _HINT["value_limit"])
 
 
+_VALUE_LISTS = f"""picked AS (SELECT vehicle, step_id, "column", string_agg(value, ',' ORDER BY rank) AS vals FROM (
+      SELECT *, row_number() OVER (PARTITION BY vehicle, step_id, "column" ORDER BY seen) AS rank FROM firsts) WHERE rank <= {_HINT['value_limit']} AND value <> '' GROUP BY ALL),
+    seen_stats AS (SELECT vehicle, step_id, count(*) AS n_rows, count(DISTINCT root_lot_id) AS n_lots FROM dated WHERE day IN (SELECT day FROM days) GROUP BY ALL),
+    wanted AS (SELECT DISTINCT vehicle, step_id FROM fab_raw WHERE {_NEW}),
+    all_steps AS (SELECT * FROM seen_stats UNION ALL SELECT vehicle, step_id, 0, 0 FROM wanted WHERE (vehicle, step_id) NOT IN (SELECT (vehicle, step_id) FROM seen_stats)),
+    parsed AS (SELECT *, regexp_extract(step_id, '^(.*?)(\\d+)$', 1) AS prefix, try_cast(nullif(regexp_extract(step_id, '^(.*?)(\\d+)$', 2), '') AS bigint) AS number,
+      length(regexp_extract(step_id, '^(.*?)(\\d+)$', 2)) AS width FROM all_steps),
+    close AS (SELECT n.vehicle, n.step_id, k.step_id AS neighbor, s.step_desc, k.n_rows AS neighbor_rows, k.n_lots AS neighbor_lots,
+        CASE WHEN k.number < n.number THEN 'prev' ELSE 'next' END AS direction, abs(k.number - n.number) AS gap
+      FROM parsed n JOIN parsed k ON n.vehicle = k.vehicle AND n.prefix = k.prefix AND n.width = k.width AND n.number <> k.number
+      JOIN step_map s ON s.vehicle = k.vehicle AND s.step_id = k.step_id
+      WHERE (n.vehicle, n.step_id) IN (SELECT (vehicle, step_id) FROM wanted) AND n.number IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY n.vehicle, n.step_id, k.number < n.number ORDER BY abs(k.number - n.number)) <= {_HINT['neighbors']})"""
+
+
+@query("step_hints", f"""{_RAW}, {_DAYS.format(days=_HINT['days'])}, long AS ({' UNION ALL '.join(
+    f"SELECT vehicle, step_id, '{c}' AS \"column\", {c} AS value, tkout_time, arrival FROM dated WHERE day IN (SELECT day FROM days)" for c in _COLUMNS)}),
+    firsts AS (SELECT vehicle, step_id, "column", value, min((tkout_time, arrival)) AS seen FROM long WHERE value IS NOT NULL GROUP BY ALL), {_VALUE_LISTS}
+    SELECT a.vehicle, a.step_id, a.n_rows, a.n_lots, c.neighbor, c.step_desc, c.direction, c.gap, c.neighbor_rows, c.neighbor_lots, v.col AS "column",
+      own.vals AS own_values, other.vals AS neighbor_values
+    FROM (SELECT * FROM all_steps WHERE (vehicle, step_id) IN (SELECT (vehicle, step_id) FROM wanted)) a CROSS JOIN (VALUES {', '.join(f"('{c}')" for c in _COLUMNS)}) AS v(col)
+    LEFT JOIN close c ON a.vehicle = c.vehicle AND a.step_id = c.step_id
+    LEFT JOIN picked own ON own.vehicle = a.vehicle AND own.step_id = a.step_id AND own."column" = v.col
+    LEFT JOIN picked other ON other.vehicle = a.vehicle AND other.step_id = c.neighbor AND other."column" = v.col""")
+def step_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hints as one row per unmapped step, neighbour and column, values as text."""
+    steps = bindings.rules(spark, "step_map")
+    wanted = raw(spark, sf_dir).join(steps, ["vehicle", "step_id"], "left_anti").select("vehicle", "step_id").distinct()
+    rows = recent(spark, sf_dir, _HINT["days"])
+    found = scan.hints(rows, wanted, steps, _COLUMNS, ["tkout_time", "arrival"], _HINT)
+    found = found.withColumn("neighbor", F.explode_outer("neighbors")).withColumn("column", F.explode(F.array(*[F.lit(c) for c in _COLUMNS])))
+    def text(lists: str):
+        return F.array_join(F.try_element_at(F.col(lists), F.col("column")), ",")
+    return found.select(
+        "vehicle", "step_id", "n_rows", "n_lots", F.col("neighbor.step_id").alias("neighbor"), "neighbor.step_desc", "neighbor.direction", "neighbor.gap",
+        F.col("neighbor.n_rows").alias("neighbor_rows"), F.col("neighbor.n_lots").alias("neighbor_lots"), "column",
+        text("values").alias("own_values"), text("neighbor.values").alias("neighbor_values"),
+    )
+
+
 @query("step_examples", f"""{_RAW}, pairs AS (
       SELECT vehicle, step_id, root_lot_id, wafer_id, min(arrival) AS seen FROM fab_raw WHERE {_NEW} GROUP BY vehicle, step_id, root_lot_id, wafer_id),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY vehicle, step_id, root_lot_id ORDER BY seen) > 1 AS later FROM pairs)

@@ -156,7 +156,7 @@ def pending_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _CONTENT = ["root_lot_id", "wafer_id", "item_id", "measure_pos"]
-_DIGEST = "cast('0x' || substr(md5(concat_ws('|', root_lot_id, wafer_id, item_id, measure_pos)), 1, 8) AS bigint)"
+_DIGEST = f"""cast('0x' || substr(md5(concat_ws('|', {', '.join(f"coalesce(length({c}) || ':' || {c}, '~')" for c in _CONTENT)})), 1, 15) AS bigint)"""
 
 
 @query("partition_fingerprint", f"""{_INLINE} SELECT vehicle, substr(tkout_time, 1, 10) AS date, count(*) AS n_rows, cast(sum({_DIGEST}) AS varchar) AS content
@@ -175,13 +175,52 @@ def partition_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partitions.changed(partitions.fingerprints(raw, ["vehicle", "date"], _CONTENT), stored, ["vehicle", "date"])
 
 
+def write_layers(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """INLINE raw and its events, each as partitions, by layer."""
+    root, event_root = write_inline(spark, sf_dir), run_dir(spark)
+    kept = partitions.scan(spark, root, INLINE).where(F.col("root_lot_id").startswith(rulebook.LOT_PREFIX))
+    partitions.overwrite_partitions(kept, event_root, partitions.PARTITIONS)
+    return {"raw": root, "event": event_root}
+
+
+_DATES = "count(DISTINCT substr(tkout_time, 1, 10)) AS dates, min(substr(tkout_time, 1, 10)) AS first_date, max(substr(tkout_time, 1, 10)) AS last_date"
+
+
 @query("storage_rollup")
 def storage_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = write_inline(spark, sf_dir)
-    kept = partitions.scan(spark, root, INLINE, "VH_O").where(F.col("root_lot_id").startswith(rulebook.LOT_PREFIX))
-    event_root = run_dir(spark)
-    partitions.overwrite_partitions(kept, event_root, partitions.PARTITIONS)
-    return partitions.storage_by_layer(spark, {"raw": root, "event": event_root}, 100_000)
+    return partitions.storage_by_layer(spark, write_layers(spark, sf_dir), 100_000)
+
+
+@query("storage_dates", f"""{_INLINE} SELECT 'raw' AS layer, 'INLINE' AS source, vehicle, {_DATES} FROM inline_raw GROUP BY vehicle
+    UNION ALL SELECT 'event', 'INLINE', vehicle, {_DATES} FROM inline_raw WHERE starts_with(root_lot_id, 'R') GROUP BY vehicle""")
+def storage_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = partitions.storage_by_layer(spark, write_layers(spark, sf_dir), 100_000)
+    return found.select("layer", "source", "vehicle", "dates", "first_date", "last_date")
+
+
+_RUNS = """days AS (SELECT vehicle, substr(tkout_time, 1, 10) AS date, count(*) AS n, count(*) FILTER (WHERE starts_with(root_lot_id, 'R') AND item_id = 'click') AS kept FROM inline_raw GROUP BY ALL)"""
+
+
+@query("refresh_changed", f"""{_INLINE}, {_RUNS} SELECT 1 AS run, 'INLINE' AS source, vehicle, date, 'missing' AS reason, kept AS n_rows FROM days
+    UNION ALL SELECT 3, 'INLINE', vehicle, date, 'newer raw', kept FROM days WHERE date > '2024-01-20'
+    UNION ALL SELECT 4, 'INLINE', vehicle, date, 'version', n2 FROM (SELECT vehicle, substr(tkout_time, 1, 10) AS date,
+      count(*) FILTER (WHERE starts_with(root_lot_id, 'R') AND item_id IN ('click', 'view')) AS n2 FROM inline_raw GROUP BY ALL)""")
+def refresh_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four refreshes: of everything, of nothing, of rewritten dates, and after a rule change."""
+    from waferline.plans.full_run import Rules, Run
+
+    base = run_dir(spark)
+    raw = bindings.bound(spark, sf_dir, "inline_raw").withColumn("time", F.date_format("time", "yyyy-MM-dd HH:mm:ss"))
+    rules = Rules(step_map=[], inline=[{"item_id": "click"}], lot_prefix=rulebook.LOT_PREFIX)
+    more = Rules(step_map=[], inline=[{"item_id": "click"}, {"item_id": "view"}], lot_prefix=rulebook.LOT_PREFIX)
+    out = None
+    for number, (own, days) in enumerate([(rules, "true"), (rules, "false"), (rules, "tkout_time > '2024-01-20 99'"), (more, "false")], 1):
+        run = Run(spark, base, own)
+        for vehicle in rulebook.VEHICLES:
+            run.add_raw(INLINE, vehicle, raw.where(F.col("vehicle") == vehicle).where(days).drop("vehicle"), TODAY)
+        built = run.refresh_events(INLINE).select(F.lit(number).alias("run"), *partitions.PARTITIONS, "reason", "n_rows")
+        out = built if out is None else out.unionByName(built)
+    return out
 
 
 @query("log_read", f"""WITH {bindings.cte('log')} SELECT run_id, vehicle, cast(json_extract_string(line, '$.k') AS bigint) AS k FROM log WHERE json_valid(line)""")

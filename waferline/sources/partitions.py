@@ -5,11 +5,13 @@ from __future__ import annotations
 import hashlib
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waferline.functions.text import as_col
+from waferline.sources.commits import Folder, read_partitioned
 from waferline.sources.schema import Source
 
 PARTITIONS = ["source", "vehicle", "date"]
@@ -22,7 +24,7 @@ def scan(spark: SparkSession, root: str, source: Source, vehicle: str | None = N
     The schema is declared, so no file footers are merged and columns a day lacks read as null.
     """
     fields = [*source.schema.fields, *[T.StructField(c, T.StringType()) for c in ("split", "arrival", *PARTITIONS)]]
-    df = spark.read.schema(T.StructType(fields)).parquet(root)
+    df = read_partitioned(spark, root, T.StructType(fields))
     df = df.where(F.col("source") == source.name)
     if vehicle is not None:
         df = df.where(F.col("vehicle") == vehicle)
@@ -70,18 +72,24 @@ def expired(dates: DataFrame, keep_days: int, today: str) -> DataFrame:
     return dates.where(day < F.date_sub(F.lit(today).cast("date"), keep_days - 1))
 
 
+def date_folders(spark: SparkSession, root: str) -> list[str]:
+    """The ``date=`` folders below ``root``, at its top or below source and vehicle folders, as relative paths."""
+    folder = Folder(spark, root)
+    return [name for depth in range(len(PARTITIONS)) for name in folder.names("*=*/" * depth + "date=*")]
+
+
 def delete_expired(spark: SparkSession, root: str, keep_days: int, today: str) -> list[str]:
-    """Delete expired ``date=`` folders below ``root`` through the Hadoop file system."""
+    """Delete expired ``date=`` folders below ``root`` through the Hadoop file system. Returns their dates.
+
+    Names that are no date stay, and so does everything if ``keep_days`` is not positive.
+    """
     if keep_days <= 0:
         return []
-    jvm = spark._jvm
-    base = jvm.org.apache.hadoop.fs.Path(root)
-    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in fs.globStatus(jvm.org.apache.hadoop.fs.Path(base, "date=*"))]
-    rows = spark.createDataFrame([(n[5:],) for n in names], "date string")
-    gone = sorted(r["date"] for r in expired(rows, keep_days, today).collect())
-    delete_folders(spark, root, [f"date={date}" for date in gone])
-    return gone
+    names = [(n, n.rpartition("date=")[2]) for n in date_folders(spark, root)]
+    rows = spark.createDataFrame(names, "name string, date string")
+    gone = expired(rows, keep_days, today).collect()  # a row per folder
+    delete_folders(spark, root, [r["name"] for r in gone])
+    return sorted({r["date"] for r in gone})
 
 
 def delete_folders(spark: SparkSession, root: str, names: list[str]) -> None:
@@ -98,12 +106,26 @@ def settings_version(settings: dict) -> str:
     return hashlib.sha256(text.encode()).hexdigest()[:12]
 
 
+def files(spark: SparkSession, root: str) -> DataFrame:
+    """(path, written, bytes, source, vehicle, date) of the Parquet files below ``root``; no file is opened.
+
+    A source of binary files whose content nobody asks for is a listing. Partition values come from the
+    folders' names, null where a layout lacks one; no folder gives no rows.
+    """
+    try:
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(root)
+    except AnalysisException:
+        return spark.createDataFrame([], "path string, written timestamp, bytes bigint, source string, vehicle string, date string")
+    def value(key: str) -> Column:
+        name = F.nullif(F.regexp_extract("path", f"/{key}=([^/]*)/", 1), F.lit(""))
+        return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias(key)
+    shown = listed.where(~F.col("path").rlike("/[_.][^/]*/"))
+    return shown.select("path", F.col("modificationTime").alias("written"), F.col("length").alias("bytes"), *[value(k) for k in PARTITIONS])
+
+
 def file_times(spark: SparkSession, root: str) -> DataFrame:
-    """Newest file time of each partition, from file metadata alone."""
-    meta = F.col("_metadata.file_modification_time")
-    df = spark.read.parquet(root)
-    by = [c for c in PARTITIONS if c in df.columns]
-    return df.groupBy(*by).agg(F.max(meta).alias("written"))
+    """Newest file time of each partition, from the listing alone."""
+    return files(spark, root).groupBy(*PARTITIONS).agg(F.max("written").alias("written"))
 
 
 def stale_partitions(raw: DataFrame, event: DataFrame, keys: list[str], version: str) -> DataFrame:
@@ -138,14 +160,20 @@ def never_filled(df: DataFrame, keys: list[str], wanted: list[str]) -> DataFrame
 
 
 def row_digest(cols: list[str]) -> Column:
-    """A 32-bit number from a row's text, the same in any engine that has md5."""
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in cols])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    """A 60-bit number from a row's values, the same in any engine that has md5.
+
+    Each value comes with its length, so no two rows have one text; null has its own mark.
+    """
+    parts = []
+    for c in cols:
+        text = F.col(c).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("~")))
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 15), 16, 10).cast("bigint")
 
 
 def fingerprints(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     """Row count and an order-free content sum per partition, combined on the map side."""
-    total = F.sum(row_digest(cols).cast("decimal(20,0)")).cast("string")
+    total = F.sum(row_digest(cols).cast("decimal(38,0)")).cast("string")
     return df.groupBy(*keys).agg(F.count("*").alias("n_rows"), total.alias("content"))
 
 
@@ -157,22 +185,14 @@ def changed(now: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def storage_by_layer(spark: SparkSession, roots: dict[str, str], warn_bytes: int) -> DataFrame:
-    """Bytes and files per layer, source and vehicle, from file metadata alone."""
+    """Bytes, files and dates per layer, source and vehicle, from the listing alone."""
     out = None
     for layer, root in roots.items():
-        df = spark.read.parquet(root)
-        by = [c for c in ("source", "vehicle") if c in df.columns]
-        files = df.select(
-            *by, F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b")
-        )
-        files = files.groupBy(*by, "f").agg(F.max("b").alias("b"))
-        sums = files.groupBy(*by).agg(F.sum("b").alias("bytes"), F.count("*").alias("files"))
-        sums = sums.select(
-            F.lit(layer).alias("layer"),
-            *[(F.col(c) if c in by else F.lit("")).alias(c) for c in ("source", "vehicle")],
-            "bytes",
-            "files",
-            (F.col("bytes") > warn_bytes).alias("warn"),
+        group = [F.lit(layer).alias("layer"), *[F.coalesce(c, F.lit("")).alias(c) for c in ("source", "vehicle")]]
+        sums = files(spark, root).groupBy(*group).agg(
+            F.sum("bytes").alias("bytes"), F.count("*").alias("files"), F.count_distinct("date").alias("dates"),
+            F.min("date").alias("first_date"), F.max("date").alias("last_date"),
         )
+        sums = sums.withColumn("warn", F.col("bytes") > warn_bytes)
         out = sums if out is None else out.unionByName(sums)
     return out

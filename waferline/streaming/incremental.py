@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from waferline.sources.partitions import overwrite_partitions
-from waferline.sources.rules import on_driver
+from waferline.session import cut_lineage
+from waferline.sources.commits import CommitLog, replace_partitions
 
 
 def read_files(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -36,14 +36,20 @@ def rebuild_dates(
 ) -> StreamingQuery:
     """Rebuild every date that new raw rows touch, as a whole, and replace just those partitions.
 
-    A late row thus changes its own date. Rebuilding a date again gives the same partition, so a
-    batch that is retried does no harm. ``all_raw`` and ``build`` have a ``date`` column.
+    A late row thus changes its own date, and a date that yields no rows any more loses its folder. Dates of
+    finished batches stand in a log beside the table: a batch that comes again is skipped, and one that was
+    broken off is rebuilt to the same partitions. ``all_raw`` and ``build`` have a ``date`` column.
     """
 
     def replace(batch: DataFrame, batch_id: int) -> None:
-        # the dates of a batch are few, and as a list they prune the folders of the raw table
-        dates = [r["date"] for r in on_driver(batch.select("date").distinct())]
-        overwrite_partitions(build(all_raw().where(F.col("date").isin(dates))), root, ["date"])
+        spark = batch.sparkSession
+        log = CommitLog(spark, f"{root}/_batches", ["date"])
+        if not log.snapshot(with_removed=True).where(F.col("version") == str(batch_id)).isEmpty():
+            return
+        dates = cut_lineage(batch.select("date").where("date IS NOT NULL").distinct())
+        rows = all_raw().join(dates, "date", "left_semi")
+        built = cut_lineage(replace_partitions(build(rows), root, ["date"], dates))
+        log.append(built.withColumns({"written": F.current_timestamp(), "version": F.lit(str(batch_id)), "removed": F.col("n_rows") == 0}))
 
     return (
         raw_stream.writeStream.foreachBatch(replace).option("checkpointLocation", checkpoint)
