@@ -113,7 +113,7 @@ def test_later_step_of_a_shared_description_wins(spark):
     got = {r["wafer_id"]: r["value_str"] for r in knob.features(looked_up, Registry(), ["last"]).collect()}
     assert got == {"1": "K2", "3": "P9"}  # wafer 2 passed only the earlier step
     # but it passed one of the steps, so it did not skip
-    steps = [{"vehicle": "V", "feature": "KNOB_ETCH_ppid", "step_id": s} for s in ("S1", "S2")]
+    steps = spark.createDataFrame([("V", "KNOB_ETCH_ppid", s) for s in ("S1", "S2")], FEATURE_STEPS)
     assert skip.candidates(skip.last_per_step(rows), steps).isEmpty()
 
 
@@ -138,16 +138,42 @@ def test_skip_by_rule(spark):
                           ("H", "ETCH", "R1", "in", "a|b", "VALUE")])
     rows = event(spark, [("1", "S1", "ETCH", "01", "P1"), ("2", "S2", "CVD", "02", "PX"), ("3", "S2", "CVD", "02", None), ("4", "S3", "PHOTO", "01", "PX")])
     last = skip.last_per_step(rows)
-    conditions = [r.asDict() for r in knob.block_conditions(table).collect()]
-    targets = [r.asDict() for r in knob.block_targets(table).collect()]
-    known = {("V", d) for d in ("ETCH", "CVD", "PHOTO")}
-    blocks, refused = skip.usable_blocks(conditions, targets, known, ["V"])
-    assert [b["rule"] for b in blocks] == ["F/R9"]
-    assert sorted(r["reason"] for r in refused) == ["only SKIP blocks are supported", "unknown step GONE"]
-    missing = skip.candidates(last, [{"vehicle": "V", "feature": "KNOB_ETCH_ppid", "step_id": "S1"}])
+    conditions, targets = knob.block_conditions(table), knob.block_targets(table)
+    known = spark.createDataFrame([("V", d) for d in ("ETCH", "CVD", "PHOTO")], "vehicle string, name string")
+    blocks, aims, refused = skip.usable_blocks(conditions, targets, known, ["V"])
+    assert {r["block"] for r in blocks.collect()} == {"F/R9"}
+    assert sorted(r["reason"] for r in refused.collect()) == ["only SKIP blocks are supported", "unknown step GONE"]
+    missing = skip.candidates(last, spark.createDataFrame([("V", "KNOB_ETCH_ppid", "S1")], FEATURE_STEPS))
     assert sorted(r["wafer_id"] for r in missing.collect()) == ["2", "3", "4"]
-    assert [(r["wafer_id"], r["rule"]) for r in skip.by_rule(last, missing, blocks).collect()] == [("2", "F/R9")]
-    assert skip.targeted(conditions, targets) == {"KNOB_ETCH_ppid"}
+    assert [(r["wafer_id"], r["rule"]) for r in skip.by_rule(last, missing, blocks, aims).collect()] == [("2", "F/R9")]
+    assert [r["feature"] for r in skip.targeted(conditions, targets).collect()] == ["KNOB_ETCH_ppid"]
+
+
+FEATURE_STEPS = "vehicle string, feature string, step_id string"
+
+
+def test_every_condition_of_a_block_counts(spark):
+    """Blocks of all operators, against the conditions tried one by one."""
+    from waferline.functions.conditions import condition
+
+    ops = [("eq", "P1"), ("neq", "P1"), ("contains", "^P"), ("in", "P1|P2"), ("not_in", "P1|P2"), ("_null", ""), ("not_null", ""), ("odd", "")]
+    wafers = {"1": ("P1", "P2"), "2": ("P3", None), "3": (None, "P1"), "4": ("Q", "P3")}
+    rows = event(spark, [(w, s, d, "01", p) for w, both in wafers.items() for s, d, p in (("S1", "ETCH", both[0]), ("S2", "CVD", both[1])) if p])
+    rows = rows.unionByName(event(spark, [(w, "S3", "PHOTO", "01", "PX") for w in wafers]))
+    last = skip.last_per_step(rows)
+    missing = skip.candidates(last, spark.createDataFrame([("V", "F", "S9")], FEATURE_STEPS))
+    blocks = [(f"{a[0]}&{b[0]}", a, b) for a in ops for b in ops]
+    conditions = spark.createDataFrame([("V", name, step, *c) for name, a, b in blocks for step, c in (("ETCH", a), ("S2", b))], "vehicle string, block string, step string, op string, value string")
+    aims = spark.createDataFrame([("V", name, i, name, 2, "F") for i, (name, _, _) in enumerate(blocks)], "vehicle string, block string, first int, rule string, n_conds int, feature string")
+    values = spark.createDataFrame([(w, *p) for w, p in wafers.items()], "w string, a string, b string")
+    for number, (name, a, b) in enumerate(blocks):
+        if number % 5:
+            continue
+        one = aims.where(F.col("block") == name)
+        got = {r["wafer_id"] for r in skip.by_rule(last, missing, conditions.where(F.col("block") == name), one).collect()}
+        assert got == {r["w"] for r in values.where(condition(*a, "a") & condition(*b, "b")).collect()}, name
+    every = {r["wafer_id"]: r["rule"] for r in skip.by_rule(last, missing, conditions, aims).collect()}
+    assert every["1"] == "eq&neq" and every["2"] == "neq&_null"
 
 
 def test_skip_by_order(spark):
@@ -156,7 +182,7 @@ def test_skip_by_order(spark):
         rows += [(str(w), "S1", "ETCH", "01", "P"), (str(w), "S2", "CVD", "02", "P"), (str(w), "S0", "WELL", "00", "P")]
     rows += [("late", "S2", "CVD", "02", "P"), ("pending", "S0", "WELL", "00", "P")]
     last = skip.last_per_step(event(spark, rows))
-    steps = [{"vehicle": "V", "feature": "F_MID", "step_id": "S1"}, {"vehicle": "V", "feature": "F_END", "step_id": "S2"}]
+    steps = spark.createDataFrame([("V", "F_MID", "S1"), ("V", "F_END", "S2")], FEATURE_STEPS)
     stats = skip.copassage(last, steps)
     found = {(r["feature"], r["step_id"]) for r in skip.anchors(stats).collect()}
     assert found == {("F_MID", "S2")}  # the last step of the route has no anchor

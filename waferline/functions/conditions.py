@@ -26,6 +26,18 @@ def condition(op: str, value: str, c: str | Column) -> Column:
     return F.coalesce(tests[op](), F.lit(False))
 
 
+def met(op: str | Column, value: str | Column, c: str | Column) -> Column:
+    """The same conditions where operator and value are columns: rules as rows rather than as a plan."""
+    v, wanted, kind = as_col(c), F.coalesce(as_col(value), F.lit("")), as_col(op)
+    listed = F.array_contains(F.split(wanted, r"\|"), F.coalesce(v, F.lit("")))
+    test = (
+        F.when(kind == "eq", v == as_col(value)).when(kind == "neq", v != as_col(value)).when(kind == "contains", F.rlike(v, wanted))
+        .when(kind == "in", v.isNotNull() & listed).when(kind == "not_in", v.isNotNull() & ~listed)
+        .when(kind == "_null", v.isNull()).when(kind == "not_null", v.isNotNull()).otherwise(F.lit(True))
+    )
+    return F.coalesce(test, F.lit(False))
+
+
 def check_filter(c: str | Column, check: str | None) -> Column:
     """Filter of a check text: eq X, not null, null, startswith X, contains X; else no filter."""
     text = (check or "").strip().lower()

@@ -228,10 +228,10 @@ def coverage(event: DataFrame, date: str, keys: list[str]) -> DataFrame:
 
 
 def catalog(long: DataFrame) -> DataFrame:
-    """Rows, and the first three wafers' values, per feature."""
+    """Rows, and the first three wafers' values, per feature of any family; numbers with six decimals."""
     from waferline.operators.ranking import top_rows
 
-    text = F.coalesce("value_str", F.round("value_num", 6).cast("string"))
+    text = F.coalesce("value_str", F.when(F.col("value_num").isNotNull(), F.format_string("%.6f", "value_num")))
     rows = long.groupBy("category", "feature").agg(F.count("*").alias("n_rows"))
     order = [F.col(c) for c in WAFER]
     kept = top_rows(long.withColumn("text", F.coalesce(text, F.lit(""))), ["category", "feature"], order, 3)

@@ -161,18 +161,22 @@ def retry_state(log: DataFrame, now: str | Column, delays: tuple[int, ...] = RET
     )
 
 
-def retry_summary(state: DataFrame) -> DataFrame:
-    """Totals over the units that wait for a retry or are blocked."""
+def retry_summary(state: DataFrame, now: Column) -> DataFrame:
+    """Totals over the units that wait for a retry or are blocked; due are those whose retry time has come."""
     blocked = F.col("status") == "blocked"
     return state.groupBy("severity").agg(
         F.count("*").alias("pending"), F.sum((~blocked).cast("int")).alias("waiting"),
-        F.sum(blocked.cast("int")).alias("blocked"), F.max("age_sec").alias("oldest_age_sec"),
+        F.sum(blocked.cast("int")).alias("blocked"),
+        F.sum(F.coalesce(~blocked & (F.col("next_retry") <= now), F.lit(False)).cast("int")).alias("due"), F.max("age_sec").alias("oldest_age_sec"),
         F.min("next_retry").alias("next_retry"), F.max("attempts").alias("max_attempts"),
     )
 
 
-def anomalies(chunks: DataFrame, partitions: DataFrame, now: str | Column) -> DataFrame:
-    """Failed and stuck chunks, probe errors, and partly failed partitions, with a severity by age."""
+def anomalies(chunks: DataFrame, partitions: DataFrame, now: str | Column, limit: int | None = None) -> DataFrame:
+    """Failed and stuck chunks, probe errors, and partly failed partitions, with a severity by age.
+
+    With a limit, the gravest and then the oldest ones, in that order.
+    """
     clock = now if isinstance(now, Column) else F.lit(now)
     age = F.unix_seconds(clock.cast("timestamp")) - F.unix_seconds(F.col("ts").cast("timestamp"))
     aged = chunks.withColumn("age_sec", age)
@@ -189,4 +193,8 @@ def anomalies(chunks: DataFrame, partitions: DataFrame, now: str | Column) -> Da
         F.col("partition_id").alias("subject"), F.lit("partition_partial").alias("kind"),
         F.lit("medium").alias("severity"), F.lit(None).cast("bigint").alias("age_sec"),
     )
-    return rows.unionByName(partial)
+    found = rows.unionByName(partial)
+    if limit is None:
+        return found
+    grade = F.when(F.col("severity") == "high", 0).when(F.col("severity") == "medium", 1).otherwise(2)
+    return found.orderBy(grade, F.coalesce("age_sec", F.lit(0)).desc(), "subject", "kind").limit(limit)

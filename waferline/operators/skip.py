@@ -5,11 +5,11 @@ A wafer without the step is pending (null), skipped ("SKIP") or suspicious (repo
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waferline.functions import aggregates
-from waferline.functions.conditions import condition
+from waferline.functions.conditions import met
 from waferline.operators.features import ORDER, WAFER
 from waferline.operators.ranking import first_texts
 
@@ -33,32 +33,17 @@ def last_split(event: DataFrame) -> DataFrame:
     return event.groupBy(*WAFER).agg(last.alias("split"))
 
 
-def by_feature(feature_steps: list[dict]) -> list[tuple[str, str, list[str]]]:
-    """(vehicle, feature, step ids) from rows of vehicle, feature and step_id."""
-    out: dict[tuple[str, str], list[str]] = {}
-    for r in feature_steps:
-        out.setdefault((r["vehicle"], r["feature"]), []).append(r["step_id"])
-    return [(vehicle, feature, sorted(ids)) for (vehicle, feature), ids in sorted(out.items())]
-
-
-def _at(vehicle: str, ids: list[str]) -> Column:
-    return (F.col("vehicle") == vehicle) & F.col("step_id").isin(ids)
-
-
-def candidates(last: DataFrame, feature_steps: list[dict]) -> DataFrame:
+def candidates(last: DataFrame, feature_steps: DataFrame) -> DataFrame:
     """(wafer, feature) pairs where the wafer has no event at any step of the feature.
 
-    ``feature_steps`` has vehicle, feature and step_id. One pass: a flag per feature and wafer.
+    ``feature_steps`` has vehicle, feature and step_id. A wafer's passed features are gathered and taken from
+    its vehicle's; rows grow with the result, and the plan with nothing.
     """
-    rules = by_feature(feature_steps)
-    flags = [F.max(_at(v, ids).cast("int")).alias(f"f{i}") for i, (v, _, ids) in enumerate(rules)]
-    wafers = last.groupBy(*WAFER).agg(*flags)
-    missing = [
-        F.when((F.col("vehicle") == v) & (F.col(f"f{i}") == 0), F.lit(feature))
-        for i, (v, feature, _) in enumerate(rules)
-    ]
-    found = F.filter(F.array(*missing), lambda f: f.isNotNull())
-    return wafers.select(*WAFER, F.explode(found).alias("feature"))
+    marks = feature_steps.select("vehicle", "step_id", "feature").distinct()
+    passed = last.join(marks, ["vehicle", "step_id"], "left").groupBy(*WAFER).agg(F.collect_set("feature").alias("passed"))
+    wanted = marks.groupBy("vehicle").agg(F.collect_set("feature").alias("wanted"))
+    rows = passed.join(wanted, "vehicle")
+    return rows.select(*WAFER, F.explode(F.array_except("wanted", "passed")).alias("feature"))
 
 
 def without_value(missing: DataFrame, features: DataFrame) -> DataFrame:
@@ -66,90 +51,70 @@ def without_value(missing: DataFrame, features: DataFrame) -> DataFrame:
     return missing.join(features.select(*WAFER, "feature"), [*WAFER, "feature"], "left_anti")
 
 
-def usable_blocks(
-    conditions: list[dict], targets: list[dict], known: set[tuple[str, str]], vehicles: list[str]
-) -> tuple[list[dict], list[dict]]:
-    """SKIP blocks per vehicle whose condition steps are all known, and the others with a reason.
+def usable_blocks(conditions: DataFrame, targets: DataFrame, known: DataFrame, vehicles: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """SKIP blocks per vehicle whose condition steps are all known, what they target, and the others with a reason.
 
-    ``known`` holds (vehicle, step description or step id).
+    ``known`` holds (vehicle, name) with step descriptions and step ids. Returns the conditions (vehicle, block,
+    step, op, value), the targets (vehicle, block, first, rule, n_conds, feature), and refused (vehicle, rule, reason);
+    ``first`` is the position of a block's first condition.
     """
-    blocks: dict[tuple, list[dict]] = {}
-    for c in sorted(conditions, key=lambda c: c["pos"]):
-        blocks.setdefault((c["feature"], c["rule_order"], c["category"]), []).append(c)
-    usable, refused = [], []
-    for (feature, rule_order, category), conds in blocks.items():
-        rule = f"{feature}/{rule_order}"
-        steps = sorted(t["step"] for t in targets if t["feature"] == feature)
-        if category.upper() != "SKIP":
-            refused.append({"rule": rule, "vehicle": "", "reason": "only SKIP blocks are supported"})
-            continue
-        for vehicle in vehicles:
-            unknown = [c["step"] for c in conds if (vehicle, c["step"]) not in known]
-            if unknown:
-                refused.append({"rule": rule, "vehicle": vehicle, "reason": f"unknown step {unknown[0]}"})
-            else:
-                usable.append({"rule": rule, "vehicle": vehicle, "conds": conds, "steps": steps})
-    return usable, refused
-
-
-def targeted(conditions: list[dict], targets: list[dict]) -> set[str]:
-    """Features with a SKIP block, usable or not: the passing order does not decide for them."""
-    skips = {c["feature"] for c in conditions if c["category"].upper() == "SKIP"}
-    return {f"KNOB_{t['step']}_ppid" for t in targets if t["feature"] in skips}
-
-
-def by_rule(last: DataFrame, missing: DataFrame, blocks: list[dict]) -> DataFrame:
+    rows = conditions.withColumn("rule", F.concat_ws("/", "feature", "rule_order"))
+    other = F.upper("category") != "SKIP"
+    refused = rows.where(other).select(F.lit("").alias("vehicle"), "rule", F.lit("only SKIP blocks are supported").alias("reason")).distinct()
+    per_vehicle = rows.where(~other).withColumn("vehicle", F.explode(F.array(*[F.lit(v) for v in vehicles]).cast("array<string>")))
+    names = known.select("vehicle", F.col("name").alias("step")).distinct()
+    unknown = per_vehicle.join(names, ["vehicle", "step"], "left_anti").groupBy("vehicle", "rule").agg(F.min_by("step", "pos").alias("step"))
+    refused = refused.unionByName(unknown.select("vehicle", "rule", F.concat(F.lit("unknown step "), "step").alias("reason")))
+    usable = per_vehicle.join(unknown.select("vehicle", "rule"), ["vehicle", "rule"], "left_anti").withColumnRenamed("rule", "block")
+    blocks = usable.groupBy("vehicle", "block", "feature").agg(F.min("pos").alias("first"), F.count("*").alias("n_conds"))
+    named = targets.select("feature", F.concat(F.lit("KNOB_"), "step", F.lit("_ppid")).alias("target"))
+    aims = blocks.join(named, "feature").select("vehicle", "block", "first", F.col("block").alias("rule"), "n_conds", F.col("target").alias("feature"))
+    return usable.select("vehicle", "block", "step", "op", "value"), aims, refused
+
+
+def targeted(conditions: DataFrame, targets: DataFrame) -> DataFrame:
+    """(feature) with a SKIP block, usable or not: the passing order does not decide for them."""
+    skips = conditions.where(F.upper("category") == "SKIP").select("feature").distinct()
+    named = targets.join(skips, "feature", "left_semi")
+    return named.select(F.concat(F.lit("KNOB_"), "step", F.lit("_ppid")).alias("feature")).distinct()
+
+
+def by_rule(last: DataFrame, missing: DataFrame, conditions: DataFrame, aims: DataFrame) -> DataFrame:
     """Candidates whose wafer meets every condition of a block that targets the feature's step.
 
-    Of several such blocks the first one counts.
+    Of several such blocks the first one counts. A wafer meets a block if it meets as many conditions as the
+    block has. A condition sees the last recipe at its step (named by description or id), null where the wafer
+    has none; so those that hold for null are met unless a row says otherwise, and only rows at the
+    conditions' steps are compared.
     """
-    steps = sorted({c["step"] for b in blocks for c in b["conds"]})
-    number = {s: i for i, s in enumerate(steps)}
-
-    def at(step: str) -> Column:
-        here = (F.col("step_desc") == step) | (F.col("step_id") == step)
-        return F.max(F.when(here, F.struct("t", "step_id", "ppid")))["ppid"]
-
-    wafers = last.groupBy(*WAFER).agg(*[at(s).alias(f"v{number[s]}") for s in steps])
-    hits = []
-    for i, b in enumerate(blocks):
-        test = F.col("vehicle") == b["vehicle"]
-        for c in b["conds"]:
-            test = test & condition(c["op"], c["value"], F.col(f"v{number[c['step']]}"))
-        for step in b["steps"]:
-            hit = F.struct(
-                F.lit(f"KNOB_{step}_ppid").alias("feature"), F.lit(i).alias("block"), F.lit(b["rule"]).alias("rule")
-            )
-            hits.append(F.when(test, hit))
-    found = F.filter(F.array(*hits), lambda h: h.isNotNull())
-    met = wafers.select(*WAFER, F.explode(found).alias("h")).select(*WAFER, "h.*")
-    rule = F.min(F.struct("block", "rule"))["rule"].alias("rule")
-    return missing.join(met, [*WAFER, "feature"]).groupBy(*WAFER, "feature").agg(rule)
-
-
-def copassage(last: DataFrame, feature_steps: list[dict]) -> DataFrame:
+    conditions = conditions.withColumn("of_null", met("op", "value", F.lit(None).cast("string")).cast("int"))
+    steps = conditions.select("vehicle", F.col("step").alias("name")).distinct()
+    name = F.explode(F.array_distinct(F.array("step_desc", "step_id"))).alias("name")
+    here = last.select(*WAFER, "t", "step_id", "ppid", name).join(steps, ["vehicle", "name"])
+    values = here.groupBy(*WAFER, "name").agg(F.max(F.struct("t", "step_id", "ppid"))["ppid"].alias("v"))
+    seen = values.join(conditions.withColumnRenamed("step", "name"), ["vehicle", "name"])
+    change = seen.groupBy(*WAFER, "block").agg(F.sum(met("op", "value", "v").cast("int") - F.col("of_null")).alias("change"))
+    held = conditions.groupBy("vehicle", "block").agg(F.sum("of_null").alias("of_null"))
+    tried = missing.join(aims, ["vehicle", "feature"]).join(held, ["vehicle", "block"]).join(change, [*WAFER, "block"], "left")
+    whole = tried.where(F.col("of_null") + F.coalesce("change", F.lit(0)) == F.col("n_conds"))
+    return whole.groupBy(*WAFER, "feature").agg(F.min(F.struct("first", "rule"))["rule"].alias("rule"))
+
+
+def copassage(last: DataFrame, feature_steps: DataFrame) -> DataFrame:
     """Per feature and other step: wafers that passed both, and the share that passed it later.
 
-    Each wafer's reference times are columns of one row, so a step row meets one row and no pairs
-    of steps are emitted; counting happens per step before anything is shuffled.
+    ``feature_steps`` has vehicle, feature and step_id. A wafer's features with their last times are gathered
+    and joined to its steps by wafer; counts are combined before anything is shuffled by feature and step.
     """
-    rules = by_feature(feature_steps)
-    times = [F.max(F.when(_at(v, ids), F.col("t"))).alias(f"t{i}") for i, (v, _, ids) in enumerate(rules)]
-    seen = [F.max(_at(v, ids)).alias(f"s{i}") for i, (v, _, ids) in enumerate(rules)]
-    rows = last.select(*WAFER, "step_id", "t").join(last.groupBy(*WAFER).agg(*times, *seen), WAFER)
-    counts = []
-    for i, (v, _, ids) in enumerate(rules):
-        both = F.col(f"s{i}") & ~_at(v, ids)
-        later = F.col("t") > F.col(f"t{i}")  # a null time is no comparison: a wafer, but not in the share
-        counts.append(F.sum(F.when(both, 1)).alias(f"n{i}"))
-        counts.append(F.avg(F.when(both, later.cast("double"))).alias(f"share{i}"))
-    sums = rows.groupBy("vehicle", "step_id").agg(*counts)
-    cells = [
-        F.struct(F.lit(v).alias("v"), F.lit(f).alias("feature"), F.col(f"n{i}").alias("n"), F.col(f"share{i}").alias("share"))
-        for i, (v, f, _) in enumerate(rules)
-    ]
-    long = sums.select("vehicle", "step_id", F.explode(F.array(*cells)).alias("c"))
-    return long.where("c.v = vehicle AND c.n IS NOT NULL").select("vehicle", "c.feature", "step_id", "c.n", "c.share")
+    marks = feature_steps.select("vehicle", "feature", "step_id").distinct()
+    times = last.join(marks, ["vehicle", "step_id"]).groupBy(*WAFER, "feature").agg(F.max("t").alias("ref"))
+    times = times.groupBy(*WAFER).agg(F.collect_list(F.struct("feature", "ref")).alias("refs"))
+    rows = last.select(*WAFER, "step_id", "t").join(times, WAFER)
+    rows = rows.select("vehicle", "step_id", "t", F.inline("refs"))
+    # a null time is no comparison: a wafer, but not in the share
+    share = F.avg((F.col("t") > F.col("ref")).cast("double")).alias("share")
+    sums = rows.groupBy("vehicle", "feature", "step_id").agg(F.count("*").alias("n"), share)
+    return sums.join(marks, ["vehicle", "feature", "step_id"], "left_anti")
 
 
 def anchors(stats: DataFrame, min_support: int = MIN_SUPPORT, after_share: float = AFTER_SHARE) -> DataFrame:

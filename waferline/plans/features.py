@@ -151,13 +151,12 @@ def feature_has_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     return long.groupBy("vehicle", "feature").agg(F.max(features.has_value()).alias("filled"))
 
 
-@query("feature_catalog", f"""WITH {LONG}, texts AS (SELECT category, feature, vehicle, root_lot_id, wafer_id, coalesce(value_str, '') AS v
-      FROM long WHERE category IN ('FAB', 'KNOB', 'MASK'))
+@query("feature_catalog", f"""WITH {LONG}, texts AS (SELECT category, feature, vehicle, root_lot_id, wafer_id, coalesce(value_str, printf('%.6f', value_num), '') AS v FROM long)
     SELECT category, feature, count(*) AS n_rows,
       array_to_string(list(v ORDER BY vehicle, root_lot_id, wafer_id)[1:3], ',') AS sample FROM texts GROUP BY ALL""")
 def feature_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     long = cut_lineage(common.long_features(spark, sf_dir))  # read twice
-    return features.catalog(long.where(F.col("category").isin("FAB", "KNOB", "MASK")))
+    return features.catalog(long)
 
 
 @query("feature_coverage", f"""WITH {FAB_EVENT} SELECT vehicle, step_id, count(DISTINCT day) AS days, min(day) AS first_date, max(day) AS last_date

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -181,40 +180,29 @@ class Run:
         values = knob.features(looked_up, self.rules.registry, aggs)
         self.report("knob_miss", knob.misses(looked_up))
         last = cut_lineage(skip.last_per_step(event))  # a row per wafer and step, read several times
-        present = rule_tables.on_driver(last.select("vehicle", "step_id").distinct())
-        here = {(r["vehicle"], r["step_id"]) for r in present}
+        present = last.select("vehicle", "step_id").distinct()
         feature = F.concat(F.lit("KNOB_"), "step_desc", F.lit("_ppid")).alias("feature")
-        steps = rule_tables.on_driver(knob.mapped_steps(knob_map).select("vehicle", "step_id", feature))
-        steps = [s for s in steps if (s["vehicle"], s["step_id"]) in here]
-        if not steps:
-            return values
-        conditions = rule_tables.on_driver(knob.block_conditions(rules))
-        targets = rule_tables.on_driver(knob.block_targets(rules))
-        known = here | {(r["vehicle"], r["step_desc"]) for r in self.rules.step_map}
+        steps = knob.mapped_steps(knob_map).select("vehicle", "step_id", feature)
+        steps = cut_lineage(steps.join(present, ["vehicle", "step_id"], "left_semi"))
+        conditions, targets = knob.block_conditions(rules), knob.block_targets(rules)
+        known = present.select("vehicle", F.col("step_id").alias("name"))
+        known = known.unionByName(self.rules.steps(self.spark).select("vehicle", F.col("step_desc").alias("name")))
         vehicles = sorted({r["vehicle"] for r in self.rules.step_map})
-        blocks, refused = skip.usable_blocks(conditions, targets, known, vehicles)
-        missing = skip.without_value(skip.candidates(last, steps), values)
-        by_rule = skip.by_rule(last, missing, blocks) if blocks else None
-        targeted = skip.targeted(conditions, targets)
-        auto = [s for s in steps if s["feature"] not in targeted]
-        skipped, held = [], []
-        if by_rule is not None:
-            skipped.append(by_rule.select(*WAFER, "feature", F.lit("rule").alias("mode")))
-        if auto:
-            left = missing.where(~F.col("feature").isin(sorted(targeted))) if targeted else missing
-            found = skip.anchors(skip.copassage(last, auto))
-            found = cut_lineage(found)
-            skipped.append(skip.by_order(last, left, found).select(*WAFER, "feature", F.lit("auto").alias("mode")))
-            kept = left.join(found, ["vehicle", "feature"], "left_anti").groupBy("vehicle", "feature").agg(F.count("*").alias("n_wafers"))
-            held.append(kept.select("vehicle", F.col("feature").alias("rule"), F.concat(F.lit("no later step known: "), F.col("n_wafers").cast("string"), F.lit(" wafers")).alias("reason")))
-        held.append(self.spark.createDataFrame([(r["vehicle"], r["rule"], r["reason"]) for r in refused], "vehicle string, rule string, reason string"))
-        self.report("skip_refused", reduce(DataFrame.unionByName, held))
-        out = values.select(*WAFER, "feature", "value_str")
-        if skipped:
-            skips = cut_lineage(reduce(DataFrame.unionByName, skipped))
-            self.report("knob_skip", skip.report(skips, skip.last_split(event)))
-            out = out.unionByName(skips.select(*WAFER, "feature", F.lit("SKIP").alias("value_str")))
-        return out
+        blocks, aims, refused = skip.usable_blocks(conditions, targets, known, vehicles)
+        missing = cut_lineage(skip.without_value(skip.candidates(last, steps), values))
+        by_rule = skip.by_rule(last, missing, blocks, aims)
+        by_blocks = skip.targeted(conditions, targets)
+        auto, left = (df.join(by_blocks, "feature", "left_anti") for df in (steps, missing))
+        found = cut_lineage(skip.anchors(skip.copassage(last, auto)))
+        by_order = skip.by_order(last, left, found)
+        kept = left.join(found, ["vehicle", "feature"], "left_anti").groupBy("vehicle", "feature").agg(F.count("*").alias("n_wafers"))
+        reason = F.concat(F.lit("no later step known: "), F.col("n_wafers").cast("string"), F.lit(" wafers")).alias("reason")
+        self.report("skip_refused", refused.unionByName(kept.select("vehicle", F.col("feature").alias("rule"), reason)))
+        skips = by_rule.select(*WAFER, "feature", F.lit("rule").alias("mode"))
+        skips = cut_lineage(skips.unionByName(by_order.select(*WAFER, "feature", F.lit("auto").alias("mode"))))
+        self.report("knob_skip", skip.report(skips, skip.last_split(event)))
+        skipped = skips.select(*WAFER, "feature", F.lit("SKIP").alias("value_str"))
+        return values.select(*WAFER, "feature", "value_str").unionByName(skipped)
 
     def long(self) -> DataFrame:
         return features.with_values(self.spark.read.parquet(self.path("feature")))

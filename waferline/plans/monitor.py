@@ -132,10 +132,11 @@ def retry_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("retry_summary", f"""{_LOG}, {_RETRY} SELECT severity, count(*) AS pending, count(*) FILTER (WHERE status <> 'blocked') AS waiting,
-      count(*) FILTER (WHERE status = 'blocked') AS blocked, max(age_sec) AS oldest_age_sec, min(next_retry) AS next_retry, max(attempts) AS max_attempts
+      count(*) FILTER (WHERE status = 'blocked') AS blocked,
+      count(*) FILTER (WHERE status <> 'blocked' AND next_retry <= epoch(TIMESTAMP '{NOW}')::bigint) AS due, max(age_sec) AS oldest_age_sec, min(next_retry) AS next_retry, max(attempts) AS max_attempts
     FROM retries GROUP BY severity""")
 def retry_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return runs.retry_summary(retry_state(spark, sf_dir))
+    return runs.retry_summary(retry_state(spark, sf_dir), F.unix_seconds(_clock().cast("timestamp")))
 
 
 _AGE = f"epoch(TIMESTAMP '{NOW}')::bigint - floor(epoch(ts))::bigint"
@@ -145,13 +146,14 @@ _AGE = f"epoch(TIMESTAMP '{NOW}')::bigint - floor(epoch(ts))::bigint"
     SELECT subject, 'chunk_failed' AS kind, CASE WHEN age_sec < 3600 THEN 'high' ELSE 'medium' END AS severity, age_sec FROM aged WHERE status = 'failed'
     UNION ALL SELECT subject, 'stuck_in_progress', CASE WHEN age_sec > 3600 THEN 'high' ELSE 'medium' END, age_sec FROM aged WHERE status = 'in_progress' AND age_sec > 1800
     UNION ALL SELECT subject, 'probe_error', 'medium', age_sec FROM aged WHERE status = 'resumed'
-    UNION ALL SELECT date, 'partition_partial', 'medium', NULL FROM partitions WHERE status = 'partial_failed'""")
+    UNION ALL SELECT date, 'partition_partial', 'medium', NULL FROM partitions WHERE status = 'partial_failed'
+    ORDER BY CASE severity WHEN 'high' THEN 0 ELSE 1 END, coalesce(age_sec, 0) DESC, subject, kind LIMIT 500""")
 def anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     states = chunks(spark, sf_dir)
     parts = runs.partition_status(states, ["date"]).withColumnRenamed("date", "partition_id")
     states = states.withColumn("chunk_id", F.concat_ws("/", "vehicle", "date"))
     states = states.withColumn("status", F.when(F.col("status") == "resumed", "probe_error").otherwise(F.col("status")))
-    return runs.anomalies(states, parts, _clock())
+    return runs.anomalies(states, parts, _clock(), limit=500)
 
 
 # ── stage health and alerts ──
@@ -333,7 +335,7 @@ def dq_event(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _N_RULES = {c: len(rulebook.dicts(f"{c.lower()}_rules")) for c in ("FAB", "KNOB", "MASK", "INLINE", "VM")}
-_FEATURE_CHECKS = f"""made AS (SELECT vehicle, category, count(DISTINCT feature) AS n_features FROM long WHERE vehicle <> 'VH_F' OR category <> 'VM' GROUP BY ALL),
+_FEATURE_CHECKS = f"""made AS (SELECT vehicle, category, count(DISTINCT feature) AS n_features FROM long GROUP BY ALL),
     wanted(category, n_rules) AS (VALUES {', '.join(f"('{c}', {n})" for c, n in _N_RULES.items())}),
     feature_checks AS (SELECT v.vehicle, 'feature' AS stage, concat('family_', lower(w.category)) AS name, coalesce(n_features, 0)::double AS n,
       CASE WHEN coalesce(n_features, 0) > 0 OR n_rules = 0 THEN 'ok' ELSE 'fail' END AS status
@@ -343,7 +345,6 @@ _FEATURE_CHECKS = f"""made AS (SELECT vehicle, category, count(DISTINCT feature)
 def feature_checks(spark: SparkSession, long: DataFrame) -> DataFrame:
     rows = [(c, f"{c}_{i}") for c, n in _N_RULES.items() for i in range(n)]
     wanted = rule_tables.table(spark, ["category", "feature"], rows)
-    long = long.where("vehicle <> 'VH_F' OR category <> 'VM'")  # a family that one vehicle lacks
     return quality.feature_checks(wanted, long, bindings.rules(spark, "step_map").select("vehicle").distinct())
 
 
@@ -352,8 +353,12 @@ def dq_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feature_checks(spark, common.long_features(spark, sf_dir))
 
 
-_SEND_CHECKS = """send_checks AS (SELECT vehicle, 'send' AS stage, name, n::double AS n, status FROM (SELECT DISTINCT vehicle FROM step_map),
-      (VALUES ('send_knob', 0, 'ok'), ('send_fab', 2, 'fail'), ('send_vm', 0, 'ok'), ('send_inline', 0, 'ok')) AS v(name, n, status))"""
+_SEND_CHECKS = """filled AS (SELECT feature FROM long GROUP BY feature HAVING bool_or(trim(coalesce(value_str, '')) <> '' OR value_num IS NOT NULL)),
+    sent AS (SELECT feature, CASE WHEN starts_with(feature, 'KNOB_') THEN 'send_knob' WHEN starts_with(feature, 'FAB_') OR starts_with(feature, 'MASK_') THEN 'send_fab'
+      WHEN starts_with(feature, 'VM_') THEN 'send_vm' WHEN starts_with(feature, 'INLINE_') THEN 'send_inline' END AS name, starts_with(feature, 'MASK_') AS lost FROM filled),
+    send_checks AS (SELECT v.vehicle, 'send' AS stage, g.name, (count(*) FILTER (WHERE lost))::double AS n,
+        CASE WHEN count(feature) = 0 THEN 'skip' WHEN count(*) FILTER (WHERE lost) > 0 THEN 'fail' ELSE 'ok' END AS status
+      FROM (SELECT DISTINCT vehicle FROM step_map) v CROSS JOIN (VALUES ('send_knob'), ('send_fab'), ('send_vm'), ('send_inline')) AS g(name) LEFT JOIN sent s ON s.name = g.name GROUP BY ALL)"""
 _CHECKS = f"""{_RAW_CHECKS}, {_EVENT_CHECKS}, {_FEATURE_CHECKS}, {_SEND_CHECKS},
     checks AS (SELECT * FROM raw_checks UNION ALL SELECT * FROM event_checks UNION ALL SELECT * FROM feature_checks UNION ALL SELECT * FROM send_checks),
     graded AS (SELECT *, CASE status WHEN 'fail' THEN 2 WHEN 'warn' THEN 1 ELSE 0 END AS grade,

@@ -149,31 +149,31 @@ class SkipInputs:
         present = self.last.select("vehicle", "step_id").distinct()
         steps = knob.mapped_steps(knob.map_from_rules(bindings.rules(spark, "knob_rules"), common.step_map(spark)))
         feature = F.concat(F.lit("KNOB_"), "step_desc", F.lit("_ppid")).alias("feature")
-        self.steps = rule_tables.on_driver(
-            steps.select("vehicle", "step_id", feature).join(present, ["vehicle", "step_id"], "left_semi")
-        )
-        self.present = rule_tables.on_driver(present)
+        self.steps = steps.select("vehicle", "step_id", feature).join(present, ["vehicle", "step_id"], "left_semi")
+        self.present = present
         rules = bindings.rules(spark, "knob_rules")
-        self.conditions = rule_tables.on_driver(knob.block_conditions(rules))
-        self.targets = rule_tables.on_driver(knob.block_targets(rules))
+        self.conditions, self.targets = knob.block_conditions(rules), knob.block_targets(rules)
 
     def missing(self) -> DataFrame:
         return skip.candidates(self.last, self.steps)
 
-    def blocks(self) -> list[dict]:
-        known = {(r["vehicle"], r["step_desc"]) for r in rulebook.dicts("step_map")}
-        known |= {(r["vehicle"], r["step_id"]) for r in self.present}
-        return skip.usable_blocks(self.conditions, self.targets, known, list(rulebook.VEHICLES))[0]
+    def blocks(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        known = self.present.select("vehicle", F.col("step_id").alias("name"))
+        known = known.unionByName(bindings.rules(self.spark, "step_map").select("vehicle", F.col("step_desc").alias("name")))
+        return skip.usable_blocks(self.conditions, self.targets, known, list(rulebook.VEHICLES))
 
     def by_rule(self) -> DataFrame:
-        return skip.by_rule(self.last, self.missing(), self.blocks())
+        conditions, aims, _ = self.blocks()
+        return skip.by_rule(self.last, self.missing(), conditions, aims)
+
+    def auto_steps(self) -> DataFrame:
+        return self.steps.join(skip.targeted(self.conditions, self.targets), "feature", "left_anti")
 
     def stats(self) -> DataFrame:
-        targeted = skip.targeted(self.conditions, self.targets)
-        return skip.copassage(self.last, [s for s in self.steps if s["feature"] not in targeted])
+        return skip.copassage(self.last, self.auto_steps())
 
     def by_order(self) -> DataFrame:
-        missing = self.missing().where(~F.col("feature").isin(sorted(skip.targeted(self.conditions, self.targets))))
+        missing = self.missing().join(skip.targeted(self.conditions, self.targets), "feature", "left_anti")
         return skip.by_order(self.last, missing, skip.anchors(self.stats()))
 
 
@@ -188,6 +188,21 @@ def skip_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SkipInputs(spark, sf_dir).by_rule().withColumn("value_str", F.lit("SKIP"))
 
 
+@query("skip_refused", f"""WITH {FAB_EVENT}, {bindings.cte('knob_rules')}, blocks AS (
+      SELECT trim(feature_name) AS feature, upper(trim(coalesce(rule_order, ''))) AS rule_order, count(*) AS n, min(trim(coalesce(operator, ''))) AS any_op,
+        arg_min(upper(trim(category)), pos) FILTER (WHERE trim(coalesce(category, '')) <> '') AS category
+      FROM knob_rules WHERE upper(trim(coalesce("use", ''))) IN ('', 'Y', '1', 'TRUE') AND upper(trim(coalesce(rule_order, ''))) <> 'RO' GROUP BY ALL),
+    known AS (SELECT vehicle, step_desc AS name FROM step_map UNION SELECT vehicle, step_id FROM event)
+    SELECT v.vehicle, concat(b.feature, '/', b.rule_order) AS rule, concat('unknown step ', arg_min(trim(k.function_step), k.pos)) AS reason
+    FROM blocks b JOIN knob_rules k ON trim(k.feature_name) = b.feature AND upper(trim(coalesce(k.rule_order, ''))) = b.rule_order
+      CROSS JOIN (SELECT DISTINCT vehicle FROM step_map) v LEFT JOIN known ON known.vehicle = v.vehicle AND known.name = trim(k.function_step)
+    WHERE (n > 1 OR any_op <> 'eq') AND b.category = 'SKIP' AND known.name IS NULL AND upper(trim(coalesce(k."use", ''))) IN ('', 'Y', '1', 'TRUE') GROUP BY ALL
+    UNION ALL SELECT '' AS vehicle, concat(feature, '/', rule_order) AS rule, 'only SKIP blocks are supported' AS reason FROM blocks
+    WHERE (n > 1 OR any_op <> 'eq') AND coalesce(category, '') <> 'SKIP'""")
+def skip_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SkipInputs(spark, sf_dir).blocks()[2]
+
+
 @query("copassage_stats", f"{_SKIP}, {_STATS} SELECT vehicle, feature, step_id, n, round(share, 6) AS share FROM stats")
 def copassage_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SkipInputs(spark, sf_dir).stats().withColumn("share", F.round("share", 6))
@@ -209,6 +224,7 @@ def skip_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     skips = inputs.by_rule().select(*WAFER, "feature", F.lit("rule").alias("mode")).unionByName(
         inputs.by_order().select(*WAFER, "feature", F.lit("auto").alias("mode"))
     )
+    skips = cut_lineage(skips)  # counted, and asked for example lots
     return skip.report(skips, skip.last_split(inputs.event))
 
 

@@ -62,20 +62,21 @@ def to_files(stream: DataFrame, base: str) -> DataStreamWriter:
     return stream.writeStream.outputMode("append").format("parquet").option("path", f"{base}/out")
 
 
+def changed_rows(stream: DataFrame, base: str) -> DataStreamWriter:
+    """The keys that a batch changed, each batch in a folder of its own, which a repeated batch overwrites."""
+    def save(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}")
+
+    return stream.writeStream.outputMode("update").foreachBatch(save)
+
+
 _LATEST = """SELECT user_id AS unit, event_type AS kind, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS ts,
       arg_max(CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END, ts) AS status FROM events GROUP BY user_id, event_type"""
 
 
 @query("stream_latest_status", _LATEST)
 def stream_latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def start(stream: DataFrame, base: str) -> DataStreamWriter:
-        def save(batch: DataFrame, batch_id: int) -> None:
-            # a batch holds only the keys that changed; a repeated batch overwrites its own folder
-            batch.write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}")
-
-        return stream.writeStream.outputMode("update").foreachBatch(save)
-
-    base = run_in_waves(spark, sf_dir, lambda s: incremental.latest_status(s, ["unit", "kind"]), start)
+    base = run_in_waves(spark, sf_dir, lambda s: incremental.latest_status(s, ["unit", "kind"]), changed_rows)
     changes = spark.read.parquet(f"{base}/out")
     last = runs.latest_status(changes, ["unit", "kind"], "batch", ["ts"])
     return last.select("unit", "kind", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "status")
@@ -87,12 +88,13 @@ def stream_alert_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(ALERTS).parquet(f"{base}/out")
 
 
-@query("stream_alert_rate", """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour, event_type AS kind, count(*) AS n FROM events
-    WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events) GROUP BY ALL""")
+@query("stream_alert_rate", """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour, event_type AS kind, count(*) AS n FROM events GROUP BY ALL""")
 def stream_alert_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = run_in_waves(spark, sf_dir, lambda s: incremental.alert_rate(s, ["kind"]), to_files)
-    rate = spark.read.schema("hour timestamp, kind string, n bigint").parquet(f"{base}/out")
-    return rate.withColumn("hour", F.date_format("hour", "yyyy-MM-dd HH:mm:ss"))
+    """Every hour, the newest ones as far as they have come: a batch gives the hours that it changed."""
+    base = run_in_waves(spark, sf_dir, lambda s: incremental.alert_rate(s, ["kind"]), changed_rows)
+    rate = spark.read.schema("hour timestamp, kind string, n bigint, batch bigint").parquet(f"{base}/out")
+    last = rate.groupBy("hour", "kind").agg(F.max_by("n", "batch").alias("n"))
+    return last.withColumn("hour", F.date_format("hour", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query("stream_alert_gate", f"{GATE_WALK} SELECT user_id AS unit, event_id AS alert_id, outcome FROM walk WHERE rn > 0")
@@ -105,11 +107,13 @@ def stream_alert_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("unit bigint, alert_id bigint, outcome string").parquet(f"{base}/out")
 
 
-@query("stream_event_build", f"""WITH {INLINE_EVENT} SELECT root_lot_id, wafer_id, item_id, measure_pos, value, vehicle, substr(tkout_time, 1, 10) AS date FROM inline_event""")
+@query("stream_event_build", f"""WITH {INLINE_EVENT} SELECT root_lot_id, wafer_id, item_id, value, measure_pos, tkout_time,
+      strftime(time, '%Y-%m-%d %H:%M:%S.%f') AS time, vehicle, substr(tkout_time, 1, 10) AS date, split FROM inline_event""")
 def stream_event_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = run_dir(spark)
     raw = bindings.bound(spark, sf_dir, "inline_raw").withColumn("date", F.substring("tkout_time", 1, 10))
-    raw = raw.select("root_lot_id", "wafer_id", "item_id", "measure_pos", "value", "vehicle", "date")
+    time = F.date_format("time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("time")
+    raw = raw.select("root_lot_id", "wafer_id", "item_id", "value", "measure_pos", "tkout_time", time, "split", "vehicle", "date")
     raw.repartition(WAVES, "wafer_id").write.parquet(f"{base}/raw")
     stream = incremental.read_files(spark, f"{base}/raw", raw.schema, files_per_batch=1)
     items = bindings.rules(spark, "inline_rules")
@@ -121,7 +125,6 @@ def stream_event_build(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream, lambda: spark.read.schema(raw.schema).parquet(f"{base}/raw"), build, f"{base}/event", f"{base}/state"
     )
     run.awaitTermination()
-    out = spark.read.schema("root_lot_id string, wafer_id string, item_id string, measure_pos string, value double, "
-                            "vehicle string, date string").parquet(f"{base}/event")
-    return out
+    return spark.read.schema("root_lot_id string, wafer_id string, item_id string, value double, measure_pos string, tkout_time string, "
+                             "time string, split string, vehicle string, date string").parquet(f"{base}/event")
 

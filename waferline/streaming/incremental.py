@@ -73,7 +73,7 @@ def drop_repeats(stream: DataFrame, keys: list[str], window: str) -> DataFrame:
 
 
 def alert_rate(stream: DataFrame, keys: list[str], late: str = "10 minutes") -> DataFrame:
-    """Alerts per hour and key; an hour is final once the watermark has passed it."""
+    """Alerts per hour and key. In append mode an hour comes once the watermark has passed it, in update mode as it grows."""
     hours = stream.withWatermark("ts", late).groupBy(F.window("ts", "1 hour"), *keys)
     return hours.agg(F.count("*").alias("n")).select(F.col("window.start").alias("hour"), *keys, "n")
 
