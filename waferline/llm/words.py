@@ -18,8 +18,9 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
-_CHUNK = 1 << 20
-_LONGEST = 1 << 23
+#: Bytes hashed at a time; longer words are hashed piece by piece. Tables and running sums have this size.
+_CHUNK = 1 << 17
+_LONGEST = 1 << 17
 #: The two largest primes below 2**31, each with a base.
 _PRIMES = ((2147483647, 1_203_478_921), (2147483629, 811_596_743))
 _tables: dict[str, np.ndarray] = {}
