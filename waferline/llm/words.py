@@ -88,10 +88,10 @@ def raw_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     out = np.zeros(len(starts), _U)
     longer = np.flatnonzero(ends - starts > _LONGEST)
     plain = np.flatnonzero(ends - starts <= _LONGEST) if len(longer) else np.arange(len(starts))
-    low = 0
+    begins, low = starts[plain] if len(longer) else starts, 0
     while low < len(plain):
-        first = starts[plain[low]]
-        high = max(low + 1, int(np.searchsorted(starts[plain], first + _CHUNK)))
+        first = begins[low]
+        high = max(low + 1, int(np.searchsorted(begins, first + _CHUNK)))
         own = plain[low:high]
         base, top = int(first), int(ends[own].max())
         values = data[base:top].astype(_U) + _U(1)
