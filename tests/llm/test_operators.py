@@ -1,6 +1,7 @@
 """The operators against brute force, on small tables with nulls, empty texts, ties, copies and clashing columns."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -285,6 +286,41 @@ def test_mined_rules_match_counts(spark):
         assert hold.count(r["verdict"]) / len(hold) == pytest.approx(r["confidence"]) and hold.count(r["verdict"]) >= 0.02 * len(rows)
 
 
+def test_rules_of_deep_urls(spark):
+    """Only the fourth path part tells the verdict of pages without a fixed rule; one URL has 20,001 parts."""
+    rng = random.Random(9)
+    pages = []
+    for i in range(240):
+        told = rng.choice(["ads", "wiki"])
+        host = f"h{rng.randint(0, 3)}." + ("example.net" if told == "ads" else "org")
+        pages.append((i, f"http://{host}/{'' if told == 'ads' else 'fr/'}a{rng.randint(0, 2)}/b/c{i}/{told}/{i}"))
+    unknown = [(1000, "http://q.test/x/y/z/ads/1"), (1001, "http://q.test/x/y/z/wiki/1"), (1002, "http://q.test/" + "p/" * 20000 + "ads"),
+               (1003, "http://q.test/adsx"), (1004, "http://ads.test/")]
+    table = spark.createDataFrame(pages + unknown, "page_id bigint, url string")
+    got = {r["page_id"]: r["verdict"] for r in urls.judge(table, queries.URL_RULES).collect()}
+    assert [got[i] for i in range(1000, 1005)] == ["block", "allow", "block", "allow", "allow"]
+    assert all(got[i] == ("block" if "example.net" in u else "allow") for i, u in pages)
+
+
+def test_rules_with_members_match_all_combinations(spark):
+    """Tokens of the same rows are one item; the rules hold what mining every token would."""
+    rng = random.Random(5)
+    rows = []
+    for _ in range(150):
+        items = [x for x in "pqr" if rng.random() < 0.5] + (["s", "s2", "s3"] if rng.random() < 0.4 else [])
+        rows.append((items, "block" if "p" in items and "s" in items else rng.choice(["allow", "block"])))
+    found = urls.mine_rules(spark.createDataFrame(rows, "items array<string>, verdict string"), 0.05, 0.7).collect()
+    every = [frozenset(c) for n in range(1, 7) for c in itertools.combinations(["p", "q", "r", "s", "s2", "s3"], n)]
+    want = {}
+    for c in every:
+        hold = [v for items, v in rows if c <= set(items)]
+        for v in ("allow", "block"):
+            if hold and hold.count(v) >= 0.05 * len(rows) and hold.count(v) / len(hold) >= 0.7:
+                want[c, v] = hold.count(v) / len(hold)
+    want = {(c, v) for (c, v), x in want.items() if not any(d < c and w == v and y >= x for (d, w), y in want.items())}
+    assert {(frozenset(c), r["verdict"]) for r in found for c in itertools.product(*r["members"])} == want
+
+
 def test_fingerprints(spark, docs, odd, none):
     rows = sorted(corpus(), key=lambda r: r[0])
     got = {r["doc_id"]: r for r in simhash.compare_with_edits(docs).collect()}
