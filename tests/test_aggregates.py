@@ -10,7 +10,7 @@ from waferline.functions import aggregates
 from waferline.functions.conditions import check_filter, condition
 from waferline.functions.registry import Registry
 from waferline.functions.text import clean_dash, first_glob, glob_regex, matches_any_glob, wafer_number
-from waferline.operators import features
+from waferline.operators import features, ranking
 from waferline.operators.features import ORDER, WAFER
 from waferline.operators.ranking import dense_positions, exact_median, nearest_ranks, running_total
 
@@ -173,6 +173,54 @@ def test_exact_order_statistics(hot):
         assert ranks[key] == (ns[round(0.5 * last)], ns[round(0.95 * last)])
 
 
+def _ranks(values, wanted):
+    values = sorted(values)
+    return tuple(values[round(p * (len(values) - 1))] for p in wanted)
+
+
+def test_ranks_by_histogram(spark):
+    """Outliers by many powers, ties, a constant and a single-row group, nulls, infinities; long, double and date."""
+    rnd = random.Random(3)
+    rows = [("hot", rnd.choice([rnd.gauss(0, 1), rnd.gauss(0, 1) * 10 ** rnd.randint(0, 200), 5.0])) for _ in range(20000)]
+    rows += [("same", 7.0)] * 3000 + [("one", -1.5), ("none", None), (None, 2.0), (None, 4.0), (None, None), ("inf", float("inf")), ("inf", float("-inf")), ("inf", 0.0)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    wanted = {"p0": 0.0, "p10": 0.1, "p50": 0.5, "p99": 0.99, "p100": 1.0}
+    got = {r["k"]: tuple(r[p] for p in wanted) for r in nearest_ranks(df, ["k"], "v", wanted).collect()}
+    assert got == {k: _ranks([v for _, v in g if v is not None], wanted.values()) for k, g in grouped(rows).items() if k != "none"}
+    whole = nearest_ranks(df, [], "v", wanted).collect()
+    assert [tuple(r) for r in whole] == [_ranks([v for _, v in rows if v is not None], wanted.values())]
+    longs = [2**62 + i * i for i in range(4000)]
+    got = nearest_ranks(spark.createDataFrame([("a", n) for n in longs], "k string, v long"), ["k"], "v", wanted).first()
+    assert tuple(got)[1:] == _ranks(longs, wanted.values())
+    days = spark.range(3000).selectExpr("'a' AS k", "date_add(date'2026-01-01', cast(id AS int)) AS v")
+    assert str(nearest_ranks(days, ["k"], "v", {"p50": 0.5}).first()["p50"]) == "2030-02-09"
+    texts = spark.createDataFrame([("a", c) for c in "dbcae"], "k string, v string")
+    assert nearest_ranks(texts, ["k"], "v", {"p50": 0.5}).first()["p50"] == "c"
+    assert nearest_ranks(df.where("false"), ["k"], "v", wanted).collect() == []
+
+
+def test_ranks_outside_their_bracket_are_still_exact(hot, monkeypatch):
+    """A histogram that is wrong for some groups costs a sort of these groups, not the result."""
+    rows, df = hot
+    real = ranking._brackets
+
+    def wrong(rows, keys, positions):
+        moved = F.transform("_ranks", lambda r: F.struct(r["name"].alias("name"), r["position"].alias("position"), F.lit(399).alias("low"), r["high"].alias("high")))
+        return real(rows, keys, positions).withColumn("_ranks", F.when(F.col("k").isin("hot", "k1"), moved).otherwise(F.col("_ranks")))
+
+    monkeypatch.setattr(ranking, "_brackets", wrong)
+    got = {r["k"]: (r["p50"], r["p95"]) for r in nearest_ranks(df, ["k"], "n", {"p50": 0.5, "p95": 0.95}).collect()}
+    assert got == {k: _ranks([r[1] for r in g], (0.5, 0.95)) for k, g in grouped(rows).items()}
+
+
+def test_a_histogram_shuffles_counts_only(hot):
+    """Each value is its own in 30,000 rows; what is counted beside the rows below is a few steps of a thousand."""
+    _, df = hot
+    rows = df.sparkSession.range(30000).selectExpr("'a' AS k", "cast(id AS double) AS _value")
+    bounds = ranking._brackets(rows, ["k"], {"p": F.expr("(total + 1) div 2")}).first()["_ranks"][0]
+    assert bounds["low"] < 14999 <= bounds["high"] and bounds["high"] - bounds["low"] < 30000 * 5 / ranking.STEPS
+
+
 def test_joins_over_hot_groups(hot):
     rows, df = hot
     ordered = {r["k"]: r["t"] for r in aggregates.ordered_join(df, ["k"], F.col("v"), ["o"], "t").collect()}
