@@ -378,8 +378,12 @@ def compare(texts: DataFrame, pairs: DataFrame, words: int, percent: int) -> Dat
             keep = pa.array(keep, pa.bool_())
             yield record_batch(schema, [batch.column(0).filter(keep), batch.column(1).filter(keep)])
 
-    both = pairs.join(texts.select(F.col("set_id").alias("b"), F.col("packed").alias("right")), "b")
-    both = both.join(texts.select(F.col("set_id").alias("a"), F.col("packed").alias("left")), "a")
+    def of(name: str, side: str) -> DataFrame:
+        # before the join, so that the texts which no pair needs are not exchanged with it
+        met = pairs.select(F.col(name).alias("set_id")).distinct()
+        return texts.join(met, "set_id", "left_semi").select(F.col("set_id").alias(name), F.col("packed").alias(side))
+
+    both = pairs.join(of("b", "right"), "b").join(of("a", "left"), "a")
     return both.select("a", "b", "left", "right").mapInArrow(check, "a bigint, b bigint")
 
 
