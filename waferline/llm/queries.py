@@ -104,4 +104,46 @@ _OP4 = """WITH v AS (
   r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
 
-CHECKS: dict[str, str] = {"op4_topk": _OP4}
+_OP7 = """WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, strlen(coalesce(text, '')) AS n FROM documents),
+  w AS (SELECT doc_id, i, md5(b[i + 1:i + 100]) AS h FROM (SELECT doc_id, unnest(range(0, n - 99)) AS i FROM d WHERE n >= 100) JOIN d USING (doc_id)),
+  e AS (SELECT h, min((doc_id, i)) AS low FROM w GROUP BY h HAVING count(*) > 1),
+  r AS (SELECT w.doc_id, w.i, coalesce(w.i - lag(w.i) OVER (PARTITION BY w.doc_id ORDER BY w.i) > 100, true) AS fresh FROM w JOIN e USING (h) WHERE (w.doc_id, w.i) <> e.low),
+  g AS (SELECT doc_id, i, count(*) FILTER (WHERE fresh) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM r),
+  s AS (SELECT doc_id, min(i) AS low, max(i) + 100 AS high FROM g GROUP BY doc_id, span),
+  k AS (SELECT doc_id, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS low, low AS high FROM s
+    UNION ALL SELECT d.doc_id, coalesce(max(s.high), 0), any_value(d.n) FROM d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id),
+  t AS (SELECT doc_id, coalesce(string_agg(hex(b[low + 1:high]), '' ORDER BY low) FILTER (WHERE high > low), '') AS kept FROM k JOIN d USING (doc_id) GROUP BY doc_id),
+  c AS (SELECT doc_id, count(*) AS n_spans, sum(high - low) AS gone FROM s GROUP BY doc_id)
+SELECT d.doc_id, d.n AS n_bytes, CAST(coalesce(c.gone, 0) AS BIGINT) AS n_removed, coalesce(c.n_spans, 0) AS n_spans, sha256(unhex(t.kept)) AS kept_sha256
+FROM d JOIN t USING (doc_id) LEFT JOIN c USING (doc_id)"""
+
+
+def _near_sql(words: int, more: str = "") -> str:
+    """Components of sets of shingles: candidates share one of their rarest shingles, then whole sets are compared."""
+    following = ", ".join(["x", *[f"lead(x, {i}) OVER o" for i in range(1, words)]])
+    return rf"""WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  u AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS i, len(w) AS n FROM w),
+  v AS (SELECT doc_id, i, n, concat_ws(' ', {following}) AS g FROM u WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+  h AS (SELECT DISTINCT doc_id, g FROM v WHERE i <= greatest(n - {words - 1}, 1)),
+  s AS (SELECT doc_id, list(g ORDER BY g) AS shingles FROM h GROUP BY doc_id),
+  sets AS (SELECT min(doc_id) AS k, shingles, len(shingles) AS n FROM s GROUP BY shingles),
+  t AS (SELECT k, n, g FROM sets JOIN h ON k = doc_id),
+  f AS (SELECT g, count(*) AS c FROM t GROUP BY g),
+  p AS (SELECT k, n, g FROM t JOIN f USING (g) QUALIFY row_number() OVER (PARTITION BY k ORDER BY c, g) <= n - (80 * n + 99) // 100 + 1),
+  c AS (SELECT DISTINCT x.k AS a, y.k AS b FROM p x JOIN p y ON x.g = y.g AND x.k < y.k AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)),
+  i AS (SELECT a, b, count(*) AS shared, any_value(x.n) + any_value(y.n) AS both_n FROM c JOIN t x ON a = x.k JOIN t y ON b = y.k AND x.g = y.g GROUP BY a, b),
+  l AS (SELECT a, b FROM i WHERE 100 * shared >= 80 * (both_n - shared)),
+  e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+  r AS (SELECT k AS node, k AS root FROM sets UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node),
+  m AS (SELECT node, min(root) AS root FROM r GROUP BY node)
+SELECT w.doc_id, CAST(coalesce(sets.n, 0) AS BIGINT) AS n_shingles, coalesce(m.root, w.doc_id) AS component_id{more}
+FROM w LEFT JOIN s USING (doc_id) LEFT JOIN sets ON s.shingles = sets.shingles LEFT JOIN m ON m.node = sets.k"""
+
+
+CHECKS: dict[str, str] = {
+    "op4_topk": _OP4,
+    "op7_suffix_dedup": _OP7,
+    "op10_jaccard": _near_sql(jaccard.SHINGLE_WORDS),
+    "op11_minhash": _near_sql(2, ", w.doc_id = coalesce(m.root, w.doc_id) AS kept"),
+}
