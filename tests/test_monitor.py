@@ -208,3 +208,23 @@ def test_send_checks():
     rows = quality.send_checks("V", ["KNOB_A", "MASK_B", "FAB_C"], {"KNOB": ["KNOB_A"], "FAB": ["FAB_C"], "VM": []},
                                {"KNOB": ("KNOB_",), "FAB": ("FAB_", "MASK_"), "VM": ("VM_",)})
     assert [(r[2], r[3], r[4]) for r in rows] == [("send_knob", 0.0, "ok"), ("send_fab", 1.0, "fail"), ("send_vm", 0.0, "skip")]
+
+
+def test_product_checks(spark):
+    vehicles = spark.createDataFrame([("V",), ("W",), ("X",)], "vehicle string")
+    covered = spark.createDataFrame([("V", 3), ("W", 0)], "vehicle string, days int")
+    built = spark.createDataFrame([("V", 5, "2"), ("W", 4, "2")], "vehicle string, n_rows int, written string")
+    published = spark.createDataFrame([("V", 5, "2"), ("W", 0, "1")], "vehicle string, n_rows int, written string")
+    got = {(r["vehicle"], r["name"]): (r["n"], r["status"]) for r in quality.product_checks(vehicles, covered, built, published).collect()}
+    assert [got["V", n] for n in ("coverage_days", "wide_rows", "published_rows")] == [(3.0, "ok"), (5.0, "ok"), (5.0, "ok")]
+    assert [got["W", n] for n in ("coverage_days", "wide_rows", "published_rows")] == [(0.0, "warn"), (4.0, "ok"), (0.0, "warn")]
+    assert [got["X", n][1] for n in ("coverage_days", "wide_rows", "published_rows")] == ["warn", "fail", "fail"]
+
+
+def test_fixes_are_told_once(spark):
+    names = [("raw", "null_lots", "warn"), ("raw", "null_wafers", "warn"), ("event", "event_rows", "fail"), ("event", "match_pct", "warn"),
+             ("feature", "family_vm", "ok"), ("send", "send_fab", "warn"), ("send", "unheard_of", "fail")]
+    df = spark.createDataFrame([("V", s, n, 1.0, k) for s, n, k in names], "vehicle string, stage string, name string, n double, status string")
+    got = [(r["rank"], r["fix"], r["n_problems"]) for r in quality.fixes(df).orderBy("rank").collect()]
+    assert got == [(1, "rebuild the events", 1), (2, "ask the source for the missing keys", 2), (3, "add the unmapped steps to the step map", 1)]
+    assert quality.fixes(df.where("status = 'ok'")).isEmpty()

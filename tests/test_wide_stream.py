@@ -129,6 +129,14 @@ def test_whole_run(spark, tmp_path):
     assert [(r["feature"], r["mode"], r["n_wafers"]) for r in spark.read.json(run.path("reports/knob_skip")).collect()] == [("KNOB_ETCH_ppid", "auto", 1)]
     hint = spark.read.json(run.path("reports/step_hints")).collect()
     assert [r["step_id"] for r in hint] == ["UNKNOWN"] and hint[0]["values"]["ppid"] == ["P1"]
+    assert product_checks(run) == {"coverage_days": (3.0, "ok"), "wide_rows": (8.0, "ok"), "published_rows": (8.0, "ok")}
+    run.build_wide()  # newer than what is published
+    run.check_products()
+    assert product_checks(run)["published_rows"] == (8.0, "warn")
+
+
+def product_checks(run):
+    return {r["name"]: (r["n"], r["status"]) for r in run.spark.read.json(run.path("reports/product_checks")).collect()}
 
 
 def counts(run, source=FAB):

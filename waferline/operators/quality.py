@@ -14,6 +14,32 @@ STAGES = ("raw", "event", "feature", "send")
 GRAVITY = {"ok": 0, "skip": 0, "warn": 1, "fail": 2}
 MATCH_OK = 80.0
 DIGEST_ROWS = 24
+FIX_ROWS = 3
+
+#: What to do about a check that is not ok, by its name. Several checks share one.
+FIXES = {
+    "rows": "extract the raw rows again",
+    "missing_columns": "add the missing columns to the extraction",
+    "foreign_dates": "store rows under the date of their time",
+    "null_lots": "ask the source for the missing keys",
+    "null_wafers": "ask the source for the missing keys",
+    "prefix_pct": "check the lot prefix of the vehicle",
+    "match_pct": "add the unmapped steps to the step map",
+    "event_rows": "rebuild the events",
+    "blank_descs": "add the unmapped steps to the step map",
+    "family_fab": "name the steps of the rules as the events do",
+    "family_knob": "name the steps of the rules as the events do",
+    "family_mask": "name the steps of the rules as the events do",
+    "family_inline": "name the items of the rules as the events do",
+    "family_vm": "name the items of the rules as the events do",
+    "coverage_days": "rebuild the features",
+    "wide_rows": "rebuild the wide table",
+    "published_rows": "publish the wide table again",
+    "send_knob": "send the groups again",
+    "send_fab": "send the groups again",
+    "send_vm": "send the groups again",
+    "send_inline": "send the groups again",
+}
 
 
 def _ok_else(test: Column, status: str) -> Column:
@@ -93,6 +119,26 @@ def feature_checks(rules: DataFrame, long: DataFrame, vehicles: DataFrame) -> Da
     )
 
 
+def product_checks(vehicles: DataFrame, covered: DataFrame, built: DataFrame, published: DataFrame) -> DataFrame:
+    """Days that the features cover, rows of the wide table and of its published copy, per vehicle.
+
+    ``covered`` has (vehicle, days), ``built`` and ``published`` have (vehicle, n_rows, written), a row a vehicle
+    at most. A copy older than the wide table is a warning, as are features without a day; a table that is
+    missing or empty fails.
+    """
+    sums = vehicles.select("vehicle").distinct().join(covered.select("vehicle", "days"), "vehicle", "left")
+    for name, table in (("built", built), ("published", published)):
+        own = table.select("vehicle", F.col("n_rows").alias(f"{name}_rows"), F.col("written").alias(f"{name}_at"))
+        sums = sums.join(own, "vehicle", "left")
+    sums = sums.fillna(0, ["days", "built_rows", "published_rows"])
+    copy = F.when(F.col("published_at") < F.col("built_at"), "warn").otherwise(_ok_else(F.col("published_rows") > 0, "fail"))
+    return _as_checks(sums, ["vehicle"], "feature", [
+        ("coverage_days", "days", _ok_else(F.col("days") > 0, "warn")),
+        ("wide_rows", "built_rows", _ok_else(F.col("built_rows") > 0, "fail")),
+        ("published_rows", "published_rows", copy),
+    ])
+
+
 def send_checks(vehicle: str, wide_columns: list[str], groups: dict[str, list[str]],
                 prefixes: dict[str, tuple[str, ...]]) -> list[tuple]:
     """Wide columns a send group lacks, per group: rows of (vehicle, stage, name, n, status)."""
@@ -142,3 +188,11 @@ def digest(checks: DataFrame, n: int = DIGEST_ROWS) -> DataFrame:
     problems = checks.where(F.col("status").isin("fail", "warn"))
     order = [(F.col("status") != "fail").cast("int"), stage_order(), F.col("name")]
     return top_rows(problems, ["vehicle"], order, n)
+
+
+def fixes(checks: DataFrame, n: int = FIX_ROWS) -> DataFrame:
+    """The first ``n`` different fixes of each vehicle in the order of its digest, with the problems each is for."""
+    fix = F.create_map(*[F.lit(x) for pair in FIXES.items() for x in pair])[F.col("name")]
+    rows = digest(checks).select("vehicle", F.col("rank").alias("first"), fix.alias("fix")).where("fix IS NOT NULL")
+    rows = rows.groupBy("vehicle", "fix").agg(F.min("first").alias("first"), F.count("*").alias("n_problems"))
+    return top_rows(rows, ["vehicle"], [F.col("first")], n).drop("first")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from waferline.functions.registry import Registry
 from waferline.operators import event as events
-from waferline.operators import features, knob, scan, skip, wide
+from waferline.operators import features, knob, quality, scan, skip, wide
 from waferline.operators.features import WAFER
 from waferline.session import cut_lineage
 from waferline.sources import partitions
@@ -218,18 +218,35 @@ class Run:
         table = wide.pivot(long, text, numbers, products)
         keys = ["vehicle", *wide.WIDE_KEY]
         replace_table(table, self.path("wide"), required=keys, unique=keys)
-        return self.spark.read.parquet(self.path("wide"))
+        written = self.spark.read.parquet(self.path("wide"))
+        log = self.log("wide", ["vehicle"])
+        rows = written.groupBy("vehicle").agg(F.count("*").alias("n_rows")).withColumn("removed", F.lit(False))
+        gone = log.snapshot().select("vehicle").join(rows, "vehicle", "left_anti")
+        entries = cut_lineage(rows.unionByName(gone.withColumns({"n_rows": F.lit(0), "removed": F.lit(True)})))
+        log.append(entries.withColumns({"written": F.current_timestamp(), "version": F.lit("")}))
+        return written
 
     def publish(self) -> list[str]:
         """A folder per product. A product that the log knows and the wide table lacks loses its folder."""
         log = self.log("publish", ["product"])
         before = [r["product"] for r in log.snapshot().collect()]  # a configured list of products
-        now = wide.publish(self.spark.read.parquet(self.path("wide")), self.path("published"), before)
+        table = self.spark.read.parquet(self.path("wide"))
+        now = wide.publish(table, self.path("published"), before)
         rows = [(p, False) for p in now] + [(p, True) for p in before if p not in now]
         entries = self.spark.createDataFrame(rows, "product string, removed boolean")
-        log.append(entries.withColumns({"written": F.current_timestamp(), "version": F.lit(""), "n_rows": F.lit(0)}))
+        sizes = wide.keep_last(table, wide.WIDE_KEY, ["vehicle"]).groupBy(wide.file_name("PRODUCT").alias("product")).agg(F.count("*").alias("n_rows"))
+        entries = entries.join(sizes, "product", "left").fillna(0, ["n_rows"])
+        log.append(entries.withColumns({"written": F.current_timestamp(), "version": F.lit("")}))
         return now
 
+    def check_products(self) -> None:
+        """The report ``product_checks``: days covered, the wide table, and whether its published copy is as new."""
+        products = rule_tables.table(self.spark, ["vehicle", "PRODUCT"], list(self.rules.products.items()))
+        products = products.select("vehicle", wide.file_name("PRODUCT").alias("product"))
+        covered = self.event(FAB).groupBy("vehicle").agg(F.count_distinct("date").alias("days"))
+        published = self.log("publish", ["product"]).snapshot().join(products, "product")
+        self.report("product_checks", quality.product_checks(products, covered, self.log("wide", ["vehicle"]).snapshot(), published))
+
     def send(self) -> dict[str, str]:
         table = wide.keep_last(self.spark.read.parquet(self.path("wide")), wide.WIDE_KEY, ["vehicle"])
         return wide.write_send(table.drop("vehicle"), self.path("send"))
@@ -272,6 +289,8 @@ class Run:
             else:
                 self.build_wide()
                 out["wide"] = {"published": self.publish(), "sent": self.send()}
+            if self.rules.products:
+                self.check_products()
         if not self.raw(FAB).isEmpty():
             self.scan()
         return out

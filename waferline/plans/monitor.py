@@ -388,3 +388,48 @@ def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
       row_number() OVER (PARTITION BY vehicle ORDER BY grade DESC, stage_order, name) AS rank FROM graded WHERE grade > 0""")
 def dq_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(checks(spark, sf_dir))
+
+
+_PRODUCT_CHECKS = """fab_wafers AS (SELECT vehicle, root_lot_id, wafer_id, max(tkout_time) AS written FROM event GROUP BY ALL),
+    inline_wafers AS (SELECT vehicle, root_lot_id, wafer_id, max(tkout_time) AS written FROM inline_event GROUP BY ALL),
+    products AS (SELECT vehicle, coalesce(c.days, 0) AS days, coalesce(b.n, 0) AS built_rows, b.written AS built_at, coalesce(p.n, 0) AS published_rows, p.written AS published_at
+      FROM (SELECT DISTINCT vehicle FROM step_map) v
+      LEFT JOIN (SELECT vehicle, count(DISTINCT nullif(substr(tkout_time, 1, 10), '')) AS days FROM event GROUP BY vehicle) c USING (vehicle)
+      LEFT JOIN (SELECT vehicle, count(*) AS n, max(written) AS written FROM fab_wafers GROUP BY vehicle) b USING (vehicle)
+      LEFT JOIN (SELECT vehicle, count(*) AS n, max(written) AS written FROM inline_wafers GROUP BY vehicle) p USING (vehicle)),
+    product_checks AS (SELECT vehicle, 'feature' AS stage, 'coverage_days' AS name, days::double AS n, CASE WHEN days > 0 THEN 'ok' ELSE 'warn' END AS status FROM products
+      UNION ALL SELECT vehicle, 'feature', 'wide_rows', built_rows::double, CASE WHEN built_rows > 0 THEN 'ok' ELSE 'fail' END FROM products
+      UNION ALL SELECT vehicle, 'feature', 'published_rows', published_rows::double,
+        CASE WHEN published_at < built_at THEN 'warn' WHEN published_rows > 0 THEN 'ok' ELSE 'fail' END FROM products)"""
+
+
+def product_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FAB wafers stand for the wide table, measured ones for its published copy, last times for when they were written."""
+    event, measured = common.fab_event(spark, sf_dir), common.inline_event(spark, sf_dir)
+    day = F.nullif(F.substring("tkout_time", 1, 10), F.lit(""))
+    covered = event.groupBy("vehicle").agg(F.count_distinct(day).alias("days"))
+
+    def by_vehicle(rows: DataFrame) -> DataFrame:
+        wafers = rows.groupBy("vehicle", "root_lot_id", "wafer_id").agg(F.max("tkout_time").alias("written"))
+        return wafers.groupBy("vehicle").agg(F.count("*").alias("n_rows"), F.max("written").alias("written"))
+
+    vehicles = bindings.rules(spark, "step_map").select("vehicle")
+    return quality.product_checks(vehicles, covered, by_vehicle(event), by_vehicle(measured))
+
+
+@query("dq_product", f"WITH {common.FAB_EVENT}, {common.INLINE_EVENT}, {_PRODUCT_CHECKS} SELECT * FROM product_checks")
+def dq_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return product_checks(spark, sf_dir)
+
+
+_FIXES = ", ".join(f"('{name}', '{fix}')" for name, fix in quality.FIXES.items())
+
+
+@query("dq_fixes", f"""WITH {LONG}, {_CHECKS}, {_PRODUCT_CHECKS}, todo(name, fix) AS (VALUES {_FIXES}),
+    every AS (SELECT vehicle, name, grade, stage_order FROM graded
+      UNION ALL SELECT vehicle, name, CASE status WHEN 'fail' THEN 2 WHEN 'warn' THEN 1 ELSE 0 END, 2 FROM product_checks),
+    problems AS (SELECT vehicle, name, row_number() OVER (PARTITION BY vehicle ORDER BY grade DESC, stage_order, name) AS place FROM every WHERE grade > 0),
+    told AS (SELECT vehicle, fix, min(place) AS place, count(*) AS n_problems FROM problems JOIN todo USING (name) WHERE place <= {quality.DIGEST_ROWS} GROUP BY ALL)
+    SELECT vehicle, fix, n_problems, row_number() OVER (PARTITION BY vehicle ORDER BY place) AS rank FROM told QUALIFY rank <= {quality.FIX_ROWS}""")
+def dq_fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.fixes(checks(spark, sf_dir).unionByName(product_checks(spark, sf_dir)))
