@@ -228,3 +228,18 @@ def test_fixes_are_told_once(spark):
     got = [(r["rank"], r["fix"], r["n_problems"]) for r in quality.fixes(df).orderBy("rank").collect()]
     assert got == [(1, "rebuild the events", 1), (2, "ask the source for the missing keys", 2), (3, "add the unmapped steps to the step map", 1)]
     assert quality.fixes(df.where("status = 'ok'")).isEmpty()
+
+
+def test_every_anomaly_is_listed_the_gravest_first(spark, tmp_path):
+    from waferline.plans import monitor
+    from waferline.plans.registry import CHECKS
+
+    # 700 vehicles whose only chunk failed on 2024-01-02, one of them within the last hour
+    rows = spark.range(700).selectExpr(
+        "id AS event_id", f"CASE WHEN id = 699 THEN TIMESTAMP_NTZ '{monitor.NOW}' - INTERVAL 5 MINUTES ELSE TIMESTAMP_NTZ '2024-01-02 00:00:00' END AS ts",
+        "id AS user_id", "'error' AS event_type", "1.0D AS value", "'{}' AS props")
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    got = [tuple(r) for r in monitor.anomalies(spark, str(tmp_path)).select("subject", "kind", "severity").collect()]
+    assert len([r for r in got if r[1] == "chunk_failed"]) == 700 and len(got) == len(set(got)) == 702
+    assert got[0] == ("U0000000699/2024-01-30", "chunk_failed", "high") and {r[2] for r in got[1:]} == {"medium"}
+    assert "LIMIT" not in CHECKS["anomalies"]

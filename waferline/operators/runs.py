@@ -175,7 +175,7 @@ def retry_summary(state: DataFrame, now: Column) -> DataFrame:
 def anomalies(chunks: DataFrame, partitions: DataFrame, now: str | Column, limit: int | None = None) -> DataFrame:
     """Failed and stuck chunks, probe errors, and partly failed partitions, with a severity by age.
 
-    With a limit, the gravest and then the oldest ones, in that order.
+    The gravest come first, then the oldest; all of them, unless a limit is given.
     """
     clock = now if isinstance(now, Column) else F.lit(now)
     age = F.unix_seconds(clock.cast("timestamp")) - F.unix_seconds(F.col("ts").cast("timestamp"))
@@ -194,7 +194,6 @@ def anomalies(chunks: DataFrame, partitions: DataFrame, now: str | Column, limit
         F.lit("medium").alias("severity"), F.lit(None).cast("bigint").alias("age_sec"),
     )
     found = rows.unionByName(partial)
-    if limit is None:
-        return found
     grade = F.when(F.col("severity") == "high", 0).when(F.col("severity") == "medium", 1).otherwise(2)
-    return found.orderBy(grade, F.coalesce("age_sec", F.lit(0)).desc(), "subject", "kind").limit(limit)
+    found = found.orderBy(grade, F.coalesce("age_sec", F.lit(0)).desc(), "subject", "kind")
+    return found if limit is None else found.limit(limit)

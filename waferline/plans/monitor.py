@@ -147,13 +147,13 @@ _AGE = f"epoch(TIMESTAMP '{NOW}')::bigint - floor(epoch(ts))::bigint"
     UNION ALL SELECT subject, 'stuck_in_progress', CASE WHEN age_sec > 3600 THEN 'high' ELSE 'medium' END, age_sec FROM aged WHERE status = 'in_progress' AND age_sec > 1800
     UNION ALL SELECT subject, 'probe_error', 'medium', age_sec FROM aged WHERE status = 'resumed'
     UNION ALL SELECT date, 'partition_partial', 'medium', NULL FROM partitions WHERE status = 'partial_failed'
-    ORDER BY CASE severity WHEN 'high' THEN 0 ELSE 1 END, coalesce(age_sec, 0) DESC, subject, kind LIMIT 500""")
+    ORDER BY CASE severity WHEN 'high' THEN 0 ELSE 1 END, coalesce(age_sec, 0) DESC, subject, kind""")
 def anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     states = chunks(spark, sf_dir)
     parts = runs.partition_status(states, ["date"]).withColumnRenamed("date", "partition_id")
     states = states.withColumn("chunk_id", F.concat_ws("/", "vehicle", "date"))
     states = states.withColumn("status", F.when(F.col("status") == "resumed", "probe_error").otherwise(F.col("status")))
-    return runs.anomalies(states, parts, _clock(), limit=500)
+    return runs.anomalies(states, parts, _clock())
 
 
 # ── stage health and alerts ──
