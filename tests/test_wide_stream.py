@@ -329,3 +329,24 @@ def test_stream_gate_over_all_events(spark):
     rows = streams.alerts(spark, sf).where("value > 20").select("unit", "alert_id", "kind", F.unix_seconds("ts").alias("second"))
     batch = alerts.gate(rows.withColumn("severity", F.lit("error")), "unit", "info", 2, 43_200)
     assert got == {(r["alert_id"], r["outcome"]) for r in batch.collect()}
+
+
+def test_stream_gate_calls_python_by_buckets_not_by_scopes(spark, tmp_path):
+    """Scopes of one bucket, a null one among them, keep their own caps and windows over batches."""
+    big = 2**53 + 1
+    rows = [(None if u == 3 else big + u, u * 100 + i, "ab"[i % 2], i * 700) for u in range(5) for i in range(12)]
+    df = spark.createDataFrame(rows, "unit long, alert_id long, kind string, second long")
+    results = {}
+    for buckets in (1, 1_000):
+        out = tmp_path / f"out{buckets}"
+        for wave, part in enumerate(("second < 4000", "second >= 4000")):
+            df.where(part).coalesce(1).write.mode("overwrite" if wave == 0 else "append").parquet(str(tmp_path / f"in{buckets}"))
+            stream = incremental.gate(incremental.read_files(spark, str(tmp_path / f"in{buckets}"), df.schema), "unit", 2, 1_500, buckets)
+            run = (stream.writeStream.format("parquet").option("path", str(out)).option("checkpointLocation", str(tmp_path / f"state{buckets}"))
+                   .trigger(availableNow=True).start())
+            run.awaitTermination()
+        results[buckets] = {tuple(r) for r in spark.read.parquet(str(out)).select("unit", "alert_id", "outcome").collect()}
+    batch = alerts.gate(df.where("unit IS NOT NULL").withColumn("severity", F.lit("error")), "unit", "info", 2, 1_500)
+    want = {(r["unit"], r["alert_id"], r["outcome"]) for r in batch.collect()}
+    assert results[1] == results[1_000] and len(results[1]) == 60
+    assert {r for r in results[1] if r[0] is not None} == want

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -78,39 +79,50 @@ def alert_rate(stream: DataFrame, keys: list[str], late: str = "10 minutes") ->
     return hours.agg(F.count("*").alias("n")).select(F.col("window.start").alias("hour"), *keys, "n")
 
 
-GATE_STATE = "recent array<bigint>, kinds array<string>, seconds array<bigint>"
+# Scopes share the calls and the state of this many buckets: a call into Python costs more than a scope's few alerts.
+GATE_BUCKETS = 1_024
+GATE_STATE = "recent_scopes array<string>, recent array<bigint>, scopes array<string>, kinds array<string>, seconds array<bigint>"
 
 
-def gate(stream: DataFrame, scope: str, max_per_hour: int, window_sec: int) -> DataFrame:
+def gate(stream: DataFrame, scope: str, max_per_hour: int, window_sec: int, buckets: int = GATE_BUCKETS) -> DataFrame:
     """The batch alert gate as a stream: hourly cap and repeat window, per scope.
 
     ``stream`` has the scope column, alert_id, kind and second, already above the severity floor.
-    The state of a scope is bounded: the times sent in the last hour, and one time per kind still
-    inside its window.
+    Scopes are dealt to buckets by hash. What is kept of a scope is bounded: the times sent in the last hour, and
+    one time per kind still inside its window, both as of the scope's last alert.
     """
 
     def decide(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        recent, emitted = [], {}
+        sent, emitted = defaultdict(list), defaultdict(dict)  # by scope: times sent, and the last time of each kind
         if state.exists:
-            recent, kinds, seconds = (list(part) for part in state.get)
-            emitted = dict(zip(kinds, seconds))
+            recent_scopes, recent, scopes, kinds, seconds = state.get
+            for name, second in zip(recent_scopes, recent):
+                sent[name].append(second)
+            for name, kind, second in zip(scopes, kinds, seconds):
+                emitted[name][kind] = second
         batch = pd.concat(list(frames)).sort_values(["second", "alert_id"])
-        outcome = []
-        for second, kind in zip(batch["second"].tolist(), batch["kind"].tolist()):
-            recent = [t for t in recent if second - t < 3600]
+        outcome, touched = [], {}
+        for name, second, kind in zip(batch[scope].tolist(), batch["second"].tolist(), batch["kind"].tolist()):
+            touched[name] = second
+            recent = sent[name] = [t for t in sent[name] if second - t < 3600]
             if max_per_hour > 0 and len(recent) >= max_per_hour:
                 outcome.append("rate_limit")
-            elif second - emitted.get(kind, -window_sec) < window_sec:
+            elif second - emitted[name].get(kind, -window_sec) < window_sec:
                 outcome.append("dedupe")
             else:
-                emitted[kind] = second
+                emitted[name][kind] = second
                 recent.append(second)
                 outcome.append("sent")
-            emitted = {k: t for k, t in emitted.items() if second - t < window_sec}
-        state.update((recent, list(emitted), list(emitted.values())))
-        yield pd.DataFrame({scope: key[0], "alert_id": batch["alert_id"].to_numpy(), "outcome": outcome})
-
-    out = f"{scope} {dict(stream.dtypes)[scope]}, alert_id bigint, outcome string"
-    return stream.groupBy(scope).applyInPandasWithState(
-        decide, out, GATE_STATE, "append", GroupStateTimeout.NoTimeout
+        for name, last in touched.items():
+            emitted[name] = {k: t for k, t in emitted[name].items() if last - t < window_sec}
+        times = [(name, t) for name, found in sent.items() for t in found]
+        marks = [(name, k, t) for name, found in emitted.items() for k, t in found.items()]
+        state.update((*([row[i] for row in times] for i in range(2)), *([row[i] for row in marks] for i in range(3))))
+        yield pd.DataFrame({scope: batch[scope].to_numpy(), "alert_id": batch["alert_id"].to_numpy(), "outcome": outcome})
+
+    # a scope goes through Python as text: whole numbers with a null among them would turn into floats
+    rows = stream.withColumn("_bucket", F.pmod(F.xxhash64(scope), F.lit(buckets))).withColumn(scope, F.col(scope).cast("string"))
+    decided = rows.groupBy("_bucket").applyInPandasWithState(
+        decide, f"{scope} string, alert_id bigint, outcome string", GATE_STATE, "append", GroupStateTimeout.NoTimeout
     )
+    return decided.withColumn(scope, F.col(scope).cast(stream.schema[scope].dataType))
