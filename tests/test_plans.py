@@ -44,3 +44,22 @@ def test_filters_reach_the_scan(spark, tmp_path):
 
     rows = _rows_of_steps(spark.read.parquet(path), [TextRule("f", "S1", "ppid", "last"), TextRule("g", "S2", "ppid", "last")])
     assert "PushedFilters: [In(step_desc, [S1,S2])" in plan(rows.select(F.col("id")))
+
+
+def test_picks_are_sorted_by_a_hash_and_the_event_table_is_narrow(spark, monkeypatch):
+    from waferline.plans import common
+
+    written = []
+    cut = common.cut_lineage
+    monkeypatch.setattr(common, "cut_lineage", lambda df, **options: written.append(df.columns) or cut(df, **options))
+    text = plan(common.long_features(spark, SF))
+    assert "key=[_hash#" in text and written == [common.FEATURE_COLUMNS]
+
+
+def test_groups_by_hash_are_the_groups(spark):
+    from waferline.operators.ranking import by_hash
+
+    df = spark.range(3_000).selectExpr("nullif(concat('k', id % 50), 'k7') AS a", "nullif(id % 3, 1) AS b", "cast(id AS string) AS v")
+    got = by_hash(df, ["a", "b"]).agg(F.max("v").alias("v"), F.count("*").alias("n")).drop("_hash")
+    want = df.groupBy("a", "b").agg(F.max("v").alias("v"), F.count("*").alias("n"))
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()} and got.count() == 150

@@ -12,7 +12,7 @@ from waferline.functions import aggregates
 from waferline.functions.registry import Registry
 from waferline.functions.text import is_blank
 from waferline.functions.values import FORCED_AGG
-from waferline.operators.ranking import dense_positions
+from waferline.operators.ranking import by_hash, dense_positions
 from waferline.sources import rules as rule_tables
 
 ORDER = ["tkout_time", "arrival"]
@@ -173,7 +173,7 @@ def single_value(rows: DataFrame, keys: list[str], specs: dict[str, aggregates.T
     for i, (name, expr) in enumerate(own.items()):
         exprs.append(expr(F.when(agg == name, val), order).cast("string").alias(f"own{i}"))
         out = F.when(agg == name, F.col(f"own{i}")).otherwise(out)
-    grouped = graded.groupBy(*keys, "agg").agg(*exprs).select(*keys, "agg", out.alias("value_str"))
+    grouped = by_hash(graded, [*keys, "agg"]).agg(*exprs).select(*keys, "agg", out.alias("value_str"))
     dropping = [n for n, s in specs.items() if s.drops_null]
     return grouped.where(~agg.isin(dropping) | F.col("value_str").isNotNull()).drop("agg")
 

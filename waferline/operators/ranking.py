@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -147,6 +147,15 @@ def top_rows(df: DataFrame, keys: list[str], order: list[Column], n: int) -> Dat
     return ranked.where(F.col("rank") <= n).withColumn("rank", F.col("rank").cast("bigint"))
 
 
+def by_hash(df: DataFrame, keys: list[str]) -> GroupedData:
+    """``df`` grouped by ``keys`` (texts and whole numbers), their hash in front as ``_hash``.
+
+    Aggregates that hold texts are sorted by their group. The hash leads the sort, so that rows are told apart by one
+    number and not by texts that begin alike. Groups are the same.
+    """
+    return df.withColumn("_hash", F.xxhash64(*keys)).groupBy("_hash", *keys)
+
+
 def first_texts(df: DataFrame, keys: list[str], value: str, n: int, out: str, sep: str = ",") -> DataFrame:
     """The first ``n`` distinct values of each group in sorted order, as one text."""
     pairs = df.select(*keys, value).where(F.col(value).isNotNull()).distinct()

@@ -15,6 +15,11 @@ from waferline.sources.schema import FAB, INLINE, VM
 
 REGISTRY = Registry()
 STEP_KEYS = ["vehicle", "step_id"]
+# the event columns that a value rule, an order or a knob map can ask for
+FEATURE_COLUMNS = [
+    "vehicle", "root_lot_id", "wafer_id", "step_id", "step_desc", "tkout_time", "arrival", "part_id", "ppid",
+    "reticle_id", "eqp_id", "chamber_id", "unit_id", "sleuth_order",
+]
 
 
 def step_map(spark: SparkSession) -> DataFrame:
@@ -43,7 +48,7 @@ def long_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The long feature table of all five families, from an event table written once."""
     from waferline.operators import knob
 
-    event = cut_lineage(fab_event(spark, sf_dir))
+    event = cut_lineage(fab_event(spark, sf_dir).select(*FEATURE_COLUMNS), plain=["arrival"])
     fab, _, _ = features.fab_rules(rulebook.dicts("fab_rules"), REGISTRY)
     mask, _ = features.mask_rules(rulebook.dicts("mask_rules"), REGISTRY)
     text = features.text_features(event, fab + mask, REGISTRY)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,12 +61,13 @@ def run_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, plain: Sequence[str] = ()) -> DataFrame:
     """``df`` written as a table in the shared folder and read back.
 
     For results that are read more than once, or that must not change between two reads. The
     table outlives executors, and unlike a checkpoint it keeps columns apart and its size known.
+    ``plain`` names columns whose values hardly repeat; no dictionary is tried for them.
     """
     path = run_dir(df.sparkSession)
-    df.write.parquet(path)
+    df.write.options(**{f"parquet.enable.dictionary#{c}": "false" for c in plain}).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
