@@ -4,10 +4,12 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,6 +119,21 @@ def test_suffix_dedup(docs, monkeypatch, limits):
     assert got == brute_repeats(rows)
 
 
+def test_marking_runs_takes_little_memory(monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(97, 123, 2000, np.uint8).tobytes().decode() for _ in range(1500)]
+    ids = [None, *range(len(texts) - 1, 0, -1)]
+    batch = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([0] * len(texts), pa.int32()), pa.array(texts)], names=["doc_id", "copy", "text"])
+    tracemalloc.start()
+    found = pa.Table.from_batches(list(suffix._runs_of(batch, 100, 24)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80 << 20, peak
+    monkeypatch.setattr(suffix, "_BLOCK", 1)
+    order = [("doc_id", "ascending"), ("start", "ascending")]
+    assert pa.Table.from_batches(list(suffix._runs_of(batch, 100, 24))).sort_by(order) == found.sort_by(order)
+
+
 def test_suffix_dedup_odd_rows(odd, none):
     found = suffix.remove_repeats(odd).collect()
     assert len(found) == odd.count() and suffix.remove_repeats(none).collect() == []

@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -30,12 +31,15 @@ ANCHOR = 24
 #: Longest run of windows in one row; longer ones are cut, which leaves every window in one row.
 RUN = 400
 #: Bytes of a shard that one task sorts, on average; a task's memory grows with its shard (README).
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 #: Rows of one mark that a task looks at together; more of them all stay.
 MARK_ROWS = 50_000
-_BLOCK = 1 << 20
+#: Bytes of text that are marked at once, which takes some 130 times as many bytes of memory.
+_BLOCK = 1 << 18
 #: Longer texts are marked segment by segment; a window's mark keeps 40 bits of its hash.
-_SEGMENT = 1 << 23
+_SEGMENT = 1 << 20
+#: Runs that leave a task in one batch.
+_RUN_ROWS = 1 << 16
 _PLACE_BITS = np.uint64(24)
 
 _RUN = "mark bigint, kind int, content bigint, doc_id bigint, copy int, start int, size int, near bigint"
@@ -100,45 +104,54 @@ def window_runs(data: np.ndarray, bounds: np.ndarray, length: int, anchor: int)
     return row, first - bounds[row], last - first, mark[first].view(np.int64), content.view(np.int64), near
 
 
+def _runs_of(batch: pa.RecordBatch, length: int, anchor: int) -> Iterator[pa.RecordBatch]:
+    """The runs of a batch (doc_id, copy, text); its texts are looked at ``_BLOCK`` bytes at a time and never copied as a whole."""
+    ids, copies, texts = batch.column(0), batch.column(1).to_numpy(), batch.column(2)
+    known, missing = ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False)
+    order = np.lexsort((copies, known, ~missing))  # null ids are first in the corpus
+    # a row that repeats id and text has no part in this
+    again = np.zeros(len(order), bool)
+    again[1:] = np.logical_and.reduce([x[order][1:] == x[order][:-1] for x in (known, missing, copies)])
+    order = order[~again]
+    ends, parts, low = np.cumsum(pc.binary_length(texts).to_numpy()[order], dtype=np.int64), [], 0
+    while low < len(order):
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + _BLOCK, side="right")))
+        data, bounds = flat_text(texts.take(pa.array(order[low:high])))
+        for at in range(0, max(len(data), 1), _SEGMENT) if len(bounds) == 2 else (0,):
+            part = data[at : at + _SEGMENT + length - 1] if len(bounds) == 2 else data
+            cuts = bounds if len(part) == len(data) else np.array([0, len(part)])
+            row, start, count, mark, content, near = window_runs(part, cuts, length, anchor)
+            if len(part) < len(data):  # what surrounds a run may lie in the next segment
+                near = np.full(len(near), -1)
+            parts.append([(row + low).astype(np.int32), (start + at).astype(np.int32), (count + length - 1).astype(np.int32), mark, content, near])
+        low = high
+    if not parts:
+        return
+    row, start, size, mark, content, near = (np.concatenate(x) for x in zip(*parts))
+    parts.clear()
+    # of equal runs in this batch the first one goes on, the others repeat it
+    _, first = np.unique(content, return_index=True)
+    keep = np.zeros(len(row), bool)
+    keep[first] = True
+    # repeats that touch are one span, sent anywhere
+    span = np.flatnonzero(~keep)
+    if len(span):
+        a, b, r = start[span], start[span] + size[span], row[span]
+        new = np.concatenate([[True], (r[1:] != r[:-1]) | (a[1:] > b[:-1])])
+        at, end = np.flatnonzero(new), np.append(np.flatnonzero(new)[1:], len(span)) - 1
+        which, zeros = order[r[at]], np.zeros(len(at), np.int64)
+        yield record_batch(_RUN_SCHEMA, [mix((copies[which].astype(np.uint64) << np.uint64(32)) + a[at].astype(np.uint64)).view(np.int64), zeros.astype(np.int32), zeros, ids.take(pa.array(which)), copies[which], a[at], b[end] - a[at], zeros])
+    kept = np.flatnonzero(keep)
+    for low in range(0, len(kept), _RUN_ROWS):
+        k = kept[low : low + _RUN_ROWS]
+        which = order[row[k]]
+        yield record_batch(_RUN_SCHEMA, [mark[k], np.full(len(k), _FIRST, np.int32), content[k], ids.take(pa.array(which)), copies[which], start[k], size[k], near[k]])
+
+
 def _runs(docs: DataFrame, length: int, anchor: int) -> DataFrame:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = pa.Table.from_batches([batch]).sort_by([("doc_id", "ascending"), ("copy", "ascending")]).combine_chunks()
-            nulls = batch.column(0).null_count  # sorted last, and first in the corpus
-            if nulls:
-                batch = pa.concat_tables([batch.slice(len(batch) - nulls), batch.slice(0, len(batch) - nulls)]).combine_chunks()
-            # a row that repeats id and text has no part in this
-            copies = batch.column(1).to_numpy()
-            again = np.zeros(len(copies), bool)
-            known = batch.column(0).fill_null(0).to_numpy()
-            missing = batch.column(0).is_null().to_numpy()
-            again[1:] = (known[1:] == known[:-1]) & (missing[1:] == missing[:-1]) & (copies[1:] == copies[:-1])
-            batch, copies, parts = batch.filter(pa.array(~again)).combine_chunks(), copies[~again], []
-            ids = batch.column(0).combine_chunks()
-            for low, _, data, bounds in text_blocks(batch.column(2), _BLOCK):
-                for at in range(0, max(len(data), 1), _SEGMENT) if len(bounds) == 2 else (0,):
-                    part = data[at : at + _SEGMENT + length - 1] if len(bounds) == 2 else data
-                    cuts = bounds if len(part) == len(data) else np.array([0, len(part)])
-                    row, start, *rest, near = window_runs(part, cuts, length, anchor)
-                    # what surrounds a run may lie in the next segment
-                    parts.append([row + low, start + at, *rest, near if len(part) == len(data) else np.full(len(near), -1)])
-            if not parts:
-                continue
-            row, start, count, mark, content, near = (np.concatenate(x) for x in zip(*parts))
-            # of equal runs in this batch the first one goes on, the others repeat it
-            _, first = np.unique(content, return_index=True)
-            kind = np.zeros(len(row), np.int32)
-            kind[first] = _FIRST
-            size = count + length - 1
-            # repeats that touch are one span, sent anywhere
-            span = np.flatnonzero(kind == _WHOLE)
-            if len(span):
-                a, b, r = start[span], start[span] + size[span], row[span]
-                new = np.concatenate([[True], (r[1:] != r[:-1]) | (a[1:] > b[:-1])])
-                at, end = np.flatnonzero(new), np.append(np.flatnonzero(new)[1:], len(span)) - 1
-                yield record_batch(_RUN_SCHEMA, [mix((copies[r[at]].astype(np.uint64) << np.uint64(32)) + a[at].astype(np.uint64)).view(np.int64), np.zeros(len(at), np.int32), np.zeros(len(at), np.int64), ids.take(pa.array(r[at])), copies[r[at]], a[at].astype(np.int32), (b[end] - a[at]).astype(np.int32), np.zeros(len(at), np.int64)])
-            keep = kind == _FIRST
-            yield record_batch(_RUN_SCHEMA, [mark[keep], kind[keep], content[keep], ids.take(pa.array(row[keep])), copies[row[keep]], start[keep].astype(np.int32), size[keep].astype(np.int32), near[keep]])
+            yield from _runs_of(batch, length, anchor)
 
     return docs.select("doc_id", "copy", "text").mapInArrow(make, _RUN)
 
