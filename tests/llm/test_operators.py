@@ -95,6 +95,19 @@ def test_jaccard_odd_rows(odd, none):
     assert all(r["component_id"] == r["doc_id"] for r in found if r["n_shingles"] == 0)
 
 
+@pytest.mark.parametrize("bits", [26, 8])
+def test_texts_that_no_pair_needs_are_not_exchanged(docs, monkeypatch, bits):
+    monkeypatch.setattr(jaccard, "FILTER_BITS", bits)
+    sets = jaccard.members(docs, 5).select("set_id").distinct()
+    wanted = sets.orderBy("set_id").limit(3)
+    ids = {r[0] for r in wanted.collect()}
+    held = jaccard.id_filter(wanted)
+    known = np.array([r[0] for r in sets.collect()], np.int64)
+    assert ids <= set(known[jaccard.may_hold(held, known)].tolist()) and jaccard.may_hold(held, known).sum() < len(known) / 4
+    assert {r["set_id"] for r in jaccard.squeezed(docs, held, 5).collect()} == set(known[jaccard.may_hold(held, known)].tolist())
+    assert {r["set_id"] for r in jaccard.packed_texts(docs, wanted, 5).collect()} == ids
+
+
 def brute_repeats(rows, length=100):
     seen, out = set(), {}
     for doc, text in sorted((r[0], r[1]) for r in rows):

@@ -45,6 +45,9 @@ LINK_ROUNDS = 3
 PARITY_WORDS = 16
 #: A set with more shingles in long lists does not carry them; its pairs are counted after the join.
 CARRIED = 64
+#: Bits for each id in a filter of ids, and a filter's size at most (2**26 bits are 8 MB); beyond that more ids share a bit.
+BITS_OF_ID = 16
+FILTER_BITS = 26
 #: Shingles of sets that a task keeps while it compares pairs.
 KEPT_SHINGLES = 4_000_000
 
@@ -329,9 +332,32 @@ def may_link(left: str, right: str, percent: int) -> Column:
     return sizes & (differing_bits(f"{left}.parity", f"{right}.parity", PARITY_WORDS) <= n + m - 2 * need)
 
 
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A bitmap in which every id of the column ``set_id`` has its bit, by its first bits; others may share one."""
+    bits = min(max((BITS_OF_ID * ids.count()).bit_length(), 6), FILTER_BITS)
+    places = ids.select(F.shiftrightunsigned("set_id", 64 - bits).alias("place"))
+    words = places.groupBy(F.shiftright("place", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, int(place & 63)))").alias("held")).toArrow()
+    out = np.zeros(1 << bits - 6, np.uint64)
+    out[words["word"].to_numpy()] = words["held"].to_numpy().view(np.uint64)
+    return out
+
+
+def may_hold(filter_: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Whether each id has its bit in the bitmap: true for all ids that it was made of, and for few others."""
+    bits = len(filter_).bit_length() + 5
+    place = ids.view(np.uint64) >> np.uint64(64 - bits)
+    return (filter_[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
 def packed_texts(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(set_id, packed) of one text of each wanted set."""
-    schema = _schema("set_id bigint, packed binary")
+    packed = squeezed(docs, id_filter(wanted), words)
+    return packed.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min("packed").alias("packed"))
+
+
+def squeezed(docs: DataFrame, held: np.ndarray, words: int) -> DataFrame:
+    """(set_id, packed) of the sets that the bitmap may hold, which leaves most of the others out of an exchange."""
+    schema, shared = _schema("set_id bigint, packed binary"), docs.sparkSession.sparkContext.broadcast(held)
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -341,10 +367,10 @@ def packed_texts(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             for _, _, data, bounds in text_blocks(batch.column(0)):
                 ids = set_ids(*text_sets(data, bounds, words))
                 _, first = np.unique(ids, return_index=True)
+                first = first[may_hold(shared.value, ids[first])]
                 yield record_batch(schema, [ids[first], [packer.compress(data[bounds[i] : bounds[i + 1]].tobytes()) for i in first.tolist()]])
 
-    packed = documents(docs).select("text").mapInArrow(squeeze, "set_id bigint, packed binary")
-    return packed.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min("packed").alias("packed"))
+    return documents(docs).select("text").mapInArrow(squeeze, "set_id bigint, packed binary")
 
 
 def compare(texts: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
