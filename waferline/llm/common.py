@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that a task turns into flat arrays at once.
 BLOCK_BYTES = 1 << 20
+#: The labelled sample comes to the driver in so many parts, one after the other.
+SAMPLE_PARTS = 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,7 +48,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
     """Up to ``limit`` labelled texts, half of each class, and the class sizes over all training rows.
 
     Rows come in the order of a hash of their id, so the sample is the same for the same table. The ids
-    (at most ``limit`` of them) are broadcast; the texts come to the driver, which fits the model.
+    (at most ``limit`` of them) are broadcast; the texts come to the driver, which fits the model, part by
+    part, so that Spark's side of the driver holds one part at a time.
     """
     known = labels.select(labels["doc_id"].cast("bigint").alias("doc_id"), labels[label].cast("int").alias("y"))
     known = known.where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1)).where(train)
@@ -52,9 +58,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     parts = [known.where(F.col("y") == y).orderBy(*order).limit(limit // 2) for y in (0, 1)]
     picked = parts[0].unionByName(parts[1])
-    rows = documents(docs).join(F.broadcast(picked), "doc_id").select("doc_id", "text", "y").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["text"] or ""))
-    return [(r["text"] or "", int(r["y"])) for r in rows], sizes
+    found = documents(docs).join(F.broadcast(picked), "doc_id").select("doc_id", "text", "y")
+    rows = sorted((r["doc_id"], r["text"] or "", int(r["y"])) for r in found.repartition(SAMPLE_PARTS).toLocalIterator())
+    return [(text, y) for _, text, y in rows], sizes
+
+
+def give_back() -> None:
+    """Memory that this process has freed goes back to the system; Arrow and the C library would keep it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+    if trim:
+        trim(0)
 
 
 def flat_text(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -86,5 +101,12 @@ def text_blocks(column: pa.Array, size: int = BLOCK_BYTES) -> Iterator[tuple[int
         low = high
 
 
+def list_blocks(texts: list[str], size: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """``text_blocks`` of a list: a few texts at a time are held a second time, as bytes."""
+    for start in range(0, len(texts), 512):
+        for low, high, data, bounds in text_blocks(pa.array(texts[start : start + 512], pa.string()), size):
+            yield start + low, start + high, data, bounds
+
+
 def record_batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)

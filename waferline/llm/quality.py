@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from waferline.llm.common import documents, fold, labelled_sample, text_blocks
+from waferline.llm.common import documents, fold, give_back, labelled_sample, text_blocks
 from waferline.llm.words import LOWER, spans, word_hashes
 
 PASSAGE_WORDS = 64
@@ -202,5 +202,6 @@ def classify(docs: DataFrame, labels: DataFrame, limit: int = FIT_ROWS) -> DataF
     the same text has the same score. An empty table gives no rows.
     """
     model = fit(*labelled_sample(docs, labels, "quality", learnable(), limit))
+    give_back()
     scored = score(docs, model)
     return scored.select("doc_id", (~learnable()).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from waferline.llm.common import documents, fold, labelled_sample, text_blocks
+from waferline.llm.common import documents, fold, give_back, labelled_sample, list_blocks, text_blocks
 from waferline.llm.words import mix, raw_hashes, spans
 
 #: Labelled documents that the models are fitted on, half of each class as far as there are any.
@@ -170,7 +170,7 @@ class Classifier:
 def _counts(texts: list[str], y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct terms, and in how many texts of class 0 and of class 1 each stands."""
     found, counts = np.empty(0, np.uint64), np.empty((0, 2), np.int64)
-    for low, _, data, bounds in text_blocks(pa.array(texts, pa.string()), 1 << 20):
+    for low, _, data, bounds in list_blocks(texts):
         for hashes, row in term_hashes(data, bounds):
             if not len(hashes):
                 continue
@@ -200,7 +200,7 @@ def _false_finds(clean: np.ndarray, toxic: np.ndarray, share: float) -> np.ndarr
 
 def _matrix(texts: list[str], terms: np.ndarray) -> np.ndarray:
     index, out = TermIndex(terms), np.zeros((len(texts), len(terms)), np.float32)
-    for low, _, data, bounds in text_blocks(pa.array(texts, pa.string())):
+    for low, _, data, bounds in list_blocks(texts):
         row, term = index.present(data, bounds)
         out[low + row, term] = 1
     return out
@@ -297,8 +297,10 @@ def score(docs: DataFrame, model: Classifier, *more: str) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, train_rows: Column, limit: int = FIT_ROWS) -> Classifier:
-    sample, sizes = labelled_sample(docs, labels, "toxic", train_rows, limit)
-    return fit(sample, sizes)[0]
+    """The classifier of :func:`fit`. The driver keeps nothing of the sample, nor the memory that the fit took."""
+    model, _ = fit(*labelled_sample(docs, labels, "toxic", train_rows, limit))
+    give_back()
+    return model
 
 
 def learnable() -> Column:
