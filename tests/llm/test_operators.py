@@ -243,6 +243,39 @@ def test_top_k(spark, monkeypatch):
     assert topk.top_k(few, few.where("vec_id = 0")).count() == 2
 
 
+def test_top_k_over_shards(spark, monkeypatch):
+    """Queries pass by every shard of candidates as rows; no pair of blocks is a row of a join."""
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 20)
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 3)
+    monkeypatch.setattr(topk, "SHARD_VALUES", 400)
+    rng = np.random.default_rng(2)
+    for scale in (1, 1 << 21):  # scores fit 32-bit floating point, or don't
+        x = rng.integers(-3, 4, (500, 6)) * scale
+        x[400:] = x[7]
+        rows = topk.cut_lineage(spark.createDataFrame([(i, 1000 + i // 2, v.tolist()) for i, v in enumerate(x)], "row_id bigint, vec_id bigint, x array<bigint>"))
+        found = topk.top_k(rows, rows.where("row_id % 25 = 0"), 7)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and plan.count("Repartition") == 1
+        want = []
+        for q in range(0, 500, 25):
+            best = sorted((-int(x[q] @ x[c]), 1000 + c // 2) for c in range(500) if c != q)[:7]
+            want += [(1000 + q // 2, i + 1, c, -s) for i, (s, c) in enumerate(best)]
+        assert sorted(tuple(r) for r in found.collect()) == sorted(want)
+
+
+def test_top_k_bar_of_blocks_before():
+    rng = np.random.default_rng(3)
+    for kind in (np.float32, np.float64):
+        x, q = rng.integers(-9, 10, (300, 5)).astype(kind), rng.integers(-9, 10, (4, 5)).astype(kind)
+        score, lists = x @ q.T, np.sort(x, axis=0)
+        none, known = np.full(4, -np.inf, kind), np.sort(score, axis=0)[-3].astype(kind)
+        for bar, k in ((none, 3), (known, 3), (known + 1, 3)):
+            query, candidate = topk.read_lists(x, lists, q, bar, k)
+            left = set(zip(query.tolist(), candidate.tolist()))
+            needed = np.maximum(bar, known) if bar is none else bar
+            assert {(b, a) for a, b in zip(*np.nonzero(score >= needed))} <= left and len(left) < score.size / 2
+
+
 def test_top_k_of_large_components(spark):
     vectors = [(0, [1.0, 0.0]), (1, [600_000.0, 0.0]), (2, [700_000.0, 0.0]), (3, [2.0**40, 1.0]), (4, [-(2.0**41), 0.0])]
     rows = topk.cut_lineage(topk.quantised(spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>")))

@@ -3,8 +3,10 @@
 Per block of candidates, each dimension is a list sorted by value. All queries of a block read all lists
 together, from the top where the query's component is positive and from the bottom where it is negative.
 What has been read of a candidate is its known part; the frontier of each list bounds the rest from above,
-the list's far end from below. Reading stops for a candidate when its upper bound is under the lower bounds
-of k others, for all queries of the block; those that remain are scored exactly.
+the list's far end from below. A candidate falls for a query when its upper bound is under the lower bounds
+of k others of its block, or under the k scores that the blocks before have given; those that remain are
+scored exactly. At a given depth the bounds of all pairs are one matrix product: a value that has been read
+stands for itself, any other one for the frontier, so the values are cut off at the frontier.
 """
 
 from __future__ import annotations
@@ -19,57 +21,43 @@ from pyspark.sql import functions as F
 from waferline.llm.common import record_batch
 from waferline.session import cut_lineage
 
-#: Candidates whose lists one task sorts together, and queries that read them together.
-BLOCK_ROWS = 4096
-BLOCK_QUERIES = 128
-#: Shares of the lists after which the bounds are compared; near the middle most candidates fall.
-DEPTHS = (0.2, 0.3, 0.4, 0.5, 0.6, 0.75, 1.0)
+#: Candidates whose lists are sorted together, and queries that read them together.
+BLOCK_ROWS = 1024
+BLOCK_QUERIES = 512
+#: Shares of the lists after which the bounds are compared, while more than ``FEW`` of the pairs are left.
+DEPTHS = (0.75, 0.9, 1.0)
+FEW = 1 / 64
+#: Components of candidates that a task holds at most; it holds ``SHARD_ROWS`` candidates at least, if there are.
+SHARD_VALUES = 1 << 23
+SHARD_ROWS = 1024
+#: Whole numbers below it, their products and sums are exact in 32-bit floating point.
+EXACT = 1 << 24
 #: Stands for a null id in blocks, and sorts last.
 NO_ID = 1 << 62
 
 
-def read_lists(x: np.ndarray, order: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def read_lists(x: np.ndarray, lists: np.ndarray, q: np.ndarray, bar: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(query, candidate) pairs that may be among the k best, of queries ``q`` over candidates ``x``.
 
-    ``order`` holds for each dimension the candidates by ascending value. Of each query every candidate that
-    is not in the result has k others with a higher score, at least.
+    ``lists`` holds each dimension of ``x`` by ascending value, ``bar`` for each query a score that one of the
+    k best has at least (-inf where none is known). Of each query every candidate that is not in the result is
+    under its bar, or has k others with a higher score.
     """
-    n, d = x.shape
-    up, down = np.maximum(q, 0).T.astype(np.float64), np.minimum(q, 0).T.astype(np.float64)  # dimension x query
-    known = np.zeros((n, len(q)))
-    alive = np.arange(n)
-    seen_top, seen_low = np.zeros((n, d), bool), np.zeros((n, d), bool)
-    high, low = x[order[:, -1], np.arange(d)], x[order[:, 0], np.arange(d)]
-    gone = np.zeros(n, bool)
-    slack = 1e-12 * np.abs(q.astype(np.float64)).sum(axis=1) * (np.abs(x).max() if n else 0)  # more than rounding can take
-    at = 0
+    n = len(x)
+    sides = np.hstack([np.maximum(q, 0), np.minimum(q, 0)]).T
+    slack = 0 if x.dtype == np.float32 else 1e-12 * np.abs(q).sum(axis=1) * np.abs(lists[[0, -1]]).max()  # more than rounding can take
     for share in DEPTHS:
-        to = max(at, int(np.ceil(share * n)))
-        for j in range(d):
-            top = order[j, n - to : n - at]
-            bottom = order[j, at:to]
-            top, bottom = top[~gone[top]], bottom[~gone[bottom]]
-            known[top] += x[top, j, None] * up[j]
-            known[bottom] += x[bottom, j, None] * down[j]
-            seen_top[top, j] = True
-            seen_low[bottom, j] = True
-        at = to
-        edge_top = x[order[:, n - to], np.arange(d)]
-        edge_low = x[order[:, to - 1], np.arange(d)]
-        rest_top, rest_low = (~seen_top[alive]).astype(np.float64), (~seen_low[alive]).astype(np.float64)
-        most = known[alive] + rest_top @ (up * edge_top[:, None]) + rest_low @ (down * edge_low[:, None])
-        may = np.ones_like(most, bool)
-        if len(alive) > k:
-            least = known[alive] + rest_top @ (up * low[:, None]) + rest_low @ (down * high[:, None])
-            bar = np.partition(least, len(alive) - k, axis=0)[len(alive) - k]
-            may = most >= bar - slack
-        stay = may.any(axis=1)
-        gone[alive[~stay]] = True
-        alive, may = alive[stay], may[stay]
-        if to == n or len(alive) <= 4 * k:
+        to = max(1, int(np.ceil(share * n)))
+        top, low = lists[n - to], lists[to - 1]
+        most = np.hstack([np.maximum(x, top), np.minimum(x, low)]) @ sides
+        if n > k and np.isinf(bar).any():
+            least = most if to == n else np.hstack([np.where(x >= top, x, lists[0]), np.where(x <= low, x, lists[-1])]) @ sides
+            bar = np.maximum(bar, np.partition(least, n - k, axis=0)[n - k] - slack)
+        may = most >= bar - slack
+        if np.count_nonzero(may) <= FEW * may.size:
             break
-    candidate, query = np.nonzero(may)
-    return query, alive[candidate]
+    candidate, query = np.divmod(np.flatnonzero(may), len(q))
+    return query, candidate
 
 
 def exact_scores(x: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -82,57 +70,60 @@ def exact_scores(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     return score
 
 
-def block_top(x: np.ndarray, order: np.ndarray, ids: np.ndarray, q: np.ndarray, q_rows: np.ndarray, rows: np.ndarray, k: int):
-    """The k best of one block for each query: query row, candidate id, score; a query's own row is left out."""
-    # one more than k, since a query may meet itself
-    query, candidate = read_lists(x.astype(np.float64), order, q, k + 1)
+def pair_scores(x: np.ndarray, q: np.ndarray, candidate: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """The scores of pairs; vectors come as 32-bit floating point only where that is exact."""
     score = np.empty(len(query), np.int64)
     for at in range(0, len(query), 20_000):
         to = slice(at, at + 20_000)
-        score[to] = exact_scores(x[candidate[to]], q[query[to]])
-    own = q_rows[query] == rows[candidate]
-    query, candidate, score = query[~own], candidate[~own], score[~own]
-    best = np.lexsort((rows[candidate], ids[candidate], ~score, query))
-    query, candidate, score = query[best], candidate[best], score[best]
-    first = np.searchsorted(query, query)
-    keep = np.arange(len(query)) - first < k
-    return query[keep], candidate[keep], score[keep]
-
-
-_BLOCK = "block bigint, row_ids binary, ids binary, vectors binary"
-
-
-def _blocks(rows: DataFrame, count: int, width: int) -> DataFrame:
-    """Rows as ``count`` blocks of binary columns; rows are dealt by a hash of their number."""
-    schema = pa.schema([("block", pa.int64()), ("row_ids", pa.binary()), ("ids", pa.binary()), ("vectors", pa.binary())])
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list] = {}
-        block = None
-
-        def out() -> pa.RecordBatch:
-            return record_batch(schema, [[block], [np.array(held["row"], np.int64).tobytes()], [np.array(held["id"], np.int64).tobytes()], [np.concatenate(held["x"]).tobytes()]])
+        left, right = x[candidate[to]], q[query[to]]
+        score[to] = np.einsum("ij,ij->i", left, right) if x.dtype == np.float32 else exact_scores(left, right)
+    return score
 
-        for batch in batches:
-            blocks, numbers, ids = (batch.column(i).to_pylist() for i in range(3))
-            vectors = batch.column(3)
-            for i, b in enumerate(blocks):
-                if b != block and block is not None:
-                    yield out()
-                if b != block:
-                    block, held = b, {"row": [], "id": [], "x": []}
-                x = np.zeros(width, np.int64)
-                part = vectors[i].values.to_numpy()
-                x[: len(part)] = part
-                held["row"].append(numbers[i])
-                held["id"].append(ids[i])
-                held["x"].append(x)
-        if block is not None:
-            yield out()
 
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.select(F.pmod(F.xxhash64("row_id"), F.lit(count)).alias("block"), "row_id", "vec_id", "x")
-    return dealt.repartition(min(tasks, count), "block").sortWithinPartitions("block", "row_id").mapInArrow(pack, _BLOCK)
+class Shard:
+    """The candidates of one task, in blocks with their sorted lists."""
+
+    def __init__(self, x: np.ndarray, ids: np.ndarray, rows: np.ndarray, block_rows: int):
+        self.blocks = []
+        for at in range(0, len(x), block_rows):
+            part = x[at : at + block_rows]
+            bounded = part if x.dtype == np.float32 else part.astype(np.float64)
+            self.blocks.append((part, bounded, np.sort(bounded, axis=0), ids[at : at + block_rows], rows[at : at + block_rows]))
+
+    def top(self, q: np.ndarray, q_rows: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+        """The k best of all blocks for each query: query, candidate row, candidate id, score; a query's own row is left out."""
+        bounded = q if q.dtype == np.float32 else q.astype(np.float64)
+        best = tuple(np.empty(0, np.int64) for _ in range(4))
+        bar, bound = np.full(len(q), np.iinfo(np.int64).min), np.full(len(q), -np.inf, bounded.dtype)
+        for x, values, lists, ids, rows in self.blocks:
+            # one more than k, since a query may meet itself
+            query, candidate = read_lists(values, lists, bounded, bound, k + 1)
+            score = pair_scores(x, q, candidate, query)
+            keep = (score >= bar[query]) & (q_rows[query] != rows[candidate])
+            query, candidate, score = query[keep], candidate[keep], score[keep]
+            if not len(query):
+                continue
+            query, row, id_, score = (np.concatenate(c) for c in zip(best, (query, rows[candidate], ids[candidate], score)))
+            order = np.lexsort((row, id_, ~score, query))
+            query = query[order]
+            place = np.arange(len(query)) - np.searchsorted(query, query)
+            query, order, place = query[place < k], order[place < k], place[place < k]
+            best = query, row[order], id_[order], score[order]
+            full = place == k - 1
+            bar[query[full]] = best[3][full]
+            bound[query[full]] = best[3][full]
+        return best
+
+
+def matrix(column: pa.Array, width: int, kind: type) -> np.ndarray:
+    """Vectors as rows, with zeros beyond their end."""
+    values, size = column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().to_numpy(zero_copy_only=False)
+    if (size == width).all():
+        return values.reshape(len(column), width).astype(kind)
+    out = np.zeros((len(column), width), kind)
+    ends = np.cumsum(size)
+    out[np.repeat(np.arange(len(size)), size), np.arange(len(values)) - np.repeat(ends - size, size)] = values
+    return out
 
 
 def quantised(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", scale: int = 256) -> DataFrame:
@@ -148,45 +139,78 @@ def quantised(vectors: DataFrame, id_column: str = "vec_id", vector_column: str
     return rows.select(F.monotonically_increasing_id().alias("row_id"), "vec_id", x.alias("x"))
 
 
+def _measured(rows: DataFrame) -> tuple[int, int, int]:
+    """How many vectors there are, the longest one's size, and the largest component's absolute value."""
+    row = rows.agg(F.count("*").alias("n"), F.max(F.size("x")).alias("width"), F.min(F.array_min("x")).alias("low"), F.max(F.array_max("x")).alias("high")).first()
+    return row["n"], row["width"] or 0, max(-(row["low"] or 0), row["high"] or 0, 0)
+
+
 def top_k(rows: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """query_id, rank, vec_id, score: each query's ``k`` highest integer inner products over all other rows.
 
     Both tables have row_id, vec_id, x (integers). Ties go to the smaller vec_id (null last), then to the
     smaller row_id; a query is left out of its own candidates by row, so rows that repeat it stay. A vector
-    shorter than the longest counts as zero beyond its end. Blocks of queries meet blocks of candidates one
-    pair at a time, and give ``k`` rows a query; with fewer candidates all are returned. An empty table
-    gives no rows.
+    shorter than the longest counts as zero beyond its end. Candidates are dealt to shards by a hash of their
+    row; a task holds one shard, the queries pass by it block by block, and it gives ``k`` rows a query; with
+    fewer candidates all are returned. Queries are exchanged once for each shard, candidates once. An empty
+    table gives no rows.
     """
-    size = rows.agg(F.max(F.size("x")).alias("width"), F.count("*").alias("n")).first()
-    width, blocks = max(size["width"] or 0, 1), max(1, -(-size["n"] // BLOCK_ROWS))
+    queries = cut_lineage(queries.select("row_id", "vec_id", "x"))
+    (n, width, most), (many, longest, largest) = _measured(rows), _measured(queries)
+    width = max(width, longest, 1)
+    kind = np.float32 if width * most * largest < EXACT and max(most, largest) < EXACT else np.int64
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = min(tasks, -(-n // SHARD_ROWS), max(32, 2 * n // max(many, 1)))
+    shards = max(1, spread, -(-n * width // SHARD_VALUES))
+    block_rows, block_queries = BLOCK_ROWS, BLOCK_QUERIES
     schema = pa.schema([("query_row", pa.int64()), ("query_id", pa.int64()), ("vec_row", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
     names = "query_row bigint, query_id bigint, vec_row bigint, vec_id bigint, score bigint"
-    all_rows, all_queries = (t.select("row_id", F.coalesce("vec_id", F.lit(NO_ID)).alias("vec_id"), "x") for t in (rows, queries))
-    candidates = cut_lineage(_blocks(all_rows, blocks, width))
-    asked = cut_lineage(_blocks(all_queries, max(1, -(-queries.count() // BLOCK_QUERIES)), width))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, x, order, ids, numbers = None, None, None, None, None
+        at, shard, held = None, None, {0: [], 1: []}
+
+        def taken(kind_: int) -> tuple[np.ndarray, ...]:
+            parts, held[kind_] = held[kind_], []
+            return tuple(np.concatenate(c) for c in zip(*parts))
+
+        def answers() -> Iterator[pa.RecordBatch]:
+            if held[1]:
+                q_rows, q_ids, q = taken(1)
+                for low in range(0, len(q) if shard else 0, block_queries):
+                    to = slice(low, low + block_queries)
+                    query, row, id_, score = shard.top(q[to], q_rows[to], k)
+                    yield record_batch(schema, [q_rows[to][query], q_ids[to][query], row, id_, score])
+
         for batch in batches:
-            for i in range(batch.num_rows):
-                block = batch.column(0)[i].as_py()
-                if block != kept:
-                    kept = block
-                    numbers, ids = (np.frombuffer(batch.column(c)[i].as_py(), np.int64) for c in (1, 2))
-                    x = np.frombuffer(batch.column(3)[i].as_py(), np.int64).reshape(len(ids), width)
-                    order = np.ascontiguousarray(np.argsort(x, axis=0, kind="stable").T)
-                q_rows, q_ids = (np.frombuffer(batch.column(c)[i].as_py(), np.int64) for c in (4, 5))
-                q = np.frombuffer(batch.column(6)[i].as_py(), np.int64).reshape(len(q_ids), width)
-                query, candidate, score = block_top(x, order, ids, q, q_rows, numbers, k)
-                yield record_batch(schema, [q_rows[query], q_ids[query], numbers[candidate], ids[candidate], score])
-
-    left = candidates.select(F.col("block").alias("cb"), F.col("row_ids").alias("cr"), F.col("ids").alias("ci"), F.col("vectors").alias("cv"))
-    # the stated queries, block by block, against every block of candidates
-    right = asked.select(F.col("row_ids").alias("qr"), F.col("ids").alias("qi"), F.col("vectors").alias("qv"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("qb"))
-    pairs = left.join(right, left["cb"] == right["qb"]).select("cb", "cr", "ci", "cv", "qr", "qi", "qv")
-    found = pairs.mapInArrow(search, names)
+            numbers, sides = (batch.column(i).to_numpy() for i in (0, 1))
+            cuts = np.flatnonzero((np.diff(numbers) != 0) | (np.diff(sides) != 0)) + 1
+            for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(numbers)]):
+                if low == high:
+                    continue
+                if numbers[low] != at:
+                    yield from answers()
+                    at, shard, held = int(numbers[low]), None, {0: [], 1: []}
+                side, part = int(sides[low]), batch.slice(low, high - low)
+                # copies, which don't keep the batch
+                held[side].append((np.array(part.column(2)), np.array(part.column(3)), matrix(part.column(4), width, kind)))
+                if side and held[0]:
+                    row, id_, x = taken(0)
+                    shard = Shard(x, id_, row, block_rows)
+                if side and sum(len(p[0]) for p in held[1]) >= block_queries:
+                    yield from answers()
+        yield from answers()
+
+    given, asked = (
+        t.select(place.alias("shard"), F.lit(side).alias("side"), "row_id", F.coalesce("vec_id", F.lit(NO_ID)).alias("vec_id"), "x")
+        for t, side, place in (
+            (rows, 0, F.pmod(F.xxhash64("row_id"), F.lit(shards)).cast("int")),
+            # the stated queries, all of them for every shard of candidates
+            (queries, 1, F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))),
+        )
+    )
+    dealt = given.unionByName(asked).repartitionById(shards, "shard").sortWithinPartitions("shard", "side")
+    found = dealt.mapInArrow(search, names)
     best = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id", "vec_row")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     back = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).alias(c)
     return ranked.select(back("query_id"), F.col("rank").cast("int").alias("rank"), back("vec_id"), "score")
-
