@@ -288,6 +288,59 @@ def test_top_k_of_large_components(spark):
         topk.quantised(spark.createDataFrame([(0, [1e300])], "vec_id bigint, embedding array<double>")).collect()
 
 
+def test_near_duplicates_of_long_lists(spark, monkeypatch):
+    """Pairs of long lists are found in any chunk, by their parity bitmaps, and few of the pairs come out."""
+    monkeypatch.setattr(jaccard, "CHUNK", 16)
+    rng = np.random.default_rng(5)
+    common = [f"w{i}" for i in range(60)]
+    texts, want = [], {}
+    for i in range(60):  # pairs that are linked; all others share too little
+        own = [f"x{i}y{k}" for k in rng.integers(0, 1 << 30, 240)]
+        texts += [" ".join(common + own), " ".join(common + own[:-12])]
+        want |= {2 * i: 2 * i, 2 * i + 1: 2 * i}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = jaccard.cut_lineage(jaccard.members(docs, 5))
+    parity = jaccard.parity_of(rows)
+    # every set stands in ten lists, in no component yet
+    listed = rows.select("set_id", F.col("n").cast("int").alias("n"), F.explode(F.sequence(F.lit(0), F.lit(69))).alias("pos")).withColumn("token", F.col("pos").cast("bigint"))
+    none = rows.selectExpr("set_id AS node", "set_id AS root").limit(0)
+    found = jaccard._rest(listed.select("token", "set_id", "n", "pos"), none, parity, 8, 80).collect()
+    of = {r["set_id"]: r["doc_id"] for r in rows.collect()}
+    pairs = {tuple(sorted((of[r["a"]], of[r["b"]]))): r["shared"] for r in found}
+    assert len(pairs) == len(found) and pairs == {(2 * i, 2 * i + 1): 70 for i in range(60)}
+    assert {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(docs).collect()} == want
+
+
+def test_parities_in_steps(monkeypatch):
+    monkeypatch.setattr(jaccard, "PARITY_ROWS", 7)
+    rng = np.random.default_rng(6)
+    n = rng.integers(0, 90, 50)
+    bounds = np.concatenate([[0], np.cumsum(n)])
+    values = rng.integers(0, 1 << 64, bounds[-1], dtype=np.uint64)
+    bits = np.zeros((50, 64 * jaccard.PARITY_WORDS), np.uint8)
+    for i in range(50):
+        for v in values[bounds[i] : bounds[i + 1]].tolist():
+            bits[i, v % bits.shape[1]] ^= 1
+    assert (np.packbits(bits, axis=1, bitorder="little").view(np.int64) == jaccard.parities(values, bounds)).all()
+
+
+def test_near_duplicates_read_texts_few_times(docs, monkeypatch):
+    """Light keys come from the members; only texts that pairs need are cut up again."""
+    looked = jaccard.cut_lineage(jaccard.look_over(docs, 5))
+    keys = jaccard.light_keys(looked, 8, 80)
+    assert "text" not in keys._jdf.queryExecution().analyzed().toString().replace("text_id", "")
+    rows = looked.where("kind IS NULL")
+    wanted = rows.where("n > 0").select("set_id").distinct().limit(5)
+    wanted = jaccard.cut_lineage(wanted)
+    ids = {r["set_id"] for r in wanted.collect()}
+    assert {r["set_id"] for r in jaccard.packed_texts(docs, wanted, 5, rows).collect()} == ids
+    texts = {r["text_id"] for r in rows.join(wanted, "set_id", "left_semi").collect()}
+    held = jaccard.id_filter(docs.sparkSession.createDataFrame([(t,) for t in texts], "set_id bigint"))
+    every = np.full(1, (1 << 64) - 1, np.uint64)
+    assert ids <= {r["set_id"] for r in jaccard.squeezed(docs, every, 5, held).collect()}
+    assert jaccard.squeezed(docs, every, 5, held).count() < docs.count() / 4
+
+
 def test_mixing(docs, odd, none):
     rows = mixing.mix_documents(docs).collect()
     again = {r["doc_id"]: r["taken"] for r in mixing.mix_documents(docs.repartition(3)).collect()}

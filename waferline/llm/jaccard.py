@@ -43,8 +43,11 @@ MOST_LIGHT = 24
 LINK_ROUNDS = 3
 #: 64-bit words of a set's parity bitmap; it tells unlike sets of up to some 2,000 shingles apart.
 PARITY_WORDS = 16
-#: A set with more shingles in long lists does not carry them; its pairs are counted after the join.
-CARRIED = 64
+#: Bitmaps made together.
+PARITY_ROWS = 256
+#: Sets of a long list that meet in one go, and pairs that are looked at together.
+CHUNK = 4096
+PAIRS_AT_ONCE = 1 << 18
 #: Bits for each id in a filter of ids, and a filter's size at most (2**26 bits are 8 MB); beyond that more ids share a bit.
 BITS_OF_ID = 16
 FILTER_BITS = 26
@@ -88,8 +91,9 @@ def set_ids(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return mix(sums[bounds[1:]] - sums[bounds[:-1]] + np.diff(bounds).astype(np.uint64)).view(np.int64)
 
 
-_SURVEY = "kind int, value bigint, n bigint"
-_ENTRY = "token bigint, set_id bigint, n int, pos int, light boolean"
+_KEY = "token bigint, set_id bigint, n int, pos int"
+_MEMBERS = "doc_id bigint, set_id bigint, n bigint, parity array<bigint>, text_id bigint"
+_MEMBER = [("doc_id", pa.int64()), ("set_id", pa.int64()), ("n", pa.int64()), ("parity", pa.list_(pa.int64())), ("text_id", pa.int64())]
 _PAIR = "token bigint, a bigint, b bigint, n int, pos int"
 
 
@@ -98,35 +102,53 @@ def _schema(names: str) -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in (x.split() for x in names.split(", "))])
 
 
-def survey(docs: DataFrame, words: int = SHINGLE_WORDS) -> tuple[np.ndarray, dict[int, int]]:
-    """Common shingles (at most ``MOST_COMMON``), and how many documents have each set size up to 2 * MOST_LIGHT; larger ones count as one size.
+def look_over(docs: DataFrame, words: int) -> DataFrame:
+    """One reading of all texts, as a table: the members (kind null), and counts for ``survey`` (kind, value, times).
 
-    Every document is counted. A batch reports the shingles that stand in ``OFTEN_IN_BATCH`` of its documents or
-    more, so one that is spread thinly can go unreported or count for less. Only the order in which shingles are
-    listed depends on this, and any order gives the same links.
+    Members have besides the shingles of sets that may be light (``small``); it is empty for larger sets.
+    Kind 0 are the shingles that stand in ``OFTEN_IN_BATCH`` documents of a batch or more, kind 1 the sizes of sets
+    up to 2 * MOST_LIGHT; larger ones count as one size.
     """
-    schema = _schema(_SURVEY)
+    kinds = [pa.int32(), pa.int64(), pa.int64()]
+    schema = pa.schema([*_MEMBER, ("small", pa.list_(pa.int64())), *zip(("kind", "value", "times"), kinds)])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets, sizes = [], []
-            for _, _, data, bounds in text_blocks(batch.column(0)):
-                values, cuts = text_sets(data, bounds, words)
+            for columns, values, n in _members_of(batch, words):
+                few = n <= MOST_LIGHT
+                ends = np.concatenate([[0], np.cumsum(np.where(few, n, 0))])
+                small = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values[np.repeat(few, n)].view(np.int64)))
+                yield record_batch(schema, [*columns, small, *(pa.nulls(len(n), k) for k in kinds)])
                 sets.append(values)
-                sizes.append(np.diff(cuts))
+                sizes.append(n)
             if not sets:
                 continue
-            n = np.concatenate(sizes)
-            values, counts = np.unique(np.concatenate(sets), return_counts=True)
-            often = counts >= OFTEN_IN_BATCH
-            size, times = np.unique(np.minimum(n, 2 * MOST_LIGHT), return_counts=True)
-            yield record_batch(schema, [
-                np.concatenate([np.zeros(often.sum(), np.int32), np.ones(len(size), np.int32)]),
-                np.concatenate([values[often].view(np.int64), size]),
-                np.concatenate([counts[often], times]),
-            ])
-
-    found = cut_lineage(documents(docs).select("text").mapInArrow(count, _SURVEY).groupBy("kind", "value").agg(F.sum("n").alias("n")))
+            often, counts = _repeated(np.concatenate(sets))
+            size, times = np.unique(np.minimum(np.concatenate(sizes), 2 * MOST_LIGHT), return_counts=True)
+            kind = np.repeat(np.array([0, 1], np.int32), [len(often), len(size)])
+            none = [pa.nulls(len(kind), f.type) for f in list(schema)[:-3]]
+            yield record_batch(schema, [*none, kind, np.concatenate([often.view(np.int64), size]), np.concatenate([counts, times])])
+
+    return _hashed(docs).mapInArrow(look, f"{_MEMBERS}, small array<bigint>, kind int, value bigint, times bigint")
+
+
+def _repeated(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values that stand ``OFTEN_IN_BATCH`` times or more, and how often."""
+    values = np.sort(values)
+    # the start of each run that is long enough
+    same = values[OFTEN_IN_BATCH - 1 :] == values[: max(0, len(values) - OFTEN_IN_BATCH + 1)]
+    often = np.unique(values[np.flatnonzero(same)])
+    return often, np.searchsorted(values, often, "right") - np.searchsorted(values, often, "left")
+
+
+def survey(looked: DataFrame) -> tuple[np.ndarray, dict[int, int]]:
+    """Common shingles (at most ``MOST_COMMON``), and how many documents have each set size up to 2 * MOST_LIGHT.
+
+    Every document is counted. A shingle that is spread thinly over the batches can go unreported or count for
+    less. Only the order in which shingles are listed depends on this, and any order gives the same links.
+    """
+    found = cut_lineage(looked.where("kind IS NOT NULL").groupBy("kind", "value").agg(F.sum("times").alias("n")))
     sizes = {r["value"]: r["n"] for r in found.where("kind = 1").collect()}
     # shorter lists give all their pairs; above that, the least count that at most MOST_COMMON shingles reach
     counts = found.where(f"kind = 0 AND n > {LIST_PAIRS}").groupBy(F.least("n", F.lit(1 << 16)).alias("n")).agg(F.count("*").alias("many"))
@@ -141,8 +163,8 @@ def survey(docs: DataFrame, words: int = SHINGLE_WORDS) -> tuple[np.ndarray, dic
 
 
 def entries(docs: DataFrame, common: np.ndarray, boundary: int, words: int, percent: int) -> DataFrame:
-    """List entries of heavy sets and subset keys of light ones (then pos is the partner's size)."""
-    schema, shared = _schema(_ENTRY), docs.sparkSession.sparkContext.broadcast(common)
+    """List entries of heavy sets."""
+    schema, shared = _schema(_KEY), docs.sparkSession.sparkContext.broadcast(common)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = shared.value
@@ -159,11 +181,23 @@ def entries(docs: DataFrame, common: np.ndarray, boundary: int, words: int, perc
                 fresh &= np.array([i not in met for i in ids.tolist()], bool)
                 met.update(ids[fresh].tolist())
                 yield record_batch(schema, _listed(values, cuts, ids, n, fresh, common, marks, boundary, percent))
-                light = [i for i in np.flatnonzero(fresh & (n > 0) & (n <= boundary)).tolist()]
-                if light:
-                    yield record_batch(schema, _subsets(values, cuts, ids, light, boundary, percent))
 
-    return documents(docs).select("text").mapInArrow(make, _ENTRY)
+    return documents(docs).select("text").mapInArrow(make, _KEY)
+
+
+def light_keys(looked: DataFrame, boundary: int, percent: int) -> DataFrame:
+    """Subset keys of light sets (pos is the partner's size), from the shingles that their members have."""
+    schema = _schema(_KEY)
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cuts = np.concatenate([[0], np.cumsum(batch.column(1).value_lengths().to_numpy())])
+            values, ids = batch.column(1).flatten().to_numpy().view(np.uint64), batch.column(0).to_numpy()
+            for low in range(0, len(ids), 256):
+                yield record_batch(schema, _subsets(values, cuts, ids, range(low, min(low + 256, len(ids))), boundary, percent))
+
+    light = looked.where(f"n BETWEEN 1 AND {boundary}").select("set_id", "small").dropDuplicates(["set_id"])
+    return light.mapInArrow(make, _KEY)
 
 
 def _listed(values, cuts, ids, n, fresh, common, marks, boundary, percent) -> list:
@@ -180,7 +214,7 @@ def _listed(values, cuts, ids, n, fresh, common, marks, boundary, percent) -> li
     pos = np.where(rare, before, rares[cuts[row + 1]] - rares[cuts[row]] + np.arange(len(values)) - cuts[row] - before)
     keep = heavy[row] & (pos < prefix_size(n, percent)[row])
     row = row[keep]
-    return [values[keep].view(np.int64), ids[row], n[row].astype(np.int32), pos[keep].astype(np.int32), np.zeros(len(row), bool)]
+    return [values[keep].view(np.int64), ids[row], n[row].astype(np.int32), pos[keep].astype(np.int32)]
 
 
 def _subsets(values, cuts, ids, light, boundary, percent) -> list:
@@ -199,7 +233,7 @@ def _subsets(values, cuts, ids, light, boundary, percent) -> list:
             size.append(np.full(len(sums), n, np.int32))
             other.append(np.full(len(sums), m, np.int32))
     token, set_id, size, other = (np.concatenate(x) for x in (token, set_id, size, other))
-    return [token, set_id, size, other, np.ones(len(token), bool)]
+    return [token, set_id, size, other]
 
 
 def _light_links(keys: DataFrame) -> DataFrame:
@@ -313,10 +347,15 @@ def parities(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
     The bitmaps of two sets differ in no more bits than the sets have shingles that only one of them has.
     """
-    rows = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    flips = np.zeros((len(bounds) - 1, 64 * PARITY_WORDS), np.uint8)
-    np.add.at(flips, (rows, (values % np.uint64(64 * PARITY_WORDS)).astype(np.int64)), 1)
-    return np.packbits(flips & 1, axis=1, bitorder="little").view(np.int64)
+    bits, many = 64 * PARITY_WORDS, len(bounds) - 1
+    out = np.empty((many, PARITY_WORDS), np.int64)
+    for low in range(0, many, PARITY_ROWS):
+        high = min(many, low + PARITY_ROWS)
+        places = (values[bounds[low] : bounds[high]] % np.uint64(bits)).astype(np.int64)
+        places += np.repeat(np.arange(0, bits * (high - low), bits), np.diff(bounds[low : high + 1]))
+        flips = np.bincount(places, minlength=bits * (high - low)).astype(np.uint8) & 1
+        out[low:high] = np.packbits(flips.reshape(high - low, bits), axis=1, bitorder="little").view(np.int64)
+    return out
 
 
 def differing_bits(left: str, right: str, words: int) -> Column:
@@ -349,28 +388,40 @@ def may_hold(filter_: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return (filter_[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def packed_texts(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(set_id, packed) of one text of each wanted set."""
-    packed = squeezed(docs, id_filter(wanted), words)
+def packed_texts(docs: DataFrame, wanted: DataFrame, words: int, rows: DataFrame | None = None) -> DataFrame:
+    """(set_id, packed) of one text of each wanted set; of the members ``rows``, if given, only texts of wanted sets are cut up again."""
+    texts = None
+    if rows is not None:
+        picked = rows.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min("text_id").alias("text_id"))
+        texts = id_filter(cut_lineage(picked.select(F.col("text_id").alias("set_id"))))
+    packed = squeezed(docs, id_filter(wanted), words, texts)
     return packed.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min("packed").alias("packed"))
 
 
-def squeezed(docs: DataFrame, held: np.ndarray, words: int) -> DataFrame:
-    """(set_id, packed) of the sets that the bitmap may hold, which leaves most of the others out of an exchange."""
-    schema, shared = _schema("set_id bigint, packed binary"), docs.sparkSession.sparkContext.broadcast(held)
+def squeezed(docs: DataFrame, held: np.ndarray, words: int, texts: np.ndarray | None = None) -> DataFrame:
+    """(set_id, packed) of the sets that the bitmap may hold, which leaves most of the others out of an exchange.
+
+    A second bitmap, of the hashes of texts, leaves other texts out before their sets are made.
+    """
+    schema, shared = _schema("set_id bigint, packed binary"), docs.sparkSession.sparkContext.broadcast((held, texts))
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         packer = zstandard.ZstdCompressor(level=3)
+        held, texts = shared.value
         for batch in batches:
+            if texts is not None:
+                batch = batch.filter(pa.array(may_hold(texts, batch.column(1).to_numpy())))
+            if not batch.num_rows:
+                continue
             for _, _, data, bounds in text_blocks(batch.column(0)):
                 ids = set_ids(*text_sets(data, bounds, words))
                 _, first = np.unique(ids, return_index=True)
-                first = first[may_hold(shared.value, ids[first])]
+                first = first[may_hold(held, ids[first])]
                 yield record_batch(schema, [ids[first], [packer.compress(data[bounds[i] : bounds[i + 1]].tobytes()) for i in first.tolist()]])
 
-    return documents(docs).select("text").mapInArrow(squeeze, "set_id bigint, packed binary")
+    return _hashed(docs).select("text", "text_id").mapInArrow(squeeze, "set_id bigint, packed binary")
 
 
 def compare(texts: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -420,8 +471,8 @@ def apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select(*pairs.columns)
 
 
-def link_up(docs: DataFrame, pairs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
-    """The components of sets with the links among ``pairs`` (a, b, shared) added.
+def link_up(docs: DataFrame, rows: DataFrame, pairs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
+    """The components of sets with the links among ``pairs`` (a, b, shared) added; ``rows`` are the members of ``docs``.
 
     Pairs within a component need no look. In each of the first rounds every set meets the one it shares
     most with among those of other components; in the last round all pairs that are still apart are compared.
@@ -433,7 +484,7 @@ def link_up(docs: DataFrame, pairs: DataFrame, classes: DataFrame, words: int, p
             break
         if texts is None:
             wanted = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct())
-            texts = cut_lineage(packed_texts(docs, wanted, words))
+            texts = cut_lineage(packed_texts(docs, wanted, words, rows))
         chosen = pairs
         if number < LINK_ROUNDS - 1:
             chosen = cut_lineage(pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b"))
@@ -448,9 +499,8 @@ def _rest(entries_: DataFrame, classes: DataFrame, parity: DataFrame, boundary:
     """(a, b, shared): pairs of long lists whose sets are not yet in one component and share enough.
 
     In each list the sets outside of its largest component meet all those of other components. A pair whose
-    parity bitmaps differ in more bits than two linked sets have shingles apart does not come out. Sets carry
-    their shingles in long lists, so a pair comes once, in the first list it shares, and only if it shares
-    enough of them; pairs of a set with very many such shingles come once for each list and are counted.
+    parity bitmaps differ in more bits than two linked sets have shingles apart does not come out. The others
+    come once for each list that both sets stand in, and are counted.
     What a pair shares in short lists need not be added: one that stands in any of those has been compared
     or ruled out before.
     """
@@ -458,27 +508,81 @@ def _rest(entries_: DataFrame, classes: DataFrame, parity: DataFrame, boundary:
     rows = entries_.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     rows = cut_lineage(rows)
     groups = rows.groupBy("token", "root").agg(F.count("*").alias("many"))
-    main = groups.groupBy("token").agg(F.max_by("root", F.struct("many", "root")).alias("main"), F.count("*").alias("groups"))
-    mixed = cut_lineage(rows.join(main.where("groups > 1").select("token", "main"), "token"))
-    held = mixed.groupBy("set_id").agg(F.collect_set("token").alias("held")).where(F.size("held") <= CARRIED)
-    mixed = mixed.join(held, "set_id", "left").join(parity, "set_id")
-    l, r = mixed.where("root <> main").alias("l"), mixed.alias("r")
-    low, high = F.least("l.n", "r.n"), F.greatest("l.n", "r.n")
-    left = F.least(F.least("l.pos", "r.pos") + F.least(F.expr("l.n - l.pos"), F.expr("r.n - r.pos")), low)
-    need = F.ceil(F.lit(percent) * (F.col("l.n") + F.col("r.n")) / F.lit(100 + percent))
-    once = (F.col("r.root") == F.col("r.main")) | (F.col("l.set_id") < F.col("r.set_id"))
-    on = (F.col("l.token") == F.col("r.token")) & (F.col("l.root") != F.col("r.root")) & once & (high > boundary) & (left >= need)
-    rest = F.ceil(F.lit(percent) * high / F.lit(100)) - 1
-    both = F.array_intersect("l.held", "r.held")
-    counted = F.col("l.held").isNull() | F.col("r.held").isNull()
-    on = on & may_link("l", "r", percent)
-    on = on & (counted | ((F.size(both) + rest >= need) & (F.array_min(both) == F.col("l.token"))))
-    shared = F.when(counted, 1).otherwise(F.size(both)).alias("shared")
-    met = l.join(r, on).select(F.least("l.set_id", "r.set_id").alias("a"), F.greatest("l.set_id", "r.set_id").alias("b"), (need - rest).alias("least"), shared)
-    met = met.groupBy("a", "b", "least").agg(F.sum("shared").alias("shared"))
+    main = groups.groupBy("token").agg(F.max_by("root", F.struct("many", "root")).alias("main"), F.count("*").alias("groups"), F.sum("many").alias("many"))
+    chunks = F.ceil(F.col("many") / F.lit(CHUNK)).cast("int").alias("chunks")
+    mixed = rows.join(main.where("groups > 1").select("token", "main", chunks), "token").join(parity, "set_id")
+    met = _meetings(cut_lineage(mixed), boundary, percent)
+    need = F.ceil(F.lit(percent) * (F.col("n") + F.col("m")) / F.lit(100 + percent))
+    rest = F.ceil(F.lit(percent) * F.greatest("n", "m") / F.lit(100)) - 1
+    met = met.groupBy("a", "b", (need - rest).alias("least")).agg(F.count("*").alias("shared"))
     return met.where("shared >= least").select("a", "b", "shared")
 
 
+def _meetings(mixed: DataFrame, boundary: int, percent: int) -> DataFrame:
+    """(a, b, n, m) for each list and pair of it that may be linked, with the sets' sizes.
+
+    Lists are cut into ``chunks``; each chunk's sets outside of the list's largest component meet each chunk's
+    sets, and a task holds two chunks at a time.
+    """
+    schema = _schema("a bigint, b bigint, n int, m int")
+
+    def meet(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        left, right = ([c[order] for c in side] for side, order in ((s, np.argsort(s[1], kind="stable")) for s in (left, right)))
+        (a, n, p, root, main, bits), (b, m, q, other, _, more) = left, right
+        low = 0
+        while low < len(a):
+            # partners are at least so large, and at most as for the largest of the step
+            first = int(np.searchsorted(m, -(-percent * n[low] // 100)))
+            step = max(1, PAIRS_AT_ONCE // max(1, len(b) - first))
+            high = min(len(a), low + step)
+            last = int(np.searchsorted(m, 100 * n[high - 1] // percent, "right"))
+            i, j = slice(low, high), slice(first, last)
+            may = _possible(n[i, None], p[i, None], m[None, j], q[None, j], boundary, percent) & (root[i, None] != other[None, j])
+            may &= (other[None, j] == main[0]) | (a[i, None] < b[None, j])  # once
+            x, y = np.nonzero(may)
+            for at in range(0, len(x), PAIRS_AT_ONCE // 16):
+                u, v = x[at : at + PAIRS_AT_ONCE // 16] + low, y[at : at + PAIRS_AT_ONCE // 16] + first
+                apart_ = np.bitwise_count(bits[u] ^ more[v]).sum(axis=1, dtype=np.int64)
+                ok = apart_ <= n[u] + m[v] - 2 * overlap_needed(n[u], m[v], percent)
+                if ok.any():
+                    u, v = u[ok], v[ok]
+                    turn = a[u] > b[v]
+                    yield record_batch(schema, [np.minimum(a[u], b[v]), np.maximum(a[u], b[v]), np.where(turn, m[v], n[u]).astype(np.int32), np.where(turn, n[u], m[v]).astype(np.int32)])
+            low = high
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, {0: [], 1: []}
+
+        def pairs() -> Iterator[pa.RecordBatch]:
+            if held[0] and held[1]:
+                yield from meet(*([np.concatenate(c) for c in zip(*held[side])] for side in (0, 1)))
+
+        for batch in batches:
+            keys = [batch.column(c).to_numpy() for c in range(4)]  # token, one, two, side
+            cuts = np.flatnonzero(np.any([np.diff(c) != 0 for c in keys], axis=0)) + 1
+            columns = [np.array(batch.column(c)).astype(np.int64) for c in range(4, 9)]
+            # unsigned: of negative numbers numpy counts the bits of the absolute value
+            columns.append(batch.column(9).flatten().to_numpy().view(np.uint64).reshape(-1, PARITY_WORDS))
+            for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                if low == high:
+                    continue
+                now = tuple(int(c[low]) for c in keys[:3])
+                if now != key:
+                    yield from pairs()
+                    key, held = now, {0: [], 1: []}
+                held[int(keys[3][low])].append([c[low:high] for c in columns])
+        yield from pairs()
+
+    own = F.pmod(F.xxhash64("set_id"), F.col("chunks")).cast("int")
+    each = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+    columns = ["set_id", "n", "pos", "root", "main", "parity"]
+    left = mixed.where("root <> main").select("token", own.alias("one"), each.alias("two"), F.lit(0).alias("side"), *columns)
+    right = mixed.select("token", each.alias("one"), own.alias("two"), F.lit(1).alias("side"), *columns)
+    tasks = int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = left.unionByName(right).repartition(tasks, "token", "one", "two").sortWithinPartitions("token", "one", "two", "side")
+    return dealt.mapInArrow(walk, "a bigint, b bigint, n int, m int")
+
+
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, set_id of every row.
 
@@ -489,21 +593,22 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     repeated rows cost one set. A null doc_id stays null and lends no id to its component; a component of
     such rows only has a null id. Shingles and sets are told apart by 64-bit hashes.
     """
-    common, sizes = survey(docs, words)
+    looked = cut_lineage(look_over(docs, words))
+    common, sizes = survey(looked)
     boundary = choose_boundary(sizes, percent)
-    rows = cut_lineage(members(docs, words))
+    rows = looked.where("kind IS NULL").drop("small", "kind", "value", "times")
     listed = entries(docs, common, boundary, words, percent)
     links = []
     if boundary:
-        links.append(_light_links(listed.where("light")))
-    found = cut_lineage(scan_lists(listed.where("NOT light"), boundary, percent))
+        links.append(_light_links(light_keys(looked, boundary, percent)))
+    found = cut_lineage(scan_lists(listed, boundary, percent))
     pairs = cut_lineage(_likely(found, percent))
     links = links[0] if links else pairs.select("a", "b").limit(0)
     long_ = cut_lineage(found.where("token IS NOT NULL").select("token", F.col("a").alias("set_id"), "n", "pos"))
-    classes = link_up(docs, pairs, cut_lineage(components(links)), words, percent)
+    classes = link_up(docs, rows, pairs, cut_lineage(components(links)), words, percent)
     if not long_.isEmpty():
         more = cut_lineage(_rest(long_, classes, parity_of(rows), boundary, percent))
-        classes = link_up(docs, more, classes, words, percent)
+        classes = link_up(docs, rows, more, classes, words, percent)
     return labelled(rows, classes)
 
 
@@ -522,14 +627,27 @@ def parity_of(rows: DataFrame) -> DataFrame:
     return rows.where("n > 0").select("set_id", "parity").dropDuplicates(["set_id"])
 
 
+def _hashed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and text_id, a 64-bit hash of the text."""
+    return documents(docs).withColumn("text_id", F.xxhash64("text"))
+
+
+def _members_of(batch: pa.RecordBatch, words: int) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """The members of a batch of doc_id, text and text_id, some texts at a time; their shingles and sizes."""
+    for low, high, data, bounds in text_blocks(batch.column(1)):
+        values, cuts = text_sets(data, bounds, words)
+        n, bits = np.diff(cuts), parities(values, cuts)
+        parity = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * PARITY_WORDS, pa.int32()), pa.array(bits.ravel()))
+        yield [batch.column(0).slice(low, high - low), set_ids(values, cuts), n, parity, batch.column(2).slice(low, high - low)], values, n
+
+
 def members(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, set_id, n, parity) of every row."""
-    schema = pa.schema([("doc_id", pa.int64()), ("set_id", pa.int64()), ("n", pa.int64()), ("parity", pa.list_(pa.int64()))])
+    """(doc_id, set_id, n, parity, text_id) of every row."""
+    schema = pa.schema(_MEMBER)
 
     def size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, data, bounds in text_blocks(batch.column(1)):
-                values, cuts = text_sets(data, bounds, words)
-                yield record_batch(schema, [batch.column(0).slice(low, high - low), set_ids(values, cuts), np.diff(cuts), list(parities(values, cuts))])
+            for columns, _, _ in _members_of(batch, words):
+                yield record_batch(schema, columns)
 
-    return documents(docs).mapInArrow(size, "doc_id bigint, set_id bigint, n bigint, parity array<bigint>")
+    return _hashed(docs).mapInArrow(size, _MEMBERS)

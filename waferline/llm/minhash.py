@@ -171,8 +171,8 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     met = cut_lineage(buckets.join(hubs.where("hub < last").select("key", "hub"), "key"))
     pairs = cut_lineage(_star_pairs(met, sets, percent))
     none = pairs.select("a", "b").limit(0)
-    classes = link_up(docs, pairs, cut_lineage(components(none)), words, percent)
+    classes = link_up(docs, rows, pairs, cut_lineage(components(none)), words, percent)
     more = _rest(met, sets, parity_of(rows), classes, percent).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
-    classes = link_up(docs, cut_lineage(more), classes, words, percent)
+    classes = link_up(docs, rows, cut_lineage(more), classes, words, percent)
     found = labelled(rows, classes)
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
