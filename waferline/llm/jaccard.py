@@ -48,6 +48,8 @@ PARITY_ROWS = 256
 #: Sets of a long list that meet in one go, and pairs that are looked at together.
 CHUNK = 4096
 PAIRS_AT_ONCE = 1 << 18
+#: Lists whose pairs a task carries along to count them together, up to ``PAIRS_AT_ONCE`` pairs.
+CARRIED = 64
 #: Bits for each id in a filter of ids, and a filter's size at most (2**26 bits are 8 MB); beyond that more ids share a bit.
 BITS_OF_ID = 16
 FILTER_BITS = 26
@@ -500,7 +502,7 @@ def _rest(entries_: DataFrame, classes: DataFrame, parity: DataFrame, boundary:
 
     In each list the sets outside of its largest component meet all those of other components. A pair whose
     parity bitmaps differ in more bits than two linked sets have shingles apart does not come out. The others
-    come once for each list that both sets stand in, and are counted.
+    are counted, once for each list that both sets stand in.
     What a pair shares in short lists need not be added: one that stands in any of those has been compared
     or ruled out before.
     """
@@ -514,19 +516,20 @@ def _rest(entries_: DataFrame, classes: DataFrame, parity: DataFrame, boundary:
     met = _meetings(cut_lineage(mixed), boundary, percent)
     need = F.ceil(F.lit(percent) * (F.col("n") + F.col("m")) / F.lit(100 + percent))
     rest = F.ceil(F.lit(percent) * F.greatest("n", "m") / F.lit(100)) - 1
-    met = met.groupBy("a", "b", (need - rest).alias("least")).agg(F.count("*").alias("shared"))
+    met = met.groupBy("a", "b", (need - rest).alias("least")).agg(F.sum("shared").alias("shared"))
     return met.where("shared >= least").select("a", "b", "shared")
 
 
 def _meetings(mixed: DataFrame, boundary: int, percent: int) -> DataFrame:
-    """(a, b, n, m) for each list and pair of it that may be linked, with the sets' sizes.
+    """(a, b, n, m, shared): pairs that may be linked, the sets' sizes, and in how many of a few lists they met.
 
     Lists are cut into ``chunks``; each chunk's sets outside of the list's largest component meet each chunk's
     sets, and a task holds two chunks at a time.
     """
-    schema = _schema("a bigint, b bigint, n int, m int")
+    names = "a bigint, b bigint, n int, m int, shared bigint"
+    schema = _schema(names)
 
-    def meet(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def meet(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
         left, right = ([c[order] for c in side] for side, order in ((s, np.argsort(s[1], kind="stable")) for s in (left, right)))
         (a, n, p, root, main, bits), (b, m, q, other, _, more) = left, right
         low = 0
@@ -547,15 +550,31 @@ def _meetings(mixed: DataFrame, boundary: int, percent: int) -> DataFrame:
                 if ok.any():
                     u, v = u[ok], v[ok]
                     turn = a[u] > b[v]
-                    yield record_batch(schema, [np.minimum(a[u], b[v]), np.maximum(a[u], b[v]), np.where(turn, m[v], n[u]).astype(np.int32), np.where(turn, n[u], m[v]).astype(np.int32)])
+                    yield [np.minimum(a[u], b[v]), np.maximum(a[u], b[v]), np.where(turn, m[v], n[u]).astype(np.int32), np.where(turn, n[u], m[v]).astype(np.int32)]
             low = high
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, {0: [], 1: []}
+        key, held, found, lists = None, {0: [], 1: []}, [], 0
 
-        def pairs() -> Iterator[pa.RecordBatch]:
+        def pairs(last: bool = False) -> Iterator[pa.RecordBatch]:
+            nonlocal lists
             if held[0] and held[1]:
-                yield from meet(*([np.concatenate(c) for c in zip(*held[side])] for side in (0, 1)))
+                lists += 1
+                for some in meet(*([np.concatenate(c) for c in zip(*held[side])] for side in (0, 1))):
+                    found.append(some)
+                    if sum(len(f[0]) for f in found) >= PAIRS_AT_ONCE:
+                        yield counted(found)
+            if found and (last or lists >= CARRIED):
+                yield counted(found)
+                lists = 0
+
+        def counted(found: list[list[np.ndarray]]) -> pa.RecordBatch:
+            a, b, n, m = (np.concatenate(c) for c in zip(*found))
+            found.clear()
+            order = np.lexsort((b, a))
+            a, b = a[order], b[order]
+            first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+            return record_batch(schema, [a[first], b[first], n[order][first], m[order][first], np.diff(np.append(first, len(a)))])
 
         for batch in batches:
             keys = [batch.column(c).to_numpy() for c in range(4)]  # token, one, two, side
@@ -571,7 +590,7 @@ def _meetings(mixed: DataFrame, boundary: int, percent: int) -> DataFrame:
                     yield from pairs()
                     key, held = now, {0: [], 1: []}
                 held[int(keys[3][low])].append([c[low:high] for c in columns])
-        yield from pairs()
+        yield from pairs(True)
 
     own = F.pmod(F.xxhash64("set_id"), F.col("chunks")).cast("int")
     each = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
@@ -580,7 +599,7 @@ def _meetings(mixed: DataFrame, boundary: int, percent: int) -> DataFrame:
     right = mixed.select("token", each.alias("one"), own.alias("two"), F.lit(1).alias("side"), *columns)
     tasks = int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = left.unionByName(right).repartition(tasks, "token", "one", "two").sortWithinPartitions("token", "one", "two", "side")
-    return dealt.mapInArrow(walk, "a bigint, b bigint, n int, m int")
+    return dealt.mapInArrow(walk, names)
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
